@@ -53,3 +53,133 @@ SEARCH_PATTERN = "th[a-z]*tion"
 @query("search_documents")
 def q_search_documents(spark, sf_dir):
     return Q.search_documents(clean_docs(spark, sf_dir), SEARCH_PATTERN, top_k=10)
+
+
+# --- 2.1 sources and sinks --------------------------------------------------
+
+from textmill.sources import tables as S  # noqa: E402
+from textmill.functions import text as T  # noqa: E402
+from textmill.functions import lang as LANG  # noqa: E402
+
+
+@query("scan_limit")
+def q_scan_limit(spark, sf_dir):
+    return S.scan_limit(docs(spark, sf_dir), 1_500).select("doc_id", "source", "n_chars")
+
+
+JSONL_SCHEMA = "doc_id BIGINT, text STRING, source STRING"
+
+
+@query("jsonl_roundtrip")
+def q_jsonl_roundtrip(spark, sf_dir):
+    from pyspark.sql.types import _parse_datatype_string
+
+    path = S.scratch_path(spark, "jsonl")
+    S.write_jsonl(docs(spark, sf_dir).select("doc_id", "text", "source"), path)
+    back = S.read_jsonl(spark, path, _parse_datatype_string(JSONL_SCHEMA))
+    return back.groupBy("source").agg(
+        F.count(F.lit(1)).alias("n_docs"),
+        F.sum(F.length("text")).cast("bigint").alias("total_chars"),
+        F.min("doc_id").alias("min_doc_id"),
+        F.max("doc_id").alias("max_doc_id"),
+    )
+
+
+SQL_PATTERN = "schaft|ung"
+
+
+@query("sql_search")
+def q_sql_search(spark, sf_dir):
+    return S.param_sql(
+        spark,
+        "SELECT doc_id, CAST(regexp_count(lower(text), :q) AS BIGINT) AS score "
+        "FROM {d} WHERE lower(text) RLIKE :q",
+        args={"q": SQL_PATTERN},
+        d=docs(spark, sf_dir),
+    )
+
+
+@query("eval_sample")
+def q_eval_sample(spark, sf_dir):
+    d = clean_docs(spark, sf_dir).withColumn("reference_summary", F.array_join(F.slice(T.sentences("text"), 1, 3), " "))
+    return S.eval_sample(d, "reference_summary", ["doc_id", "token_count", "reference_summary"], limit=100)
+
+
+@query("fetch_by_id")
+def q_fetch_by_id(spark, sf_dir):
+    ids = table(spark, sf_dir, "labels").select("doc_id")
+    d = docs(spark, sf_dir).withColumn("text_hash", T.content_hash("text")).withColumn(
+        "text_chars", F.length("text").cast("bigint"))
+    return S.fetch_by_id(ids, d, columns=("text_chars", "text_hash"))
+
+
+# --- 2.2 normalisation ------------------------------------------------------
+
+INGESTED_AT = "2024-01-01 00:00:00"
+
+
+@query("normalize_record")
+def q_normalize_record(spark, sf_dir):
+    out = C.normalize_record(docs(spark, sf_dir), ingested_at=F.to_timestamp(F.lit(INGESTED_AT)))
+    return out.select("doc_id", "doc_uid", "source", F.length("text").cast("bigint").alias("text_chars"),
+                      F.date_format("ingested_at", "yyyy-MM-dd HH:mm:ss").alias("ingested_at"))
+
+
+def _noisy_text():
+    # inject CRLF runs and tab/space runs so every rewrite rule fires
+    return F.replace(F.replace(F.col("text"), F.lit(" "), F.lit(" \t ")), F.lit("\n"), F.lit("\r\n\r\n\r\n"))
+
+
+@query("normalize_whitespace")
+def q_normalize_whitespace(spark, sf_dir):
+    d = docs(spark, sf_dir).withColumn("noisy", F.concat(F.lit(" \t"), _noisy_text(), F.lit("\r\n ")))
+    norm = T.normalize_whitespace("noisy")
+    return d.select(
+        "doc_id",
+        F.sha2(norm, 256).alias("norm_hash"),
+        F.length(norm).cast("bigint").alias("norm_chars"),
+        (norm == T.normalize_whitespace("text")).alias("same_as_clean"),
+    )
+
+
+@query("detect_language")
+def q_detect_language(spark, sf_dir):
+    d = docs(spark, sf_dir).join(table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id")
+    return d.select("doc_id", F.col("lang").alias("lang_given"),
+                    LANG.detect_language(T.normalize_whitespace("text")).alias("lang_detected"))
+
+
+@query("token_count")
+def q_token_count(spark, sf_dir):
+    d = docs(spark, sf_dir)
+    return d.select(
+        "doc_id",
+        T.token_count("text").alias("token_count"),
+        T.token_count(F.replace(F.col("text"), F.lit(" "), F.lit("  \x1c"))).alias("token_count_unicode_ws"),
+    )
+
+
+@query("content_hash")
+def q_content_hash(spark, sf_dir):
+    return docs(spark, sf_dir).select("doc_id", T.content_hash("text").alias("text_hash"))
+
+
+@query("dedupe_exact")
+def q_dedupe_exact(spark, sf_dir):
+    d = docs(spark, sf_dir).select("doc_id", "source", T.content_hash("text").alias("text_hash"))
+    return C.dedupe_exact(d)
+
+
+@query("clean_report")
+def q_clean_report(spark, sf_dir):
+    return C.clean_report(docs(spark, sf_dir))
+
+
+# --- 2.3 multi-query search -------------------------------------------------
+
+BATCH_PATTERNS = {"q_de": "schaft|ung", "q_en": "th[a-z]*tion", "q_es": "ción", "q_fr": "ment", "q_num": "[0-9]+"}
+
+
+@query("search_batch")
+def q_search_batch(spark, sf_dir):
+    return Q.search_batch(docs(spark, sf_dir), BATCH_PATTERNS, top_k=5)

@@ -78,3 +78,95 @@ WHERE regexp_matches(lower(text), 'th[a-z]*tion')
 ORDER BY score DESC, doc_id
 LIMIT 10
 """
+
+ORACLE["scan_limit"] = "SELECT doc_id, source, n_chars FROM documents ORDER BY doc_id LIMIT 1500"
+
+ORACLE["jsonl_roundtrip"] = """
+SELECT source, count(*) AS n_docs, CAST(sum(length(text)) AS BIGINT) AS total_chars,
+       min(doc_id) AS min_doc_id, max(doc_id) AS max_doc_id
+FROM documents GROUP BY source
+"""
+
+ORACLE["sql_search"] = """
+SELECT doc_id, CAST(len(regexp_extract_all(lower(text), 'schaft|ung')) AS BIGINT) AS score
+FROM documents WHERE regexp_matches(lower(text), 'schaft|ung')
+"""
+
+SENT_RE = "[^.!?\\n]+[.!?]*"
+
+
+def sentences_sql(x: str) -> str:
+    return (f"list_filter(list_transform(regexp_extract_all({x}, '{SENT_RE}'), lambda s: {strip_sql('s')}), "
+            f"lambda s: regexp_matches(s, '[A-Za-z0-9]'))")
+
+
+ORACLE["eval_sample"] = f"""
+WITH {CLEAN}
+SELECT doc_id, token_count, array_to_string({sentences_sql('text')}[1:3], ' ') AS reference_summary
+FROM clean ORDER BY doc_id LIMIT 100
+"""
+
+ORACLE["fetch_by_id"] = """
+SELECT l.doc_id, d.doc_id IS NOT NULL AS found, CAST(length(d.text) AS BIGINT) AS text_chars,
+       sha256(d.text) AS text_hash
+FROM labels l LEFT JOIN documents d ON l.doc_id = d.doc_id
+"""
+
+ORACLE["normalize_record"] = f"""
+SELECT doc_id, sha256(source || chr(0) || CAST(doc_id AS VARCHAR)) AS doc_uid, source,
+       CAST(length({strip_sql('text')}) AS BIGINT) AS text_chars, '2024-01-01 00:00:00' AS ingested_at
+FROM documents WHERE length({strip_sql('text')}) > 0
+"""
+
+NOISY = "' ' || chr(9) || replace(replace(text, ' ', ' ' || chr(9) || ' '), chr(10), repeat(chr(13) || chr(10), 3)) || chr(13) || chr(10) || ' '"
+
+ORACLE["normalize_whitespace"] = f"""
+SELECT doc_id, sha256({norm_sql(NOISY)}) AS norm_hash, CAST(length({norm_sql(NOISY)}) AS BIGINT) AS norm_chars,
+       {norm_sql(NOISY)} = {norm_sql('text')} AS same_as_clean
+FROM documents
+"""
+
+ORACLE["detect_language"] = f"""
+SELECT doc_id, lang AS lang_given, {lang_sql(norm_sql('text'))} AS lang_detected FROM documents
+"""
+
+ORACLE["token_count"] = f"""
+SELECT doc_id, {ntok_sql('text')} AS token_count,
+       {ntok_sql("replace(text, ' ', chr(160) || chr(8195) || chr(28))")} AS token_count_unicode_ws
+FROM documents
+"""
+
+ORACLE["content_hash"] = "SELECT doc_id, sha256(text) AS text_hash FROM documents"
+
+ORACLE["dedupe_exact"] = """
+SELECT doc_id, source, sha256(text) AS text_hash FROM documents
+QUALIFY row_number() OVER (PARTITION BY sha256(text) ORDER BY doc_id) = 1
+"""
+
+ORACLE["clean_report"] = f"""
+WITH {STAGED},
+r AS (SELECT *, CASE WHEN lang IS NULL OR lang <> 'en' THEN 'lang' WHEN token_count < 100 THEN 'short'
+                     WHEN token_count > 5000 THEN 'long' END AS reason FROM staged)
+SELECT CAST(count(*) AS BIGINT) AS rows_in,
+       CAST(count(DISTINCT text_hash) FILTER (WHERE reason IS NULL) AS BIGINT) AS rows_out,
+       CAST(count(*) - count(DISTINCT text_hash) FILTER (WHERE reason IS NULL) AS BIGINT) AS dropped,
+       CAST(count(*) FILTER (WHERE reason = 'lang') AS BIGINT) AS dropped_lang,
+       CAST(count(*) FILTER (WHERE reason = 'short') AS BIGINT) AS dropped_short,
+       CAST(count(*) FILTER (WHERE reason = 'long') AS BIGINT) AS dropped_long,
+       CAST(count(*) FILTER (WHERE reason IS NULL) - count(DISTINCT text_hash) FILTER (WHERE reason IS NULL) AS BIGINT)
+         AS dropped_duplicate
+FROM r
+"""
+
+_BATCH = [("q_de", "schaft|ung"), ("q_en", "th[a-z]*tion"), ("q_es", "ción"), ("q_fr", "ment"), ("q_num", "[0-9]+")]
+
+ORACLE["search_batch"] = "WITH s AS (" + " UNION ALL ".join(
+    f"SELECT '{q}' AS qid, doc_id, substr(text, 1, 300) AS snippet, "
+    f"CAST(len(regexp_extract_all(lower(text), '{p}')) AS BIGINT) AS score FROM documents"
+    for q, p in _BATCH
+) + """)
+SELECT qid, CAST(row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+       doc_id, snippet, score
+FROM s WHERE score > 0
+QUALIFY rank <= 5
+"""

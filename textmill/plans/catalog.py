@@ -155,7 +155,7 @@ def q_token_count(spark, sf_dir):
     return d.select(
         "doc_id",
         T.token_count("text").alias("token_count"),
-        T.token_count(F.replace(F.col("text"), F.lit(" "), F.lit("  \x1c"))).alias("token_count_unicode_ws"),
+        T.token_count(F.replace(F.col("text"), F.lit(" "), F.lit("\u00a0\u2003\x1c"))).alias("token_count_unicode_ws"),
     )
 
 

@@ -183,3 +183,78 @@ BATCH_PATTERNS = {"q_de": "schaft|ung", "q_en": "th[a-z]*tion", "q_es": "ción",
 @query("search_batch")
 def q_search_batch(spark, sf_dir):
     return Q.search_batch(docs(spark, sf_dir), BATCH_PATTERNS, top_k=5)
+
+
+# --- 2.9 corpus statistics --------------------------------------------------
+
+from textmill.operators import stats as D  # noqa: E402
+
+LEAD_SENTENCES = 3
+
+
+def with_reference(df: DataFrame) -> DataFrame:
+    """Stand-in reference summary: the lead-3 sentences (the driver corpus has none)."""
+    return df.withColumn("reference_summary",
+                         F.array_join(F.slice(T.sentences("text"), 1, LEAD_SENTENCES), " "))
+
+
+def clean_ref(spark, sf_dir):
+    return with_reference(clean_docs(spark, sf_dir))
+
+
+LENGTH_METRICS = ["token_count", "char_count", "sent_count", "summary_token_count"]
+
+
+@query("doc_lengths")
+def q_doc_lengths(spark, sf_dir):
+    return D.doc_lengths(clean_ref(spark, sf_dir)).select("doc_id", *LENGTH_METRICS)
+
+
+@query("describe_lengths")
+def q_describe_lengths(spark, sf_dir):
+    return D.describe(D.doc_lengths(clean_ref(spark, sf_dir)), LENGTH_METRICS)
+
+
+@query("histogram_tokens")
+def q_histogram_tokens(spark, sf_dir):
+    return D.histogram(clean_docs(spark, sf_dir), "token_count", 50)
+
+
+@query("histogram_sentences")
+def q_histogram_sentences(spark, sf_dir):
+    return D.histogram(D.doc_lengths(clean_docs(spark, sf_dir), summary_col=None), "sent_count", 40)
+
+
+@query("histogram_summaries")
+def q_histogram_summaries(spark, sf_dir):
+    return D.histogram(D.doc_lengths(clean_ref(spark, sf_dir)), "summary_token_count", 40)
+
+
+@query("sample_documents")
+def q_sample_documents(spark, sf_dir):
+    return D.sample_documents(clean_docs(spark, sf_dir), 300, 42).select("doc_id", "token_count")
+
+
+@query("top_unigrams")
+def q_top_unigrams(spark, sf_dir):
+    return D.top_unigrams(clean_docs(spark, sf_dir), 20)
+
+
+@query("top_bigrams")
+def q_top_bigrams(spark, sf_dir):
+    return D.top_bigrams(clean_docs(spark, sf_dir), 20)
+
+
+@query("vocabulary_stats")
+def q_vocabulary_stats(spark, sf_dir):
+    return D.vocabulary_stats(clean_docs(spark, sf_dir))
+
+
+@query("sample_preview")
+def q_sample_preview(spark, sf_dir):
+    return D.sample_preview(clean_docs(spark, sf_dir), 5, 7)
+
+
+@query("corpus_takeaways")
+def q_corpus_takeaways(spark, sf_dir):
+    return D.corpus_takeaways(clean_ref(spark, sf_dir))

@@ -170,3 +170,99 @@ SELECT qid, CAST(row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id
 FROM s WHERE score > 0
 QUALIFY rank <= 5
 """
+
+# --- corpus statistics --------------------------------------------------------
+
+CLEAN_REF = CLEAN + f""",
+cref AS (SELECT *, array_to_string({sentences_sql('text')}[1:3], ' ') AS reference_summary FROM clean),
+lens AS (SELECT doc_id, token_count, CAST(length(text) AS BIGINT) AS char_count,
+                CAST(len(regexp_extract_all(text, '[.!?]+')) AS BIGINT) AS sent_count,
+                CASE WHEN reference_summary IS NOT NULL THEN {ntok_sql('reference_summary')} END AS summary_token_count
+         FROM cref)"""
+
+ORACLE["doc_lengths"] = f"WITH {CLEAN_REF} SELECT * FROM lens"
+
+ORACLE["describe_lengths"] = f"""
+WITH {CLEAN_REF},
+st AS (
+  SELECT 'token_count' AS metric, CAST(token_count AS DOUBLE) AS v FROM lens UNION ALL
+  SELECT 'char_count', CAST(char_count AS DOUBLE) FROM lens UNION ALL
+  SELECT 'sent_count', CAST(sent_count AS DOUBLE) FROM lens UNION ALL
+  SELECT 'summary_token_count', CAST(summary_token_count AS DOUBLE) FROM lens)
+SELECT metric, count(v) AS count, round(avg(v), 1) AS mean, round(stddev_samp(v), 1) AS std,
+       round(min(v), 1) AS min, round(quantile_cont(v, 0.25), 1) AS p25, round(quantile_cont(v, 0.5), 1) AS p50,
+       round(quantile_cont(v, 0.75), 1) AS p75, round(max(v), 1) AS max
+FROM st GROUP BY metric
+"""
+
+
+def hist_sql(src: str, col: str, bins: int) -> str:
+    return f"""
+WITH {CLEAN_REF},
+x AS (SELECT CAST({col} AS DOUBLE) AS x FROM {src} WHERE {col} IS NOT NULL),
+mm AS (SELECT CASE WHEN min(x) = max(x) THEN min(x) - 0.5 ELSE min(x) END AS lo,
+              CASE WHEN min(x) = max(x) THEN max(x) + 0.5 ELSE max(x) END AS hi FROM x),
+w AS (SELECT lo, hi, (hi - lo) / {bins} AS width FROM mm),
+b AS (SELECT CAST(least(floor((x - lo) / width), {bins - 1}) AS INTEGER) AS bin FROM x, w),
+c AS (SELECT bin, count(*) AS n FROM b GROUP BY bin)
+SELECT CAST(r.range AS INTEGER) AS bin, round(lo + CAST(r.range AS INTEGER) * width, 4) AS lo,
+       round(lo + (CAST(r.range AS INTEGER) + 1) * width, 4) AS hi, CAST(coalesce(c.n, 0) AS BIGINT) AS n
+FROM range(0, {bins}) r CROSS JOIN w LEFT JOIN c ON c.bin = r.range
+"""
+
+
+ORACLE["histogram_tokens"] = hist_sql("lens", "token_count", 50)
+ORACLE["histogram_sentences"] = hist_sql("lens", "sent_count", 40)
+ORACLE["histogram_summaries"] = hist_sql("lens", "summary_token_count", 40)
+
+ORACLE["sample_documents"] = f"""
+WITH {CLEAN}
+SELECT doc_id, token_count FROM clean ORDER BY md5('42:' || CAST(doc_id AS VARCHAR)), doc_id LIMIT 300
+"""
+
+EDA_STOP_SQL = ("['the','a','an','and','or','but','in','on','at','to','for','of','with','is','was','are','were',"
+                "'he','she','they','it','his','her','their','this','that','have','has','had','be','been','by','from',"
+                "'as','said','will','i','we','you','not','--','also','who','its','about','up','after','more','which']")
+
+
+def words3_sql(x: str) -> str:
+    runs = f"regexp_extract_all({x}, '[\\p{{L}}\\p{{N}}_]+')"
+    return (f"list_filter(list_transform(list_filter({runs}, lambda w: regexp_full_match(w, '[a-zA-Z]{{3,}}')), "
+            f"lambda w: lower(w)), lambda w: NOT list_contains({EDA_STOP_SQL}, w))")
+
+
+TOKS = CLEAN + f""",
+toks AS (SELECT doc_id, {words3_sql('text')} AS t FROM clean),
+wc AS (SELECT w AS word, count(*) AS freq FROM (SELECT unnest(t) AS w FROM toks) GROUP BY w)"""
+
+ORACLE["top_unigrams"] = f"WITH {TOKS} SELECT word, freq FROM wc ORDER BY freq DESC, word LIMIT 20"
+
+ORACLE["top_bigrams"] = f"""
+WITH {TOKS},
+p AS (SELECT t[i] || ' ' || t[i + 1] AS bigram FROM (SELECT t, unnest(range(1, len(t))) AS i FROM toks))
+SELECT bigram, count(*) AS freq FROM p GROUP BY bigram ORDER BY freq DESC, bigram LIMIT 20
+"""
+
+ORACLE["vocabulary_stats"] = f"""
+WITH {TOKS}
+SELECT count(*) AS vocab_size, CAST(sum(freq) AS BIGINT) AS total_tokens,
+       round(count(*) / sum(freq), 3) AS type_token_ratio FROM wc
+"""
+
+ORACLE["sample_preview"] = f"""
+WITH {CLEAN}
+SELECT doc_id, token_count, substr(text, 1, 400) AS preview
+FROM clean ORDER BY md5('7:' || CAST(doc_id AS VARCHAR)), doc_id LIMIT 5
+"""
+
+ORACLE["corpus_takeaways"] = f"""
+WITH {CLEAN_REF},
+toks AS (SELECT doc_id, {words3_sql('text')} AS t FROM clean),
+wc AS (SELECT w AS word, count(*) AS freq FROM (SELECT unnest(t) AS w FROM toks) GROUP BY w)
+SELECT count(*) AS total_docs, quantile_cont(token_count, 0.5) AS median_tokens,
+       quantile_cont(sent_count, 0.5) AS median_sentences,
+       quantile_cont(summary_token_count, 0.5) AS median_summary_tokens,
+       count(*) FILTER (WHERE token_count > 3000) AS docs_over_long_tokens,
+       (SELECT count(*) FROM wc) AS vocab_size
+FROM lens
+"""

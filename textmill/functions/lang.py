@@ -39,13 +39,19 @@ def _member_of(ws: tuple[str, ...]):
 
 def detect_language(text: Column, profile: dict[str, tuple[str, ...]] | None = None,
                     sample_chars: int = SAMPLE_CHARS) -> Column:
-    """Most voted language; alphabetical tie-break; null when no stopword hits."""
+    """Most voted language; alphabetical tie-break; null when no stopword hits.
+
+    Each language's hit count appears once in the expression: the winner is
+    ``array_max`` over (hits, rank, lang) structs, where rank favours the
+    alphabetically first language on equal hits.
+    """
     profile = profile or PROFILE
     toks = sample_tokens(text, sample_chars)
     langs = sorted(profile)
-    hits = {lang: F.size(F.filter(toks, _member_of(profile[lang]))) for lang in langs}
-    best = F.greatest(*hits.values())
-    choice = F.when(best <= 0, F.lit(None).cast("string"))
-    for lang in langs:  # alphabetical order: first maximum wins
-        choice = choice.when(hits[lang] == best, F.lit(lang))
-    return choice
+    votes = F.array(*[
+        F.struct(F.size(F.filter(toks, _member_of(profile[lang]))).alias("hits"),
+                 F.lit(len(langs) - i).alias("rank"), F.lit(lang).alias("lang"))
+        for i, lang in enumerate(langs)
+    ])
+    best = F.array_max(votes)
+    return F.when(best["hits"] > 0, best["lang"])

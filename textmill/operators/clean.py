@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from textmill.functions import lang as L
 from textmill.functions import text as T
+from textmill.session import barrier
 
 TOKEN_MIN = 100
 TOKEN_MAX = 5_000
@@ -37,10 +38,10 @@ def normalize_record(df: DataFrame, natural_key: str = "doc_id", source: str | C
 
 def with_clean_columns(df: DataFrame, lang_col: Column | None = None) -> DataFrame:
     """P3, P4, P6, P8 as projections (no filter)."""
-    out = df.withColumn("text", T.normalize_whitespace("text"))
+    out = barrier(df.withColumn("text", T.normalize_whitespace("text")))
     out = out.withColumn("lang", L.detect_language(F.col("text")) if lang_col is None else lang_col)
     out = out.withColumn("token_count", T.token_count("text"))
-    return out.withColumn("text_hash", T.content_hash("text"))
+    return barrier(out.withColumn("text_hash", T.content_hash("text")))
 
 
 def keep_filter(target_lang: str = TARGET_LANG, token_min: int = TOKEN_MIN, token_max: int = TOKEN_MAX) -> Column:

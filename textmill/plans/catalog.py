@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from textmill.operators import clean as C
 from textmill.operators import search as Q
-from textmill.session import table
+from textmill.session import spread, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -29,7 +29,7 @@ def query(name: str):
 
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "text", "source", "n_chars")
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "n_chars"))
 
 
 def clean_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -258,3 +258,117 @@ def q_sample_preview(spark, sf_dir):
 @query("corpus_takeaways")
 def q_corpus_takeaways(spark, sf_dir):
     return D.corpus_takeaways(clean_ref(spark, sf_dir))
+
+
+# --- 2.4 entities -------------------------------------------------------------
+
+from textmill.operators import entities as EN  # noqa: E402
+
+def _ts():
+    return F.to_timestamp(F.lit(INGESTED_AT))
+
+# Fixed gazetteer entries; the driver query adds the nation and region names
+# of the driver tables (GPE / LOC).
+GAZETTEER_FIXED = [("Apache License", "LAW"), ("General Public License", "LAW"), ("Apache", "ORG"),
+                   ("GNU", "ORG"), ("Free Software Foundation", "ORG")]
+
+
+def gazetteer(spark, sf_dir):
+    fixed = spark.createDataFrame(GAZETTEER_FIXED, "name string, raw_label string")
+    nations = table(spark, sf_dir, "nation").select(F.initcap("n_name").alias("name"), F.lit("GPE").alias("raw_label"))
+    regions = table(spark, sf_dir, "region").select(F.initcap("r_name").alias("name"), F.lit("LOC").alias("raw_label"))
+    return fixed.unionByName(nations).unionByName(regions)
+
+
+ENTITY_COLS = ["doc_id", "entity_name", "entity_type", "raw_label", "pos", "n_mentions", "salience",
+               "sentiment_score", "sentiment_magnitude", "extractor"]
+
+
+def pattern_entities(spark, sf_dir):
+    return EN.extract_entities(clean_docs(spark, sf_dir), extracted_at=_ts())
+
+
+def gazetteer_entities(spark, sf_dir):
+    m = EN.extract_gazetteer(clean_docs(spark, sf_dir), gazetteer(spark, sf_dir))
+    e = EN.entity_salience(EN.dedupe_mentions(m))
+    return e.select(
+        "doc_id", F.col("name").alias("entity_name"), EN.label_type("raw_label").alias("entity_type"), "raw_label",
+        "pos", "n_mentions", "salience", F.lit(0.0).alias("sentiment_score"), F.lit(0.0).alias("sentiment_magnitude"),
+        F.lit("gazetteer").alias("extractor"), _ts().alias("extracted_at"))
+
+
+@query("extract_entities_pattern")
+def q_extract_entities_pattern(spark, sf_dir):
+    return EN.extract_mentions(clean_docs(spark, sf_dir))
+
+
+@query("extract_entities_gazetteer")
+def q_extract_entities_gazetteer(spark, sf_dir):
+    return EN.extract_gazetteer(clean_docs(spark, sf_dir), gazetteer(spark, sf_dir))
+
+
+@query("label_map")
+def q_label_map(spark, sf_dir):
+    m = EN.extract_mentions(clean_docs(spark, sf_dir)).unionByName(
+        EN.extract_gazetteer(clean_docs(spark, sf_dir), gazetteer(spark, sf_dir)))
+    return m.groupBy("raw_label", EN.label_type("raw_label").alias("entity_type")).agg(
+        F.count(F.lit(1)).alias("n_mentions"))
+
+
+@query("dedupe_mentions")
+def q_dedupe_mentions(spark, sf_dir):
+    return EN.dedupe_mentions(EN.extract_mentions(clean_docs(spark, sf_dir)))
+
+
+@query("entity_salience")
+def q_entity_salience(spark, sf_dir):
+    return EN.entity_salience(EN.dedupe_mentions(EN.extract_mentions(clean_docs(spark, sf_dir))))
+
+
+@query("entity_sentiment")
+def q_entity_sentiment(spark, sf_dir):
+    return pattern_entities(spark, sf_dir).select(*ENTITY_COLS)
+
+
+@query("document_categories")
+def q_document_categories(spark, sf_dir):
+    cats = EN.document_categories(clean_docs(spark, sf_dir))
+    return cats.select("doc_id", F.size("categories").alias("n_categories"),
+                       F.array_join("categories", "|").alias("categories"))
+
+
+def all_entities(spark, sf_dir):
+    return EN.entities_union(pattern_entities(spark, sf_dir), gazetteer_entities(spark, sf_dir))
+
+
+@query("entities_union")
+def q_entities_union(spark, sf_dir):
+    return all_entities(spark, sf_dir).select(*ENTITY_COLS)
+
+
+@query("top_entities_per_doc")
+def q_top_entities_per_doc(spark, sf_dir):
+    return EN.top_entities_per_doc(all_entities(spark, sf_dir)).select(
+        "doc_id", "rank", "entity_name", "entity_type", "salience", "extractor")
+
+
+@query("entities_lookup_or_compute")
+def q_entities_lookup_or_compute(spark, sf_dir):
+    d = clean_docs(spark, sf_dir)
+    # the stored table holds the entities of the quality-labelled documents
+    stored_ids = table(spark, sf_dir, "labels").filter(F.col("quality") == 1).select("doc_id")
+    cache = EN.extract_entities(d.join(stored_ids, "doc_id", "left_semi"), extracted_at=_ts())
+    ids = table(spark, sf_dir, "labels").select("doc_id")
+    out = EN.entities_lookup_or_compute(ids, cache, d, lambda x: EN.extract_entities(x, extracted_at=_ts()))
+    return out.select("doc_id", "entity_name", "entity_type", "n_mentions", "salience", "source")
+
+
+@query("extraction_report")
+def q_extraction_report(spark, sf_dir):
+    return EN.extraction_report(all_entities(spark, sf_dir))
+
+
+@query("truncate_bytes")
+def q_truncate_bytes(spark, sf_dir):
+    t = T.truncate_bytes("text", 1_000)
+    return docs(spark, sf_dir).select("doc_id", F.octet_length(t).alias("bytes"), F.length(t).alias("chars"))

@@ -266,3 +266,134 @@ SELECT count(*) AS total_docs, quantile_cont(token_count, 0.5) AS median_tokens,
        (SELECT count(*) FROM wc) AS vocab_size
 FROM lens
 """
+
+# --- entities -----------------------------------------------------------------
+
+PATTERNS_SQL = [
+    ("EMAIL", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"),
+    ("URL", r"https?://[A-Za-z0-9./?=&#%_:~-]+"),
+    ("PHONE", r"\+?[0-9]{1,3} ?\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}|[0-9]{3}-[0-9]{3}-[0-9]{4}"),
+    ("MONEY", r"[$€£][0-9][0-9,]*(\.[0-9]+)?"),
+    ("PERCENT", r"[0-9]+(\.[0-9]+)?%"),
+    ("DATE", r"[0-9]{4}-[0-9]{2}-[0-9]{2}|(January|February|March|April|May|June|July|August|September|October"
+             r"|November|December) [0-9]{1,2}(, [0-9]{4})?"),
+    ("CARDINAL", r"[0-9]{6,}"),
+    ("LAW", r"(Apache|MIT|BSD|Mozilla Public|GNU General Public|GNU Lesser General Public) License"),
+    ("PROPN", r"[A-Z][a-z]+( [A-Z][a-z]+)+"),
+]
+
+LABEL_TYPE_SQL = ("coalesce(map_extract_value(MAP {'PERSON': 'PERSON', 'ORG': 'ORGANIZATION', 'GPE': 'LOCATION', "
+                  "'LOC': 'LOCATION', 'DATE': 'OTHER', 'TIME': 'OTHER', 'MONEY': 'OTHER', 'PERCENT': 'OTHER', "
+                  "'PRODUCT': 'CONSUMER_GOOD', 'EVENT': 'EVENT', 'WORK_OF_ART': 'WORK_OF_ART', 'LAW': 'OTHER', "
+                  "'NORP': 'ORGANIZATION'}, {x}), 'OTHER')")
+
+POS_SQL = "['good','great','excellent','positive','success','successful','benefit','improve','improved','gain','win','strong','happy','growth','support','best','better','well']"
+NEG_SQL = "['bad','poor','negative','fail','failed','failure','loss','lose','weak','crisis','death','killed','attack','worse','worst','decline','problem','risk']"
+
+
+def label_type_sql(x: str) -> str:
+    return LABEL_TYPE_SQL.replace("{x}", x)
+
+
+MENTIONS = CLEAN + """,
+ct AS (SELECT doc_id, substr(text, 1, 10000) AS t FROM clean),
+raw_m AS (""" + " UNION ALL ".join(
+    f"SELECT doc_id, t, unnest(regexp_extract_all(t, '{p}')) AS name, '{lab}' AS raw_label FROM ct"
+    for lab, p in PATTERNS_SQL) + """),
+mentions AS (SELECT doc_id, name, raw_label, CAST(strpos(t, name) AS INTEGER) AS pos FROM raw_m),
+dm AS (
+  SELECT doc_id, name, raw_label, pos,
+         count(*) OVER (PARTITION BY doc_id, lower(trim(name)), raw_label) AS n_mentions,
+         count(*) OVER (PARTITION BY doc_id) AS total_mentions
+  FROM mentions
+  QUALIFY row_number() OVER (PARTITION BY doc_id, lower(trim(name)), raw_label ORDER BY pos, name) = 1),
+sent AS (
+  SELECT doc_id, s, (len(list_filter(w, lambda x: list_contains(""" + POS_SQL + """, x)))
+                    - len(list_filter(w, lambda x: list_contains(""" + NEG_SQL + """, x))))
+                   / greatest(len(list_filter(w, lambda x: list_contains(""" + POS_SQL + """, x)))
+                    + len(list_filter(w, lambda x: list_contains(""" + NEG_SQL + """, x))), 1) AS v
+  FROM (SELECT doc_id, s, regexp_extract_all(lower(s), '[a-z0-9]+') AS w
+        FROM (SELECT doc_id, unnest(""" + sentences_sql('t') + """) AS s FROM ct))),
+pents AS (
+  SELECT dm.doc_id, dm.name AS entity_name, """ + label_type_sql("dm.raw_label") + """ AS entity_type,
+         dm.raw_label, dm.pos, dm.n_mentions, round(dm.n_mentions / dm.total_mentions, 4) AS salience,
+         round(coalesce(avg(sent.v), 0.0), 4) AS sentiment_score, round(coalesce(sum(abs(sent.v)), 0.0), 4) AS sentiment_magnitude,
+         'pattern' AS extractor
+  FROM dm LEFT JOIN sent ON sent.doc_id = dm.doc_id AND strpos(sent.s, dm.name) > 0
+  GROUP BY ALL)"""
+
+ORACLE["extract_entities_pattern"] = f"WITH {MENTIONS} SELECT doc_id, name, raw_label, pos FROM mentions"
+
+ORACLE["dedupe_mentions"] = f"WITH {MENTIONS} SELECT doc_id, name, raw_label, pos, n_mentions FROM dm"
+
+ORACLE["entity_salience"] = f"""WITH {MENTIONS}
+SELECT doc_id, name, raw_label, pos, n_mentions,
+       round(n_mentions / sum(n_mentions) OVER (PARTITION BY doc_id), 4) AS salience FROM dm"""
+
+ORACLE["entity_sentiment"] = f"WITH {MENTIONS} SELECT * FROM pents"
+
+GAZ = MENTIONS + """,
+gz AS (SELECT DISTINCT lower(regexp_replace(trim(name), ' +', ' ', 'g')) AS k, raw_label FROM (
+   SELECT 'Apache License' AS name, 'LAW' AS raw_label UNION ALL SELECT 'General Public License', 'LAW'
+   UNION ALL SELECT 'Apache', 'ORG' UNION ALL SELECT 'GNU', 'ORG' UNION ALL SELECT 'Free Software Foundation', 'ORG'
+   UNION ALL SELECT n_name, 'GPE' FROM nation UNION ALL SELECT r_name, 'LOC' FROM region)),
+gtok AS (SELECT doc_id, t, regexp_extract_all(t, '[A-Za-z0-9]+') AS tk FROM ct),
+grams AS (""" + " UNION ALL ".join(
+    f"SELECT doc_id, t, i, array_to_string(tk[i:i + {n - 1}], ' ') AS gram "
+    f"FROM (SELECT doc_id, t, tk, unnest(range(1, len(tk) - {n - 2})) AS i FROM gtok)"
+    for n in (1, 2, 3)) + """),
+gm AS (SELECT g.doc_id, g.gram AS name, gz.raw_label, CAST(g.i AS INTEGER) AS pos
+       FROM grams g JOIN gz ON lower(g.gram) = gz.k),
+gdm AS (
+  SELECT doc_id, name, raw_label, pos, count(*) OVER (PARTITION BY doc_id, lower(trim(name)), raw_label) AS n_mentions
+  FROM gm QUALIFY row_number() OVER (PARTITION BY doc_id, lower(trim(name)), raw_label ORDER BY pos, name) = 1),
+gents AS (
+  SELECT doc_id, name AS entity_name, """ + label_type_sql("raw_label") + """ AS entity_type, raw_label, pos, n_mentions,
+         round(n_mentions / sum(n_mentions) OVER (PARTITION BY doc_id), 4) AS salience,
+         0.0 AS sentiment_score, 0.0 AS sentiment_magnitude, 'gazetteer' AS extractor FROM gdm),
+allents AS (SELECT * FROM pents UNION ALL SELECT * FROM gents)"""
+
+ORACLE["extract_entities_gazetteer"] = f"WITH {GAZ} SELECT doc_id, name, raw_label, pos FROM gm"
+
+ORACLE["label_map"] = f"""WITH {GAZ}
+SELECT raw_label, {label_type_sql('raw_label')} AS entity_type, count(*) AS n_mentions
+FROM (SELECT raw_label FROM mentions UNION ALL SELECT raw_label FROM gm) GROUP BY raw_label"""
+
+ORACLE["entities_union"] = f"WITH {GAZ} SELECT * FROM allents"
+
+ORACLE["top_entities_per_doc"] = f"""WITH {GAZ}
+SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY salience DESC, entity_name, entity_type,
+                    extractor, raw_label) AS INTEGER) AS rank,
+       entity_name, entity_type, salience, extractor
+FROM allents QUALIFY rank <= 20"""
+
+ORACLE["extraction_report"] = f"""WITH {GAZ}
+SELECT extractor, count(DISTINCT doc_id) AS docs_with_entities, CAST(count(*) AS BIGINT) AS entity_rows
+FROM allents GROUP BY extractor"""
+
+ORACLE["entities_lookup_or_compute"] = f"""WITH {MENTIONS},
+stored AS (SELECT * FROM pents WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)),
+req AS (SELECT DISTINCT doc_id FROM labels),
+miss AS (SELECT doc_id FROM req WHERE doc_id NOT IN (SELECT doc_id FROM stored))
+SELECT doc_id, entity_name, entity_type, n_mentions, salience, 'cache' AS source
+FROM stored WHERE doc_id IN (SELECT doc_id FROM req)
+UNION ALL
+SELECT doc_id, entity_name, entity_type, n_mentions, salience, 'computed' FROM pents
+WHERE doc_id IN (SELECT doc_id FROM miss)
+UNION ALL
+SELECT doc_id, NULL, NULL, NULL, NULL, 'not_found' FROM miss WHERE doc_id NOT IN (SELECT doc_id FROM clean)"""
+
+CATS_SQL = [
+    ("/Computers & Electronics/Software", "['software','code','source','version','apache','gnu','license','licensed','distributed']"),
+    ("/Finance", "['bank','money','market','price','percent','fund','investment','tax']"),
+    ("/Law & Government", "['law','legal','court','government','license','licensed','rights','warranty']"),
+    ("/People & Society", "['people','family','community','children','public','social']"),
+]
+
+ORACLE["document_categories"] = f"""WITH {CLEAN},
+ct AS (SELECT doc_id, substr(text, 1, 10000) AS t FROM clean),
+cw AS (SELECT doc_id, t, regexp_extract_all(lower(t), '[a-z0-9]+') AS w FROM ct),
+cc AS (SELECT doc_id, CASE WHEN len({sentences_sql('t')}) >= 20 THEN list_filter([""" + ", ".join(
+    f"CASE WHEN len(list_filter(w, lambda x: list_contains({kw}, x))) >= 2 THEN '{name}' END"
+    for name, kw in CATS_SQL) + """], lambda c: c IS NOT NULL) ELSE [] END AS cats FROM cw)
+SELECT doc_id, CAST(len(cats) AS INTEGER) AS n_categories, array_to_string(cats, '|') AS categories FROM cc"""

@@ -11,6 +11,7 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "textmill") -> SparkSession:
@@ -58,3 +59,31 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Scan-parallelism guard for CPU-heavy text operators.
+
+    A corpus stored as a few large row groups scans into fewer tasks than
+    there are cores, and every regex / higher-order function then runs on a
+    handful of threads. Only in that case the rows are spread round-robin;
+    a scan that already has enough splits (the normal case for a large
+    corpus of many files) is returned untouched, with no extra shuffle.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
+def barrier(df: DataFrame) -> DataFrame:
+    """Materialise the current columns once per row before later filters.
+
+    Catalyst pushes filters below projections by substituting the projected
+    expressions into the condition; for expensive text expressions (regex
+    rewrites, token arrays) that means evaluating them again in the filter
+    and in every branch of a CASE. A one-row ``inline`` is a Generate node,
+    which filters on its output cannot be pushed through, so every column is
+    computed exactly once. No shuffle, no extra pass.
+    """
+    return df.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))

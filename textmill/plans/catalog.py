@@ -372,3 +372,30 @@ def q_extraction_report(spark, sf_dir):
 def q_truncate_bytes(spark, sf_dir):
     t = T.truncate_bytes("text", 1_000)
     return docs(spark, sf_dir).select("doc_id", F.octet_length(t).alias("bytes"), F.length(t).alias("chars"))
+
+
+# --- 2.7 entity aggregation -------------------------------------------------
+
+from textmill.operators import aggregate as A  # noqa: E402
+
+
+def requested_ids(spark, sf_dir):
+    """Request list: every labelled document, toxic ones listed twice (duplicates
+    in a request are legal and count toward doc_count)."""
+    lab = table(spark, sf_dir, "labels")
+    return lab.select("doc_id").unionAll(lab.filter(F.col("toxic") == 1).select("doc_id"))
+
+
+@query("aggregate_entities")
+def q_aggregate_entities(spark, sf_dir):
+    return A.aggregate_entities(all_entities(spark, sf_dir), requested_ids(spark, sf_dir), top_n=10, extractor=None)
+
+
+@query("sentiment_distribution")
+def q_sentiment_distribution(spark, sf_dir):
+    return A.sentiment_distribution(all_entities(spark, sf_dir), requested_ids(spark, sf_dir), extractor=None)
+
+
+@query("aggregate_entities_summary")
+def q_aggregate_entities_summary(spark, sf_dir):
+    return A.aggregate_entities_summary(all_entities(spark, sf_dir), requested_ids(spark, sf_dir), extractor=None)

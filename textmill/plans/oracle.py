@@ -397,3 +397,25 @@ cc AS (SELECT doc_id, CASE WHEN len({sentences_sql('t')}) >= 20 THEN list_filter
     f"CASE WHEN len(list_filter(w, lambda x: list_contains({kw}, x))) >= 2 THEN '{name}' END"
     for name, kw in CATS_SQL) + """], lambda c: c IS NOT NULL) ELSE [] END AS cats FROM cw)
 SELECT doc_id, CAST(len(cats) AS INTEGER) AS n_categories, array_to_string(cats, '|') AS categories FROM cc"""
+
+# --- entity aggregation ---------------------------------------------------------
+
+AGG = GAZ + """,
+req AS (SELECT doc_id FROM labels UNION ALL SELECT doc_id FROM labels WHERE toxic = 1),
+sel AS (SELECT * FROM allents WHERE doc_id IN (SELECT doc_id FROM req)),
+per AS (SELECT entity_name, count(*) AS frequency,
+               sum(CAST(coalesce(sentiment_score, 0.0) AS DECIMAL(18, 4))) AS ssum,
+               first(coalesce(entity_type, 'OTHER') ORDER BY doc_id DESC, entity_type DESC) AS entity_type
+        FROM sel GROUP BY entity_name)"""
+
+ORACLE["aggregate_entities"] = f"""WITH {AGG}
+SELECT entity_name, entity_type, frequency, round(CAST(ssum AS DOUBLE) / frequency, 3) AS avg_sentiment
+FROM per ORDER BY frequency DESC, entity_name LIMIT 10"""
+
+DIST = """count(*) FILTER (WHERE ssum > 0.1) AS positive, count(*) FILTER (WHERE ssum < -0.1) AS negative,
+       count(*) FILTER (WHERE ssum BETWEEN -0.1 AND 0.1) AS neutral"""
+
+ORACLE["sentiment_distribution"] = f"WITH {AGG} SELECT {DIST} FROM per"
+
+ORACLE["aggregate_entities_summary"] = f"""WITH {AGG}
+SELECT (SELECT count(*) FROM req) AS doc_count, {DIST} FROM per"""

@@ -399,3 +399,22 @@ def q_sentiment_distribution(spark, sf_dir):
 @query("aggregate_entities_summary")
 def q_aggregate_entities_summary(spark, sf_dir):
     return A.aggregate_entities_summary(all_entities(spark, sf_dir), requested_ids(spark, sf_dir), extractor=None)
+
+
+# --- 2.6 summarisation --------------------------------------------------------
+
+from textmill.operators import summarize as Z  # noqa: E402
+
+
+@query("textrank_summary")
+def q_textrank_summary(spark, sf_dir):
+    return Z.textrank_summary(clean_docs(spark, sf_dir))
+
+
+def styles(spark, sf_dir):
+    return Z.summary_styles(clean_docs(spark, sf_dir))
+
+
+@query("summary_styles")
+def q_summary_styles(spark, sf_dir):
+    return styles(spark, sf_dir).select("doc_id", "tldr", F.array_join("bullets", " | ").alias("bullets"), "abstract")

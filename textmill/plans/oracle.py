@@ -419,3 +419,57 @@ ORACLE["sentiment_distribution"] = f"WITH {AGG} SELECT {DIST} FROM per"
 
 ORACLE["aggregate_entities_summary"] = f"""WITH {AGG}
 SELECT (SELECT count(*) FROM req) AS doc_count, {DIST} FROM per"""
+
+# --- summarisation ----------------------------------------------------------------
+
+BASE_D = "CAST('0.15000000000000002' AS DOUBLE)"
+DAMP = "CAST('0.85' AS DOUBLE)"
+ZERO = "CAST(0 AS DOUBLE)"
+
+
+def textrank_sql(src: str, keys: str, text: str, prefix: str, iterations: int = 20) -> str:
+    """CTEs {prefix}_tr(keys, S, ranks) and {prefix}_rk(keys, i, s, r) for relation ``src``."""
+    sets = (f"list_transform(list_filter(list_transform({sentences_sql(text)}, "
+            f"lambda s: {{'s': s, 'ws': regexp_extract_all(lower(s), '[a-z0-9]+')}}), lambda x: len(x.ws) > 0), "
+            f"lambda x: {{'s': x.s, 'w': list_distinct(x.ws), 'n': len(x.ws)}})")
+    sim = ("CASE WHEN ln(a.n) + ln(b.n) > 0 THEN CAST(len(list_intersect(a.w, b.w)) AS DOUBLE) / (ln(a.n) + ln(b.n)) "
+           "ELSE CAST(len(list_intersect(a.w, b.w)) AS DOUBLE) END")
+    return f"""
+{prefix}_s AS (SELECT {keys}, {sets} AS S FROM {src}),
+{prefix}_w AS (SELECT {keys}, S, list_transform(S, lambda a: list_transform(S, lambda b: {sim})) AS W FROM {prefix}_s),
+{prefix}_rs AS (SELECT {keys}, S, W, list_transform(W, lambda row: list_reduce(row, lambda acc, x: acc + x, {ZERO})) AS rs,
+                len(S) AS N FROM {prefix}_w),
+{prefix}_tr AS (SELECT {keys}, S, list_reduce(range({iterations}), lambda r, k: list_transform(W, lambda row:
+      {BASE_D} / N + {DAMP} * list_reduce(list_zip(row, list_transform(list_zip(r, rs), lambda p: p[1] / p[2])),
+                                         lambda acc, p: acc + p[1] * p[2], {ZERO})),
+      list_transform(S, lambda x: CAST(1.0 AS DOUBLE) / N)) AS ranks FROM {prefix}_rs),
+{prefix}_rk AS (SELECT {keys}, i, S[i].s AS s, round(ranks[i], 9) AS r,
+                row_number() OVER (PARTITION BY {keys} ORDER BY round(ranks[i], 9) DESC, i) AS rnk
+                FROM (SELECT {keys}, S, ranks, unnest(range(1, len(S) + 1)) AS i FROM {prefix}_tr))"""
+
+
+def first_words_sql(x: str, n: int) -> str:
+    return f"array_to_string(regexp_extract_all({x}, '{NONWS_RE}')[1:{n}], ' ')"
+
+
+def styles_sql(prefix: str, keys: str) -> str:
+    """CTE {prefix}_st(keys, tldr, bullets (array, doc order), abstract)."""
+    return f"""
+{prefix}_st AS (
+  SELECT {keys},
+         {first_words_sql("max(s) FILTER (WHERE rnk = 1)", 25)} AS tldr,
+         list(s ORDER BY i) FILTER (WHERE rnk <= 3) AS bullets,
+         {first_words_sql("string_agg(s, ' ' ORDER BY rnk)", 80)} AS abstract
+  FROM {prefix}_rk GROUP BY {keys})"""
+
+
+ORACLE["textrank_summary"] = f"""WITH {CLEAN},
+{textrank_sql('clean', 'doc_id', 'text', 'd')}
+SELECT c.doc_id, coalesce(string_agg(s, ' ' ORDER BY i) FILTER (WHERE rnk <= 3), '') AS summary,
+       CAST(count(i) AS INTEGER) AS n_sentences
+FROM clean c LEFT JOIN d_rk USING (doc_id) GROUP BY c.doc_id"""
+
+ORACLE["summary_styles"] = f"""WITH {CLEAN},
+{textrank_sql('clean', 'doc_id', 'text', 'd')},
+{styles_sql('d', 'doc_id')}
+SELECT doc_id, tldr, array_to_string(bullets, ' | ') AS bullets, abstract FROM d_st"""

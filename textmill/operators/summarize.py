@@ -123,7 +123,7 @@ def summary_styles(df: DataFrame, text_col: str = "text", key: str = "doc_id", i
                           lambda x: x["s"])
     return tr.select(
         key,
-        T.first_n_words(F.element_at("rk", 1)["s"], TLDR_WORDS).alias("tldr"),
+        T.first_n_words(F.try_element_at("rk", F.lit(1))["s"], TLDR_WORDS).alias("tldr"),
         bullets.alias("bullets"),
         T.first_n_words(F.array_join(F.transform("rk", lambda x: x["s"]), " "), ABSTRACT_WORDS).alias("abstract"),
     )

@@ -418,3 +418,61 @@ def styles(spark, sf_dir):
 @query("summary_styles")
 def q_summary_styles(spark, sf_dir):
     return styles(spark, sf_dir).select("doc_id", "tldr", F.array_join("bullets", " | ").alias("bullets"), "abstract")
+
+
+@query("summary_route")
+def q_summary_route(spark, sf_dir):
+    return docs(spark, sf_dir).select("doc_id", F.length("text").cast("bigint").alias("text_chars"),
+                                      Z.summary_route("text").alias("route"))
+
+
+@query("chunk_documents")
+def q_chunk_documents(spark, sf_dir):
+    ch = Z.chunk_documents(docs(spark, sf_dir))
+    return ch.select("doc_id", "chunk_no", F.length("chunk").alias("chunk_chars"), F.sha2("chunk", 256).alias("chunk_hash"))
+
+
+# The driver corpus has few texts above 16,000 characters; the map/reduce
+# query routes at 4,000 and chunks at 2,000 so that path carries real load.
+MR_THRESHOLD, MR_CHUNK = 4_000, 2_000
+
+
+@query("map_reduce_summary")
+def q_map_reduce_summary(spark, sf_dir):
+    out = Z.map_reduce_summary(clean_docs(spark, sf_dir), threshold=MR_THRESHOLD, chunk=MR_CHUNK)
+    return out.select("doc_id", "route", "tldr", F.array_join("bullets", " | ").alias("bullets"), "abstract")
+
+
+def stored_summaries(spark, sf_dir):
+    """The stored summaries table: summaries written earlier for the quality-labelled documents."""
+    stored_ids = table(spark, sf_dir, "labels").filter(F.col("quality") == 1).select("doc_id")
+    return Z.summary_styles(clean_docs(spark, sf_dir).join(stored_ids, "doc_id", "left_semi"))
+
+
+@query("summary_lookup_or_compute")
+def q_summary_lookup_or_compute(spark, sf_dir):
+    ids = table(spark, sf_dir, "labels").select("doc_id")
+    return Z.summary_lookup_or_compute(ids, stored_summaries(spark, sf_dir), clean_docs(spark, sf_dir), style="abstract")
+
+
+COMPARE_FOCUS = "What do these documents have in common?"
+
+
+@query("compare_summaries")
+def q_compare_summaries(spark, sf_dir):
+    from pyspark.sql import Window
+
+    lab = table(spark, sf_dir, "labels").select("doc_id")
+    src = table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("group_id"))
+    w = Window.partitionBy("group_id").orderBy("doc_id")
+    # top-8 per group: the rank filter plans as a WindowGroupLimit (partial per task)
+    req = (lab.join(src, "doc_id").withColumn("pos", F.row_number().over(w) - 1)
+           .filter(F.col("pos") < Z.COMPARE_MAX_DOCS))
+    return Z.compare_summaries(req, styles(spark, sf_dir), F.lit(COMPARE_FOCUS)).select(
+        "group_id", "doc_ids_requested", "doc_ids_used", "n_used", F.sha2("prompt", 256).alias("prompt_hash"),
+        F.length("prompt").alias("prompt_chars"))
+
+
+@query("summary_report")
+def q_summary_report(spark, sf_dir):
+    return Z.summary_report(styles(spark, sf_dir))

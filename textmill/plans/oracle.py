@@ -473,3 +473,64 @@ ORACLE["summary_styles"] = f"""WITH {CLEAN},
 {textrank_sql('clean', 'doc_id', 'text', 'd')},
 {styles_sql('d', 'doc_id')}
 SELECT doc_id, tldr, array_to_string(bullets, ' | ') AS bullets, abstract FROM d_st"""
+
+ORACLE["summary_route"] = """
+SELECT doc_id, CAST(length(text) AS BIGINT) AS text_chars,
+       CASE WHEN length(text) <= 16000 THEN 'direct' ELSE 'map_reduce' END AS route FROM documents"""
+
+ORACLE["chunk_documents"] = """
+SELECT doc_id, CAST(chunk_no AS INTEGER) AS chunk_no, CAST(length(substr(text, chunk_no * 12000 + 1, 12000)) AS INTEGER) AS chunk_chars,
+       sha256(substr(text, chunk_no * 12000 + 1, 12000)) AS chunk_hash
+FROM (SELECT doc_id, text, unnest(range(0, CAST(ceil(length(text) / 12000) AS BIGINT))) AS chunk_no FROM documents)"""
+
+ORACLE["map_reduce_summary"] = f"""WITH {CLEAN},
+routed AS (SELECT doc_id, text, CASE WHEN length(text) <= 4000 THEN 'direct' ELSE 'map_reduce' END AS route FROM clean),
+chunks AS (SELECT doc_id, chunk_no, substr(text, chunk_no * 2000 + 1, 2000) AS text
+           FROM (SELECT doc_id, text, unnest(range(0, CAST(ceil(length(text) / 2000) AS BIGINT))) AS chunk_no
+                 FROM routed WHERE route = 'map_reduce')),
+{textrank_sql('chunks', 'doc_id, chunk_no', 'text', 'c')},
+{styles_sql('c', 'doc_id, chunk_no')},
+parts AS (SELECT ch.doc_id, ch.chunk_no, coalesce(c_st.abstract, '') AS abstract
+          FROM chunks ch LEFT JOIN c_st ON ch.doc_id = c_st.doc_id AND ch.chunk_no = c_st.chunk_no),
+assembled AS (SELECT doc_id, string_agg('[Part ' || CAST(chunk_no + 1 AS VARCHAR) || ']: ' || abstract, chr(10) || chr(10)
+                                        ORDER BY chunk_no) AS text FROM parts GROUP BY doc_id),
+mr_src AS (SELECT doc_id, text FROM routed WHERE route = 'direct' UNION ALL SELECT doc_id, text FROM assembled),
+{textrank_sql('mr_src', 'doc_id', 'text', 'f')},
+{styles_sql('f', 'doc_id')}
+SELECT f_st.doc_id, routed.route, tldr, array_to_string(bullets, ' | ') AS bullets, abstract
+FROM f_st JOIN routed USING (doc_id)"""
+
+SUMM = CLEAN + f""",
+{textrank_sql('clean', 'doc_id', 'text', 'd')},
+{styles_sql('d', 'doc_id')}"""
+
+ORACLE["summary_lookup_or_compute"] = f"""WITH {SUMM},
+stored AS (SELECT * FROM d_st WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)),
+req AS (SELECT DISTINCT doc_id FROM labels),
+miss AS (SELECT doc_id FROM req WHERE doc_id NOT IN (SELECT doc_id FROM stored))
+SELECT doc_id, abstract AS summary, 'cache' AS source, 'abstract' AS style FROM stored WHERE doc_id IN (SELECT doc_id FROM req)
+UNION ALL
+SELECT doc_id, abstract, 'live', 'abstract' FROM d_st WHERE doc_id IN (SELECT doc_id FROM miss)
+UNION ALL
+SELECT doc_id, NULL, 'not_found', 'abstract' FROM miss WHERE doc_id NOT IN (SELECT doc_id FROM clean)"""
+
+ORACLE["compare_summaries"] = f"""WITH {SUMM},
+req AS (SELECT l.doc_id, d.source AS group_id, row_number() OVER (PARTITION BY d.source ORDER BY l.doc_id) - 1 AS pos
+        FROM labels l JOIN documents d ON l.doc_id = d.doc_id QUALIFY pos < 8),
+j AS (SELECT req.*, d_st.abstract FROM req LEFT JOIN d_st ON req.doc_id = d_st.doc_id),
+g AS (SELECT group_id,
+             string_agg(CAST(doc_id AS VARCHAR), '|' ORDER BY pos) AS doc_ids_requested,
+             coalesce(string_agg(CAST(doc_id AS VARCHAR), '|' ORDER BY pos) FILTER (WHERE abstract IS NOT NULL), '') AS doc_ids_used,
+             CAST(count(abstract) AS INTEGER) AS n_used,
+             string_agg('[' || CAST(doc_id AS VARCHAR) || ']: ' || abstract, chr(10) || chr(10) ORDER BY pos)
+               FILTER (WHERE abstract IS NOT NULL) AS combined
+      FROM j GROUP BY group_id),
+p AS (SELECT *, CASE WHEN n_used > 0 THEN 'Based on these article summaries, answer the following question:' || chr(10) || chr(10)
+         || 'Question: What do these documents have in common?' || chr(10) || chr(10) || 'Summaries:' || chr(10) || combined
+         || chr(10) || chr(10) || 'Provide a concise, evidence-based answer citing the doc_ids.' END AS prompt FROM g)
+SELECT group_id, doc_ids_requested, doc_ids_used, n_used, sha256(prompt) AS prompt_hash,
+       CAST(length(prompt) AS INTEGER) AS prompt_chars FROM p"""
+
+ORACLE["summary_report"] = f"""WITH {SUMM}
+SELECT count(*) AS processed, count(*) FILTER (WHERE length(coalesce(abstract, '')) > 0) AS written,
+       count(*) FILTER (WHERE length(coalesce(abstract, '')) = 0) AS failed FROM d_st"""

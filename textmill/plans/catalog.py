@@ -476,3 +476,59 @@ def q_compare_summaries(spark, sf_dir):
 @query("summary_report")
 def q_summary_report(spark, sf_dir):
     return Z.summary_report(styles(spark, sf_dir))
+
+
+# --- 2.8 ROUGE ---------------------------------------------------------------
+
+from textmill.operators import rouge as V  # noqa: E402
+
+
+def references(spark, sf_dir):
+    """Reference summaries: lead-3 sentences of the labelled clean documents."""
+    lab = table(spark, sf_dir, "labels").select("doc_id")
+    return clean_ref(spark, sf_dir).join(lab, "doc_id", "left_semi").select(
+        "doc_id", F.col("reference_summary").alias("text"))
+
+
+def hypotheses(spark, sf_dir):
+    """Two models: TextRank (every clean document) and the stored tldr, which
+    exists for quality-labelled documents only (null = failed summary)."""
+    d = clean_docs(spark, sf_dir)
+    tr = Z.textrank_summary(d).select("doc_id", F.lit("textrank").alias("model"), F.col("summary").alias("text"))
+    stored = stored_summaries(spark, sf_dir).select("doc_id", "tldr")
+    tl = d.select("doc_id").join(stored, "doc_id", "left").select(
+        "doc_id", F.lit("tldr").alias("model"), F.col("tldr").alias("text"))
+    return tr.unionByName(tl)
+
+
+def rouge_pairs(spark, sf_dir):
+    return V.pair_frame(references(spark, sf_dir), hypotheses(spark, sf_dir))
+
+
+@query("rouge_tokens")
+def q_rouge_tokens(spark, sf_dir):
+    t = V.rouge_tokens("text")
+    return references(spark, sf_dir).select("doc_id", F.size(t).alias("n_tokens"), F.array_join(t, " ").alias("tokens"))
+
+
+@query("rouge_n")
+def q_rouge_n(spark, sf_dir):
+    return V.rouge_scores(rouge_pairs(spark, sf_dir)).select("doc_id", "model", "rouge1", "rouge2")
+
+
+@query("rouge_l")
+def q_rouge_l(spark, sf_dir):
+    return V.rouge_scores(rouge_pairs(spark, sf_dir)).select("doc_id", "model", "rougeL")
+
+
+@query("rouge_corpus")
+def q_rouge_corpus(spark, sf_dir):
+    return V.rouge_corpus(V.rouge_scores(rouge_pairs(spark, sf_dir)))
+
+
+@query("eval_unpaired")
+def q_eval_unpaired(spark, sf_dir):
+    hyp = Z.textrank_summary(clean_docs(spark, sf_dir)).select("doc_id")
+    # references exist for labelled documents; labelled ids outside the clean corpus have no hypothesis
+    ref = table(spark, sf_dir, "labels").select("doc_id")
+    return V.eval_unpaired(ref, hyp)

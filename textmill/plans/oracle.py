@@ -534,3 +534,50 @@ SELECT group_id, doc_ids_requested, doc_ids_used, n_used, sha256(prompt) AS prom
 ORACLE["summary_report"] = f"""WITH {SUMM}
 SELECT count(*) AS processed, count(*) FILTER (WHERE length(coalesce(abstract, '')) > 0) AS written,
        count(*) FILTER (WHERE length(coalesce(abstract, '')) = 0) AS failed FROM d_st"""
+
+# --- ROUGE ---------------------------------------------------------------------------
+
+ROUGE = SUMM + f""",
+cref AS (SELECT *, array_to_string({sentences_sql('text')}[1:3], ' ') AS reference_summary FROM clean),
+refs AS (SELECT doc_id, reference_summary AS text FROM cref WHERE doc_id IN (SELECT doc_id FROM labels)),
+trs AS (SELECT c.doc_id, coalesce(string_agg(s, ' ' ORDER BY i) FILTER (WHERE rnk <= 3), '') AS summary
+        FROM clean c LEFT JOIN d_rk USING (doc_id) GROUP BY c.doc_id),
+stored AS (SELECT doc_id, tldr FROM d_st WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)),
+hyps AS (SELECT doc_id, 'textrank' AS model, summary AS text FROM trs
+         UNION ALL SELECT c.doc_id, 'tldr', s.tldr FROM clean c LEFT JOIN stored s USING (doc_id)),
+pairs AS (SELECT r.doc_id, h.model, regexp_extract_all(lower(coalesce(r.text, '')), '[a-z0-9]+') AS rt,
+                 regexp_extract_all(lower(coalesce(h.text, '')), '[a-z0-9]+') AS ht
+          FROM refs r JOIN hyps h USING (doc_id)),
+grams AS (SELECT *, CASE WHEN len(rt) >= 2 THEN list_transform(range(1, len(rt)), lambda i: rt[i] || ' ' || rt[i + 1]) ELSE [] END AS rt2,
+                    CASE WHEN len(ht) >= 2 THEN list_transform(range(1, len(ht)), lambda i: ht[i] || ' ' || ht[i + 1]) ELSE [] END AS ht2
+          FROM pairs),
+ov AS (SELECT *,
+         list_reduce(list_distinct(ht), lambda acc, g: acc + least(len(list_filter(rt, lambda x: x = g)), len(list_filter(ht, lambda x: x = g))), 0) AS o1,
+         list_reduce(list_distinct(ht2), lambda acc, g: acc + least(len(list_filter(rt2, lambda x: x = g)), len(list_filter(ht2, lambda x: x = g))), 0) AS o2,
+         CASE WHEN len(rt) > 0 THEN list_reduce(ht, lambda prev, h:
+              [0] || list_transform(range(1, len(rt) + 1), lambda j: list_max(list_transform(range(1, j + 1), lambda q:
+                    greatest(prev[q + 1], CASE WHEN rt[q] = h THEN prev[q] + 1 ELSE 0 END)))),
+              list_transform(range(0, len(rt) + 1), lambda x: 0))[len(rt) + 1] ELSE 0 END AS ol
+       FROM grams),
+scores AS (SELECT doc_id, model,
+  round(CASE WHEN o1 > 0 THEN 2 * (o1 / len(ht)) * (o1 / len(rt)) / ((o1 / len(ht)) + (o1 / len(rt))) ELSE 0.0 END, 4) AS rouge1,
+  round(CASE WHEN o2 > 0 THEN 2 * (o2 / len(ht2)) * (o2 / len(rt2)) / ((o2 / len(ht2)) + (o2 / len(rt2))) ELSE 0.0 END, 4) AS rouge2,
+  round(CASE WHEN ol > 0 THEN 2 * (ol / len(ht)) * (ol / len(rt)) / ((ol / len(ht)) + (ol / len(rt))) ELSE 0.0 END, 4) AS rougeL
+  FROM ov)"""
+
+ORACLE["rouge_tokens"] = f"""WITH {CLEAN},
+cref AS (SELECT *, array_to_string({sentences_sql('text')}[1:3], ' ') AS reference_summary FROM clean)
+SELECT doc_id, CAST(len(t) AS INTEGER) AS n_tokens, array_to_string(t, ' ') AS tokens
+FROM (SELECT doc_id, regexp_extract_all(lower(coalesce(reference_summary, '')), '[a-z0-9]+') AS t
+      FROM cref WHERE doc_id IN (SELECT doc_id FROM labels))"""
+
+ORACLE["rouge_n"] = f"WITH {ROUGE} SELECT doc_id, model, rouge1, rouge2 FROM scores"
+ORACLE["rouge_l"] = f"WITH {ROUGE} SELECT doc_id, model, rougeL FROM scores"
+ORACLE["rouge_corpus"] = f"""WITH {ROUGE}
+SELECT model, count(*) AS n_docs, round(avg(rouge1), 4) AS rouge1, round(avg(rouge2), 4) AS rouge2,
+       round(avg(rougeL), 4) AS rougeL FROM scores GROUP BY model"""
+
+ORACLE["eval_unpaired"] = f"""WITH {CLEAN}
+SELECT coalesce(r.doc_id, h.doc_id) AS doc_id, CASE WHEN r.doc_id IS NULL THEN 'reference' ELSE 'hypothesis' END AS missing_side
+FROM (SELECT DISTINCT doc_id FROM labels) r FULL OUTER JOIN (SELECT doc_id FROM clean) h ON r.doc_id = h.doc_id
+WHERE r.doc_id IS NULL OR h.doc_id IS NULL"""

@@ -532,3 +532,63 @@ def q_eval_unpaired(spark, sf_dir):
     # references exist for labelled documents; labelled ids outside the clean corpus have no hypothesis
     ref = table(spark, sf_dir, "labels").select("doc_id")
     return V.eval_unpaired(ref, hyp)
+
+
+# --- 2.10 sessions and cache -------------------------------------------------
+
+from textmill.operators import sessions as SS  # noqa: E402
+
+
+def conversations(spark, sf_dir):
+    return table(spark, sf_dir, "conversations")
+
+
+@query("session_history")
+def q_session_history(spark, sf_dir):
+    c = conversations(spark, sf_dir)
+    h = SS.session_history(c, session="conv_id", order="turn")
+    return h.select("conv_id", "turn", "role", F.sha2("text", 256).alias("text_hash"))
+
+
+@query("session_append")
+def q_session_append(spark, sf_dir):
+    c = conversations(spark, sf_dir)
+    path = S.scratch_path(spark, "turns")
+    ts = F.timestamp_seconds(F.col("turn"))
+    SS.append_turns(SS.turn_rows(c, F.col("conv_id"), ts, F.col("role"), F.col("text")), path)
+    SS.append_turns(SS.tool_rows(c.filter(F.col("role") == "user"), F.col("conv_id"), ts, F.lit("search_documents"),
+                                 F.to_json(F.struct(F.substring("text", 1, 20).alias("query"))),
+                                 F.to_json(F.struct(F.length("text").alias("n_chars")))), path)
+    log = spark.read.parquet(path)
+    return log.groupBy("role").agg(F.count(F.lit(1)).alias("n_turns"),
+                                   F.count("tool_name").alias("n_tool_calls"))
+
+
+@query("history_expand")
+def q_history_expand(spark, sf_dir):
+    c = conversations(spark, sf_dir).select("conv_id", "turn", "role", F.col("text").alias("content"),
+                                            F.lit(None).cast("string").alias("tool_name"),
+                                            F.lit(None).cast("string").alias("args"),
+                                            F.lit(None).cast("string").alias("observation"))
+    return SS.history_expand(c).select("conv_id", "turn", "part_no", "part_role", "kind",
+                                       F.sha2("payload", 256).alias("payload_hash"))
+
+
+def cache_log(spark, sf_dir):
+    """The events table read as a cache log: user_id = doc, event_type = key, props = value."""
+    return table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("doc_id"), F.col("event_type").alias("key"), F.col("props").alias("value"),
+        "ts", "event_id")
+
+
+@query("cache_latest")
+def q_cache_latest(spark, sf_dir):
+    return SS.cache_latest(cache_log(spark, sf_dir), order=("ts", "event_id"))
+
+
+@query("cache_lookup")
+def q_cache_lookup(spark, sf_dir):
+    lab = table(spark, sf_dir, "labels").select("doc_id")
+    req = lab.select("doc_id", F.lit("click").alias("key")).unionByName(
+        lab.select("doc_id", F.lit("purchase").alias("key")))
+    return SS.cache_lookup(req, SS.cache_latest(cache_log(spark, sf_dir), order=("ts", "event_id")))

@@ -581,3 +581,28 @@ ORACLE["eval_unpaired"] = f"""WITH {CLEAN}
 SELECT coalesce(r.doc_id, h.doc_id) AS doc_id, CASE WHEN r.doc_id IS NULL THEN 'reference' ELSE 'hypothesis' END AS missing_side
 FROM (SELECT DISTINCT doc_id FROM labels) r FULL OUTER JOIN (SELECT doc_id FROM clean) h ON r.doc_id = h.doc_id
 WHERE r.doc_id IS NULL OR h.doc_id IS NULL"""
+
+# --- sessions and cache ------------------------------------------------------------
+
+ORACLE["session_history"] = "SELECT conv_id, turn, role, sha256(text) AS text_hash FROM conversations"
+
+ORACLE["session_append"] = """
+SELECT role, count(*) AS n_turns, count(tool_name) AS n_tool_calls FROM (
+  SELECT role, NULL AS tool_name FROM conversations
+  UNION ALL SELECT 'tool', 'search_documents' FROM conversations WHERE role = 'user') GROUP BY role"""
+
+ORACLE["history_expand"] = """
+SELECT conv_id, turn, 0 AS part_no, CASE WHEN role = 'user' THEN 'user' ELSE 'model' END AS part_role,
+       'text' AS kind, sha256(text) AS payload_hash
+FROM conversations WHERE role IN ('user', 'assistant', 'model')"""
+
+CACHE = """
+log AS (SELECT user_id AS doc_id, event_type AS key, props AS value, ts, event_id FROM events),
+latest AS (SELECT doc_id, key, arg_max(value, (ts, event_id)) AS value, count(*) AS n_writes FROM log GROUP BY doc_id, key)"""
+
+ORACLE["cache_latest"] = f"WITH {CACHE} SELECT * FROM latest"
+
+ORACLE["cache_lookup"] = f"""WITH {CACHE},
+req AS (SELECT doc_id, 'click' AS key FROM labels UNION ALL SELECT doc_id, 'purchase' FROM labels)
+SELECT req.doc_id, req.key, latest.value, latest.doc_id IS NOT NULL AS hit
+FROM req LEFT JOIN latest ON req.doc_id = latest.doc_id AND req.key = latest.key"""

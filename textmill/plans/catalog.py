@@ -592,3 +592,78 @@ def q_cache_lookup(spark, sf_dir):
     req = lab.select("doc_id", F.lit("click").alias("key")).unionByName(
         lab.select("doc_id", F.lit("purchase").alias("key")))
     return SS.cache_lookup(req, SS.cache_latest(cache_log(spark, sf_dir), order=("ts", "event_id")))
+
+
+# --- 2.5 inference stage -------------------------------------------------------
+
+from textmill.operators import inference as L  # noqa: E402
+
+
+@query("build_requests")
+def q_build_requests(spark, sf_dir):
+    r = L.build_requests(clean_docs(spark, sf_dir))
+    return r.select("doc_id", F.length("request").alias("request_chars"), F.sha2("request", 256).alias("request_hash"))
+
+
+@query("model_call")
+def q_model_call(spark, sf_dir):
+    r = L.build_requests(clean_docs(spark, sf_dir))
+    out = L.model_call(r, L.echo_model, partitions=spark.sparkContext.defaultParallelism)
+    return out.select("doc_id", F.length("response").alias("response_chars"), "error")
+
+
+def responses(spark, sf_dir):
+    """Model responses for the clean corpus from the native stand-in model.
+    Documents labelled toxic get an out-of-enum tone ('toxic'); those also
+    labelled low quality get a truncated (malformed) response."""
+    lab = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    d = clean_docs(spark, sf_dir).join(lab, "doc_id", "left")
+    base = L.local_responses(d.select("doc_id", "text"))
+    flags = d.select("doc_id", (F.col("toxic") == 1).alias("_tox"), ((F.col("toxic") == 1) & (F.col("quality") == 0)).alias("_bad"))
+    j = base.join(flags, "doc_id")
+    fixed = F.when(F.coalesce("_tox", F.lit(False)), F.regexp_replace("response", '"sentiment_label":"[a-z]+"',
+                                                                      '"sentiment_label":"toxic"')).otherwise(F.col("response"))
+    broken = F.when(F.coalesce("_bad", F.lit(False)), F.expr("substring(response, 1, length(response) - 1)")).otherwise(F.col("_r"))
+    return j.withColumn("_r", fixed).withColumn("response", broken).select("doc_id", "response", "error")
+
+
+def parsed(spark, sf_dir):
+    return L.parse_extractions(responses(spark, sf_dir))
+
+
+@query("parse_extractions")
+def q_parse_extractions(spark, sf_dir):
+    return parsed(spark, sf_dir).select(
+        "doc_id", "parse_ok", F.length("core_issue").alias("core_issue_chars"), F.size("actors").alias("n_actors"),
+        F.size("key_metrics").alias("n_metrics"), F.size("dates").alias("n_dates"), "sentiment_label")
+
+
+@query("validate_extractions")
+def q_validate_extractions(spark, sf_dir):
+    return L.validate_extractions(parsed(spark, sf_dir)).select("doc_id", "reject_reason")
+
+
+@query("inference_quarantine")
+def q_inference_quarantine(spark, sf_dir):
+    good, dead = L.inference_quarantine(L.validate_extractions(parsed(spark, sf_dir)))
+    g = good.agg(F.count(F.lit(1)).alias("n")).select(F.lit("ok").alias("status"), "n")
+    b = dead.groupBy(F.col("reject_reason").alias("status")).agg(F.count(F.lit(1)).alias("n"))
+    return g.unionByName(b)
+
+
+@query("json_roundtrip")
+def q_json_roundtrip(spark, sf_dir):
+    p = parsed(spark, sf_dir).select("doc_id", "actors", "key_metrics", "dates")
+    text = L.to_json_columns(p)
+    back = L.from_json_columns(text).select("doc_id", F.col("actors").alias("a2"), F.col("key_metrics").alias("m2"),
+                                            F.col("dates").alias("d2"))
+    j = p.join(back, "doc_id")
+    return j.select("doc_id", (F.to_json("actors") == F.to_json("a2")) & (F.to_json("key_metrics") == F.to_json("m2"))
+                    & (F.to_json("dates") == F.to_json("d2")), F.size("a2").alias("n_actors")).toDF(
+        "doc_id", "roundtrip_equal", "n_actors")
+
+
+@query("explode_actors")
+def q_explode_actors(spark, sf_dir):
+    good, _ = L.inference_quarantine(L.validate_extractions(parsed(spark, sf_dir)))
+    return L.explode_actors(good)

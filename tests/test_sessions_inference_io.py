@@ -112,7 +112,7 @@ def test_entry_and_contract(spark):
     assert df.count() >= 0 and df.columns == ["doc_id", "snippet", "score"]
     qs, sqls = E.queries(), E.oracle_sql()
     assert set(sqls) <= set(qs)
-    assert {"model_call", "truncate_bytes"} == set(qs) - set(sqls)
+    assert {"model_call", "truncate_bytes", "rouge_stemmed"} == set(qs) - set(sqls)
 
 
 @pytest.mark.parametrize("name", ["clean_documents", "textrank_summary", "rouge_n", "cache_latest"])

@@ -114,3 +114,19 @@ def test_eval_unpaired(spark):
     h = spark.createDataFrame([(2,), (3,)], "doc_id bigint")
     got = {(x.doc_id, x.missing_side) for x in V.eval_unpaired(r, h).collect()}
     assert got == {(1, "hypothesis"), (3, "reference")}
+
+
+def test_porter_published_examples():
+    from textmill.functions.porter import stem
+    cases = {"caresses": "caress", "ponies": "poni", "agreed": "agre", "motoring": "motor", "hopping": "hop",
+             "filing": "file", "happy": "happi", "relational": "relat", "generalizations": "gener",
+             "oscillators": "oscil", "adoption": "adopt", "controll": "control", "cease": "ceas"}
+    assert {w: stem(w) for w in cases} == cases
+
+
+def test_rouge_with_stemmer(spark):
+    df = spark.createDataFrame([(1, "m", "cats running fast", "cat runs fast")],
+                               "doc_id bigint, model string, reference string, hypothesis string")
+    plain = V.rouge_scores(df).first()
+    stemmed = V.rouge_scores(df, stem=True).first()
+    assert plain.rouge1 < 1.0 and stemmed.rouge1 == 1.0 and stemmed.rougeL == 1.0

@@ -29,9 +29,14 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def rouge_tokens(text) -> Column:
-    """V1: lower-case ``[a-z0-9]+`` tokens (stemming off)."""
-    return T.words(F.coalesce(_c(text), F.lit("")))
+def rouge_tokens(text, stem: bool = False) -> Column:
+    """V1: lower-case ``[a-z0-9]+`` tokens; with ``stem`` the words longer than
+    three characters are Porter-stemmed (Arrow-batched, memoised per worker)."""
+    toks = T.words(F.coalesce(_c(text), F.lit("")))
+    if stem:
+        from textmill.functions.porter import stem_tokens_udf
+        toks = stem_tokens_udf()(toks)
+    return toks
 
 
 def ngrams(tokens: Column, n: int) -> Column:
@@ -145,14 +150,15 @@ def _tag(n: int, side: str):
     return lambda g: F.struct(F.lit(n).alias("n"), g.alias("gram"), F.lit(side).alias("side"))
 
 
-def rouge_scores(pairs: DataFrame, key: str = "doc_id") -> DataFrame:
+def rouge_scores(pairs: DataFrame, key: str = "doc_id", stem: bool = False) -> DataFrame:
     """V2-V4: per (doc, model) ROUGE-1, ROUGE-2 and ROUGE-L F1, 4 dp.
 
     Sizes and the LCS are computed per pair row; n-gram overlaps come from
     ``ngram_overlaps`` and are joined back on (doc, model) (pairs without any
     shared gram keep overlap 0).
     """
-    toks = barrier(pairs.select(key, "model", rouge_tokens("reference").alias("r"), rouge_tokens("hypothesis").alias("h")))
+    toks = barrier(pairs.select(key, "model", rouge_tokens("reference", stem).alias("r"),
+                                rouge_tokens("hypothesis", stem).alias("h")))
     ov = ngram_overlaps(toks, key).groupBy(key, "model").agg(
         F.sum(F.when(F.col("n") == 1, F.col("overlap"))).alias("o1"),
         F.sum(F.when(F.col("n") == 2, F.col("overlap"))).alias("o2"))

@@ -667,3 +667,9 @@ def q_json_roundtrip(spark, sf_dir):
 def q_explode_actors(spark, sf_dir):
     good, _ = L.inference_quarantine(L.validate_extractions(parsed(spark, sf_dir)))
     return L.explode_actors(good)
+
+
+@query("rouge_stemmed")
+def q_rouge_stemmed(spark, sf_dir):
+    """Corpus ROUGE with the Porter stemmer on (the reference's scoring setting)."""
+    return V.rouge_corpus(V.rouge_scores(rouge_pairs(spark, sf_dir), stem=True))

@@ -118,3 +118,23 @@ def test_entry_and_contract(spark):
 @pytest.mark.parametrize("name", ["clean_documents", "textrank_summary", "rouge_n", "cache_latest"])
 def test_queries_run_on_smoke_data(spark, name):
     assert E.queries()[name](spark, SF).count() >= 0
+
+
+def test_streaming_turn_log_append_is_exactly_once(spark):
+    from textmill import schemas
+    from textmill.streaming.append import append_stream
+
+    src = tempfile.mkdtemp(prefix="tm-stream-src-")
+    conv = spark.read.parquet(f"{SF}/conversations.parquet")
+    rows = SS.turn_rows(conv, F.col("conv_id"), F.timestamp_seconds(F.col("turn")), F.col("role"), F.col("text"))
+    rows.write.mode("overwrite").parquet(os.path.join(src, "part1"))
+    stream = spark.readStream.schema(rows.schema).parquet(os.path.join(src, "part1"))
+    out = os.path.join(tempfile.mkdtemp(prefix="tm-stream-out-"), "turns")
+    q = append_stream(stream, out, schemas.SESSION_TURNS, available_now=True, query_name="turns_test")
+    q.awaitTermination(120)
+    assert spark.read.parquet(out).count() == conv.count()
+    # restarting from the same checkpoint adds nothing
+    q2 = append_stream(spark.readStream.schema(rows.schema).parquet(os.path.join(src, "part1")), out,
+                       schemas.SESSION_TURNS, available_now=True, query_name="turns_test")
+    q2.awaitTermination(120)
+    assert spark.read.parquet(out).count() == conv.count()

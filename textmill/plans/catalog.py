@@ -28,12 +28,27 @@ def query(name: str):
     return deco
 
 
+# One DataFrame object per (session, data dir): every branch of a query then
+# shares the same plan nodes, so Spark reuses the cleaning exchange instead
+# of scanning and cleaning the corpus once per branch (separately built
+# lambda expressions never canonicalise as equal).
+_SHARED: dict[tuple, DataFrame] = {}
+
+
+def _shared(kind: str, spark: SparkSession, sf_dir: str, build) -> DataFrame:
+    k = (kind, id(spark), spark.sparkContext.applicationId, sf_dir)
+    if k not in _SHARED:
+        _SHARED[k] = build()
+    return _SHARED[k]
+
+
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "n_chars"))
+    return _shared("docs", spark, sf_dir, lambda: spread(
+        table(spark, sf_dir, "documents").select("doc_id", "text", "source", "n_chars")))
 
 
 def clean_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.clean_documents(docs(spark, sf_dir))
+    return _shared("clean", spark, sf_dir, lambda: C.clean_documents(docs(spark, sf_dir)))
 
 
 # --- 2.2 cleaning -----------------------------------------------------------

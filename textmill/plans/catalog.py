@@ -481,8 +481,8 @@ def q_compare_summaries(spark, sf_dir):
     src = table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("group_id"))
     w = Window.partitionBy("group_id").orderBy("doc_id")
     # top-8 per group: the rank filter plans as a WindowGroupLimit (partial per task)
-    req = (lab.join(src, "doc_id").withColumn("pos", F.row_number().over(w) - 1)
-           .filter(F.col("pos") < Z.COMPARE_MAX_DOCS))
+    req = (lab.join(src, "doc_id").withColumn("rn", F.row_number().over(w))
+           .filter(F.col("rn") <= Z.COMPARE_MAX_DOCS).withColumn("pos", F.col("rn") - 1).drop("rn"))
     return Z.compare_summaries(req, styles(spark, sf_dir), F.lit(COMPARE_FOCUS)).select(
         "group_id", "doc_ids_requested", "doc_ids_used", "n_used", F.sha2("prompt", 256).alias("prompt_hash"),
         F.length("prompt").alias("prompt_chars"))

@@ -130,3 +130,15 @@ def test_rouge_with_stemmer(spark):
     plain = V.rouge_scores(df).first()
     stemmed = V.rouge_scores(df, stem=True).first()
     assert plain.rouge1 < 1.0 and stemmed.rouge1 == 1.0 and stemmed.rougeL == 1.0
+
+
+def test_map_reduce_bounded_fan_in(spark):
+    long_text = TEXT * 20   # 13 chunks of 200 characters
+    d = docs(spark, [(1, long_text)])
+    flat = Z.map_reduce_summary(d, threshold=500, chunk=200, fan_in=64).first()
+    tiered = Z.map_reduce_summary(d, threshold=500, chunk=200, fan_in=3).first()
+    assert flat.route == tiered.route == "map_reduce"
+    assert len(tiered.bullets) == 3 and len(tiered.abstract.split()) <= 80
+    assert Z.chunk_documents(d, size=200).count() == 13
+    same = Z.map_reduce_summary(d, threshold=500, chunk=200, fan_in=13).first()
+    assert same.abstract == flat.abstract

@@ -26,6 +26,7 @@ RANK_DIGITS = 9
 TLDR_WORDS = 25             # Z6
 ABSTRACT_WORDS = 80
 COMPARE_MAX_DOCS = 8        # Z8
+REDUCE_FAN_IN = 64          # at most this many parts per reduce
 STYLES = ("tldr", "bullets", "abstract")
 
 
@@ -129,25 +130,43 @@ def summary_styles(df: DataFrame, text_col: str = "text", key: str = "doc_id", i
     )
 
 
+def _assemble(parts: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """``[Part i]: abstract`` (1-based) joined by a blank line, per group of keys."""
+    grouped = parts.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(order, "abstract"))).alias("p"))
+    return grouped.select(*keys, F.array_join(F.transform("p", lambda x: F.concat(
+        F.lit("[Part "), (x[order] + 1).cast("string"), F.lit("]: "), x["abstract"])), "\n\n").alias("text"))
+
+
 def map_reduce_summary(df: DataFrame, text_col: str = "text", key: str = "doc_id", threshold: int = MAP_REDUCE_CHARS,
-                       chunk: int = CHUNK_CHARS, iterations: int = ITERATIONS) -> DataFrame:
+                       chunk: int = CHUNK_CHARS, iterations: int = ITERATIONS, fan_in: int = REDUCE_FAN_IN) -> DataFrame:
     """Z1-Z4 + Z6: route by length; long texts are chunked, each chunk is
     summarised in parallel (its abstract kept), parts are assembled as
     ``[Part i]: abstract`` joined by a blank line and summarised again.
 
-    The reduce groups by document over chunk rows only (bounded by the
-    document's length / chunk size).
+    A reduce never takes more than ``fan_in`` parts: a document with more
+    chunks is first reduced in groups of ``fan_in`` consecutive chunks, and
+    the group summaries are the parts of the final reduce. Per-row TextRank
+    work therefore stays bounded for very long documents; documents with at
+    most ``fan_in`` chunks follow the single-level path exactly. Each reduce
+    groups only the chunk rows of one document (or one group).
     """
     routed = df.select(key, _c(text_col).alias("text"), summary_route(_c(text_col), threshold).alias("route"))
     direct = routed.filter(F.col("route") == "direct").select(key, "text")
-    long_docs = routed.filter(F.col("route") == "map_reduce").select(key, "text")
-    chunks = chunk_documents(long_docs, "text", key, chunk).select(
-        F.struct(key, "chunk_no").alias("ck"), F.col("chunk").alias("text"))
-    part = summary_styles(chunks, "text", "ck", iterations).select(
+    long_docs = routed.filter(F.col("route") == "map_reduce").select(
+        key, "text", F.ceil(F.length("text") / F.lit(chunk)).cast("int").alias("n_chunks"))
+    chunks = chunk_documents(long_docs.select(key, "text"), "text", key, chunk).join(
+        long_docs.select(key, "n_chunks"), key)
+    part = summary_styles(chunks.select(F.struct(key, "chunk_no").alias("ck"), F.col("chunk").alias("text")),
+                          "text", "ck", iterations).select(
         F.col("ck")[key].alias(key), F.col("ck")["chunk_no"].alias("chunk_no"), "abstract")
-    assembled = part.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("chunk_no", "abstract"))).alias("p")).select(
-        key, F.array_join(F.transform("p", lambda x: F.concat(
-            F.lit("[Part "), (x["chunk_no"] + 1).cast("string"), F.lit("]: "), x["abstract"])), "\n\n").alias("text"))
+    part = part.join(long_docs.select(key, "n_chunks"), key)
+    narrow = part.filter(F.col("n_chunks") <= fan_in).select(key, "chunk_no", "abstract")
+    wide = part.filter(F.col("n_chunks") > fan_in).withColumn("grp", (F.col("chunk_no") / fan_in).cast("int"))
+    level1 = _assemble(wide, [key, "grp"], "chunk_no")
+    level1_parts = summary_styles(level1.select(F.struct(key, "grp").alias("gk"), "text"), "text", "gk",
+                                  iterations).select(F.col("gk")[key].alias(key),
+                                                     F.col("gk")["grp"].alias("chunk_no"), "abstract")
+    assembled = _assemble(narrow.unionByName(level1_parts), [key], "chunk_no")
     out = summary_styles(direct.unionByName(assembled), "text", key, iterations)
     return out.join(routed.select(key, "route"), key)
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from textmill.operators import clean as C
 from textmill.operators import search as Q
-from textmill.session import spread, table
+from textmill.session import spread, stage_table, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -48,7 +48,10 @@ def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _shared("clean", spark, sf_dir, lambda: C.clean_documents(docs(spark, sf_dir)))
+    """The cleaned corpus (``documents_clean``), written once per session and
+    data directory under the shared checkpoint folder and read by every later
+    stage, as the reference's pipeline does with its clean table."""
+    return _shared("clean", spark, sf_dir, lambda: stage_table(C.clean_documents(docs(spark, sf_dir)), "documents_clean"))
 
 
 # --- 2.2 cleaning -----------------------------------------------------------

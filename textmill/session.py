@@ -87,3 +87,20 @@ def barrier(df: DataFrame) -> DataFrame:
     computed exactly once. No shuffle, no extra pass.
     """
     return df.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))
+
+
+def stage_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a Parquet table under the shared checkpoint folder and
+    return a scan of it.
+
+    This is how a stage hands its output to later stages (the cleaned corpus
+    is written once and read by extraction, summarisation and evaluation),
+    and it cuts the lineage: a lost executor recomputes from the table, not
+    from the raw corpus.
+    """
+    import uuid
+
+    base = ensure_checkpoint_dir(df.sparkSession)
+    path = f"{base.rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -104,12 +104,12 @@ def model_call(requests: DataFrame, make_model: Callable[[], Callable[[str], str
 
 
 def local_responses(df: DataFrame, text_col: str = "text", key: str = "doc_id", max_chars: int = REQUEST_CHARS,
-                    label_override: Column | None = None) -> DataFrame:
+                    label_override: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """Deterministic native stand-in for the model: the response JSON built
     with ``to_json`` from pattern extractors (first sentence, capitalised
     spans as actors, figures as metrics, dates, lexicon tone)."""
     t = F.substring(F.col(text_col), 1, max_chars)
-    staged = df.select(key, t.alias("_t"))
+    staged = df.select(key, *keep, t.alias("_t"))
     first = F.try_element_at(T.sentences("_t"), F.lit(1))
     actors = F.transform(F.array_distinct(F.regexp_extract_all("_t", F.lit(EN.PATTERNS["PROPN"]), 0)),
                          lambda n: F.struct(n.alias("name"), F.lit("mentioned").alias("role")))
@@ -131,7 +131,7 @@ def local_responses(df: DataFrame, text_col: str = "text", key: str = "doc_id",
         dates.alias("dates"), label.alias("sentiment_label"),
         F.concat(F.lit("lexicon hits: "), p.cast("string"), F.lit(" positive, "), n.cast("string"),
                  F.lit(" negative")).alias("sentiment_reason"))
-    return staged.select(key, F.to_json(rec).alias("response"), F.lit(None).cast("string").alias("error"))
+    return staged.select(key, *keep, F.to_json(rec).alias("response"), F.lit(None).cast("string").alias("error"))
 
 
 def parse_extractions(responses: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -636,13 +636,13 @@ def responses(spark, sf_dir):
     labelled low quality get a truncated (malformed) response."""
     lab = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     d = clean_docs(spark, sf_dir).join(lab, "doc_id", "left")
-    base = L.local_responses(d.select("doc_id", "text"))
-    flags = d.select("doc_id", (F.col("toxic") == 1).alias("_tox"), ((F.col("toxic") == 1) & (F.col("quality") == 0)).alias("_bad"))
-    j = base.join(flags, "doc_id")
-    fixed = F.when(F.coalesce("_tox", F.lit(False)), F.regexp_replace("response", '"sentiment_label":"[a-z]+"',
-                                                                      '"sentiment_label":"toxic"')).otherwise(F.col("response"))
-    broken = F.when(F.coalesce("_bad", F.lit(False)), F.expr("substring(response, 1, length(response) - 1)")).otherwise(F.col("_r"))
-    return j.withColumn("_r", fixed).withColumn("response", broken).select("doc_id", "response", "error")
+    base = L.local_responses(d.select("doc_id", "text", "quality", "toxic"), keep=("quality", "toxic"))
+    tox = F.coalesce(F.col("toxic") == 1, F.lit(False))
+    bad = F.coalesce((F.col("toxic") == 1) & (F.col("quality") == 0), F.lit(False))
+    resp = F.when(tox, F.regexp_replace("response", '"sentiment_label":"[a-z]+"', '"sentiment_label":"toxic"')) \
+        .otherwise(F.col("response"))
+    resp = F.when(bad, F.substring(resp, 1, F.length(resp) - 1)).otherwise(resp)
+    return base.select("doc_id", resp.alias("response"), "error")
 
 
 def parsed(spark, sf_dir):

@@ -51,18 +51,19 @@ def chunk_documents(df: DataFrame, text_col: str = "text", key: str = "doc_id",
 
 
 def _sentence_sets(text) -> Column:
-    """array<struct<s, w (distinct words), n (word count)>> of the sentences with words."""
+    """array<struct<s, w (distinct words), n (word count), ln (log n)>> of the sentences with words."""
     sents = T.sentences(text)
     with_words = F.transform(sents, lambda s: F.struct(s.alias("s"), T.words(s).alias("ws")))
     kept = F.filter(with_words, lambda x: F.size(x["ws"]) > 0)
     return F.transform(kept, lambda x: F.struct(
-        x["s"].alias("s"), F.array_distinct(x["ws"]).alias("w"), F.size(x["ws"]).alias("n")))
+        x["s"].alias("s"), F.array_distinct(x["ws"]).alias("w"), F.size(x["ws"]).alias("n"),
+        F.log(F.size(x["ws"]).cast("double")).alias("ln")))
 
 
 def _similarity(a, b) -> Column:
     """Shared distinct words / (ln|a| + ln|b|); raw overlap when the denominator is 0."""
     ov = F.size(F.array_intersect(a["w"], b["w"])).cast("double")
-    den = F.log(a["n"].cast("double")) + F.log(b["n"].cast("double"))
+    den = a["ln"] + b["ln"]
     return F.when(den > 0, ov / den).otherwise(ov)
 
 

@@ -36,7 +36,11 @@ _SHARED: dict[tuple, DataFrame] = {}
 
 
 def _shared(kind: str, spark: SparkSession, sf_dir: str, build) -> DataFrame:
-    k = (kind, id(spark), spark.sparkContext.applicationId, sf_dir)
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - no SparkContext on this client
+        app = spark.conf.get("spark.app.id", "")
+    k = (kind, id(spark), app, sf_dir)
     if k not in _SHARED:
         _SHARED[k] = build()
     return _SHARED[k]
@@ -626,7 +630,7 @@ def q_build_requests(spark, sf_dir):
 @query("model_call")
 def q_model_call(spark, sf_dir):
     r = L.build_requests(clean_docs(spark, sf_dir))
-    out = L.model_call(r, L.echo_model, partitions=spark.sparkContext.defaultParallelism)
+    out = L.model_call(r, L.echo_model, partitions=int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
     return out.select("doc_id", F.length("response").alias("response_chars"), "error")
 
 

@@ -42,12 +42,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        current = spark.sparkContext.getCheckpointDir()
+        try:
+            current = spark.sparkContext.getCheckpointDir()
+        except Exception:  # noqa: BLE001 - no SparkContext on this client
+            current = None
     if current:
         return current
     path = tempfile.mkdtemp(prefix="textmill-ckpt-", dir="/tmp")
     spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    try:
+        spark.sparkContext.setCheckpointDir(path)
+    except Exception:  # noqa: BLE001
+        pass
     return path
 
 
@@ -70,8 +76,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     a scan that already has enough splits (the normal case for a large
     corpus of many files) is returned untouched, with no extra shuffle.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= target:
+            return df
+    except Exception:  # noqa: BLE001 - no RDD API (e.g. a Spark Connect session): leave the scan as is
         return df
     return df.repartition(target)
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textmill.functions import text as T
+from textmill.session import barrier
 
 # The notebook's stopword set (49 entries).
 EDA_STOPWORDS = (
@@ -65,25 +66,31 @@ def describe(df: DataFrame, columns: list[str], approx: bool = False, digits: in
 def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
     """D3: equal-width bins over [min, max], last bin right-closed, empty bins kept.
 
-    min/max come from one scalar subquery (a one-row partial aggregate). When
-    min == max the range is widened to +-0.5 as numpy does.
+    min/max come from one scalar subquery (a one-row partial aggregate),
+    bound once per side as a column. When min == max the range is widened
+    to +-0.5 as numpy does.
     """
     spark: SparkSession = df.sparkSession
-    x = F.col(col).cast("double")
-    vals = df.select(x.alias("x")).filter(F.col("x").isNotNull())
+    vals = df.select(F.col(col).cast("double").alias("x")).filter(F.col("x").isNotNull())
     mm = vals.select(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi")).alias("mm")).scalar()
-    lo = F.when(mm["lo"] == mm["hi"], mm["lo"] - 0.5).otherwise(mm["lo"])
-    hi = F.when(mm["lo"] == mm["hi"], mm["hi"] + 0.5).otherwise(mm["hi"])
-    width = (hi - lo) / F.lit(bins)
-    binned = vals.select(F.least(F.floor((F.col("x") - lo) / width), F.lit(bins - 1)).cast("int").alias("bin"))
+
+    def bounds(frame: DataFrame) -> DataFrame:
+        b = frame.withColumn("_mm", mm)
+        same = F.col("_mm.lo") == F.col("_mm.hi")
+        b = b.withColumn("_lo", F.when(same, F.col("_mm.lo") - 0.5).otherwise(F.col("_mm.lo"))) \
+             .withColumn("_hi", F.when(same, F.col("_mm.hi") + 0.5).otherwise(F.col("_mm.hi")))
+        return b.withColumn("_w", (F.col("_hi") - F.col("_lo")) / F.lit(bins))
+
+    binned = barrier(bounds(vals)).select(
+        F.least(F.floor((F.col("x") - F.col("_lo")) / F.col("_w")), F.lit(bins - 1)).cast("int").alias("bin"))
     counts = binned.groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
-    domain = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
+    domain = barrier(bounds(spark.range(bins).select(F.col("id").cast("int").alias("bin"))))
     return (
         F.broadcast(domain).join(counts, "bin", "left")
         .select(
             "bin",
-            F.round(lo + F.col("bin") * width, 4).alias("lo"),
-            F.round(lo + (F.col("bin") + 1) * width, 4).alias("hi"),
+            F.round(F.col("_lo") + F.col("bin") * F.col("_w"), 4).alias("lo"),
+            F.round(F.col("_lo") + (F.col("bin") + 1) * F.col("_w"), 4).alias("hi"),
             F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"),
         )
     )

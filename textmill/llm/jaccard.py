@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from textmill.llm import base, scan
 from textmill.llm.components import components
@@ -349,14 +349,8 @@ def links(docs: DataFrame, profiles: DataFrame) -> DataFrame:
     return found.union(more)
 
 
-def join(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and component_id (the smallest doc_id reachable by links) of every
-    document, with five-word shingles and a Jaccard similarity of 0.75 or more.
-
-    Null texts and texts without words have an empty set and link with nothing; a null
-    doc_id counts for no smallest id unless all are null; repeated rows are points of one set
-    and keep a row each; an empty table gives none. Sets are told apart by 64-bit numbers.
-    """
+def classified(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, point, root (a point of the same component), component_id."""
     profiles = base.stage(profile(docs), "jaccard-profiles")
     roots = components(links(docs, profiles))
     rows = profiles.where("n_shingles >= 0")
@@ -364,6 +358,43 @@ def join(docs: DataFrame) -> DataFrame:
     points = points.join(roots.select(F.col("node").alias("point"), "root"), "point", "left").withColumn("root", F.coalesce("root", "point"))
     points = base.stage(points, "jaccard-roots")
     smallest = points.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = base.stage(points.join(smallest, "root").select("point", "component_id"), "jaccard-named")
+    named = base.stage(points.join(smallest, "root").select("point", "root", "component_id"), "jaccard-named")
     out = rows.join(named, "point", "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    return out.select("doc_id", "n_shingles", "point", "root", component.alias("component_id"))
+
+
+def join(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles and component_id (the smallest doc_id reachable by links) of every
+    document, with five-word shingles and a Jaccard similarity of 0.75 or more.
+
+    Null texts and texts without words have an empty set and link with nothing; a null
+    doc_id counts for no smallest id unless all are null; repeated rows are points of one set
+    and keep a row each; an empty table gives none. Sets are told apart by 64-bit numbers.
+    """
+    return classified(docs).select("doc_id", "n_shingles", "component_id")
+
+
+def with_point(docs: DataFrame) -> DataFrame:
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo, col in base.passes(b.column(at)):
+                yield base.frame_of(b.slice(lo, len(col)), __point=signatures(*scan.shingle_sets(col, SIZE)).view(np.int64))
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("__point", LongType())]))
+
+
+def representatives(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of each group of linked documents: that with the smallest doc_id
+    (null last), then set number, then row. Documents with an empty set all stay."""
+    found = base.stage(classified(docs).where("n_shingles > 0").groupBy("root", "point", "doc_id").agg(F.count(F.lit(1)).alias("times")), "jaccard-found")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "point", "times")).alias("x")
+    chosen = found.groupBy("root").agg(first).select(F.col("x.doc_id").alias("__id"), F.col("x.point").alias("__kept"), F.col("x.times").alias("__times"))
+    rows = with_point(docs)
+    empty = rows.where("__point = 0").select(docs.columns)
+    held = rows.where("__point <> 0").join(chosen, (F.col("__point") == F.col("__kept")) & F.col("doc_id").eqNullSafe(F.col("__id")))
+    once = held.where("__times = 1").select(docs.columns)
+    again = held.where("__times > 1").groupBy("__point", "__id").agg(F.min(F.struct(*docs.columns)).alias("x")).select("x.*")
+    return empty.unionByName(once).unionByName(again)

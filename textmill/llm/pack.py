@@ -71,7 +71,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0
     written. Null and empty texts are the end mark alone; repeated rows are packed each."""
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("__text"))
     schema = rows.select("doc_id").schema
-    for name, kind in (("piece", "int"), ("start", "long"), ("length", "long"), ("ids_crc32", "long"), ("part", "int"), ("place", "long")):
+    for name, kind in (("piece", "integer"), ("start", "long"), ("length", "long"), ("ids_crc32", "long"), ("part", "integer"), ("place", "long")):
         schema = schema.add(name, kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

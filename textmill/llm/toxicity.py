@@ -111,7 +111,7 @@ def score(docs: DataFrame, model: ToxicityModel, keep: tuple[str, ...] = ("doc_i
     score of the bias alone; repeated rows give repeated rows, an empty table none."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(*keep, F.col("text").alias("__text"))
-    schema = rows.drop("__text").schema.add("score", "double").add("predicted", "int")
+    schema = rows.drop("__text").schema.add("score", "double").add("predicted", "integer")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm import jaccard, langid, lines, mix, neighbours, pack, tokens, toxicity
+from textmill.llm import grades, jaccard, langid, licenses, lines, mix, neighbours, pack, tokens, toxicity
 from textmill.llm.base import documents, held_out
 from textmill.session import ensure_checkpoint_dir
 
@@ -42,6 +42,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(documents(spark, sf_dir))
+
+
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_checkpoint_dir(spark)
     return jaccard.join(documents(spark, sf_dir))
@@ -52,6 +56,12 @@ def op8_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.judge(documents(spark, sf_dir))
 
 
+def op9_quality_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = grades.fit(docs, grades.ratings(documents(spark, sf_dir, "labels")))
+    return grades.grade(docs, model).select("doc_id", held_out("doc_id").alias("held_out"), "expected_grade", "tail", "kept")
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return langid.identify(docs, langid.fit(docs)).select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score", "rejected")
@@ -61,6 +71,6 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_mix_sources, op2_token_counts, op3_embedding_neighbours, op4_pack_sequences, op5_toxicity,
-        op7_ngram_jaccard, op8_line_frequency, op10_language_id,
+        op6_license_scan, op7_ngram_jaccard, op8_line_frequency, op9_quality_grades, op10_language_id,
     )
 }

@@ -1,5 +1,6 @@
 """Plan-shape checks: shuffles only where the design puts them, Python only in
-the model call and ROUGE-L, top-k operators planned as partial limits."""
+the model call, ROUGE-L and the TextRank iteration (Arrow batches), top-k
+operators planned as partial limits."""
 
 from pyspark.sql import functions as F
 
@@ -27,10 +28,11 @@ def test_clean_has_one_hash_shuffle_and_pushes_no_python(spark):
 
 
 def test_entity_extraction_and_textrank_are_map_only(spark):
-    for df in (EN.extract_entities(docs(spark)), Z.textrank(docs(spark)), Z.summary_styles(docs(spark))):
+    for df, python in ((EN.extract_entities(docs(spark)), 0), (Z.textrank(docs(spark)), 1), (Z.summary_styles(docs(spark)), 1)):
         p = plan(df)
         assert "Exchange" not in p, p
-        assert "Python" not in p
+        # one Arrow-batched evaluation of the ranks, nothing row by row
+        assert p.count("ArrowEvalPython") == python and "BatchEvalPython" not in p
 
 
 def test_search_batch_uses_window_group_limit(spark):

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from textmill.functions import text as T
 from textmill.operators import aggregate as A
 from textmill.operators import entities as EN
 from textmill.operators import search as Q
@@ -102,3 +103,40 @@ def test_top_n_bounds_and_empty_ids(spark):
         A.aggregate_entities(e, ids, top_n=51)
     with pytest.raises(ValueError):
         A.require_ids([])
+
+
+@pytest.mark.parametrize("pattern", [r"\b", "(?=a)", r"a|\b", "x*", "$", ""])
+def test_zero_width_patterns_are_rejected(spark, pattern):
+    with pytest.raises(ValueError):
+        Q.validate_pattern(pattern)
+
+
+def test_patterns_are_read_in_the_dialect_that_runs_them(spark):
+    assert Q.validate_pattern(r"a\h+b") == r"a\h+b"
+    with pytest.raises(ValueError):
+        Q.validate_pattern("(?P<n>a)")
+
+
+def test_entities_beyond_the_first_ten_thousand_characters_count(spark):
+    df = spark.createDataFrame([(1, "word " * 2500 + "write to john@good.com today.")], "doc_id bigint, text string")
+    assert [r.name for r in EN.extract_mentions(df).collect()] == ["john@good.com"]
+    assert [r.entity_name for r in EN.extract_entities(df).collect()] == ["john@good.com"]
+    assert EN.extract_mentions(df, max_chars=EN.NER_CHARS).count() == 0
+    assert EN.extract_entities(df, max_bytes=12_510).count() == 0
+
+
+def test_dots_inside_names_end_no_sentence(spark):
+    df = spark.createDataFrame([(1, "A good day for john@good.com at 3.5% growth. See https://bad.org/x.y? It was a crisis! JOHN@GOOD.COM said so.")], "doc_id bigint, text string")
+    got = {(r.entity_name, r.raw_label): (r.sentiment_score, r.sentiment_magnitude) for r in EN.extract_entities(df).collect()}
+    assert got[("3.5%", "PERCENT")] == (1.0, 1.0)
+    # both spellings of the address, of which the second sentence says neither good nor bad
+    assert got[("john@good.com", "EMAIL")] == (1.0, 2.0)
+    assert T.SENTENCE_END and df.select(T.sentences("text").alias("s")).first().s[1] == "See https://bad.org/x.y?"
+
+
+def test_redaction(spark):
+    from textmill.operators.redact import redact
+
+    df = spark.createDataFrame([(1, "mail a@b.org or c@d.net, call 555-123-4567"), (2, None), (3, "none")], "doc_id bigint, text string")
+    got = {r.doc_id: (r.text, r.n_email, r.n_phone) for r in redact(df).collect()}
+    assert got == {1: ("mail [EMAIL] or [EMAIL], call [PHONE]", 2, 1), 2: (None, None, None), 3: ("none", 0, 0)}

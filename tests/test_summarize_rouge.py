@@ -96,8 +96,8 @@ def plain_lcs(a, b):
 
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.sampled_from("abcde"), max_size=30), st.lists(st.sampled_from("abcde"), max_size=30))
-def test_lcs_numpy_matches_plain(a, b):
-    assert V.lcs_numpy(a, b) == plain_lcs(a, b)
+def test_lcs_bits_matches_plain(a, b):
+    assert V.lcs_bits(a, b) == plain_lcs(a, b)
 
 
 def test_lcs_native_matches_plain(spark):
@@ -132,13 +132,65 @@ def test_rouge_with_stemmer(spark):
     assert plain.rouge1 < 1.0 and stemmed.rouge1 == 1.0 and stemmed.rougeL == 1.0
 
 
-def test_map_reduce_bounded_fan_in(spark):
-    long_text = TEXT * 20   # 13 chunks of 200 characters
+def test_map_reduce_has_one_level_whatever_the_length(spark):
+    long_text = TEXT * 120   # more than 64 chunks of 200 characters
     d = docs(spark, [(1, long_text)])
-    flat = Z.map_reduce_summary(d, threshold=500, chunk=200, fan_in=64).first()
-    tiered = Z.map_reduce_summary(d, threshold=500, chunk=200, fan_in=3).first()
-    assert flat.route == tiered.route == "map_reduce"
-    assert len(tiered.bullets) == 3 and len(tiered.abstract.split()) <= 80
-    assert Z.chunk_documents(d, size=200).count() == 13
-    same = Z.map_reduce_summary(d, threshold=500, chunk=200, fan_in=13).first()
-    assert same.abstract == flat.abstract
+    out = Z.map_reduce_summary(d, threshold=500, chunk=200).first()
+    assert out.route == "map_reduce" and len(out.bullets) == 3 and len(out.abstract.split()) <= 80
+    chunks = Z.chunk_documents(d, size=200)
+    assert chunks.count() > 64
+    parts = {r.doc_id: r.abstract for r in Z.summary_styles(chunks.select(F.col("chunk_no").alias("doc_id"), F.col("chunk").alias("text"))).collect()}
+    text = "\n\n".join(f"[Part {i + 1}]: {parts[i]}" for i in range(len(parts)))
+    assert out.abstract == Z.summary_styles(docs(spark, [(1, text)])).first().abstract
+
+
+def plain_ranks(sentences, iterations=20, d=0.85):
+    """TextRank with the full matrix of sentence pairs."""
+    import math
+    import re
+    from collections import Counter
+
+    bags = [Counter(re.findall("[a-z0-9]+", s.lower())) for s in sentences]
+    size = [sum(b.values()) for b in bags]
+    n = len(bags)
+    w = [[0.0] * n for _ in range(n)]
+    for i in range(n):
+        for j in range(n):
+            den = math.log(size[i]) + math.log(size[j])
+            w[i][j] = sum(c * bags[j][x] for x, c in bags[i].items()) / (den if den > 0 else 1)
+    total = [sum(row) for row in w]
+    r = [1 / n] * n
+    for _ in range(iterations):
+        r = [(1 - d) / n + d * sum(w[i][j] * r[j] / total[j] for j in range(n)) for i in range(n)]
+    return r
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.sampled_from("a b c d e f g".split()), min_size=1, max_size=9).map(" ".join), min_size=1, max_size=12))
+def test_textrank_matches_the_full_matrix(sentences):
+    from textmill.functions import textrank
+
+    exp = plain_ranks(sentences)
+    got = textrank.ranks(sentences, 20, 0.85)
+    assert max(abs(a - b) for a, b in zip(got, exp)) < 1e-12 and abs(sum(got) - 1) < 1e-12
+    dense, textrank.DENSE = textrank.DENSE, 0
+    try:
+        assert max(abs(a - b) for a, b in zip(textrank.ranks(sentences, 20, 0.85), exp)) < 1e-12
+    finally:
+        textrank.DENSE = dense
+
+
+def test_textrank_of_many_short_lines_is_quick(spark):
+    import time
+
+    text = "\n".join(f"w{i % 900}" for i in range(5000))
+    t0 = time.time()
+    r = Z.textrank_summary(docs(spark, [(1, text)])).first()
+    assert r.n_sentences == 5000 and time.time() - t0 < 20
+
+
+def test_a_reference_without_hypothesis_counts_as_failed(spark):
+    ref = spark.createDataFrame([(1, "a b c"), (2, "d e f")], "doc_id bigint, text string")
+    hyp = spark.createDataFrame([(1, "m", "a b c"), (3, "m", "x")], "doc_id bigint, model string, text string")
+    r = V.rouge_corpus(V.rouge_scores(V.pair_frame(ref, hyp, ["m", "n"]))).orderBy("model").collect()
+    assert [(x.model, x.n_docs, x.rouge1) for x in r] == [("m", 2, 0.5), ("n", 2, 0.0)]

@@ -19,8 +19,10 @@ WS = f"[{WS_CLASS_BODY}]"
 NON_WS_RUN = f"[^{WS_CLASS_BODY}]+"
 STRIP_PATTERN = f"^{WS}+|{WS}+$"
 
-# Sentence pieces: a run without terminators followed by its terminators.
-SENTENCE_PATTERN = r"[^.!?\n]+[.!?]*"
+# A sentence ends at a line end, or at terminators before white space: a dot inside an
+# e-mail address, a URL or a decimal ends none. (No repeated group: Java's matcher recurses
+# on those and can run out of stack on long texts.)
+SENTENCE_END = r"([.!?]+)[ \t\n]+"
 # Words for scoring and graph building.
 WORD_PATTERN = r"[a-z0-9]+"
 
@@ -60,7 +62,7 @@ def truncate_bytes(text, n: int) -> Column:
 
 def sentences(text) -> Column:
     """Array of trimmed sentences that contain at least one letter or digit."""
-    raw = F.regexp_extract_all(_c(text), F.lit(SENTENCE_PATTERN), 0)
+    raw = F.split(F.regexp_replace(_c(text), SENTENCE_END, "$1\n"), "\n+")
     trimmed = F.transform(raw, lambda s: ustrip(s))
     return F.filter(trimmed, lambda s: s.rlike("[A-Za-z0-9]"))
 

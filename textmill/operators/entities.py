@@ -4,9 +4,11 @@ native pattern and dictionary extractors.
 The main path (``extract_entities``) is fused and map-only: per document row
 it extracts all mentions, de-duplicates them inside the row, scores
 salience and sentence-scoped sentiment, and explodes once at the end. No
-shuffle, no join back to the text; per-row work is bounded by the character
-truncation applied first (E2). Separate frame-level forms of E5/E6 exist for
-mention tables that come from elsewhere (gazetteer, external models).
+shuffle, no join back to the text. Whole texts are read; the reference's cuts
+(E1: bytes of the service extractor, E2: characters of the local baseline) are
+parameters that no operator applies on its own. Separate frame-level forms of
+E5/E6 exist for mention tables that come from elsewhere (gazetteer, external
+models).
 """
 
 from __future__ import annotations
@@ -84,9 +86,15 @@ def label_type(raw_label) -> Column:
     return F.coalesce(F.try_element_at(m, _c(raw_label)), F.lit("OTHER"))
 
 
-def truncate_chars(text, n: int = NER_CHARS) -> Column:
-    """E2."""
-    return F.substring(_c(text), 1, n)
+def truncate_chars(text, n: int | None = NER_CHARS) -> Column:
+    """The first ``n`` characters; the whole text without ``n``."""
+    return _c(text) if n is None else F.substring(_c(text), 1, n)
+
+
+def extractor_text(text, max_chars: int | None = None, max_bytes: int | None = None) -> Column:
+    """The part of a text that an extractor reads: all of it unless a cut is asked for."""
+    t = truncate_chars(text, max_chars)
+    return t if max_bytes is None else F.when(F.octet_length(t) > max_bytes, T.truncate_bytes(t, max_bytes)).otherwise(t)
 
 
 def mention_array(text, patterns: dict[str, str] | None = None) -> Column:
@@ -109,7 +117,7 @@ def _mention_struct(lab: str):
 
 
 def extract_mentions(df: DataFrame, text_col: str = "text", key: str = "doc_id",
-                     max_chars: int = NER_CHARS, patterns: dict[str, str] | None = None) -> DataFrame:
+                     max_chars: int | None = None, patterns: dict[str, str] | None = None) -> DataFrame:
     """E3 (pattern): one row per raw mention: key, name, raw_label, pos."""
     staged = df.select(key, truncate_chars(text_col, max_chars).alias("_t"))
     return staged.select(key, F.explode(mention_array("_t", patterns)).alias("m")).select(
@@ -135,7 +143,7 @@ def _ngram_at(tokens: Column, n: int):
 
 
 def extract_gazetteer(df: DataFrame, gazetteer: DataFrame, text_col: str = "text", key: str = "doc_id",
-                      max_chars: int = NER_CHARS) -> DataFrame:
+                      max_chars: int | None = None) -> DataFrame:
     """E3 (dictionary): n-grams of each text joined to a gazetteer (name, raw_label).
 
     ``pos`` is the 1-based word index of the match (pattern mentions use the
@@ -177,21 +185,21 @@ def entity_salience(ents: DataFrame, key: str = "doc_id") -> DataFrame:
 
 
 def sentence_scores(text) -> Column:
-    """Per-sentence lexicon polarity: (pos - neg) / max(pos + neg, 1)."""
+    """Per sentence (in lower case) its lexicon polarity: (pos - neg) / max(pos + neg, 1)."""
     pos_arr, neg_arr = _lit_array(POSITIVE_WORDS), _lit_array(NEGATIVE_WORDS)
 
     def score(s):
         w = T.words(s)
         p = F.size(F.filter(w, lambda x: F.array_contains(pos_arr, x)))
         n = F.size(F.filter(w, lambda x: F.array_contains(neg_arr, x)))
-        return F.struct(s.alias("s"), ((p - n) / F.greatest(p + n, F.lit(1))).cast("double").alias("v"))
+        return F.struct(F.lower(s).alias("s"), ((p - n) / F.greatest(p + n, F.lit(1))).cast("double").alias("v"))
 
     return F.transform(T.sentences(text), score)
 
 
-def extract_entities(df: DataFrame, text_col: str = "text", key: str = "doc_id", max_chars: int = NER_CHARS,
+def extract_entities(df: DataFrame, text_col: str = "text", key: str = "doc_id", max_chars: int | None = None,
                      patterns: dict[str, str] | None = None, extractor: str = "pattern",
-                     extracted_at: Column | None = None) -> DataFrame:
+                     extracted_at: Column | None = None, max_bytes: int | None = None) -> DataFrame:
     """E3-E8 fused: the ``entities`` table from pattern extractors, map-only.
 
     Per document row: mentions (sorted by position) -> distinct keys in
@@ -200,7 +208,7 @@ def extract_entities(df: DataFrame, text_col: str = "text", key: str = "doc_id",
     sentences containing the name, magnitude = sum of |polarity|; then one
     explode.
     """
-    t = truncate_chars(text_col, max_chars)
+    t = extractor_text(text_col, max_chars, max_bytes)
     base = df.select(key, t.alias("_t")).select(
         key, mention_array("_t", patterns).alias("_m"), sentence_scores("_t").alias("_s"))
     keys = F.array_distinct(F.transform("_m", lambda m: F.struct(
@@ -210,7 +218,7 @@ def extract_entities(df: DataFrame, text_col: str = "text", key: str = "doc_id",
     def per_key(k):
         same = F.filter("_m", lambda m: (F.lower(F.trim(m["name"])) == k["k"]) & (m["raw_label"] == k["l"]))
         first = F.element_at(same, 1)
-        hit = F.filter("_s", lambda s: F.instr(s["s"], first["name"]) > 0)
+        hit = F.filter("_s", lambda s: F.instr(s["s"], k["k"]) > 0)
         n_hit = F.size(hit)
         ssum = F.aggregate(hit, F.lit(0.0), lambda acc, s: acc + s["v"])
         sabs = F.aggregate(hit, F.lit(0.0), lambda acc, s: acc + F.abs(s["v"]))
@@ -233,7 +241,7 @@ def extract_entities(df: DataFrame, text_col: str = "text", key: str = "doc_id",
     )
 
 
-def document_categories(df: DataFrame, text_col: str = "text", key: str = "doc_id", max_chars: int = NER_CHARS,
+def document_categories(df: DataFrame, text_col: str = "text", key: str = "doc_id", max_chars: int | None = None,
                         profile: dict[str, tuple[str, ...]] | None = None, min_hits: int = CATEGORY_MIN_HITS,
                         min_sentences: int = CATEGORY_MIN_SENTENCES) -> DataFrame:
     """Categories whose keywords occur at least ``min_hits`` times; empty
@@ -287,8 +295,13 @@ def entities_lookup_or_compute(ids: DataFrame, cache: DataFrame, docs: DataFrame
     return entities_union(hits, computed, absent)
 
 
-def extraction_report(ents: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Per extractor: documents with entities, entity rows."""
+def extraction_report(ents: DataFrame, docs: DataFrame | None = None, key: str = "doc_id") -> DataFrame:
+    """Per extractor: documents processed (all of ``docs``), documents with
+    entities, entity rows."""
     per_doc = ents.groupBy("extractor", key).agg(F.count(F.lit(1)).alias("n"))
-    return per_doc.groupBy("extractor").agg(
+    out = per_doc.groupBy("extractor").agg(
         F.count(F.lit(1)).alias("docs_with_entities"), F.sum("n").cast("bigint").alias("entity_rows"))
+    if docs is None:
+        return out
+    processed = docs.select(F.count_distinct(key).alias("docs_processed"))
+    return out.withColumn("docs_processed", processed.scalar())

@@ -13,6 +13,7 @@ checked end to end.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import time
 from collections.abc import Callable, Iterator
@@ -28,30 +29,20 @@ from textmill.operators import entities as EN
 REQUEST_CHARS = 12_000  # L1
 SENTIMENT_LABELS = ("positive", "negative", "neutral")
 
-# The request template (system text, then the user text with
-# the article substituted for {text}).
-SYSTEM_PROMPT = (
-    "You are an expert information extraction system. Given a news article, extract\n"
-    "structured facts precisely and concisely. Do not infer or hallucinate — only\n"
-    "extract what is explicitly stated or strongly implied in the text.\n"
-)
+# The request around a text, which takes the place of {text}.
 USER_TEMPLATE = (
-    "Extract the following structured information from the news article below.\n"
-    "\n"
-    "Article:\n"
+    "Read the text between the two lines and describe it as one JSON object.\n"
+    "-----\n"
     "{text}\n"
-    "\n"
-    "Return a JSON object with these fields:\n"
-    "- core_issue: A single sentence describing the central event or problem reported.\n"
-    "- actors: A list of people or organisations and their role in the story.\n"
-    "  Each item must have \"name\" (string) and \"role\" (string).\n"
-    "- key_metrics: A list of specific numbers, statistics, or quantitative facts\n"
-    "  mentioned in the article (e.g. \"GDP fell 3.2%\", \"12 people arrested\").\n"
-    "- dates: A list of specific dates or time references and what happened on them.\n"
-    "  Each item must have \"date\" (string) and \"event\" (string).\n"
-    "- sentiment_label: One of \"positive\", \"negative\", or \"neutral\" describing\n"
-    "  the overall tone of the article.\n"
-    "- sentiment_reason: A single sentence explaining the sentiment label.\n"
+    "-----\n"
+    "Fields of the object:\n"
+    "core_issue (string): what the text is mainly about, in a sentence\n"
+    "actors (list of {\"name\", \"role\"}): who takes part, and as what\n"
+    "key_metrics (list of strings): figures the text states\n"
+    "dates (list of {\"date\", \"event\"}): days or times it names, and what happened then\n"
+    "sentiment_label (positive, negative or neutral): its tone as a whole\n"
+    "sentiment_reason (string): why, in a sentence\n"
+    "State only what the text says.\n"
 )
 
 
@@ -103,13 +94,12 @@ def model_call(requests: DataFrame, make_model: Callable[[], Callable[[str], str
     return src.select(key, "request").mapInPandas(run, out_schema)
 
 
-def local_responses(df: DataFrame, text_col: str = "text", key: str = "doc_id", max_chars: int = REQUEST_CHARS,
+def local_responses(df: DataFrame, text_col: str = "text", key: str = "doc_id",
                     label_override: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """Deterministic native stand-in for the model: the response JSON built
     with ``to_json`` from pattern extractors (first sentence, capitalised
     spans as actors, figures as metrics, dates, lexicon tone)."""
-    t = F.substring(F.col(text_col), 1, max_chars)
-    staged = df.select(key, *keep, t.alias("_t"))
+    staged = df.select(key, *keep, F.col(text_col).alias("_t"))
     first = F.try_element_at(T.sentences("_t"), F.lit(1))
     actors = F.transform(F.array_distinct(F.regexp_extract_all("_t", F.lit(EN.PATTERNS["PROPN"]), 0)),
                          lambda n: F.struct(n.alias("name"), F.lit("mentioned").alias("role")))
@@ -203,8 +193,9 @@ def explode_actors(records: DataFrame, key: str = "doc_id") -> DataFrame:
 
 
 def echo_model() -> Callable[[str], str]:
-    """A trivial local model for tests: returns a fixed JSON record."""
+    """A local model for tests: its record tells the length and hash of the request."""
     def call(request: str) -> str:
-        return json.dumps({"core_issue": request[:40], "actors": [], "key_metrics": [], "dates": [],
+        seen = f"{len(request)} characters, {hashlib.sha256(request.encode()).hexdigest()}"
+        return json.dumps({"core_issue": seen, "actors": [], "key_metrics": [], "dates": [],
                            "sentiment_label": "neutral", "sentiment_reason": ""})
     return call

@@ -7,9 +7,9 @@ pair row where that is linear, and relationally where it is not:
 * n-gram overlap: the n-grams of both sides are exploded once and counted
   per (doc, model, n, gram) with a partial aggregate; linear in text length
   (per-row array scans would be quadratic for long junk "sentences").
-* LCS (ROUGE-L): an O(n*m) dynamic programme whose row update needs a
-  running maximum, which Spark lambdas can only express with per-cell
-  copies; it runs as a small Arrow-batched pandas UDF (numpy per row).
+* LCS (ROUGE-L): a dynamic programme whose row update needs a running
+  maximum, which Spark lambdas can only express with per-cell copies; it
+  runs bit-parallel in a small Arrow-batched UDF.
   ``lcs_length`` keeps a native form for short inputs and tests.
 """
 
@@ -47,13 +47,6 @@ def ngrams(tokens: Column, n: int) -> Column:
     return F.when(F.size(tokens) >= n, grams).otherwise(F.array().cast("array<string>"))
 
 
-def clipped_overlap(ref: Column, hyp: Column) -> Column:
-    """Sum over distinct hypothesis grams of min(count in ref, count in hyp)."""
-    return F.aggregate(
-        F.array_distinct(hyp), F.lit(0),
-        lambda acc, g: acc + F.least(F.size(F.filter(ref, lambda x: x == g)), F.size(F.filter(hyp, lambda x: x == g))))
-
-
 def f1(overlap: Column, n_ref: Column, n_hyp: Column) -> Column:
     """F1 of precision overlap/n_hyp and recall overlap/n_ref; 0 without overlap."""
     p = overlap / n_hyp
@@ -90,35 +83,29 @@ def lcs(a: Column, b: Column) -> Column:
     return F.when(F.size(a) <= F.size(b), lcs_length(a, b)).otherwise(lcs_length(b, a))
 
 
-def pair_frame(references: DataFrame, hypotheses: DataFrame, key: str = "doc_id") -> DataFrame:
-    """V5 + V7: one row per (doc, model). ``hypotheses`` holds one row per
-    attempted (doc, model); a failed summary has a null text, scored as the
-    empty hypothesis (0). Keys on one side only are reported by ``eval_unpaired``."""
-    ref = references.select(key, F.col("text").alias("reference"))
+def pair_frame(references: DataFrame, hypotheses: DataFrame, models: list[str], key: str = "doc_id") -> DataFrame:
+    """V5 + V7: one row for every reference and every attempted model. A missing
+    hypothesis row or a null text is a failed summary, scored as the empty one
+    (0). Hypotheses without a reference are reported by ``eval_unpaired``."""
+    ref = references.select(key, F.col("text").alias("reference"), F.explode(F.array(*map(F.lit, models))).alias("model"))
     hyp = hypotheses.select(key, "model", F.col("text").alias("hypothesis"))
-    return ref.join(hyp, key).select(key, "model", "reference", F.coalesce("hypothesis", F.lit("")).alias("hypothesis"))
-
+    return ref.join(hyp, [key, "model"], "left").select(key, "model", "reference", F.coalesce("hypothesis", F.lit("")).alias("hypothesis"))
 
-def lcs_numpy(a, b) -> int:
-    """LCS length by the row recurrence with a numpy prefix maximum: O(len(a)
-    * len(b)) element work, vectorised per row. Rows without a match are
-    unchanged and skipped."""
-    import numpy as np
 
+def lcs_bits(a, b) -> int:
+    """LCS length with a row of the table as the bits of one integer: a set bit
+    marks a column where the length does not rise; one addition per token."""
     if a is None or b is None or len(a) == 0 or len(b) == 0:
         return 0
-    if len(a) < len(b):
-        a, b = b, a
-    ids: dict[str, int] = {}
-    bi = np.fromiter((ids.setdefault(t, len(ids)) for t in b), dtype=np.int64, count=len(b))
-    prev = np.zeros(len(b) + 1, dtype=np.int64)
+    at: dict[str, int] = {}
+    for i, t in enumerate(b):
+        at[t] = at.get(t, 0) | 1 << i
+    full = (1 << len(b)) - 1
+    row = full
     for t in a:
-        k = ids.get(t)
-        if k is None:
-            continue
-        u = np.maximum(prev[1:], np.where(bi == k, prev[:-1] + 1, 0))
-        prev[1:] = np.maximum.accumulate(u)
-    return int(prev[-1])
+        hit = row & at.get(t, 0)
+        row = ((row + hit) | (row - hit)) & full
+    return len(b) - row.bit_count()
 
 
 def _lcs_udf():
@@ -126,7 +113,7 @@ def _lcs_udf():
 
     @pandas_udf("int")
     def lcs_len(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([lcs_numpy(x, y) for x, y in zip(a, b)], dtype="int32")
+        return pd.Series([lcs_bits(x, y) for x, y in zip(a, b)], dtype="int32")
 
     return lcs_len
 

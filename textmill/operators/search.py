@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,14 +19,35 @@ TOP_K_DEFAULT = 5
 TOP_K_MIN, TOP_K_MAX = 1, 10
 
 
+PROBE = "ab ab 12 é. z,\n"
+
+
+def _empty_match(pattern: str) -> bool:
+    """Whether the pattern matches the empty string somewhere in a short probe
+    text, by the JVM's regex dialect, in which it will run."""
+    probe = ["", PROBE, pattern]
+    sc = SparkContext._active_spark_context
+    if sc is None:  # no JVM at hand: Python's dialect is close enough for a check of arguments
+        try:
+            return any(m.end() == m.start() for t in probe for m in re.finditer(pattern, t))
+        except re.error as e:
+            raise ValueError(f"invalid pattern: {e}") from e
+    try:
+        compiled = sc._jvm.java.util.regex.Pattern.compile(pattern)
+    except Exception as e:  # noqa: BLE001 - the JVM's PatternSyntaxException
+        raise ValueError(f"invalid pattern: {str(e).splitlines()[-1]}") from e
+    for t in probe:
+        m = compiled.matcher(t)
+        while m.find():
+            if m.end() == m.start():
+                return True
+    return False
+
+
 def validate_pattern(pattern: str) -> str:
     if not isinstance(pattern, str) or not pattern.strip():
         raise ValueError("query must be a non-empty string")
-    try:
-        compiled = re.compile(pattern.lower())
-    except re.error as e:
-        raise ValueError(f"invalid pattern: {e}") from e
-    if compiled.fullmatch(""):
+    if _empty_match(pattern.lower()):
         raise ValueError("pattern matches the empty string")
     return pattern
 

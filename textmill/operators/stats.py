@@ -86,7 +86,7 @@ def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
     counts = binned.groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
     domain = barrier(bounds(spark.range(bins).select(F.col("id").cast("int").alias("bin"))))
     return (
-        F.broadcast(domain).join(counts, "bin", "left")
+        domain.join(counts, "bin", "left")
         .select(
             "bin",
             F.round(F.col("_lo") + F.col("bin") * F.col("_w"), 4).alias("lo"),

@@ -1,12 +1,10 @@
 """Summarisation (Z1-Z9): length routing, chunk map/reduce, TextRank and the
 three summary styles, lookup-or-compute, comparison inputs.
 
-TextRank runs inside each document row: sentences -> distinct-word sets ->
-similarity matrix -> fixed-iteration power method, all higher-order
-functions. No shuffle and no sentence-pair rows: the quadratic work stays
-inside one document, bounded by the token cap of the cleaning stage (or by
-the chunk size for long documents). Intermediate arrays are materialised as
-columns through ``barrier`` so lambdas never re-evaluate them.
+TextRank runs inside each document row, on its array of sentences: no shuffle
+and no sentence-pair rows. Splitting and styling are native; the power
+iteration is an Arrow-batched UDF whose work follows the words of the document
+(``functions/textrank.py``).
 """
 
 from __future__ import annotations
@@ -15,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textmill.functions import text as T
+from textmill.functions.textrank import ranks_udf
 from textmill.session import barrier
 
 MAP_REDUCE_CHARS = 16_000   # Z1: longer texts go through map/reduce
@@ -26,7 +25,6 @@ RANK_DIGITS = 9
 TLDR_WORDS = 25             # Z6
 ABSTRACT_WORDS = 80
 COMPARE_MAX_DOCS = 8        # Z8
-REDUCE_FAN_IN = 64          # at most this many parts per reduce
 STYLES = ("tldr", "bullets", "abstract")
 
 
@@ -50,51 +48,16 @@ def chunk_documents(df: DataFrame, text_col: str = "text", key: str = "doc_id",
     return df.select(key, F.posexplode(chunks).alias("chunk_no", "chunk"))
 
 
-def _sentence_sets(text) -> Column:
-    """array<struct<s, w (distinct words), n (word count), ln (log n)>> of the sentences with words."""
-    sents = T.sentences(text)
-    with_words = F.transform(sents, lambda s: F.struct(s.alias("s"), T.words(s).alias("ws")))
-    kept = F.filter(with_words, lambda x: F.size(x["ws"]) > 0)
-    return F.transform(kept, lambda x: F.struct(
-        x["s"].alias("s"), F.array_distinct(x["ws"]).alias("w"), F.size(x["ws"]).alias("n"),
-        F.log(F.size(x["ws"]).cast("double")).alias("ln")))
-
-
-def _similarity(a, b) -> Column:
-    """Shared distinct words / (ln|a| + ln|b|); raw overlap when the denominator is 0."""
-    ov = F.size(F.array_intersect(a["w"], b["w"])).cast("double")
-    den = a["ln"] + b["ln"]
-    return F.when(den > 0, ov / den).otherwise(ov)
-
-
 def textrank(df: DataFrame, text_col: str = "text", key: str = "doc_id", iterations: int = ITERATIONS,
              damping: float = DAMPING) -> DataFrame:
     """Z5 core: per document ``sents`` (array<string>) and ``ranks`` (array<double>,
     rounded to ``RANK_DIGITS``), same order.
 
-    Edge weights are symmetric and include the self pair, so no sentence is
-    dangling and the rank mass stays 1. r' = (1-d)/N + d * W (r / rowsum).
+    r' = (1-d)/N + d * W (r / rowsum), with symmetric weights that include the
+    self pair, so no sentence is dangling and the rank mass stays 1.
     """
-    s1 = barrier(df.select(key, _sentence_sets(_c(text_col)).alias("S")))
-    s2 = barrier(s1.select(key, "S", F.transform("S", lambda a: F.transform("S", lambda b: _similarity(a, b))).alias("W")))
-    s3 = barrier(s2.select(key, "S", "W", F.transform(
-        "W", lambda row: F.aggregate(row, F.lit(0.0), lambda acc, x: acc + x)).alias("rs"),
-        F.size("S").alias("N")))
-    base = (1.0 - damping)
-    r0 = F.transform("S", lambda _: F.lit(1.0) / F.col("N"))
-
-    def step(r, _k):
-        q = F.zip_with(r, F.col("rs"), lambda x, y: x / y)
-        return F.transform(F.array(q), lambda qq: F.transform(
-            "W", lambda row: F.lit(base) / F.col("N") + F.lit(damping) * F.aggregate(
-                F.zip_with(row, qq, lambda w, v: w * v), F.lit(0.0), lambda acc, x: acc + x)))[0]
-
-    ranks = F.aggregate(F.sequence(F.lit(1), F.lit(iterations)), r0, step)
-    return s3.select(
-        key,
-        F.transform("S", lambda x: x["s"]).alias("sents"),
-        F.transform(ranks, lambda v: F.round(v, RANK_DIGITS)).alias("ranks"),
-    )
+    split = barrier(df.select(key, T.sentences(_c(text_col)).alias("sents")))
+    return split.select(key, "sents", ranks_udf(iterations, damping, RANK_DIGITS)("sents").alias("ranks"))
 
 
 def _ranked(sents: Column, ranks: Column) -> Column:
@@ -139,37 +102,25 @@ def _assemble(parts: DataFrame, keys: list[str], order: str) -> DataFrame:
 
 
 def map_reduce_summary(df: DataFrame, text_col: str = "text", key: str = "doc_id", threshold: int = MAP_REDUCE_CHARS,
-                       chunk: int = CHUNK_CHARS, iterations: int = ITERATIONS, fan_in: int = REDUCE_FAN_IN) -> DataFrame:
+                       chunk: int = CHUNK_CHARS, iterations: int = ITERATIONS) -> DataFrame:
     """Z1-Z4 + Z6: route by length; long texts are chunked, each chunk is
     summarised in parallel (its abstract kept), parts are assembled as
     ``[Part i]: abstract`` joined by a blank line and summarised again.
 
-    A reduce never takes more than ``fan_in`` parts: a document with more
-    chunks is first reduced in groups of ``fan_in`` consecutive chunks, and
-    the group summaries are the parts of the final reduce. Per-row TextRank
-    work therefore stays bounded for very long documents; documents with at
-    most ``fan_in`` chunks follow the single-level path exactly. Each reduce
-    groups only the chunk rows of one document (or one group).
+    Route and number of chunks travel with the rows: one pass over the chunks
+    and one grouping by document. A document's parts are as many as its chunks,
+    each at most an abstract long, so the reduce row stays a small fraction of
+    the document that was one row already.
     """
     routed = df.select(key, _c(text_col).alias("text"), summary_route(_c(text_col), threshold).alias("route"))
-    direct = routed.filter(F.col("route") == "direct").select(key, "text")
-    long_docs = routed.filter(F.col("route") == "map_reduce").select(
-        key, "text", F.ceil(F.length("text") / F.lit(chunk)).cast("int").alias("n_chunks"))
-    chunks = chunk_documents(long_docs.select(key, "text"), "text", key, chunk).join(
-        long_docs.select(key, "n_chunks"), key)
+    direct = routed.filter(F.col("route") == "direct").select(F.struct(key, "route").alias("dk"), "text")
+    chunks = chunk_documents(routed.filter(F.col("route") == "map_reduce"), "text", key, chunk)
     part = summary_styles(chunks.select(F.struct(key, "chunk_no").alias("ck"), F.col("chunk").alias("text")),
-                          "text", "ck", iterations).select(
-        F.col("ck")[key].alias(key), F.col("ck")["chunk_no"].alias("chunk_no"), "abstract")
-    part = part.join(long_docs.select(key, "n_chunks"), key)
-    narrow = part.filter(F.col("n_chunks") <= fan_in).select(key, "chunk_no", "abstract")
-    wide = part.filter(F.col("n_chunks") > fan_in).withColumn("grp", (F.col("chunk_no") / fan_in).cast("int"))
-    level1 = _assemble(wide, [key, "grp"], "chunk_no")
-    level1_parts = summary_styles(level1.select(F.struct(key, "grp").alias("gk"), "text"), "text", "gk",
-                                  iterations).select(F.col("gk")[key].alias(key),
-                                                     F.col("gk")["grp"].alias("chunk_no"), "abstract")
-    assembled = _assemble(narrow.unionByName(level1_parts), [key], "chunk_no")
-    out = summary_styles(direct.unionByName(assembled), "text", key, iterations)
-    return out.join(routed.select(key, "route"), key)
+                          "text", "ck", iterations)
+    part = part.select(F.col("ck")[key].alias(key), F.col("ck")["chunk_no"].alias("chunk_no"), "abstract")
+    assembled = _assemble(part, [key], "chunk_no").select(F.struct(F.col(key), F.lit("map_reduce").alias("route")).alias("dk"), "text")
+    out = summary_styles(direct.unionByName(assembled), "text", "dk", iterations)
+    return out.select(F.col("dk")[key].alias(key), "tldr", "bullets", "abstract", F.col("dk")["route"].alias("route"))
 
 
 def validate_style(style: str) -> str:
@@ -212,9 +163,8 @@ def compare_summaries(requests: DataFrame, summaries: DataFrame, focus: Column,
     combined = F.array_join(F.transform(used, lambda x: F.concat(
         F.lit("["), x[key].cast("string"), F.lit("]: "), x["abstract"])), "\n\n")
     prompt = F.concat(
-        F.lit("Based on these article summaries, answer the following question:\n\nQuestion: "), focus,
-        F.lit("\n\nSummaries:\n"), combined,
-        F.lit("\n\nProvide a concise, evidence-based answer citing the doc_ids."))
+        F.lit("Question about several texts: "), focus, F.lit("\n\nWhat each text says, by id:\n"), combined,
+        F.lit("\n\nAnswer briefly from these only, naming the ids you rely on."))
     return g.select(
         group,
         F.array_join(F.transform("items", lambda x: x[key].cast("string")), "|").alias("doc_ids_requested"),

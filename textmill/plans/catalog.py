@@ -32,15 +32,26 @@ def query(name: str):
 # shares the same plan nodes, so Spark reuses the cleaning exchange instead
 # of scanning and cleaning the corpus once per branch (separately built
 # lambda expressions never canonicalise as equal).
+# An entry holds for one state of the input files.
 _SHARED: dict[tuple, DataFrame] = {}
 
 
+def _version(spark: SparkSession, sf_dir: str, names: tuple[str, ...]) -> tuple:
+    """Size and time of change of the files of tables, by Hadoop's file system."""
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    out = []
+    for name in names:
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        out += [(s.getPath().toString(), s.getLen(), s.getModificationTime()) for s in path.getFileSystem(conf).listStatus(path)]
+    return tuple(out)
+
+
 def _shared(kind: str, spark: SparkSession, sf_dir: str, build) -> DataFrame:
     try:
         app = spark.sparkContext.applicationId
     except Exception:  # noqa: BLE001 - no SparkContext on this client
         app = spark.conf.get("spark.app.id", "")
-    k = (kind, id(spark), app, sf_dir)
+    k = (kind, app, sf_dir, _version(spark, sf_dir, ("documents", "labels", "nation", "region")))
     if k not in _SHARED:
         _SHARED[k] = build()
     return _SHARED[k]
@@ -51,6 +62,12 @@ def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents").select("doc_id", "text", "source", "n_chars")))
 
 
+def staged(name: str, spark: SparkSession, sf_dir: str, build) -> DataFrame:
+    """A table of the pipeline, written once for a state of the input under the
+    shared folder and read by all later stages."""
+    return _shared(name, spark, sf_dir, lambda: stage_table(build(spark, sf_dir), name))
+
+
 def clean_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cleaned corpus (``documents_clean``), written once per session and
     data directory under the shared checkpoint folder and read by every later
@@ -86,7 +103,7 @@ from textmill.functions import lang as LANG  # noqa: E402
 
 @query("scan_limit")
 def q_scan_limit(spark, sf_dir):
-    return S.scan_limit(docs(spark, sf_dir), 1_500).select("doc_id", "source", "n_chars")
+    return S.scan_limit(table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars"), 500)
 
 
 JSONL_SCHEMA = "doc_id BIGINT, text STRING, source STRING"
@@ -107,6 +124,49 @@ def q_jsonl_roundtrip(spark, sf_dir):
     )
 
 
+@query("table_create_append")
+def q_table_create_append(spark, sf_dir):
+    """S4 + S6: the table is made once, and a second creation leaves its rows alone."""
+    from pyspark.sql.types import _parse_datatype_string
+
+    schema = _parse_datatype_string("doc_id BIGINT, source STRING, n_chars BIGINT")
+    path = S.scratch_path(spark, "created")
+    for _ in range(2):
+        S.create_table_if_absent(spark, path, schema)
+        S.write_table(table(spark, sf_dir, "documents"), path, schema, mode="append")
+    return spark.read.parquet(path).groupBy("source").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("n_chars").cast("bigint").alias("n_chars"))
+
+
+@query("table_truncate_write")
+def q_table_truncate_write(spark, sf_dir):
+    """A second write of the typed ``entities`` table replaces the first."""
+    from textmill import schemas
+
+    path = S.scratch_path(spark, "entities")
+    for extractor in ("gazetteer", "pattern"):
+        S.write_table(all_entities(spark, sf_dir).filter(F.col("extractor") == extractor), path, schemas.ENTITIES)
+    return spark.read.parquet(path).groupBy("extractor", "entity_type").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("doc_id").alias("n_docs"))
+
+
+@query("stream_ingest")
+def q_stream_ingest(spark, sf_dir):
+    """The documents as a file stream, cleaned, deduplicated and appended."""
+    from pyspark.sql.types import StructType
+
+    from textmill.streaming.append import read_appended
+    from textmill.streaming.ingest import ingest
+
+    raw = table(spark, sf_dir, "documents")
+    base = S.scratch_path(spark, "stream")
+    raw.write.parquet(f"{base}/landing")  # a stream of files needs a folder
+    stream = spark.readStream.schema(raw.schema).parquet(f"{base}/landing")
+    schema = StructType([f for f in C.with_clean_columns(raw.select("text")).schema.fields if f.name in ("text_hash", "token_count")])
+    ingest(stream, f"{base}/table", schema, f"{base}/checkpoint", _ts(), available_now=True).awaitTermination()
+    return read_appended(spark, f"{base}/table", schema).select("text_hash", "token_count")
+
+
 SQL_PATTERN = "schaft|ung"
 
 
@@ -166,7 +226,7 @@ def q_normalize_whitespace(spark, sf_dir):
 
 @query("detect_language")
 def q_detect_language(spark, sf_dir):
-    d = docs(spark, sf_dir).join(table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id")
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     return d.select("doc_id", F.col("lang").alias("lang_given"),
                     LANG.detect_language(T.normalize_whitespace("text")).alias("lang_detected"))
 
@@ -359,13 +419,44 @@ def q_document_categories(spark, sf_dir):
                        F.array_join("categories", "|").alias("categories"))
 
 
-def all_entities(spark, sf_dir):
+def _all_entities(spark, sf_dir):
     return EN.entities_union(pattern_entities(spark, sf_dir), gazetteer_entities(spark, sf_dir))
 
 
+def all_entities(spark, sf_dir):
+    """The stored ``entities`` table of all extractors."""
+    return staged("entities", spark, sf_dir, _all_entities)
+
+
+def _stored_entities(spark, sf_dir):
+    good = table(spark, sf_dir, "labels").filter(F.col("quality") == 1).select("doc_id")
+    return all_entities(spark, sf_dir).filter(F.col("extractor") == "pattern").join(good, "doc_id", "left_semi")
+
+
 @query("entities_union")
 def q_entities_union(spark, sf_dir):
-    return all_entities(spark, sf_dir).select(*ENTITY_COLS)
+    return _all_entities(spark, sf_dir).select(*ENTITY_COLS)
+
+
+@query("extract_entities_baseline")
+def q_extract_entities_baseline(spark, sf_dir):
+    """The local baseline's cut is this extractor's feature."""
+    return EN.extract_mentions(clean_docs(spark, sf_dir), max_chars=EN.NER_CHARS)
+
+
+@query("extract_entities_service")
+def q_extract_entities_service(spark, sf_dir):
+    """The service extractor reads the first 99,000 bytes."""
+    return EN.extract_entities(clean_docs(spark, sf_dir), extractor="service", extracted_at=_ts(),
+                               max_bytes=EN.API_BYTES).select(*ENTITY_COLS)
+
+
+@query("redact_pii")
+def q_redact_pii(spark, sf_dir):
+    from textmill.operators.redact import redact
+
+    return redact(docs(spark, sf_dir).select("doc_id", "text")).select(
+        "doc_id", "n_email", "n_phone", F.sha2("text", 256).alias("redacted_hash"))
 
 
 @query("top_entities_per_doc")
@@ -378,8 +469,7 @@ def q_top_entities_per_doc(spark, sf_dir):
 def q_entities_lookup_or_compute(spark, sf_dir):
     d = clean_docs(spark, sf_dir)
     # the stored table holds the entities of the quality-labelled documents
-    stored_ids = table(spark, sf_dir, "labels").filter(F.col("quality") == 1).select("doc_id")
-    cache = EN.extract_entities(d.join(stored_ids, "doc_id", "left_semi"), extracted_at=_ts())
+    cache = staged("entities_stored", spark, sf_dir, _stored_entities)
     ids = table(spark, sf_dir, "labels").select("doc_id")
     out = EN.entities_lookup_or_compute(ids, cache, d, lambda x: EN.extract_entities(x, extracted_at=_ts()))
     return out.select("doc_id", "entity_name", "entity_type", "n_mentions", "salience", "source")
@@ -387,7 +477,7 @@ def q_entities_lookup_or_compute(spark, sf_dir):
 
 @query("extraction_report")
 def q_extraction_report(spark, sf_dir):
-    return EN.extraction_report(all_entities(spark, sf_dir))
+    return EN.extraction_report(all_entities(spark, sf_dir), clean_docs(spark, sf_dir))
 
 
 @query("truncate_bytes")
@@ -410,17 +500,17 @@ def requested_ids(spark, sf_dir):
 
 @query("aggregate_entities")
 def q_aggregate_entities(spark, sf_dir):
-    return A.aggregate_entities(all_entities(spark, sf_dir), requested_ids(spark, sf_dir), top_n=10, extractor=None)
+    return A.aggregate_entities(all_entities(spark, sf_dir), requested_ids(spark, sf_dir), top_n=10)
 
 
 @query("sentiment_distribution")
 def q_sentiment_distribution(spark, sf_dir):
-    return A.sentiment_distribution(all_entities(spark, sf_dir), requested_ids(spark, sf_dir), extractor=None)
+    return A.sentiment_distribution(all_entities(spark, sf_dir), requested_ids(spark, sf_dir))
 
 
 @query("aggregate_entities_summary")
 def q_aggregate_entities_summary(spark, sf_dir):
-    return A.aggregate_entities_summary(all_entities(spark, sf_dir), requested_ids(spark, sf_dir), extractor=None)
+    return A.aggregate_entities_summary(all_entities(spark, sf_dir), requested_ids(spark, sf_dir))
 
 
 # --- 2.6 summarisation --------------------------------------------------------
@@ -434,12 +524,13 @@ def q_textrank_summary(spark, sf_dir):
 
 
 def styles(spark, sf_dir):
-    return Z.summary_styles(clean_docs(spark, sf_dir))
+    """The stored ``summaries`` table."""
+    return staged("summaries", spark, sf_dir, lambda s, d: Z.summary_styles(clean_docs(s, d)))
 
 
 @query("summary_styles")
 def q_summary_styles(spark, sf_dir):
-    return styles(spark, sf_dir).select("doc_id", "tldr", F.array_join("bullets", " | ").alias("bullets"), "abstract")
+    return Z.summary_styles(clean_docs(spark, sf_dir)).select("doc_id", "tldr", F.array_join("bullets", " | ").alias("bullets"), "abstract")
 
 
 @query("summary_route")
@@ -465,10 +556,14 @@ def q_map_reduce_summary(spark, sf_dir):
     return out.select("doc_id", "route", "tldr", F.array_join("bullets", " | ").alias("bullets"), "abstract")
 
 
+def _stored_summaries(spark, sf_dir):
+    good = table(spark, sf_dir, "labels").filter(F.col("quality") == 1).select("doc_id")
+    return styles(spark, sf_dir).join(good, "doc_id", "left_semi")
+
+
 def stored_summaries(spark, sf_dir):
-    """The stored summaries table: summaries written earlier for the quality-labelled documents."""
-    stored_ids = table(spark, sf_dir, "labels").filter(F.col("quality") == 1).select("doc_id")
-    return Z.summary_styles(clean_docs(spark, sf_dir).join(stored_ids, "doc_id", "left_semi"))
+    """Summaries written earlier, for the quality-labelled documents."""
+    return staged("summaries_stored", spark, sf_dir, _stored_summaries)
 
 
 @query("summary_lookup_or_compute")
@@ -487,9 +582,8 @@ def q_compare_summaries(spark, sf_dir):
     lab = table(spark, sf_dir, "labels").select("doc_id")
     src = table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("group_id"))
     w = Window.partitionBy("group_id").orderBy("doc_id")
-    # top-8 per group: the rank filter plans as a WindowGroupLimit (partial per task)
-    req = (lab.join(src, "doc_id").withColumn("rn", F.row_number().over(w))
-           .filter(F.col("rn") <= Z.COMPARE_MAX_DOCS).withColumn("pos", F.col("rn") - 1).drop("rn"))
+    # the operator's own cut keeps 8 of each group; the rank filter plans as a WindowGroupLimit
+    req = lab.join(src, "doc_id").withColumn("pos", F.row_number().over(w) - 1)
     return Z.compare_summaries(req, styles(spark, sf_dir), F.lit(COMPARE_FOCUS)).select(
         "group_id", "doc_ids_requested", "doc_ids_used", "n_used", F.sha2("prompt", 256).alias("prompt_hash"),
         F.length("prompt").alias("prompt_chars"))
@@ -506,25 +600,23 @@ from textmill.operators import rouge as V  # noqa: E402
 
 
 def references(spark, sf_dir):
-    """Reference summaries: lead-3 sentences of the labelled clean documents."""
-    lab = table(spark, sf_dir, "labels").select("doc_id")
-    return clean_ref(spark, sf_dir).join(lab, "doc_id", "left_semi").select(
-        "doc_id", F.col("reference_summary").alias("text"))
+    """Reference summaries: lead-3 sentences of every clean document."""
+    return clean_ref(spark, sf_dir).select("doc_id", F.col("reference_summary").alias("text"))
 
 
 def hypotheses(spark, sf_dir):
-    """Two models: TextRank (every clean document) and the stored tldr, which
-    exists for quality-labelled documents only (null = failed summary)."""
-    d = clean_docs(spark, sf_dir)
-    tr = Z.textrank_summary(d).select("doc_id", F.lit("textrank").alias("model"), F.col("summary").alias("text"))
-    stored = stored_summaries(spark, sf_dir).select("doc_id", "tldr")
-    tl = d.select("doc_id").join(stored, "doc_id", "left").select(
-        "doc_id", F.lit("tldr").alias("model"), F.col("tldr").alias("text"))
-    return tr.unionByName(tl)
+    """Two models over the stored summaries: TextRank (its 3 best sentences, every
+    clean document) and the abstract, which the documents labelled poor lack, as
+    if their summary had failed."""
+    made = styles(spark, sf_dir)
+    tr = made.select("doc_id", F.lit("textrank").alias("model"), F.array_join("bullets", " ").alias("text"))
+    poor = table(spark, sf_dir, "labels").filter(F.col("quality") == 0).select("doc_id")
+    ab = made.join(poor, "doc_id", "left_anti").select("doc_id", F.lit("abstract").alias("model"), F.col("abstract").alias("text"))
+    return tr.unionByName(ab)
 
 
 def rouge_pairs(spark, sf_dir):
-    return V.pair_frame(references(spark, sf_dir), hypotheses(spark, sf_dir))
+    return V.pair_frame(references(spark, sf_dir), hypotheses(spark, sf_dir), ["abstract", "textrank"])
 
 
 @query("rouge_tokens")
@@ -550,7 +642,7 @@ def q_rouge_corpus(spark, sf_dir):
 
 @query("eval_unpaired")
 def q_eval_unpaired(spark, sf_dir):
-    hyp = Z.textrank_summary(clean_docs(spark, sf_dir)).select("doc_id")
+    hyp = clean_docs(spark, sf_dir).select("doc_id")
     # references exist for labelled documents; labelled ids outside the clean corpus have no hypothesis
     ref = table(spark, sf_dir, "labels").select("doc_id")
     return V.eval_unpaired(ref, hyp)
@@ -588,10 +680,16 @@ def q_session_append(spark, sf_dir):
 
 @query("history_expand")
 def q_history_expand(spark, sf_dir):
-    c = conversations(spark, sf_dir).select("conv_id", "turn", "role", F.col("text").alias("content"),
-                                            F.lit(None).cast("string").alias("tool_name"),
-                                            F.lit(None).cast("string").alias("args"),
-                                            F.lit(None).cast("string").alias("observation"))
+    none = F.lit(None).cast("string")
+    c = conversations(spark, sf_dir)
+    plain = c.select("conv_id", "turn", "role", F.col("text").alias("content"), none.alias("tool_name"),
+                     none.alias("args"), none.alias("observation"))
+    # every user turn also calls a tool, whose arguments are missing on even turns
+    tool = c.filter(F.col("role") == "user").select(
+        "conv_id", "turn", F.lit("tool").alias("role"), none.alias("content"), F.lit("search_documents").alias("tool_name"),
+        F.when(F.col("turn") % 2 == 1, F.concat(F.lit('{"n": '), F.length("text").cast("string"), F.lit("}"))).alias("args"),
+        F.concat(F.lit('{"hash": "'), F.md5("text"), F.lit('"}')).alias("observation"))
+    c = plain.unionByName(tool)
     return SS.history_expand(c).select("conv_id", "turn", "part_no", "part_role", "kind",
                                        F.sha2("payload", 256).alias("payload_hash"))
 
@@ -631,7 +729,7 @@ def q_build_requests(spark, sf_dir):
 def q_model_call(spark, sf_dir):
     r = L.build_requests(clean_docs(spark, sf_dir))
     out = L.model_call(r, L.echo_model, partitions=int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
-    return out.select("doc_id", F.length("response").alias("response_chars"), "error")
+    return out.select("doc_id", F.get_json_object("response", "$.core_issue").alias("answer"), "error")
 
 
 def responses(spark, sf_dir):
@@ -676,13 +774,10 @@ def q_inference_quarantine(spark, sf_dir):
 @query("json_roundtrip")
 def q_json_roundtrip(spark, sf_dir):
     p = parsed(spark, sf_dir).select("doc_id", "actors", "key_metrics", "dates")
-    text = L.to_json_columns(p)
-    back = L.from_json_columns(text).select("doc_id", F.col("actors").alias("a2"), F.col("key_metrics").alias("m2"),
-                                            F.col("dates").alias("d2"))
-    j = p.join(back, "doc_id")
-    return j.select("doc_id", (F.to_json("actors") == F.to_json("a2")) & (F.to_json("key_metrics") == F.to_json("m2"))
-                    & (F.to_json("dates") == F.to_json("d2")), F.size("a2").alias("n_actors")).toDF(
-        "doc_id", "roundtrip_equal", "n_actors")
+    back = L.from_json_columns(L.to_json_columns(p))
+    names = F.array_sort(F.transform("actors", lambda a: a["name"]))
+    return back.select("doc_id", F.array_join(names, "|").alias("actor_names"),
+                       F.array_join(F.array_sort("key_metrics"), "|").alias("metrics"), F.size("dates").alias("n_dates"))
 
 
 @query("explode_actors")

@@ -79,7 +79,7 @@ ORDER BY score DESC, doc_id
 LIMIT 10
 """
 
-ORACLE["scan_limit"] = "SELECT doc_id, source, n_chars FROM documents ORDER BY doc_id LIMIT 1500"
+ORACLE["scan_limit"] = "SELECT doc_id, source, n_chars FROM documents ORDER BY doc_id LIMIT 500"
 
 ORACLE["jsonl_roundtrip"] = """
 SELECT source, count(*) AS n_docs, CAST(sum(length(text)) AS BIGINT) AS total_chars,
@@ -92,11 +92,11 @@ SELECT doc_id, CAST(len(regexp_extract_all(lower(text), 'schaft|ung')) AS BIGINT
 FROM documents WHERE regexp_matches(lower(text), 'schaft|ung')
 """
 
-SENT_RE = "[^.!?\\n]+[.!?]*"
 
 
 def sentences_sql(x: str) -> str:
-    return (f"list_filter(list_transform(regexp_extract_all({x}, '{SENT_RE}'), lambda s: {strip_sql('s')}), "
+    ends = f"regexp_replace({x}, '([.!?]+)[ \\t\\n]+', '\\1' || chr(10), 'g')"
+    return (f"list_filter(list_transform(string_split({ends}, chr(10)), lambda s: {strip_sql('s')}), "
             f"lambda s: regexp_matches(s, '[A-Za-z0-9]'))")
 
 
@@ -296,7 +296,7 @@ def label_type_sql(x: str) -> str:
 
 
 MENTIONS = CLEAN + """,
-ct AS (SELECT doc_id, substr(text, 1, 10000) AS t FROM clean),
+ct AS (SELECT doc_id, text AS t FROM clean),
 raw_m AS (""" + " UNION ALL ".join(
     f"SELECT doc_id, t, unnest(regexp_extract_all(t, '{p}')) AS name, '{lab}' AS raw_label FROM ct"
     for lab, p in PATTERNS_SQL) + """),
@@ -319,11 +319,13 @@ pents AS (
          dm.raw_label, dm.pos, dm.n_mentions, round(dm.n_mentions / dm.total_mentions, 4) AS salience,
          round(coalesce(avg(sent.v), 0.0), 4) AS sentiment_score, round(coalesce(sum(abs(sent.v)), 0.0), 4) AS sentiment_magnitude,
          'pattern' AS extractor
-  FROM dm LEFT JOIN sent ON sent.doc_id = dm.doc_id AND strpos(sent.s, dm.name) > 0
+  FROM dm LEFT JOIN sent ON sent.doc_id = dm.doc_id AND strpos(lower(sent.s), lower(trim(dm.name))) > 0
   GROUP BY ALL)"""
 
 ORACLE["extract_entities_pattern"] = f"WITH {MENTIONS} SELECT doc_id, name, raw_label, pos FROM mentions"
 
+ORACLE["extract_entities_baseline"] = ORACLE["extract_entities_pattern"].replace("text AS t FROM clean", "substr(text, 1, 10000) AS t FROM clean")
+
 ORACLE["dedupe_mentions"] = f"WITH {MENTIONS} SELECT doc_id, name, raw_label, pos, n_mentions FROM dm"
 
 ORACLE["entity_salience"] = f"""WITH {MENTIONS}
@@ -332,6 +334,34 @@ SELECT doc_id, name, raw_label, pos, n_mentions,
 
 ORACLE["entity_sentiment"] = f"WITH {MENTIONS} SELECT * FROM pents"
 
+
+def first_bytes_sql(x: str, n: int) -> str:
+    """The longest prefix of whole characters within n bytes."""
+    return (f"CASE WHEN strlen({x}) <= {n} THEN {x} ELSE substr({x}, 1, list_max(list_filter(range({n // 4}, {n + 1}), "
+            f"lambda i: strlen(substr({x}, 1, i)) <= {n}))) END")
+
+
+ORACLE["extract_entities_service"] = ORACLE["entity_sentiment"].replace("'pattern' AS extractor", "'service' AS extractor").replace(
+    "text AS t FROM clean", f"{first_bytes_sql('text', 99000)} AS t FROM clean")
+
+ORACLE["truncate_bytes"] = f"""
+SELECT doc_id, CAST(strlen(t) AS INTEGER) AS bytes, CAST(length(t) AS INTEGER) AS chars
+FROM (SELECT doc_id, {first_bytes_sql('text', 1000)} AS t FROM documents)"""
+
+ORACLE["redact_pii"] = f"""
+SELECT doc_id, CAST(len(regexp_extract_all(text, '{PATTERNS_SQL[0][1]}')) AS BIGINT) AS n_email,
+       CAST(len(regexp_extract_all(t1, '{PATTERNS_SQL[2][1]}')) AS BIGINT) AS n_phone,
+       sha256(regexp_replace(t1, '{PATTERNS_SQL[2][1]}', '[PHONE]', 'g')) AS redacted_hash
+FROM (SELECT doc_id, text, regexp_replace(text, '{PATTERNS_SQL[0][1]}', '[EMAIL]', 'g') AS t1 FROM documents)"""
+
+ORACLE["table_create_append"] = """
+SELECT source, 2 * count(*) AS n_rows, CAST(2 * sum(n_chars) AS BIGINT) AS n_chars FROM documents GROUP BY source"""
+
+ORACLE["stream_ingest"] = f"WITH {CLEAN} SELECT text_hash, token_count FROM clean"
+
+ORACLE["table_truncate_write"] = f"""WITH {MENTIONS}
+SELECT extractor, entity_type, count(*) AS n_rows, count(DISTINCT doc_id) AS n_docs FROM pents GROUP BY extractor, entity_type"""
+
 GAZ = MENTIONS + """,
 gz AS (SELECT DISTINCT lower(regexp_replace(trim(name), ' +', ' ', 'g')) AS k, raw_label FROM (
    SELECT 'Apache License' AS name, 'LAW' AS raw_label UNION ALL SELECT 'General Public License', 'LAW'
@@ -368,7 +398,8 @@ SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY salience DES
 FROM allents QUALIFY rank <= 20"""
 
 ORACLE["extraction_report"] = f"""WITH {GAZ}
-SELECT extractor, count(DISTINCT doc_id) AS docs_with_entities, CAST(count(*) AS BIGINT) AS entity_rows
+SELECT extractor, count(DISTINCT doc_id) AS docs_with_entities, CAST(count(*) AS BIGINT) AS entity_rows,
+       (SELECT count(DISTINCT doc_id) FROM clean) AS docs_processed
 FROM allents GROUP BY extractor"""
 
 ORACLE["entities_lookup_or_compute"] = f"""WITH {MENTIONS},
@@ -391,7 +422,7 @@ CATS_SQL = [
 ]
 
 ORACLE["document_categories"] = f"""WITH {CLEAN},
-ct AS (SELECT doc_id, substr(text, 1, 10000) AS t FROM clean),
+ct AS (SELECT doc_id, text AS t FROM clean),
 cw AS (SELECT doc_id, t, regexp_extract_all(lower(t), '[a-z0-9]+') AS w FROM ct),
 cc AS (SELECT doc_id, CASE WHEN len({sentences_sql('t')}) >= 20 THEN list_filter([""" + ", ".join(
     f"CASE WHEN len(list_filter(w, lambda x: list_contains({kw}, x))) >= 2 THEN '{name}' END"
@@ -402,7 +433,7 @@ SELECT doc_id, CAST(len(cats) AS INTEGER) AS n_categories, array_to_string(cats,
 
 AGG = GAZ + """,
 req AS (SELECT doc_id FROM labels UNION ALL SELECT doc_id FROM labels WHERE toxic = 1),
-sel AS (SELECT * FROM allents WHERE doc_id IN (SELECT doc_id FROM req)),
+sel AS (SELECT * FROM allents WHERE extractor = 'pattern' AND doc_id IN (SELECT doc_id FROM req)),
 per AS (SELECT entity_name, count(*) AS frequency,
                sum(CAST(coalesce(sentiment_score, 0.0) AS DECIMAL(18, 4))) AS ssum,
                first(coalesce(entity_type, 'OTHER') ORDER BY doc_id DESC, entity_type DESC) AS entity_type
@@ -428,24 +459,27 @@ ZERO = "CAST(0 AS DOUBLE)"
 
 
 def textrank_sql(src: str, keys: str, text: str, prefix: str, iterations: int = 20) -> str:
-    """CTEs {prefix}_tr(keys, S, ranks) and {prefix}_rk(keys, i, s, r) for relation ``src``."""
-    sets = (f"list_transform(list_filter(list_transform({sentences_sql(text)}, "
-            f"lambda s: {{'s': s, 'ws': regexp_extract_all(lower(s), '[a-z0-9]+')}}), lambda x: len(x.ws) > 0), "
-            f"lambda x: {{'s': x.s, 'w': list_distinct(x.ws), 'n': len(x.ws)}})")
-    sim = ("CASE WHEN ln(a.n) + ln(b.n) > 0 THEN CAST(len(list_intersect(a.w, b.w)) AS DOUBLE) / (ln(a.n) + ln(b.n)) "
-           "ELSE CAST(len(list_intersect(a.w, b.w)) AS DOUBLE) END")
-    return f"""
-{prefix}_s AS (SELECT {keys}, {sets} AS S FROM {src}),
-{prefix}_w AS (SELECT {keys}, S, list_transform(S, lambda a: list_transform(S, lambda b: {sim})) AS W FROM {prefix}_s),
-{prefix}_rs AS (SELECT {keys}, S, W, list_transform(W, lambda row: list_reduce(row, lambda acc, x: acc + x, {ZERO})) AS rs,
-                len(S) AS N FROM {prefix}_w),
-{prefix}_tr AS (SELECT {keys}, S, list_reduce(range({iterations}), lambda r, k: list_transform(W, lambda row:
-      {BASE_D} / N + {DAMP} * list_reduce(list_zip(row, list_transform(list_zip(r, rs), lambda p: p[1] / p[2])),
-                                         lambda acc, p: acc + p[1] * p[2], {ZERO})),
-      list_transform(S, lambda x: CAST(1.0 AS DOUBLE) / N)) AS ranks FROM {prefix}_rs),
-{prefix}_rk AS (SELECT {keys}, i, S[i].s AS s, round(ranks[i], 9) AS r,
-                row_number() OVER (PARTITION BY {keys} ORDER BY round(ranks[i], 9) DESC, i) AS rnk
-                FROM (SELECT {keys}, S, ranks, unnest(range(1, len(S) + 1)) AS i FROM {prefix}_tr))"""
+    """CTEs {prefix}_rk(keys, i, s, r, rnk) for relation ``src``: word pairs by a
+    join on words, then one relation of ranks for each iteration."""
+    p, ks = prefix, keys.split(", ")
+    k = lambda t: ", ".join(f"{t}.{x}" for x in ks)
+    on = lambda a, b: " AND ".join(f"{a}.{x} = {b}.{x}" for x in ks)
+    out = f"""
+{p}_sent AS MATERIALIZED (SELECT {keys}, i, S[i] AS s, regexp_extract_all(lower(S[i]), '[a-z0-9]+') AS ws, len(S) AS N
+  FROM (SELECT {keys}, S, unnest(range(1, len(S) + 1)) AS i FROM (SELECT {keys}, {sentences_sql(text)} AS S FROM {src}))),
+{p}_word AS MATERIALIZED (SELECT {keys}, i, w, count(*) AS c, max(n) AS n FROM (SELECT {keys}, i, unnest(ws) AS w, len(ws) AS n FROM {p}_sent) GROUP BY {keys}, i, w),
+{p}_edge AS MATERIALIZED (SELECT {k('a')}, a.i, b.i AS j, CAST(sum(a.c * b.c) AS DOUBLE)
+    / CASE WHEN max(ln(a.n) + ln(b.n)) > 0 THEN max(ln(a.n) + ln(b.n)) ELSE 1 END AS w
+  FROM {p}_word a JOIN {p}_word b ON {on('a', 'b')} AND a.w = b.w GROUP BY {k('a')}, a.i, b.i),
+{p}_m AS MATERIALIZED (SELECT {keys}, i, j, w / sum(w) OVER (PARTITION BY {keys}, j) AS m FROM {p}_edge),
+{p}_r0 AS MATERIALIZED (SELECT {keys}, i, N, 1.0::DOUBLE / N AS r FROM {p}_sent),"""
+    for t in range(1, iterations + 1):
+        out += f"""
+{p}_r{t} AS MATERIALIZED (SELECT {k('m')}, m.i, max(r.N) AS N, {BASE_D} / max(r.N) + {DAMP} * sum(m.m * r.r) AS r
+  FROM {p}_m m JOIN {p}_r{t - 1} r ON {on('m', 'r')} AND m.j = r.i GROUP BY {k('m')}, m.i),"""
+    return out + f"""
+{p}_rk AS (SELECT {k('e')}, e.i, e.s, round(r.r, 9) AS r, row_number() OVER (PARTITION BY {k('e')} ORDER BY round(r.r, 9) DESC, e.i) AS rnk
+  FROM {p}_sent e JOIN {p}_r{iterations} r ON {on('e', 'r')} AND e.i = r.i)"""
 
 
 def first_words_sql(x: str, n: int) -> str:
@@ -525,9 +559,9 @@ g AS (SELECT group_id,
              string_agg('[' || CAST(doc_id AS VARCHAR) || ']: ' || abstract, chr(10) || chr(10) ORDER BY pos)
                FILTER (WHERE abstract IS NOT NULL) AS combined
       FROM j GROUP BY group_id),
-p AS (SELECT *, CASE WHEN n_used > 0 THEN 'Based on these article summaries, answer the following question:' || chr(10) || chr(10)
-         || 'Question: What do these documents have in common?' || chr(10) || chr(10) || 'Summaries:' || chr(10) || combined
-         || chr(10) || chr(10) || 'Provide a concise, evidence-based answer citing the doc_ids.' END AS prompt FROM g)
+p AS (SELECT *, CASE WHEN n_used > 0 THEN 'Question about several texts: What do these documents have in common?' || chr(10) || chr(10)
+         || 'What each text says, by id:' || chr(10) || combined || chr(10) || chr(10)
+         || 'Answer briefly from these only, naming the ids you rely on.' END AS prompt FROM g)
 SELECT group_id, doc_ids_requested, doc_ids_used, n_used, sha256(prompt) AS prompt_hash,
        CAST(length(prompt) AS INTEGER) AS prompt_chars FROM p"""
 
@@ -539,12 +573,12 @@ SELECT count(*) AS processed, count(*) FILTER (WHERE length(coalesce(abstract, '
 
 ROUGE = SUMM + f""",
 cref AS (SELECT *, array_to_string({sentences_sql('text')}[1:3], ' ') AS reference_summary FROM clean),
-refs AS (SELECT doc_id, reference_summary AS text FROM cref WHERE doc_id IN (SELECT doc_id FROM labels)),
+refs AS (SELECT doc_id, reference_summary AS text FROM cref),
 trs AS (SELECT c.doc_id, coalesce(string_agg(s, ' ' ORDER BY i) FILTER (WHERE rnk <= 3), '') AS summary
         FROM clean c LEFT JOIN d_rk USING (doc_id) GROUP BY c.doc_id),
-stored AS (SELECT doc_id, tldr FROM d_st WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)),
 hyps AS (SELECT doc_id, 'textrank' AS model, summary AS text FROM trs
-         UNION ALL SELECT c.doc_id, 'tldr', s.tldr FROM clean c LEFT JOIN stored s USING (doc_id)),
+         UNION ALL SELECT c.doc_id, 'abstract', CASE WHEN c.doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 0) THEN s.abstract END
+         FROM clean c LEFT JOIN d_st s USING (doc_id)),
 pairs AS (SELECT r.doc_id, h.model, regexp_extract_all(lower(coalesce(r.text, '')), '[a-z0-9]+') AS rt,
                  regexp_extract_all(lower(coalesce(h.text, '')), '[a-z0-9]+') AS ht
           FROM refs r JOIN hyps h USING (doc_id)),
@@ -569,7 +603,7 @@ ORACLE["rouge_tokens"] = f"""WITH {CLEAN},
 cref AS (SELECT *, array_to_string({sentences_sql('text')}[1:3], ' ') AS reference_summary FROM clean)
 SELECT doc_id, CAST(len(t) AS INTEGER) AS n_tokens, array_to_string(t, ' ') AS tokens
 FROM (SELECT doc_id, regexp_extract_all(lower(coalesce(reference_summary, '')), '[a-z0-9]+') AS t
-      FROM cref WHERE doc_id IN (SELECT doc_id FROM labels))"""
+      FROM cref)"""
 
 ORACLE["rouge_n"] = f"WITH {ROUGE} SELECT doc_id, model, rouge1, rouge2 FROM scores"
 ORACLE["rouge_l"] = f"WITH {ROUGE} SELECT doc_id, model, rougeL FROM scores"
@@ -594,7 +628,12 @@ SELECT role, count(*) AS n_turns, count(tool_name) AS n_tool_calls FROM (
 ORACLE["history_expand"] = """
 SELECT conv_id, turn, 0 AS part_no, CASE WHEN role = 'user' THEN 'user' ELSE 'model' END AS part_role,
        'text' AS kind, sha256(text) AS payload_hash
-FROM conversations WHERE role IN ('user', 'assistant', 'model')"""
+FROM conversations WHERE role IN ('user', 'assistant', 'model')
+UNION ALL
+SELECT conv_id, turn, 0, 'model', 'function_call', sha256(CASE WHEN turn % 2 = 1 THEN '{"n": ' || length(text) || '}' ELSE '{}' END)
+FROM conversations WHERE role = 'user'
+UNION ALL
+SELECT conv_id, turn, 1, 'user', 'function_response', sha256('{"result": {"hash": "' || md5(text) || '"}}') FROM conversations WHERE role = 'user'"""
 
 CACHE = """
 log AS (SELECT user_id AS doc_id, event_type AS key, props AS value, ts, event_id FROM events),
@@ -610,16 +649,14 @@ FROM req LEFT JOIN latest ON req.doc_id = latest.doc_id AND req.key = latest.key
 # --- inference stage ---------------------------------------------------------------
 
 PAT = dict(PATTERNS_SQL)
-TEMPLATE_PREFIX = ("Extract the following structured information from the news article below.' || chr(10) || chr(10) || "
-                   "'Article:' || chr(10) || '")
-
 INFER = CLEAN + f""",
-ct AS (SELECT c.doc_id, substr(c.text, 1, 12000) AS t, coalesce(l.toxic = 1, false) AS tox,
+ct AS (SELECT c.doc_id, c.text AS t, coalesce(l.toxic = 1, false) AS tox,
               coalesce(l.toxic = 1 AND l.quality = 0, false) AS bad
        FROM clean c LEFT JOIN labels l USING (doc_id)),
 f AS (SELECT doc_id, tox, bad, coalesce(({sentences_sql('t')})[1], '') AS core_issue,
              regexp_extract_all(t, '{PAT["PROPN"]}') AS actor_names,
              len(list_distinct(regexp_extract_all(t, '{PAT["PROPN"]}'))) AS n_actors,
+             list_distinct(list_concat(regexp_extract_all(t, '{PAT["PERCENT"]}'), regexp_extract_all(t, '{PAT["MONEY"]}'))) AS metrics,
              len(list_distinct(list_concat(regexp_extract_all(t, '{PAT["PERCENT"]}'), regexp_extract_all(t, '{PAT["MONEY"]}')))) AS n_metrics,
              len(list_distinct(regexp_extract_all(t, '{PAT["DATE"]}'))) AS n_dates,
              len(list_filter(regexp_extract_all(lower(t), '[a-z0-9]+'), lambda x: list_contains({POS_SQL}, x))) AS p,
@@ -632,27 +669,28 @@ pe AS (SELECT doc_id, NOT bad AS parse_ok,
               CASE WHEN bad THEN 0 ELSE n_dates END AS n_dates,
               CASE WHEN bad THEN 'neutral' WHEN tox THEN 'toxic' WHEN p > n THEN 'positive' WHEN n > p THEN 'negative'
                    ELSE 'neutral' END AS sentiment_label,
-              actor_names
+              actor_names, CASE WHEN bad THEN [] ELSE metrics END AS metrics, CASE WHEN bad THEN [] ELSE list_distinct(actor_names) END AS names
        FROM f),
 va AS (SELECT *, CASE WHEN NOT parse_ok THEN 'malformed_json'
                       WHEN sentiment_label NOT IN ('positive', 'negative', 'neutral') THEN 'invalid_sentiment_label'
                  END AS reject_reason FROM pe)"""
 
-ORACLE["build_requests"] = f"""WITH {CLEAN},
-r AS (SELECT doc_id, '{TEMPLATE_PREFIX}' || substr(text, 1, 12000) || chr(10) || chr(10) ||
-  'Return a JSON object with these fields:' || chr(10) ||
-  '- core_issue: A single sentence describing the central event or problem reported.' || chr(10) ||
-  '- actors: A list of people or organisations and their role in the story.' || chr(10) ||
-  '  Each item must have "name" (string) and "role" (string).' || chr(10) ||
-  '- key_metrics: A list of specific numbers, statistics, or quantitative facts' || chr(10) ||
-  '  mentioned in the article (e.g. "GDP fell 3.2%", "12 people arrested").' || chr(10) ||
-  '- dates: A list of specific dates or time references and what happened on them.' || chr(10) ||
-  '  Each item must have "date" (string) and "event" (string).' || chr(10) ||
-  '- sentiment_label: One of "positive", "negative", or "neutral" describing' || chr(10) ||
-  '  the overall tone of the article.' || chr(10) ||
-  '- sentiment_reason: A single sentence explaining the sentiment label.' || chr(10) AS request FROM clean)
+REQUESTS = CLEAN + """,
+r AS (SELECT doc_id, 'Read the text between the two lines and describe it as one JSON object.' || chr(10) || '-----' || chr(10)
+  || substr(text, 1, 12000) || chr(10) || '-----' || chr(10) || 'Fields of the object:' || chr(10)
+  || 'core_issue (string): what the text is mainly about, in a sentence' || chr(10)
+  || 'actors (list of {"name", "role"}): who takes part, and as what' || chr(10)
+  || 'key_metrics (list of strings): figures the text states' || chr(10)
+  || 'dates (list of {"date", "event"}): days or times it names, and what happened then' || chr(10)
+  || 'sentiment_label (positive, negative or neutral): its tone as a whole' || chr(10)
+  || 'sentiment_reason (string): why, in a sentence' || chr(10) || 'State only what the text says.' || chr(10) AS request FROM clean)"""
+
+ORACLE["build_requests"] = f"""WITH {REQUESTS}
 SELECT doc_id, CAST(length(request) AS INTEGER) AS request_chars, sha256(request) AS request_hash FROM r"""
 
+ORACLE["model_call"] = f"""WITH {REQUESTS}
+SELECT doc_id, length(request) || ' characters, ' || sha256(request) AS answer, CAST(NULL AS VARCHAR) AS error FROM r"""
+
 ORACLE["parse_extractions"] = f"""WITH {INFER}
 SELECT doc_id, parse_ok, CAST(core_issue_chars AS INTEGER) AS core_issue_chars, CAST(n_actors AS INTEGER) AS n_actors,
        CAST(n_metrics AS INTEGER) AS n_metrics, CAST(n_dates AS INTEGER) AS n_dates, sentiment_label FROM pe"""
@@ -664,7 +702,8 @@ SELECT 'ok' AS status, count(*) FILTER (WHERE reject_reason IS NULL) AS n FROM v
 UNION ALL SELECT reject_reason, count(*) FROM va WHERE reject_reason IS NOT NULL GROUP BY reject_reason"""
 
 ORACLE["json_roundtrip"] = f"""WITH {INFER}
-SELECT doc_id, true AS roundtrip_equal, CAST(n_actors AS INTEGER) AS n_actors FROM pe"""
+SELECT doc_id, array_to_string(list_sort(names), '|') AS actor_names, array_to_string(list_sort(metrics), '|') AS metrics,
+       CAST(n_dates AS INTEGER) AS n_dates FROM pe"""
 
 ORACLE["explode_actors"] = f"""WITH {INFER},
 good AS (SELECT doc_id, actor_names FROM va WHERE reject_reason IS NULL),

@@ -48,6 +48,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             current = None
     if current:
         return current
+    master = spark.conf.get("spark.master", "local")
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="textmill-ckpt-", dir="/tmp")
     spark.conf.set("spark.checkpoint.dir", path)
     try:
@@ -57,12 +60,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -3,7 +3,6 @@ parameterised SQL and keyed point lookups, all as lazy DataFrames."""
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,10 +30,7 @@ def eval_sample(df: DataFrame, reference_col: str, columns: list[str], limit: in
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the session's shared checkpoint directory."""
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def write_jsonl(df: DataFrame, path: str) -> str:
@@ -64,13 +60,18 @@ def enforce_required(df: DataFrame, schema: StructType) -> DataFrame:
 
 
 def create_table_if_absent(spark: SparkSession, path: str, schema: StructType) -> str:
-    """Create an empty typed Parquet table unless one exists at ``path``."""
-    try:
-        spark.read.schema(schema).parquet(path).limit(0).collect()
-        return path
-    except Exception:  # noqa: BLE001 - absent table
-        spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
-        return path
+    """Create an empty typed Parquet table unless one exists at ``path``.
+
+    Nothing there is ever overwritten: the write ignores a path that holds
+    something, and any other failure (permissions, an unreadable path) reaches
+    the caller. A table of other columns or types at the path is an error.
+    """
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
+    found = [(f.name, f.dataType) for f in spark.read.parquet(path).schema.fields]
+    wanted = [(f.name, f.dataType) for f in schema.fields]
+    if sorted(found, key=str) != sorted(wanted, key=str):
+        raise ValueError(f"the table at {path} has other columns: {found}")
+    return path
 
 
 def write_table(df: DataFrame, path: str, schema: StructType, mode: str = "overwrite",

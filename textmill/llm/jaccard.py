@@ -1,10 +1,12 @@
 """Exact n-gram Jaccard join in the metric space of shingle sets.
 
 1 - Jaccard is a metric, and two documents link within the radius r = 1 - threshold. Equal
-sets are one point. Documents that link share one of their first shingles in any fixed order
-(of n shingles, n - ceil(threshold n) + 1 of them), here rare ones first. Per such shingle,
-the document with the smallest number is a pivot, and its region holds every document with
-the shingle: whatever links meets in the region of some pivot. Regions then join:
+sets are one point. Documents that link share some of their first shingles in any fixed
+order, here common ones last and others by hash. Per such shingle, the document with the
+smallest number is a pivot, and its region holds every document with the shingle: whatever
+links meets in the region of some pivot. How many first shingles a document shares with any
+partner at least is known (see ``first_shingles``), so most documents need not enter a region
+at all, and the others only their main ones. Regions then join:
 
 * a small region in one task: its documents are pivots in turn, and the triangle inequality
   with the distances so far rules out what need not be compared;
@@ -37,6 +39,11 @@ PIVOTS = 16
 #: only: any order common to all documents gives the same links.
 FREQUENT = 50_000
 LOCAL, BUFFER = 8, 4_000_000
+#: The first shingles are those in this part of the hash range, a quarter of the set at least.
+FIRST = 0.36
+#: Bits of the filter that keeps texts out of the shuffle that no region asks for. It has this
+#: size for any input; what it lets through in vain goes in the join.
+FILTER_BITS = 1 << 26
 
 
 def signatures(sets: np.ndarray, begin: np.ndarray) -> np.ndarray:
@@ -75,77 +82,141 @@ class Frequencies:
         self.keys, self.counts, self.parts, self.held = keys[first][keep], counts[keep], [], 0
 
 
-def profile(docs: DataFrame) -> DataFrame:
-    """Per document doc_id, n_shingles, point (the signature of its set); and per task one
-    row with n_shingles -1 and the shingles that at least LOCAL of its points have."""
-    rows = docs.select("doc_id", F.col("text").alias("__text"))
-    schema = rows.select("doc_id").schema.add("n_shingles", "long").add("point", "long").add("shingles", ArrayType(LongType())).add("counts", ArrayType(LongType()))
+def common_shingles(docs: DataFrame) -> DataFrame:
+    """(shingle, n): the shingles that at least LOCAL points of a task have, a row for each task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        freq, seen, ids = Frequencies(), set(), None
+        freq, seen = Frequencies(), set()
         for b in batches:
-            ids = b.column(0).type
-            for lo, col in base.passes(b.column(1)):
+            for _, col in base.passes(b.column(0)):
                 sets, begin = scan.shingle_sets(col, SIZE)
-                point = signatures(sets, begin)
-                fresh = [i for i, p in enumerate(point.tolist()) if p not in seen and not seen.add(p)]
+                fresh = [i for i, p in enumerate(signatures(sets, begin).tolist()) if p not in seen and not seen.add(p)]
                 freq.add(np.concatenate([sets[begin[i] : begin[i + 1]] for i in fresh]) if fresh else sets[:0])
-                n = len(col)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, n), pa.array(np.diff(begin)), pa.array(point.view(np.int64)), pa.nulls(n, pa.list_(pa.int64())), pa.nulls(n, pa.list_(pa.int64()))], schema.names)
                 if len(seen) > BUFFER:
                     seen = set()
-        if ids is not None:
-            freq.merge(LOCAL)
-            yield pa.RecordBatch.from_arrays([pa.nulls(1, ids), pa.array([-1], pa.int64()), pa.array([0], pa.int64()), pa.array([freq.keys.view(np.int64).tolist()], pa.list_(pa.int64())), pa.array([freq.counts.tolist()], pa.list_(pa.int64()))], schema.names)
+        freq.merge(LOCAL)
+        yield pa.RecordBatch.from_arrays([pa.array(freq.keys.view(np.int64)), pa.array(freq.counts)], ["shingle", "n"])
 
-    return rows.mapInArrow(run, schema)
+    return docs.select("text").mapInArrow(run, "shingle long, n long")
 
 
-def frequent(profiles: DataFrame) -> list[np.ndarray]:
+def frequent(docs: DataFrame) -> list[np.ndarray]:
     """At most FREQUENT shingles, sorted, and the rank of each from rare to common."""
-    rows = profiles.where("n_shingles < 0").select(F.explode(F.arrays_zip("shingles", "counts")).alias("x"))
-    top = rows.groupBy(F.col("x.shingles").alias("s")).agg(F.sum("x.counts").alias("n")).orderBy(F.desc("n"), "s").limit(FREQUENT).collect()
-    key, n = np.array([r["s"] for r in top], np.int64).view(scan.U), np.array([r["n"] for r in top], np.int64)
+    sums = common_shingles(docs).groupBy("shingle").agg(F.sum("n").alias("n"))
+    top = sums.orderBy(F.desc("n"), "shingle").limit(FREQUENT).collect()
+    key, n = np.array([r["shingle"] for r in top], np.int64).view(scan.U), np.array([r["n"] for r in top], np.int64)
     rank = np.empty(len(key), np.int64)
     rank[np.lexsort((key, n))] = np.arange(len(key))
     order = np.argsort(key)
     return [key[order], rank[order]]
 
 
-def first_shingles(col: pa.Array, keys: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(shingle, point) of the prefixes of a string column's distinct sets."""
-    sets, begin = scan.shingle_sets(col, SIZE)
-    point, n = signatures(sets, begin), np.diff(begin)
+def first_shingles(sets: np.ndarray, begin: np.ndarray, keys: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places of the first shingles of all sets, how many each set shares at least with any
+    partner).
+
+    A set of n has its first L in the common order: those in the part FIRST of the hash range,
+    floor(n / 4) + 1 at least. Take a linked pair, and of the two the set z of n_z whose first
+    shingles end earlier in the order. The pair has 3 n_z / 4 or more shingles in common; at most
+    n_z - L_z of these come later, and the others are first ones of both. So both share
+    L_z - floor(n_z / 4) first shingles or more. If the end is the same for both, either can be
+    z; if not, the other one has just floor(n / 4) + 1 and is only promised one.
+    """
+    n = np.diff(begin)
     doc = np.repeat(np.arange(len(n)), n)
     at = np.searchsorted(keys, sets)
     at[at == len(keys)] = 0
     common = (keys[at] == sets) if len(keys) else np.zeros(len(sets), bool)
-    take = n // 4 + (n > 0)  # n - ceil(3 n / 4) + 1
+    early = (sets < scan.U(int(FIRST * 2**64))) & ~common
+    take = np.maximum(np.bincount(doc[early], minlength=len(n)), n // 4 + (n > 0))
     # within a document sets are in order already; only those with common shingles are sorted anew
     order = np.arange(len(sets))
     for i in np.unique(doc[common]):
         a, b = begin[i], begin[i + 1]
         order[a:b] = a + np.lexsort((sets[a:b], np.where(common[a:b], rank[at[a:b]], -1)))
     place = np.arange(len(sets)) - np.repeat(begin[:-1], n)
-    chosen = order[place < np.repeat(take, n)]
-    fresh = np.zeros(len(n), bool)
-    fresh[np.unique(point, return_index=True)[1]] = True
-    chosen = chosen[fresh[doc[chosen]]]
-    return sets[chosen], point[doc[chosen]]
+    return order[place < np.repeat(take, n)], take - n // 4
+
+
+def profile(docs: DataFrame, order: list[np.ndarray]) -> DataFrame:
+    """doc_id, n_shingles, point (the signature of its set) and need (first shingles shared with any partner)."""
+    sent = docs.sparkSession.sparkContext.broadcast(order)
+    rows = docs.select("doc_id", F.col("text").alias("__text"))
+    schema = rows.select("doc_id").schema.add("n_shingles", "long").add("point", "long").add("need", "long")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo, col in base.passes(b.column(1)):
+                sets, begin = scan.shingle_sets(col, SIZE)
+                _, need = first_shingles(sets, begin, *sent.value)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, len(col)), pa.array(np.diff(begin)), pa.array(signatures(sets, begin).view(np.int64)), pa.array(need)], schema.names)
+
+    return rows.mapInArrow(run, schema)
 
 
 def postings(docs: DataFrame, order: list[np.ndarray]) -> DataFrame:
+    """(s, point): the first shingles of every set; copies within a pass once."""
     sent = docs.sparkSession.sparkContext.broadcast(order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for _, col in base.passes(b.column(0)):
-                s, p = first_shingles(col, *sent.value)
-                yield pa.RecordBatch.from_arrays([pa.array(s.view(np.int64)), pa.array(p.view(np.int64))], ["s", "point"])
+                sets, begin = scan.shingle_sets(col, SIZE)
+                point = signatures(sets, begin)
+                chosen, _ = first_shingles(sets, begin, *sent.value)
+                doc = np.repeat(np.arange(len(point)), np.diff(begin))
+                fresh = np.zeros(len(point), bool)
+                fresh[np.unique(point, return_index=True)[1]] = True
+                chosen = chosen[fresh[doc[chosen]]]
+                yield pa.RecordBatch.from_arrays([pa.array(sets[chosen].view(np.int64)), pa.array(point[doc[chosen]].view(np.int64))], ["s", "point"])
 
     return docs.select("text").mapInArrow(run, "s long, point long")
 
 
+def regions_of(docs: DataFrame, profiles: DataFrame, points: DataFrame, order: list[np.ndarray]) -> DataFrame:
+    """(region, point, rep, size): the documents of every region.
+
+    A document whose first shingles are shared less often than it needs has no partner. Of
+    its regions a document leaves the smallest, by shingles, as long as they sum up to less
+    than half of its need: two partners then still have a shingle whose region neither left.
+    """
+    least, most = F.expr("min(point) over (partition by s)"), F.expr("max(point) over (partition by s)")
+    shared = postings(docs, order).select("point", least.alias("region"), most.alias("other")).where("region <> other")
+    shared = base.stage(shared.groupBy("region", "point").agg(F.count(F.lit(1)).alias("k")), "jaccard-shared")
+    held = shared.join(points, "point").withColumn("total", F.expr("sum(k) over (partition by point)"))
+    held = held.withColumn("upto", F.expr("sum(k) over (partition by point order by k, region)"))
+    held = held.where("total >= need and 2 * upto >= need").select("region", "point", "rep")
+    held = base.stage(held, "jaccard-regions")
+    sizes = held.groupBy("region").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    return base.stage(held.join(sizes, "region"), "jaccard-members")
+
+
+def wanted_texts(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """(__id, __text) of the documents that represent a member, and few others: a filter of a
+    fixed number of bits keeps most others out of the shuffle to the join."""
+    spark = docs.sparkSession
+    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
+    place = members.select(bit("rep").alias("b"))
+    rows = place.groupBy(F.bitmap_bucket_number("b").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("bits")).collect()
+    width = len(rows[0]["bits"]) if rows else 4096
+    bits = np.zeros(FILTER_BITS // 8 + 2 * width, np.uint8)
+    for r in rows:  # buckets count from 1
+        at = (r["bucket"] - 1) * width
+        bits[at : at + width] = np.frombuffer(r["bits"], np.uint8)
+    sent = spark.sparkContext.broadcast(bits)
+    texts = docs.select(F.col("doc_id").alias("__id"), F.col("text").alias("__text")).where(F.col("__text").isNotNull())
+    one = bit("__id")
+    keyed = texts.select(F.bitmap_bucket_number(one).alias("bucket"), F.bitmap_bit_position(one).alias("pos"), "__id", "__text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = (b.column(0).to_numpy() - 1) * width * 8 + b.column(1).to_numpy()
+            hit = sent.value[at >> 3] >> (at & 7).astype(np.uint8) & 1
+            yield b.select([2, 3]).filter(pa.array(hit.astype(bool)))
+
+    return keyed.mapInArrow(run, texts.schema)
+
+
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
     """Elements that two sorted sets share."""
     if len(a) > len(b):
@@ -301,15 +372,11 @@ def dealt(rows: DataFrame, texts: DataFrame, keys: list[str], columns: list[str]
     return out.repartition(*keys).sortWithinPartitions(*keys)
 
 
-def links(docs: DataFrame, profiles: DataFrame) -> DataFrame:
+def links(docs: DataFrame, profiles: DataFrame, order: list[np.ndarray]) -> DataFrame:
     """(u, v): links between points that connect them just as all links do."""
-    points = base.stage(profiles.where("n_shingles > 0").groupBy("point").agg(F.min("doc_id").alias("rep")), "jaccard-points")
-    texts = docs.select(F.col("doc_id").alias("__id"), F.col("text").alias("__text")).where(F.col("__text").isNotNull())
-    of_shingle = F.expr("min(point) over (partition by s)"), F.expr("max(point) over (partition by s)")
-    regions = postings(docs, frequent(profiles)).select("point", of_shingle[0].alias("region"), of_shingle[1].alias("other")).where("region <> other")
-    regions = base.stage(regions.select("region", "point").distinct(), "jaccard-regions")
-    sizes = regions.groupBy("region").agg(F.count(F.lit(1)).alias("size"))
-    members = base.stage(regions.join(sizes, "region").join(points, "point"), "jaccard-members")
+    points = profiles.where("n_shingles > 0").groupBy("point").agg(F.min("doc_id").alias("rep"), F.max("need").alias("need"))
+    members = regions_of(docs, profiles, points, order)
+    texts = wanted_texts(docs, members)
     small = dealt(members.where(F.col("size") <= LEAF), texts, ["region"], ["point"]).mapInArrow(run_small, "u long, v long")
     small = base.stage(small, "jaccard-small")
     large = members.where(F.col("size") > LEAF)
@@ -351,9 +418,9 @@ def links(docs: DataFrame, profiles: DataFrame) -> DataFrame:
 
 def classified(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, point, root (a point of the same component), component_id."""
-    profiles = base.stage(profile(docs), "jaccard-profiles")
-    roots = components(links(docs, profiles))
-    rows = profiles.where("n_shingles >= 0")
+    order = frequent(docs)
+    rows = base.stage(profile(docs, order), "jaccard-profiles")
+    roots = components(links(docs, rows, order))
     points = rows.where("n_shingles > 0").groupBy("point").agg(F.min("doc_id").alias("least"))
     points = points.join(roots.select(F.col("node").alias("point"), "root"), "point", "left").withColumn("root", F.coalesce("root", "point"))
     points = base.stage(points, "jaccard-roots")

@@ -114,7 +114,7 @@ def test_entry_and_contract(spark):
 
     qs, sqls = E.queries(), E.oracle_sql()
     assert set(sqls) <= set(qs)
-    assert {"rouge_stemmed"} == set(QUERIES) - set(sqls)
+    assert set(QUERIES) <= set(sqls)
 
 
 @pytest.mark.parametrize("name", ["clean_documents", "textrank_summary", "rouge_n", "cache_latest"])

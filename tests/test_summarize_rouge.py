@@ -127,7 +127,7 @@ def test_porter_published_examples():
 def test_rouge_with_stemmer(spark):
     df = spark.createDataFrame([(1, "m", "cats running fast", "cat runs fast")],
                                "doc_id bigint, model string, reference string, hypothesis string")
-    plain = V.rouge_scores(df).first()
+    plain = V.rouge_scores(df, stem=False).first()
     stemmed = V.rouge_scores(df, stem=True).first()
     assert plain.rouge1 < 1.0 and stemmed.rouge1 == 1.0 and stemmed.rougeL == 1.0
 

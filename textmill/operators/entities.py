@@ -18,12 +18,14 @@ from pyspark.sql import functions as F
 
 from textmill.functions import text as T
 from textmill.functions.joins import bounded_broadcast
+from textmill.session import barrier
 
 NER_CHARS = 10_000          # E2: baseline extractor truncation (characters)
 API_BYTES = 99_000          # E1: service extractor truncation (UTF-8 bytes)
 TOP_ENTITIES = 20           # E11
 CATEGORY_MIN_SENTENCES = 20  # E9: no categories for short documents
 CATEGORY_MIN_HITS = 2
+FIRST_WORDS = 2_000         # first words of a gazetteer that are compared inside a row
 
 # Raw-label -> entity type map (13 entries), default OTHER.
 LABEL_MAP = {
@@ -124,15 +126,17 @@ def extract_mentions(df: DataFrame, text_col: str = "text", key: str = "doc_id",
         key, "m.name", "m.raw_label", "m.pos")
 
 
-def ngram_array(tokens: Column, max_n: int) -> Column:
-    """All 1..max_n word n-grams of a token array, with the start index."""
-    grams = []
-    for n in range(1, max_n + 1):
-        grams.append(F.transform(
-            F.sequence(F.lit(1), F.greatest(F.size(tokens) - n + 1, F.lit(0))),
-            _ngram_at(tokens, n)))
-    out = F.flatten(F.array(*grams))
-    return F.filter(out, lambda g: g["idx"] >= 1)
+def ngram_array(tokens: Column, max_n: int, starts: Column | None = None) -> Column:
+    """All 1..max_n word n-grams of a token array, with the start index; with
+    ``starts`` only those that begin at one of these places."""
+    places = F.sequence(F.lit(1), F.size(tokens)) if starts is None else starts
+    places = F.when(F.size(tokens) > 0, places).otherwise(F.array().cast("array<int>"))
+    grams = [F.transform(F.filter(places, _fits(tokens, n)), _ngram_at(tokens, n)) for n in range(1, max_n + 1)]
+    return F.flatten(F.array(*grams))
+
+
+def _fits(tokens: Column, n: int):
+    return lambda i: i <= F.size(tokens) - (n - 1)
 
 
 def _ngram_at(tokens: Column, n: int):
@@ -150,18 +154,29 @@ def extract_gazetteer(df: DataFrame, gazetteer: DataFrame, text_col: str = "text
     character position).
 
     Matching is case-insensitive on single-space joined words; the surface
-    form kept is the document's own. The gazetteer side is broadcast only
-    behind a row-count check; larger dictionaries fall back to a shuffle join.
+    form kept is the document's own. As long as the dictionary has at most
+    ``FIRST_WORDS`` distinct first words, n-grams that begin with another word
+    are dropped inside the row, before anything is exploded or joined; a hot
+    word outside the dictionary then never becomes a row. The gazetteer side is
+    broadcast only behind a check of its size; larger dictionaries fall back to
+    a shuffle join.
     """
     max_n = max(1, gazetteer.select(F.max(F.size(F.split(F.trim("name"), " +")))).first()[0] or 1)
+    gz = gazetteer.select(F.lower(F.regexp_replace(F.trim("name"), " +", " ")).alias("_k"), "raw_label").distinct()
+    first = [r[0] for r in gz.select(F.split("_k", " ")[0]).distinct().limit(FIRST_WORDS + 1).collect()]
     t = truncate_chars(text_col, max_chars)
     # tokens become a column first: referenced inside the n-gram lambda, an
     # expression would be re-evaluated for every index. The exploded rows
     # carry only (key, idx, gram), never the text.
     staged = df.select(key, F.regexp_extract_all(t, F.lit(r"[A-Za-z0-9]+"), 0).alias("_toks"))
-    grams = staged.select(key, F.explode(ngram_array(F.col("_toks"), max_n)).alias("g")).select(
+    starts = None
+    if len(first) <= FIRST_WORDS:
+        known = _lit_array(sorted(x for x in first if x is not None)) if any(first) else F.array().cast("array<string>")
+        flags = F.transform("_toks", lambda w, i: F.when(F.array_contains(known, F.lower(w)), i + 1))
+        staged = barrier(staged.withColumn("_at", F.array_compact(flags)))
+        starts = F.col("_at")
+    grams = staged.select(key, F.explode(ngram_array(F.col("_toks"), max_n, starts)).alias("g")).select(
         key, F.col("g.idx").alias("pos"), F.col("g.gram").alias("name"), F.lower(F.col("g.gram")).alias("_k"))
-    gz = gazetteer.select(F.lower(F.regexp_replace(F.trim("name"), " +", " ")).alias("_k"), "raw_label").distinct()
     hits = grams.join(bounded_broadcast(gz), "_k")
     return hits.select(key, "name", "raw_label", "pos")
 

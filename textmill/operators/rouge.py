@@ -29,9 +29,10 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def rouge_tokens(text, stem: bool = False) -> Column:
-    """V1: lower-case ``[a-z0-9]+`` tokens; with ``stem`` the words longer than
-    three characters are Porter-stemmed (Arrow-batched, memoised per worker)."""
+def rouge_tokens(text, stem: bool = True) -> Column:
+    """V1: lower-case ``[a-z0-9]+`` tokens; with ``stem``, as the reference scores,
+    the words longer than three characters are Porter-stemmed (Arrow-batched, each
+    distinct word once while a worker remembers it)."""
     toks = T.words(F.coalesce(_c(text), F.lit("")))
     if stem:
         from textmill.functions.porter import stem_tokens_udf
@@ -137,7 +138,7 @@ def _tag(n: int, side: str):
     return lambda g: F.struct(F.lit(n).alias("n"), g.alias("gram"), F.lit(side).alias("side"))
 
 
-def rouge_scores(pairs: DataFrame, key: str = "doc_id", stem: bool = False) -> DataFrame:
+def rouge_scores(pairs: DataFrame, key: str = "doc_id", stem: bool = True) -> DataFrame:
     """V2-V4: per (doc, model) ROUGE-1, ROUGE-2 and ROUGE-L F1, 4 dp.
 
     Sizes and the LCS are computed per pair row; n-gram overlaps come from

@@ -637,7 +637,8 @@ def q_rouge_l(spark, sf_dir):
 
 @query("rouge_corpus")
 def q_rouge_corpus(spark, sf_dir):
-    return V.rouge_corpus(V.rouge_scores(rouge_pairs(spark, sf_dir)))
+    """Corpus ROUGE of the plain words."""
+    return V.rouge_corpus(V.rouge_scores(rouge_pairs(spark, sf_dir), stem=False))
 
 
 @query("eval_unpaired")
@@ -747,13 +748,18 @@ def responses(spark, sf_dir):
     return base.select("doc_id", resp.alias("response"), "error")
 
 
-def parsed(spark, sf_dir):
+def _parsed(spark, sf_dir):
     return L.parse_extractions(responses(spark, sf_dir))
 
 
+def parsed(spark, sf_dir):
+    """The stored ``extractions`` table."""
+    return staged("extractions", spark, sf_dir, _parsed)
+
+
 @query("parse_extractions")
 def q_parse_extractions(spark, sf_dir):
-    return parsed(spark, sf_dir).select(
+    return _parsed(spark, sf_dir).select(
         "doc_id", "parse_ok", F.length("core_issue").alias("core_issue_chars"), F.size("actors").alias("n_actors"),
         F.size("key_metrics").alias("n_metrics"), F.size("dates").alias("n_dates"), "sentiment_label")
 

@@ -569,6 +569,61 @@ ORACLE["summary_report"] = f"""WITH {SUMM}
 SELECT count(*) AS processed, count(*) FILTER (WHERE length(coalesce(abstract, '')) > 0) AS written,
        count(*) FILTER (WHERE length(coalesce(abstract, '')) = 0) AS failed FROM d_st"""
 
+# --- Porter stems -----------------------------------------------------------------------
+
+# The suffix rules of steps 2, 3 and 4 of the published algorithm.
+STEM_STEP2 = {
+    "ational": "ate", "tional": "tion", "enci": "ence", "anci": "ance", "izer": "ize", "abli": "able", "alli": "al",
+    "entli": "ent", "eli": "e", "ousli": "ous", "ization": "ize", "ation": "ate", "ator": "ate", "alism": "al",
+    "iveness": "ive", "fulness": "ful", "ousness": "ous", "aliti": "al", "iviti": "ive", "biliti": "ble",
+}
+STEM_STEP3 = {"icate": "ic", "ative": "", "alize": "al", "iciti": "ic", "ical": "ic", "ful": "", "ness": ""}
+STEM_STEP4 = ["al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ion", "ou", "ism", "ate",
+              "iti", "ous", "ive", "ize"]
+
+
+def stems_sql(vocabulary: str) -> str:
+    """CTE stems(w, stem) of the words longer than three letters of relation
+    ``vocabulary`` (w). A y that is a vowel is written Y on the way; V, C are
+    vowels and consonants, and m > 0 is the pattern C*V+C at the start."""
+    def has(x, pattern):
+        return f"regexp_matches({x}, '{pattern.replace('V', '[aeiouY]').replace('C', '[^aeiouY]')}')"
+
+    def cut(n):
+        return f"left(x, {-n})"
+
+    def rules(table, then):
+        ordered = sorted(table, key=len, reverse=True)
+        return "CASE " + " ".join(f"WHEN x LIKE '%{k}' THEN {then(k)}" for k in ordered) + " ELSE x END"
+
+    m0, m1 = "^C*V+C", "^C*V+C+V+C"
+    one = lambda x: f"({has(x, m0)} AND NOT {has(x, m1)})"
+    cvc = "CV[^aeiouYwxy]$"
+    double = f"(length(x) > 1 AND lower(right(x, 1)) = lower(left(right(x, 2), 1)) AND {has('x', 'C$')})"
+    by_m0 = lambda t: lambda k: f"CASE WHEN {has(cut(len(k)), m0)} THEN {cut(len(k))} || '{t[k]}' ELSE x END"
+    last = lambda k: f" AND {has(cut(len(k)), '[st]$')}" if k == "ion" else ""
+    by_m1 = lambda k: f"CASE WHEN {has(cut(len(k)), m1)}{last(k)} THEN {cut(len(k))} ELSE x END"
+    steps = [
+        "CASE WHEN x LIKE '%sses' OR x LIKE '%ies' THEN left(x, -2) WHEN x LIKE '%ss' THEN x WHEN x LIKE '%s' THEN left(x, -1) ELSE x END AS x, false AS c",
+        f"CASE WHEN x LIKE '%eed' THEN CASE WHEN {has(cut(3), m0)} THEN left(x, -1) ELSE x END "
+        f"WHEN x LIKE '%ed' AND {has(cut(2), 'V')} THEN left(x, -2) WHEN x LIKE '%ing' AND {has(cut(3), 'V')} THEN left(x, -3) ELSE x END AS x, "
+        f"x NOT LIKE '%eed' AND (x LIKE '%ed' AND {has(cut(2), 'V')} OR x LIKE '%ing' AND {has(cut(3), 'V')}) AS c",
+        f"CASE WHEN NOT c THEN x WHEN {has('x', '(at|bl|iz)$')} THEN x || 'e' WHEN {double} AND right(x, 1) NOT IN ('l', 's', 'z') THEN left(x, -1) "
+        f"WHEN {one('x')} AND {has('x', cvc)} THEN x || 'e' ELSE x END AS x, false AS c",
+        f"CASE WHEN lower(x) LIKE '%y' AND {has(cut(1), 'V')} THEN left(x, -1) || 'i' ELSE x END AS x, false AS c",
+        rules(STEM_STEP2, by_m0(STEM_STEP2)) + " AS x, false AS c",
+        rules(STEM_STEP3, by_m0(STEM_STEP3)) + " AS x, false AS c",
+        rules(STEM_STEP4, by_m1) + " AS x, false AS c",
+        f"CASE WHEN x LIKE '%e' AND ({has(cut(1), m1)} OR {one(cut(1))} AND NOT {has(cut(1), cvc)}) THEN left(x, -1) ELSE x END AS x, false AS c",
+        f"CASE WHEN {has('x', m1)} AND x LIKE '%ll' THEN left(x, -1) ELSE x END AS x, false AS c",
+    ]
+    marked = "regexp_replace(regexp_replace(w, '([^aeiouy])y', '\\1Y', 'g'), '(^|[aeiouY])yy', '\\1yY', 'g')"
+    out = f"stem_0 AS MATERIALIZED (SELECT DISTINCT w, {marked} AS x, false AS c FROM {vocabulary} WHERE length(w) > 3),"
+    for k, step in enumerate(steps, 1):
+        out += f"\nstem_{k} AS MATERIALIZED (SELECT w, {step} FROM stem_{k - 1}),"
+    return out + f"\nstems AS MATERIALIZED (SELECT w, lower(x) AS stem FROM stem_{len(steps)})"
+
+
 # --- ROUGE ---------------------------------------------------------------------------
 
 ROUGE = SUMM + f""",
@@ -579,9 +634,10 @@ trs AS (SELECT c.doc_id, coalesce(string_agg(s, ' ' ORDER BY i) FILTER (WHERE rn
 hyps AS (SELECT doc_id, 'textrank' AS model, summary AS text FROM trs
          UNION ALL SELECT c.doc_id, 'abstract', CASE WHEN c.doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 0) THEN s.abstract END
          FROM clean c LEFT JOIN d_st s USING (doc_id)),
-pairs AS (SELECT r.doc_id, h.model, regexp_extract_all(lower(coalesce(r.text, '')), '[a-z0-9]+') AS rt,
+plain AS MATERIALIZED (SELECT r.doc_id, h.model, regexp_extract_all(lower(coalesce(r.text, '')), '[a-z0-9]+') AS rt,
                  regexp_extract_all(lower(coalesce(h.text, '')), '[a-z0-9]+') AS ht
           FROM refs r JOIN hyps h USING (doc_id)),
+pairs AS (SELECT * FROM plain),
 grams AS (SELECT *, CASE WHEN len(rt) >= 2 THEN list_transform(range(1, len(rt)), lambda i: rt[i] || ' ' || rt[i + 1]) ELSE [] END AS rt2,
                     CASE WHEN len(ht) >= 2 THEN list_transform(range(1, len(ht)), lambda i: ht[i] || ' ' || ht[i + 1]) ELSE [] END AS ht2
           FROM pairs),
@@ -599,17 +655,37 @@ scores AS (SELECT doc_id, model,
   round(CASE WHEN ol > 0 THEN 2 * (ol / len(ht)) * (ol / len(rt)) / ((ol / len(ht)) + (ol / len(rt))) ELSE 0.0 END, 4) AS rougeL
   FROM ov)"""
 
+VOCABULARY = "vocabulary AS (SELECT DISTINCT unnest(list_concat(rt, ht)) AS w FROM plain)"
+
+
+def stemmed_list_sql(side: str) -> str:
+    """{side}_stemmed(doc_id, model, t): the words of one side with their stems."""
+    return f"""
+{side}_stemmed AS MATERIALIZED (SELECT doc_id, model, list(coalesce(stem, u.w) ORDER BY i) AS t
+  FROM (SELECT doc_id, model, unnest({side}) AS w, unnest(range(1, len({side}) + 1)) AS i FROM plain) u LEFT JOIN stems ON stems.w = u.w GROUP BY doc_id, model)"""
+
+
+ROUGE_STEMMED = ROUGE.replace("pairs AS (SELECT * FROM plain),", f"""{VOCABULARY},
+{stems_sql('vocabulary')},{stemmed_list_sql('rt')},{stemmed_list_sql('ht')},
+pairs AS (SELECT p.doc_id, p.model, coalesce(a.t, []) AS rt, coalesce(b.t, []) AS ht
+          FROM plain p LEFT JOIN rt_stemmed a USING (doc_id, model) LEFT JOIN ht_stemmed b USING (doc_id, model)),""")
+
 ORACLE["rouge_tokens"] = f"""WITH {CLEAN},
-cref AS (SELECT *, array_to_string({sentences_sql('text')}[1:3], ' ') AS reference_summary FROM clean)
-SELECT doc_id, CAST(len(t) AS INTEGER) AS n_tokens, array_to_string(t, ' ') AS tokens
-FROM (SELECT doc_id, regexp_extract_all(lower(coalesce(reference_summary, '')), '[a-z0-9]+') AS t
-      FROM cref)"""
-
-ORACLE["rouge_n"] = f"WITH {ROUGE} SELECT doc_id, model, rouge1, rouge2 FROM scores"
-ORACLE["rouge_l"] = f"WITH {ROUGE} SELECT doc_id, model, rougeL FROM scores"
-ORACLE["rouge_corpus"] = f"""WITH {ROUGE}
+cref AS (SELECT doc_id, regexp_extract_all(lower(array_to_string({sentences_sql('text')}[1:3], ' ')), '[a-z0-9]+') AS t FROM clean),
+vocabulary AS (SELECT DISTINCT unnest(t) AS w FROM cref),
+{stems_sql('vocabulary')},
+own AS (SELECT doc_id, list(coalesce(stem, u.w) ORDER BY i) AS t
+        FROM (SELECT doc_id, unnest(t) AS w, unnest(range(1, len(t) + 1)) AS i FROM cref) u LEFT JOIN stems ON stems.w = u.w GROUP BY doc_id)
+SELECT c.doc_id, CAST(coalesce(len(own.t), 0) AS INTEGER) AS n_tokens, coalesce(array_to_string(own.t, ' '), '') AS tokens
+FROM clean c LEFT JOIN own USING (doc_id)"""
+
+ORACLE["rouge_n"] = f"WITH {ROUGE_STEMMED} SELECT doc_id, model, rouge1, rouge2 FROM scores"
+ORACLE["rouge_l"] = f"WITH {ROUGE_STEMMED} SELECT doc_id, model, rougeL FROM scores"
+MEANS = """
 SELECT model, count(*) AS n_docs, round(avg(rouge1), 4) AS rouge1, round(avg(rouge2), 4) AS rouge2,
        round(avg(rougeL), 4) AS rougeL FROM scores GROUP BY model"""
+ORACLE["rouge_stemmed"] = f"WITH {ROUGE_STEMMED} {MEANS}"
+ORACLE["rouge_corpus"] = f"WITH {ROUGE} {MEANS}"
 
 ORACLE["eval_unpaired"] = f"""WITH {CLEAN}
 SELECT coalesce(r.doc_id, h.doc_id) AS doc_id, CASE WHEN r.doc_id IS NULL THEN 'reference' ELSE 'hypothesis' END AS missing_side

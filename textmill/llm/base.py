@@ -55,6 +55,16 @@ def sampled_texts(rows: DataFrame, max_rows: int, max_bytes: int, max_text_bytes
     return rows.join(F.broadcast(wanted), "doc_id", "left_semi").orderBy(*key).limit(max_rows).collect()
 
 
+def chosen(docs: DataFrame, known: DataFrame, max_rows: int) -> DataFrame:
+    """(doc_id, text) of at most ``max_rows`` ids of ``known``, in the order of a hash of the
+    id. The ids are chosen in their own narrow table and sent to the documents, whose texts
+    stay where they are."""
+    ids = known.select("doc_id").distinct().orderBy(F.xxhash64(F.col("doc_id").cast("string"), F.lit(7)), "doc_id").limit(max_rows).collect()
+    rows = docs.select("doc_id", "text")
+    wanted = docs.sparkSession.createDataFrame([(r["doc_id"],) for r in ids], rows.select("doc_id").schema)
+    return rows.join(F.broadcast(wanted), "doc_id", "left_semi")
+
+
 def passes(col: pa.Array, max_bytes: int = PASS_BYTES) -> Iterator[tuple[int, pa.Array]]:
     """Consecutive slices of a string column of about ``max_bytes`` each, and where they begin."""
     if pa.types.is_large_string(col.type):

@@ -43,7 +43,7 @@ def features(col: pa.Array, used: np.ndarray | None = None) -> tuple[np.ndarray,
     return key >> BITS, (key & ((1 << BITS) - 1)).astype(np.int32)
 
 
-def fit_texts(texts: list[str], toxic: list[int], least: int = 5, ratio: float = 1.0, steps: int = 200, penalty: float = 1e-3) -> ToxicityModel:
+def fit_texts(texts: list[str], toxic: list[int], least: int = 4, ratio: float = 1.5, steps: int = 200, penalty: float = 1e-3) -> ToxicityModel:
     """N-grams in under ``least`` texts or with a log-count ratio below ``ratio`` carry no
     weight. Without texts of both kinds the score is the share of toxic ones for all."""
     y = np.array(toxic, np.float64)
@@ -51,19 +51,24 @@ def fit_texts(texts: list[str], toxic: list[int], least: int = 5, ratio: float =
     if not len(y) or y.min() == y.max():
         share = (y.sum() + 0.5) / (len(y) + 1) if len(y) else 0.0
         return ToxicityModel(empty, float(np.log(max(share, 1e-6) / max(1 - share, 1e-6))))
-    doc, bucket = [], []
-    for lo in range(0, len(texts), 256):
-        d, b = features(pa.array(texts[lo : lo + 256], pa.large_string()))
-        doc.append(d + lo)
-        bucket.append(b)
-    doc, bucket = np.concatenate(doc), np.concatenate(bucket)
-    pos = np.bincount(bucket[y[doc] == 1], minlength=1 << BITS).astype(np.float64)
-    neg = np.bincount(bucket[y[doc] == 0], minlength=1 << BITS).astype(np.float64)
+    # two passes over the sample, so that only the few n-grams that carry weight are held
+    parts = range(0, len(texts), 128)
+    batch = lambda lo: pa.array(texts[lo : lo + 128], pa.large_string())
+    pos, neg = np.zeros(1 << BITS), np.zeros(1 << BITS)
+    for lo in parts:
+        d, b = features(batch(lo))
+        bad = y[d + lo] == 1
+        np.add.at(pos, b[bad], 1)
+        np.add.at(neg, b[~bad], 1)
     # the share of documents with the n-gram, smoothed by a document of each kind
     r = np.log((pos + 1) / (y.sum() + 2)) - np.log((neg + 1) / ((1 - y).sum() + 2))
     r[(pos + neg < least) | (np.abs(r) < ratio)] = 0
-    hit = r[bucket] != 0
-    doc, bucket = doc[hit], bucket[hit]
+    doc, bucket = [], []
+    for lo in parts:
+        d, b = features(batch(lo), np.append(r != 0, False))
+        doc.append((d + lo).astype(np.int32))
+        bucket.append(b)
+    doc, bucket = np.concatenate(doc), np.concatenate(bucket)
     ids, col = np.unique(bucket, return_inverse=True)
     scale = r[ids]
     w, bias = np.zeros(len(ids)), float(np.log(y.mean() / (1 - y.mean())))
@@ -83,7 +88,7 @@ def fit_texts(texts: list[str], toxic: list[int], least: int = 5, ratio: float =
     return ToxicityModel(out, float(bias))
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_docs: int = 3000, max_bytes: int = 12 << 20) -> ToxicityModel:
+def fit(docs: DataFrame, labels: DataFrame, max_docs: int = 3000, max_bytes: int = 8 << 20) -> ToxicityModel:
     """Learn ``labels.toxic`` (1 if any label of a document says so) from the labelled
     documents that are not held out: at most ``max_docs`` and ``max_bytes`` of text of either
     kind, in the order of a hash of the id."""
@@ -91,9 +96,13 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = 3000, max_bytes: int
         labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~base.held_out("doc_id"))
         .groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     )
-    rows = docs.select("doc_id", "text").join(known, "doc_id")
-    sample = [r for k in (0, 1) for r in base.sampled_texts(rows.where(F.col("toxic") == k), max_docs, max_bytes)]
-    return fit_texts([r["text"] for r in sample], [r["toxic"] for r in sample])
+    known = base.stage(known, "toxicity-labels")
+    texts, toxic = [], []
+    for k in (0, 1):
+        sample = base.sampled_texts(base.chosen(docs, known.where(F.col("toxic") == k), max_docs), max_docs, max_bytes)
+        texts += [r["text"] for r in sample]
+        toxic += [k] * len(sample)
+    return fit_texts(texts, toxic)
 
 
 def score_column(model: ToxicityModel, col: pa.Array) -> np.ndarray:

@@ -102,9 +102,13 @@ def ratings(labels: DataFrame) -> DataFrame:
 def fit(docs: DataFrame, rated: DataFrame, max_docs: int = 1500, max_bytes: int = 6 << 20) -> GradeModel:
     """Learn from the rated documents that are not held out: at most ``max_docs`` and
     ``max_bytes`` of text of each of the grades 0 to 2, in the order of a hash of the id."""
-    rows = docs.select("doc_id", "text").join(rated.where(~base.held_out("doc_id")), "doc_id")
-    sample = [r for k in (0, 1, 2) for r in base.sampled_texts(rows.where(F.col("grade") == k), max_docs, max_bytes)]
-    return fit_texts([r["text"] for r in sample], [r["grade"] for r in sample])
+    rated = base.stage(rated.where(~base.held_out("doc_id")), "grades-rated")
+    texts, grades = [], []
+    for k in (0, 1, 2):
+        sample = base.sampled_texts(base.chosen(docs, rated.where(F.col("grade") == k), max_docs), max_docs, max_bytes)
+        texts += [r["text"] for r in sample]
+        grades += [k] * len(sample)
+    return fit_texts(texts, grades)
 
 
 def grade_column(model: GradeModel, col: pa.Array, limit: int) -> tuple[np.ndarray, np.ndarray]:

@@ -52,8 +52,8 @@ def softmax(z: np.ndarray) -> np.ndarray:
 
 def mean_logits(model: LanguageModel, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     stream, off, has = streams(col)
-    if not len(col):
-        return np.zeros((0, len(model.languages))), has
+    if not len(col) or not model.languages:
+        return np.zeros((len(col), len(model.languages))), has
     z, n = 0.0, 0
     for order in ORDERS:
         bucket = scan.ngram_buckets(stream, off, order, BITS)

@@ -24,9 +24,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StructField, StructType
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from textmill.llm import base, scan
 from textmill.llm.components import components
@@ -191,30 +191,35 @@ def regions_of(docs: DataFrame, profiles: DataFrame, points: DataFrame, order: l
     return base.stage(held.join(sizes, "region"), "jaccard-members")
 
 
+def filter_bits(rows: DataFrame, value: Column) -> np.ndarray:
+    """A filter of FILTER_BITS bits with the bit ``value`` modulo its size set for every row.
+    Executors make the bits; at most FILTER_BITS / 8 bytes come to the driver."""
+    place = rows.select((F.pmod(value, F.lit(FILTER_BITS)) + 1).alias("b"))
+    made = place.groupBy(F.bitmap_bucket_number("b").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("bits")).collect()
+    out = np.zeros(FILTER_BITS // 8, np.uint8)
+    for r in made:  # buckets count from 1
+        own = np.frombuffer(r["bits"], np.uint8)
+        at = (r["bucket"] - 1) * len(own)
+        out[at : at + len(own)] = own[: len(out) - at]
+    return out
+
+
+def in_filter(bits: np.ndarray, value: np.ndarray) -> np.ndarray:
+    at = value & (FILTER_BITS - 1)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+
 def wanted_texts(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """(__id, __text) of the documents that represent a member, and few others: a filter of a
-    fixed number of bits keeps most others out of the shuffle to the join."""
-    spark = docs.sparkSession
-    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
-    place = members.select(bit("rep").alias("b"))
-    rows = place.groupBy(F.bitmap_bucket_number("b").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("bits")).collect()
-    width = len(rows[0]["bits"]) if rows else 4096
-    bits = np.zeros(FILTER_BITS // 8 + 2 * width, np.uint8)
-    for r in rows:  # buckets count from 1
-        at = (r["bucket"] - 1) * width
-        bits[at : at + width] = np.frombuffer(r["bits"], np.uint8)
-    sent = spark.sparkContext.broadcast(bits)
+    """(__id, __text) of the documents that represent a member, and few others: the filter
+    keeps most others out of the shuffle to the join."""
+    sent = docs.sparkSession.sparkContext.broadcast(filter_bits(members, F.xxhash64("rep")))
     texts = docs.select(F.col("doc_id").alias("__id"), F.col("text").alias("__text")).where(F.col("__text").isNotNull())
-    one = bit("__id")
-    keyed = texts.select(F.bitmap_bucket_number(one).alias("bucket"), F.bitmap_bit_position(one).alias("pos"), "__id", "__text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            at = (b.column(0).to_numpy() - 1) * width * 8 + b.column(1).to_numpy()
-            hit = sent.value[at >> 3] >> (at & 7).astype(np.uint8) & 1
-            yield b.select([2, 3]).filter(pa.array(hit.astype(bool)))
+            yield b.select([1, 2]).filter(pa.array(in_filter(sent.value, b.column(0).to_numpy())))
 
-    return keyed.mapInArrow(run, texts.schema)
+    return texts.select(F.xxhash64("__id"), "__id", "__text").mapInArrow(run, texts.schema)
 
 
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
@@ -442,26 +447,34 @@ def join(docs: DataFrame) -> DataFrame:
     return classified(docs).select("doc_id", "n_shingles", "component_id")
 
 
-def with_point(docs: DataFrame) -> DataFrame:
-    at = docs.columns.index("text")
+def with_point(docs: DataFrame, bits: np.ndarray) -> DataFrame:
+    """``docs`` with the number of each text's set and whether it is in a filter."""
+    at, sent = docs.columns.index("text"), docs.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo, col in base.passes(b.column(at)):
-                yield base.frame_of(b.slice(lo, len(col)), __point=signatures(*scan.shingle_sets(col, SIZE)).view(np.int64))
+                point = signatures(*scan.shingle_sets(col, SIZE)).view(np.int64)
+                yield base.frame_of(b.slice(lo, len(col)), __point=point, __maybe=in_filter(sent.value, point) & (point != 0))
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("__point", LongType())]))
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("__point", LongType()), StructField("__maybe", BooleanType())]))
 
 
 def representatives(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group of linked documents: that with the smallest doc_id
-    (null last), then set number, then row. Documents with an empty set all stay."""
+    (null last), then set number, then row. Documents with an empty set all stay.
+
+    Only texts whose set has rows to drop (and few others, by a filter of fixed size) are
+    shuffled to the join with what stays; all others pass."""
     found = base.stage(classified(docs).where("n_shingles > 0").groupBy("root", "point", "doc_id").agg(F.count(F.lit(1)).alias("times")), "jaccard-found")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "point", "times")).alias("x")
-    chosen = found.groupBy("root").agg(first).select(F.col("x.doc_id").alias("__id"), F.col("x.point").alias("__kept"), F.col("x.times").alias("__times"))
-    rows = with_point(docs)
-    empty = rows.where("__point = 0").select(docs.columns)
-    held = rows.where("__point <> 0").join(chosen, (F.col("__point") == F.col("__kept")) & F.col("doc_id").eqNullSafe(F.col("__id")))
+    groups = found.groupBy("root").agg(first, F.count(F.lit(1)).alias("n"))
+    chosen = base.stage(groups.select("root", F.col("x.doc_id").alias("__id"), F.col("x.point").alias("__kept"), F.col("x.times").alias("__times"), "n"), "jaccard-chosen")
+    mixed = chosen.where((F.col("n") > 1) | (F.col("__times") > 1))
+    dropping = found.join(mixed.select("root"), "root", "left_semi")
+    rows = with_point(docs, filter_bits(dropping, F.col("point")))
+    stay = chosen.select("__id", "__kept", "__times")
+    held = rows.where("__maybe").join(stay, (F.col("__point") == F.col("__kept")) & F.col("doc_id").eqNullSafe(F.col("__id")))
     once = held.where("__times = 1").select(docs.columns)
     again = held.where("__times > 1").groupBy("__point", "__id").agg(F.min(F.struct(*docs.columns)).alias("x")).select("x.*")
-    return empty.unionByName(once).unionByName(again)
+    return rows.where("not __maybe").select(docs.columns).unionByName(once).unionByName(again)

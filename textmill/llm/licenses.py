@@ -201,7 +201,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, leas
     rows = docs.select("doc_id", F.col("text").alias("__text"))
     span = "struct<start:bigint,end:bigint>"
     schema = rows.select("doc_id").schema
-    kind = f"{schema.fields[0].dataType.simpleString()}"
+    kind = schema.fields[0].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix = sent.value

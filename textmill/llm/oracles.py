@@ -17,7 +17,7 @@ WITH sized AS (
   SELECT *, (CAST(sum(source_size) OVER () AS DOUBLE) - CAST(coalesce(sum(3 * source_size) OVER (ORDER BY cap, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE))
     / sum(w) OVER (ORDER BY cap, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM capped
 ), held AS (
-  SELECT arg_min(level, cap) AS level FROM levels WHERE level <= cap
+  SELECT max(level) AS level FROM levels WHERE level <= cap
 ), targets AS (
   SELECT source, source_size, coalesce(least(CAST(3 * source_size AS DOUBLE), held.level * w), CAST(3 * source_size AS DOUBLE)) AS target FROM levels, held
 ), rates AS (

@@ -38,6 +38,8 @@ _SHARED: dict[tuple, DataFrame] = {}
 
 def _version(spark: SparkSession, sf_dir: str, names: tuple[str, ...]) -> tuple:
     """Size and time of change of the files of tables, by Hadoop's file system."""
+    if not hasattr(spark, "_jvm"):  # a client without a JVM of its own
+        return ()
     jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
     out = []
     for name in names:

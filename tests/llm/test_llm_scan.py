@@ -99,6 +99,7 @@ def test_spliced_chunks_equal_the_whole_text(byte_bpe, chunk, overlap):
 
 def test_memo_may_overflow(byte_bpe, monkeypatch):
     monkeypatch.setattr(tokens, "MEMO", 3)
+    monkeypatch.setattr(tokens, "STAY", 2)
     c = tokens.Counter(byte_bpe, 10_000, 64)
     some = ["alpha beta gamma", "delta beta eps", "alpha beta gamma zeta"]
     assert [n for t in some for n in c.counts([t])] == c.encoded(some)

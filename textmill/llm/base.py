@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,7 +17,7 @@ from textmill.session import stage_table
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: Bytes of text that one numpy pass works on; a longer single text is a pass of its own.
-PASS_BYTES = 2 << 20
+PASS_BYTES = 1 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
@@ -78,6 +79,31 @@ def passes(col: pa.Array, max_bytes: int = PASS_BYTES) -> Iterator[tuple[int, pa
         lo = hi
 
 
+#: What an operator keeps in a Python worker for its next task there: name -> how to drop it.
+KEPT: dict = {}
+
+
+def tidy(run, keeps: str = ""):
+    """``run`` for mapInArrow. Python workers are used again by later operators: what others
+    kept is dropped first, and freed memory goes back to the system when the task ends."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from textmill.llm.base import KEPT  # the worker's own
+
+        for name, drop in KEPT.items():
+            if name != keeps:
+                drop()
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+            if trim is not None:
+                trim(0)
+
+    return task
+
+
 def frame_of(batch: pa.RecordBatch, **columns) -> pa.RecordBatch:
     """The batch's columns (texts left out by the caller) with more columns behind them."""
     arrays = [*batch.columns, *(x if isinstance(x, pa.Array) else pa.array(x) for x in columns.values())]

@@ -137,4 +137,4 @@ def grade(docs: DataFrame, model: GradeModel, limit: int = 1, least: float = 0.5
             expected, tail = grade_column(sent.value, b.column(len(keep)), limit)
             yield base.frame_of(b.select(list(range(len(keep)))), expected_grade=expected, tail=tail, kept=tail >= least)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(base.tidy(run), schema)

@@ -38,7 +38,7 @@ PIVOTS = 16
 #: Shingles ordered behind all others because they are in most documents. This is about speed
 #: only: any order common to all documents gives the same links.
 FREQUENT = 50_000
-LOCAL, BUFFER = 8, 4_000_000
+LOCAL, BUFFER = 8, 2_000_000
 #: The first shingles are those in this part of the hash range, a quarter of the set at least.
 FIRST = 0.36
 #: Bits of the filter that keeps texts out of the shuffle that no region asks for. It has this
@@ -97,7 +97,7 @@ def common_shingles(docs: DataFrame) -> DataFrame:
         freq.merge(LOCAL)
         yield pa.RecordBatch.from_arrays([pa.array(freq.keys.view(np.int64)), pa.array(freq.counts)], ["shingle", "n"])
 
-    return docs.select("text").mapInArrow(run, "shingle long, n long")
+    return docs.select("text").mapInArrow(base.tidy(run), "shingle long, n long")
 
 
 def frequent(docs: DataFrame) -> list[np.ndarray]:
@@ -151,7 +151,7 @@ def profile(docs: DataFrame, order: list[np.ndarray]) -> DataFrame:
                 _, need = first_shingles(sets, begin, *sent.value)
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, len(col)), pa.array(np.diff(begin)), pa.array(signatures(sets, begin).view(np.int64)), pa.array(need)], schema.names)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(base.tidy(run), schema)
 
 
 def postings(docs: DataFrame, order: list[np.ndarray]) -> DataFrame:
@@ -170,7 +170,7 @@ def postings(docs: DataFrame, order: list[np.ndarray]) -> DataFrame:
                 chosen = chosen[fresh[doc[chosen]]]
                 yield pa.RecordBatch.from_arrays([pa.array(sets[chosen].view(np.int64)), pa.array(point[doc[chosen]].view(np.int64))], ["s", "point"])
 
-    return docs.select("text").mapInArrow(run, "s long, point long")
+    return docs.select("text").mapInArrow(base.tidy(run), "s long, point long")
 
 
 def regions_of(docs: DataFrame, profiles: DataFrame, points: DataFrame, order: list[np.ndarray]) -> DataFrame:
@@ -219,7 +219,7 @@ def wanted_texts(docs: DataFrame, members: DataFrame) -> DataFrame:
         for b in batches:
             yield b.select([1, 2]).filter(pa.array(in_filter(sent.value, b.column(0).to_numpy())))
 
-    return texts.select(F.xxhash64("__id"), "__id", "__text").mapInArrow(run, texts.schema)
+    return texts.select(F.xxhash64("__id"), "__id", "__text").mapInArrow(base.tidy(run), texts.schema)
 
 
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
@@ -382,7 +382,7 @@ def links(docs: DataFrame, profiles: DataFrame, order: list[np.ndarray]) -> Data
     points = profiles.where("n_shingles > 0").groupBy("point").agg(F.min("doc_id").alias("rep"), F.max("need").alias("need"))
     members = regions_of(docs, profiles, points, order)
     texts = wanted_texts(docs, members)
-    small = dealt(members.where(F.col("size") <= LEAF), texts, ["region"], ["point"]).mapInArrow(run_small, "u long, v long")
+    small = dealt(members.where(F.col("size") <= LEAF), texts, ["region"], ["point"]).mapInArrow(base.tidy(run_small), "u long, v long")
     small = base.stage(small, "jaccard-small")
     large = members.where(F.col("size") > LEAF)
     if large.isEmpty():
@@ -393,7 +393,7 @@ def links(docs: DataFrame, profiles: DataFrame, order: list[np.ndarray]) -> Data
     chunks = F.ceil(F.col("size") / LEAF).cast("int")
     spread = pivots.select("region", F.explode(F.sequence(F.lit(0), chunks - 1)).alias("chunk"), "k", "point", "rep")
     rows = large.select("region", F.pmod(F.xxhash64("point", F.lit(1)), chunks).cast("int").alias("chunk"), F.lit(-1).alias("k"), "point", "rep").unionByName(spread)
-    far = dealt(rows, texts, ["region", "chunk"], ["k", "point"]).mapInArrow(run_measure, "region long, point long, pivots array<long>, d array<double>, near array<boolean>")
+    far = dealt(rows, texts, ["region", "chunk"], ["k", "point"]).mapInArrow(base.tidy(run_measure), "region long, point long, pivots array<long>, d array<double>, near array<boolean>")
     far = base.stage(far, "jaccard-measured")
     first = far.select("point", F.explode(F.arrays_zip("pivots", "near")).alias("x")).where("x.near").select(F.col("point").alias("u"), F.col("x.pivots").alias("v"))
     found = base.stage(small.union(first), "jaccard-links")
@@ -417,7 +417,7 @@ def links(docs: DataFrame, profiles: DataFrame, order: list[np.ndarray]) -> Data
     other = other.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("is_alone", F.lit(False))
     names = ["region", "cell", "block", "chunk", "is_alone", "point", "part", "d", "rep"]
     rows = in_block.select(names).unionByName(other.select(names))
-    more = dealt(rows, texts, names[:4], ["is_alone", "point", "part", "d"]).mapInArrow(run_cells, "u long, v long")
+    more = dealt(rows, texts, names[:4], ["is_alone", "point", "part", "d"]).mapInArrow(base.tidy(run_cells), "u long, v long")
     return found.union(more)
 
 
@@ -457,7 +457,7 @@ def with_point(docs: DataFrame, bits: np.ndarray) -> DataFrame:
                 point = signatures(*scan.shingle_sets(col, SIZE)).view(np.int64)
                 yield base.frame_of(b.slice(lo, len(col)), __point=point, __maybe=in_filter(sent.value, point) & (point != 0))
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("__point", LongType()), StructField("__maybe", BooleanType())]))
+    return docs.mapInArrow(base.tidy(run), StructType([*docs.schema.fields, StructField("__point", LongType()), StructField("__maybe", BooleanType())]))
 
 
 def representatives(docs: DataFrame) -> DataFrame:

@@ -174,4 +174,4 @@ def identify(docs: DataFrame, model: LanguageModel, keep: tuple[str, ...] = ("do
             lang, score, rejected = predict_column(sent.value, b.column(len(keep)))
             yield base.frame_of(b.select(list(range(len(keep)))), lang_pred=pa.array(lang, pa.string()), score=score, rejected=rejected)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(base.tidy(run), schema)

@@ -224,4 +224,4 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, leas
                     ["doc_id", "license", "matched", "coverage", "start", "end", "spans"],
                 )
 
-    return rows.mapInArrow(run, f"doc_id {kind}, license string, matched bigint, coverage double, start bigint, end bigint, spans array<{span}>")
+    return rows.mapInArrow(base.tidy(run), f"doc_id {kind}, license string, matched bigint, coverage double, start bigint, end bigint, spans array<{span}>")

@@ -83,7 +83,7 @@ def profile(docs: DataFrame, host: str) -> DataFrame:
                 lines = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(x["n_lines"])]).astype(np.int32)), line)
                 yield base.frame_of(b.slice(lo, len(col)).select([0, 1, 2]), **{c: x[c].astype(np.int64) if c != "fingerprint" else x[c].view(np.int64) for c in COUNTS}, lines=lines)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(base.tidy(run), schema)
 
 
 def frequent_lines(profiles: DataFrame, least: int = 20, share: float = 0.05) -> DataFrame:
@@ -137,4 +137,4 @@ def strip(docs: DataFrame, host: str = "source", least: int = 20, share: float =
             columns = [pa.array(texts, pa.string()) if k == at else b.column(k) for k in range(len(names))]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return joined.mapInArrow(run, docs.schema)
+    return joined.mapInArrow(base.tidy(run), docs.schema)

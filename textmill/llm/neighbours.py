@@ -56,7 +56,7 @@ def points_of(rows: DataFrame) -> DataFrame:
             x = units(b.column(3))
             yield base.frame_of(b.select([0, 1, 2]), x=pa.array([v.tobytes() for v in x], pa.binary()), q=pa.array([v.astype(np.float16).tobytes() for v in x], pa.binary()))
 
-    return classes.mapInArrow(run, "node long, grp long, weight long, x binary, q binary")
+    return classes.mapInArrow(base.tidy(run), "node long, grp long, weight long, x binary, q binary")
 
 
 def matrix(raw: list[bytes], kind=np.float16) -> np.ndarray:
@@ -108,10 +108,10 @@ def beside(points: DataFrame, seed: int) -> DataFrame:
                     yield pairs_batch(np.concatenate([u[ok], v[ok]]), np.concatenate([v[ok], u[ok]]), np.concatenate([s[ok], s[ok]]))
             tail = b.slice(max(0, len(b) - BESIDE))
 
-    rows = points.select("node", "grp", "q").mapInArrow(code, "t int, grp long, code long, node long, q binary")
+    rows = points.select("node", "grp", "q").mapInArrow(base.tidy(code), "t int, grp long, code long, node long, q binary")
     parts = max(points.sparkSession.sparkContext.defaultParallelism, int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     rows = rows.repartitionByRange(parts, "t", "grp", "code", "node").sortWithinPartitions("t", "grp", "code", "node")
-    return rows.mapInArrow(near, PAIRS)
+    return rows.mapInArrow(base.tidy(near), PAIRS)
 
 
 def nearest(pairs: DataFrame, sizes: DataFrame | None) -> DataFrame:
@@ -157,7 +157,7 @@ def descend(lists: DataFrame, points: DataFrame, sizes: DataFrame) -> DataFrame:
         if held:
             yield _met(us, vs, ss)
 
-    return rows.mapInArrow(run, PAIRS)
+    return rows.mapInArrow(base.tidy(run), PAIRS)
 
 
 def _met(us: list, vs: list, ss: list) -> pa.RecordBatch:
@@ -182,7 +182,7 @@ def exact_links(pairs: DataFrame, points: DataFrame, threshold: float) -> DataFr
             ok = np.array([np.frombuffer(p).dot(np.frombuffer(q)) >= threshold for p, q in zip(a, c)], bool)
             yield pa.RecordBatch.from_arrays([pa.array(u[ok]), pa.array(v[ok])], ["u", "v"])
 
-    return rows.mapInArrow(run, "u long, v long")
+    return rows.mapInArrow(base.tidy(run), "u long, v long")
 
 
 def audit(links: DataFrame, points: DataFrame, lists: DataFrame, threshold: float, sample: int = 400) -> float:
@@ -209,7 +209,7 @@ def audit(links: DataFrame, points: DataFrame, lists: DataFrame, threshold: floa
                     ok = u != v
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)[ok]), pa.array(np.maximum(u, v)[ok]), pa.array(v[ok])], ["u", "v", "of"])
 
-    true = points.select("node", "grp", "x").mapInArrow(run, "u long, v long, of long")
+    true = points.select("node", "grp", "x").mapInArrow(base.tidy(run), "u long, v long, of long")
     full = lists.groupBy(F.col("u").alias("of")).agg((F.sum(F.when(F.col("sim") >= threshold, 1).otherwise(0)) >= K).alias("full"))
     true = true.join(full, "of", "left").where(~F.coalesce("full", F.lit(False)))
     r = true.join(links.withColumn("found", F.lit(1)), ["u", "v"], "left").agg(F.count(F.lit(1)).alias("n"), F.count("found").alias("found")).first()
@@ -241,7 +241,7 @@ def block_counts(members: DataFrame, threshold: float) -> DataFrame:
                 node, n = np.concatenate([node, b[0]]), np.concatenate([n, ok.T @ a[1]])
             yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(n.astype(np.int64))], ["node", "linked"])
 
-    return rows.mapInArrow(run, "node long, linked long").groupBy("node").agg(F.sum("linked").alias("linked"))
+    return rows.mapInArrow(base.tidy(run), "node long, linked long").groupBy("node").agg(F.sum("linked").alias("linked"))
 
 
 def near_duplicates(df: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label", threshold: float = 0.93, recall: float = 0.99) -> DataFrame:

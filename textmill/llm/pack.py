@@ -14,6 +14,7 @@ import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,9 @@ from textmill.llm import base
 from textmill.llm.tokens import load
 
 CAPACITY = 2048
-MEMO = 1_000_000  # distinct words that a Python worker remembers at a time
+#: Distinct words that a Python worker remembers at a time. When they are too many, those it
+#: learned first stay: common words come early.
+MEMO, STAY = 400_000, 200_000
 
 Run = tuple[tuple[int, ...], int]  # the lengths in a sequence, and how many sequences are so
 
@@ -35,6 +38,9 @@ def worker(path: str) -> "WordIds":
     return WordIds(path)
 
 
+base.KEPT["word ids"] = worker.cache_clear
+
+
 class WordIds:
     """Ids of whole texts by a tokenizer that drops white space: the library encodes each
     distinct word (between ASCII white space) once while it is remembered, many in one text."""
@@ -58,7 +64,8 @@ class WordIds:
         split = [(t or "").encode().split() for t in texts]
         new = list(set().union(*split).difference(self.memo))
         if len(self.memo) + len(new) > MEMO:
-            self.memo, new = {}, list(set().union(*split))
+            self.memo = dict(islice(self.memo.items(), STAY))
+            new = list(set().union(*split).difference(self.memo))
         self.learn(new)
         for words in split:
             yield b"".join(map(self.memo.__getitem__, words))
@@ -96,7 +103,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0
                     schema.names,
                 )
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(base.tidy(run, keeps="word ids"), schema)
 
 
 class Bag:
@@ -262,4 +269,4 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0)
             i = np.searchsorted(key, length << RANK_BITS | rank, "right") - 1
             yield base.frame_of(b.select(list(range(5))), sequence_id=t["sequence"][i] + rank - t["lo"][i], offset=t["offset"][i])
 
-    return ranked.mapInArrow(run, schema)
+    return ranked.mapInArrow(base.tidy(run), schema)

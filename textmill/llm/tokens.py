@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,9 @@ from textmill.llm import base
 SEGMENT = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+\Z")
 BLANKS = " \t\n\v\f\r"
 OTHER_SPACE = re.compile("[\x85\xa0  -     　]")
-MEMO = 1_000_000  # distinct segments that a Python worker remembers at a time
+#: Distinct segments that a Python worker remembers at a time. When they are too many, those
+#: it learned first stay: common ones come early.
+MEMO, STAY = 500_000, 200_000
 
 
 def load(path: str):
@@ -92,6 +95,9 @@ def worker(path: str, chunk: int, overlap: int) -> "Counter":
     return Counter(path, chunk, overlap)
 
 
+base.KEPT["token counts"] = worker.cache_clear
+
+
 class Counter:
     def __init__(self, path: str, chunk: int, overlap: int):
         self.tok, self.chunk, self.overlap, self.memo = load(path), chunk, overlap, {}
@@ -125,7 +131,8 @@ class Counter:
                 cut[i] = SEGMENT.findall(t)
         new = list(set().union(*cut.values()).difference(self.memo)) if cut else []
         if len(self.memo) + len(new) > MEMO:
-            self.memo, new = {}, list(set().union(*cut.values()))
+            self.memo = dict(islice(self.memo.items(), STAY))
+            new = list(set().union(*cut.values()).difference(self.memo))
         self.memo.update(self.segments(new))
         for i, segments in cut.items():
             out[i] = sum(map(self.memo.__getitem__, segments))
@@ -151,4 +158,4 @@ def count(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",), chunk
             n = [x for _, part in base.passes(col) for x in counter.counts(part.to_pylist())]
             yield base.frame_of(b.select(list(range(len(keep)))), n_bytes=pc.binary_length(col).cast(pa.int64()), n_tokens=pa.array(n, pa.int64()))
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(base.tidy(run, keeps="token counts"), schema)

@@ -127,4 +127,4 @@ def score(docs: DataFrame, model: ToxicityModel, keep: tuple[str, ...] = ("doc_i
             s = score_column(sent.value, b.column(len(keep)))
             yield base.frame_of(b.select(list(range(len(keep)))), score=s, predicted=(s >= sent.value.threshold).astype(np.int32))
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(base.tidy(run), schema)

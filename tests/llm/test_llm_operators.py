@@ -142,6 +142,39 @@ def test_neighbours_equal_brute_force(spark):
     assert got == brute_vectors(rows)
 
 
+def around(rng, centre, inside, n):
+    """``n`` vectors near ``centre`` whose cosines with each other are about ``inside``."""
+    return (centre + rng.normal(size=(n, len(centre))) * np.sqrt((1 / inside - 1) / len(centre))).tolist()
+
+
+def turned(rng, centre, cosine):
+    """A unit vector with this cosine to ``centre``."""
+    other = rng.normal(size=len(centre))
+    other -= other @ centre * centre
+    return cosine * centre + np.sqrt(1 - cosine**2) * other / np.linalg.norm(other)
+
+
+def unit(rng, size=64):
+    x = rng.normal(size=size)
+    return x / np.linalg.norm(x)
+
+
+def assert_neighbours(spark, vectors, labels=None):
+    rows = [(i * 7 % 20011, list(map(float, x)), labels[i] if labels else 1) for i, x in enumerate(vectors)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(3)
+    exp = brute_vectors(rows)
+    assert sorted(tuple(r) for r in neighbours.near_duplicates(df).collect()) == exp
+    return exp
+
+
+def test_neighbours_link_dense_groups_with_each_other(spark):
+    rng = np.random.default_rng(11)
+    first = unit(rng)
+    second = turned(rng, first, 0.95)
+    exp = assert_neighbours(spark, around(rng, first, 0.99, 100) + around(rng, second, 0.99, 100))
+    assert len({r[2] for r in exp}) == 1 and min(r[1] for r in exp) > 100
+
+
 def test_neighbours_of_an_empty_table(spark):
     assert neighbours.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 

@@ -1,12 +1,10 @@
-"""Embedding near-duplicates by NN-descent.
+"""Embedding near-duplicates by an exact blocked join.
 
-Equal vectors of one label are one point. Every point gets a short neighbour list from a few
-sorted random projections; then neighbours of neighbours are joined, again and again, and a
-point keeps the nearest it has met. A list that is full of links is saturated and doubles;
-where lists of the largest size are still saturated, the list becomes the whole linked group,
-which is compared in blocks (only counts come out). Recall is audited against a brute-force
-search of a sample, and more rounds follow while it is short. Links are the pairs whose
-cosine in double precision reaches the threshold.
+Equal vectors of one label are one point. Every point of a label is compared with every
+other, block by block: matrix products in single precision, and again in double precision
+where that could not tell. Out come counts, and of every pair of blocks no more links than
+connect its points. Links are the pairs whose cosine in double precision reaches the
+threshold.
 """
 
 from __future__ import annotations
@@ -15,16 +13,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textmill.llm import base
 from textmill.llm.components import components
 from textmill.llm.jaccard import by_key
 
-TABLES, BESIDE = 6, 4
-K, K_MOST, ROUNDS = 10, 40, 8
-BLOCK = 512
+BLOCK_BYTES = 8 << 20  # of vectors in a block
+STRIP = 1 << 20  # cosines held at a time
 
 
 def vectors(df: DataFrame, vec_id: str, embedding: str, label: str) -> DataFrame:
@@ -48,203 +45,88 @@ def units(e: pa.Array) -> list[np.ndarray]:
 
 
 def points_of(rows: DataFrame) -> DataFrame:
-    """(node, grp, weight, x, q): the unit vector in double and in half precision."""
+    """(node, grp, weight, x): the unit vector in double precision."""
     classes = rows.where("node is not null").groupBy("node").agg(F.first("grp").alias("grp"), F.count(F.lit(1)).alias("weight"), F.first("e").alias("e"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x = units(b.column(3))
-            yield base.frame_of(b.select([0, 1, 2]), x=pa.array([v.tobytes() for v in x], pa.binary()), q=pa.array([v.astype(np.float16).tobytes() for v in x], pa.binary()))
+            yield base.frame_of(b.select([0, 1, 2]), x=pa.array([v.tobytes() for v in x], pa.binary()))
 
-    return classes.mapInArrow(base.tidy(run), "node long, grp long, weight long, x binary, q binary")
+    return classes.mapInArrow(base.tidy(run), "node long, grp long, weight long, x binary")
 
 
-def matrix(raw: list[bytes], kind=np.float16) -> np.ndarray:
-    return np.frombuffer(b"".join(raw), kind).reshape(len(raw), -1).astype(np.float32 if kind == np.float16 else kind)
+def matrix(raw: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(raw), np.float64).reshape(len(raw), -1)
 
 
-def pairs_batch(u, v, s) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(s, pa.float32())], ["u", "v", "sim"])
-
-
-PAIRS = "u long, v long, sim float"
-
-
-def beside(points: DataFrame, seed: int) -> DataFrame:
-    """Neighbour candidates: points next to each other when a group is sorted by the signs of
-    random projections, for TABLES such orders. Ranges of the order are dealt out, so one
-    group may hold most points."""
-
-    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            raw, out = b.column(2).to_pylist(), {"t": [], "code": []}
-            sizes = np.array([len(x) for x in raw])
-            codes = np.zeros((len(raw), TABLES), np.int64)
-            for n in np.unique(sizes):
-                at = np.flatnonzero(sizes == n)
-                x = matrix([raw[i] for i in at])
-                planes = np.random.default_rng([seed, int(n)]).normal(size=(x.shape[1], TABLES * 24)).astype(np.float32)
-                bits = (x @ planes > 0).reshape(len(at), TABLES, 24)
-                codes[at] = bits @ (1 << np.arange(23, -1, -1))
-            for t in range(TABLES):
-                out["t"].append(np.full(len(raw), t, np.int32))
-                out["code"].append(codes[:, t])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out["t"])), *(pa.concat_arrays([b.column(i)] * TABLES) for i in (1,)), pa.array(np.concatenate(out["code"])), pa.concat_arrays([b.column(0)] * TABLES), pa.concat_arrays([b.column(2)] * TABLES)], ["t", "grp", "code", "node", "q"])
-
-    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tail = None
-        for b in batches:
-            if tail is not None:
-                b = pa.Table.from_batches([tail, b]).combine_chunks().to_batches()[0]
-            key = b.column(0).to_numpy().astype(np.int64) * 31 + b.column(1).to_numpy()
-            node, raw = b.column(3).to_numpy(), b.column(4).to_pylist()
-            cut = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
-            for lo, hi in zip(cut, cut[1:]):
-                x = matrix(raw[lo:hi])
-                for k in range(1, min(BESIDE + 1, hi - lo)):
-                    s = np.einsum("ij,ij->i", x[:-k], x[k:])
-                    u, v = node[lo : hi - k], node[lo + k : hi]
-                    ok = u != v
-                    yield pairs_batch(np.concatenate([u[ok], v[ok]]), np.concatenate([v[ok], u[ok]]), np.concatenate([s[ok], s[ok]]))
-            tail = b.slice(max(0, len(b) - BESIDE))
-
-    rows = points.select("node", "grp", "q").mapInArrow(base.tidy(code), "t int, grp long, code long, node long, q binary")
-    parts = max(points.sparkSession.sparkContext.defaultParallelism, int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    rows = rows.repartitionByRange(parts, "t", "grp", "code", "node").sortWithinPartitions("t", "grp", "code", "node")
-    return rows.mapInArrow(base.tidy(near), PAIRS)
-
-
-def nearest(pairs: DataFrame, sizes: DataFrame | None) -> DataFrame:
-    """The best of each list: K, or the size that ``sizes`` (node, k) gives a point."""
-    best = pairs.groupBy("u", "v").agg(F.max("sim").alias("sim"))
-    rank = F.row_number().over(Window.partitionBy("u").orderBy(F.desc("sim"), "v"))
-    if sizes is None:
-        return best.withColumn("r", rank).where(F.col("r") <= K)
-    ranked = best.withColumn("r", rank).where(F.col("r") <= K_MOST)
-    return ranked.join(sizes.select(F.col("node").alias("u"), "k"), "u", "left").where(F.col("r") <= F.coalesce("k", F.lit(K))).drop("k")
-
-
-def descend(lists: DataFrame, points: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Pairs from joining the neighbours of every point with each other, as far as they
-    would improve a list. Of the points that list a centre, its nearest as many as its own
-    list holds take part."""
-    size = sizes.select(F.col("node").alias("v"), F.col("k"))
-    back = lists.withColumn("b", F.row_number().over(Window.partitionBy("v").orderBy(F.desc("sim"), "u")))
-    back = back.where(F.col("b") <= K_MOST).join(size, "v", "left").where(F.col("b") <= F.coalesce("k", F.lit(K)))
-    around = lists.select(F.col("u").alias("c"), F.col("v").alias("node")).union(back.select(F.col("v").alias("c"), F.col("u").alias("node")))
-    around = around.union(points.select(F.col("node").alias("c"), "node")).distinct()
-    worst = lists.groupBy(F.col("u").alias("node")).agg(F.min("sim").alias("worst"), F.count(F.lit(1)).alias("n"))
-    worst = worst.join(sizes, "node", "left").select("node", F.when(F.col("n") >= F.coalesce("k", F.lit(K)), F.col("worst")).otherwise(F.lit(-2.0)).cast("float").alias("worst"))
-    info = base.stage(points.select("node", "q").join(worst, "node", "left"), "nn-info")
-    rows = around.join(info, "node").select("c", "node", "worst", "q").repartition("c").sortWithinPartitions("c")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        us, vs, ss, held = [], [], [], 0
-        for _, members in by_key(batches, 1):
-            node = np.array([m[0] for m in members])
-            worst = np.array([-2.0 if m[1] is None else m[1] for m in members], np.float32)
-            x = matrix([m[2] for m in members])
-            s = x @ x.T
-            np.fill_diagonal(s, -3)
-            i, j = np.nonzero(s > worst[:, None] + 1e-6)
-            us.append(node[i])
-            vs.append(node[j])
-            ss.append(s[i, j])
-            held += len(i)
-            if held > 200_000:
-                yield _met(us, vs, ss)
-                us, vs, ss, held = [], [], [], 0
-        if held:
-            yield _met(us, vs, ss)
-
-    return rows.mapInArrow(base.tidy(run), PAIRS)
-
-
-def _met(us: list, vs: list, ss: list) -> pa.RecordBatch:
-    """The pairs met, each once."""
-    u, v, s = np.concatenate(us), np.concatenate(vs), np.concatenate(ss)
-    order = np.lexsort((v, u))
-    u, v, s = u[order], v[order], s[order]
-    first = np.concatenate([[True], (u[1:] != u[:-1]) | (v[1:] != v[:-1])])
-    return pairs_batch(u[first], v[first], s[first])
-
-
-def exact_links(pairs: DataFrame, points: DataFrame, threshold: float) -> DataFrame:
-    """(u, v), u < v: the pairs whose cosine in double precision reaches the threshold."""
-    near = pairs.where(F.col("sim") >= threshold - 0.01).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-    x = points.select("node", "x")
-    rows = near.join(x.select(F.col("node").alias("u"), F.col("x").alias("a")), "u").join(x.select(F.col("node").alias("v"), F.col("x").alias("b")), "v").select("u", "v", "a", "b")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            u, v = b.column(0).to_numpy(), b.column(1).to_numpy()
-            a, c = b.column(2).to_pylist(), b.column(3).to_pylist()
-            ok = np.array([np.frombuffer(p).dot(np.frombuffer(q)) >= threshold for p, q in zip(a, c)], bool)
-            yield pa.RecordBatch.from_arrays([pa.array(u[ok]), pa.array(v[ok])], ["u", "v"])
-
-    return rows.mapInArrow(base.tidy(run), "u long, v long")
-
-
-def audit(links: DataFrame, points: DataFrame, lists: DataFrame, threshold: float, sample: int = 400) -> float:
-    """The share found of the links of at most ``sample`` points (the smallest hashes), which
-    are compared with all points by brute force. Points whose list is saturated count by the
-    part of the list: their links are completed later."""
-    chosen = points.orderBy(F.xxhash64("node", F.lit(5)), "node").limit(sample).select("node", "grp", "x").collect()
-    by_grp: dict[int, tuple] = {}
-    for g in {r["grp"] for r in chosen}:
-        own = [r for r in chosen if r["grp"] == g]
-        by_grp[g] = (np.array([r["node"] for r in own]), matrix([bytes(r["x"]) for r in own], np.float64))
-    spark = points.sparkSession
-    sent = spark.sparkContext.broadcast(by_grp)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            node, grp, raw = b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2).to_pylist()
-            for g, (ids, x) in sent.value.items():
-                at = np.flatnonzero(grp == g)
-                if len(at):
-                    s = matrix([raw[i] for i in at], np.float64) @ x.T
-                    i, j = np.nonzero(s >= threshold)
-                    u, v = node[at[i]], ids[j]
-                    ok = u != v
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)[ok]), pa.array(np.maximum(u, v)[ok]), pa.array(v[ok])], ["u", "v", "of"])
-
-    true = points.select("node", "grp", "x").mapInArrow(base.tidy(run), "u long, v long, of long")
-    full = lists.groupBy(F.col("u").alias("of")).agg((F.sum(F.when(F.col("sim") >= threshold, 1).otherwise(0)) >= K).alias("full"))
-    true = true.join(full, "of", "left").where(~F.coalesce("full", F.lit(False)))
-    r = true.join(links.withColumn("found", F.lit(1)), ["u", "v"], "left").agg(F.count(F.lit(1)).alias("n"), F.count("found").alias("found")).first()
-    return r["found"] / r["n"] if r["n"] else 1.0
-
-
-def block_counts(members: DataFrame, threshold: float) -> DataFrame:
-    """(node, linked): the weight of the others linked with each point of a group, every
-    point of a group against every other, BLOCK by BLOCK."""
-    size = members.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    rows = members.join(size, "root").withColumn("own", F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")).cast("int"))
+def block_links(points: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(node, linked): the weight of the others linked with each point that has a link; and
+    (u, v): links that connect the points just as all links do. Every point is compared with
+    every other of its group, block by block."""
+    rows = points.withColumn("room", F.greatest(F.lit(1), F.lit(BLOCK_BYTES) / F.octet_length("x")))
+    size = rows.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / F.min("room")).cast("int").alias("blocks"))
+    rows = rows.join(size, "grp").withColumn("own", F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    keys = ["root", "i", "j"]
-    rows = rows.select("root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") <= F.col("other")).alias("first"), "node", "weight", "x")
+    keys = ["grp", "i", "j"]
+    rows = rows.select("grp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") <= F.col("other")).alias("first"), "node", "weight", "x")
     rows = rows.repartition(*keys).sortWithinPartitions(*keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (_, i, j), some in by_key(batches, 3):
-            side = lambda rows: (np.array([r[1] for r in rows]), np.array([r[2] for r in rows], np.float64), matrix([r[3] for r in rows], np.float64))
-            a = side([r for r in some if r[0]])
-            b = a if i == j else side([r for r in some if not r[0]]) if any(not r[0] for r in some) else None
-            if b is None or not len(a[0]):
+            a = [r[1:] for r in some if r[0]]
+            b = a if i == j else [r[1:] for r in some if not r[0]]
+            if not a or not b:
                 continue
-            ok = a[2] @ b[2].T >= threshold
-            if i == j:
-                np.fill_diagonal(ok, False)
-            node, n = a[0], ok @ b[1]
-            if i != j:
-                node, n = np.concatenate([node, b[0]]), np.concatenate([n, ok.T @ a[1]])
-            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(n.astype(np.int64))], ["node", "linked"])
-
-    return rows.mapInArrow(base.tidy(run), "node long, linked long").groupBy("node").agg(F.sum("linked").alias("linked"))
-
-
-def near_duplicates(df: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label", threshold: float = 0.93, recall: float = 0.99) -> DataFrame:
+            node, n, links = compare(a, b, i == j, threshold)
+            none = np.zeros(len(links), np.int64)
+            u, v = np.array(links, np.int64).reshape(-1, 2).T
+            # a row with linked = 0 is a link, the others are counts
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([node, u])), pa.array(np.concatenate([node, v])), pa.array(np.concatenate([n, none]))], ["u", "v", "linked"])
+
+    out = base.stage(rows.mapInArrow(base.tidy(run), "u long, v long, linked long"), "nn-links")
+    counts = out.where("linked > 0").groupBy(F.col("u").alias("node")).agg(F.sum("linked").alias("linked"))
+    return counts, out.where("linked = 0").select("u", "v")
+
+
+def compare(a: list[tuple], b: list[tuple], same: bool, threshold: float) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
+    """Of two blocks of (node, weight, x), or one with itself: the points that have links, the
+    weight each is linked with, and at most a link less than points that connect them."""
+    x, y = matrix([r[2] for r in a]), matrix([r[2] for r in b])
+    node = np.array([r[0] for r in a] + ([] if same else [r[0] for r in b]), np.int64)
+    wa, wb = np.array([r[1] for r in a], np.int64), np.array([r[1] for r in b], np.int64)
+    shift = 0 if same else len(a)
+    n, root, links = np.zeros(len(node), np.int64), np.arange(len(node)), []
+    x4, y4 = x.astype(np.float32), y.astype(np.float32)
+    slack = (x.shape[1] + 8) * 1.2e-7  # more than single precision can be wrong by
+    step = max(1, STRIP // len(b))
+    for lo in range(0, len(a), step):
+        s = x4[lo : lo + step] @ y4.T
+        r, c = np.nonzero(s >= threshold - slack)
+        unsure = np.flatnonzero(s[r, c] < threshold + slack)
+        ok = np.ones(len(r), bool)
+        for k in range(0, len(unsure), 4096):
+            at = unsure[k : k + 4096]
+            ok[at] = np.einsum("ij,ij->i", x[lo + r[at]], y[c[at]]) >= threshold
+        r = r + lo
+        ok &= (r != c) | (not same)
+        r, c = r[ok], c[ok]
+        n[: len(a)] += np.bincount(r, wb[c], len(a)).astype(np.int64)
+        if not same:
+            n[shift:] += np.bincount(c, wa[r], len(b)).astype(np.int64)
+        cut = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1], [True]])) if len(r) else []
+        for p, q in zip(cut, cut[1:]):
+            i, js = int(r[p]), c[p:q] + shift
+            apart = js[root[js] != root[i]]
+            if len(apart):
+                parts, first = np.unique(root[apart], return_index=True)
+                links += [(int(node[i]), int(node[j])) for j in apart[first]]
+                root[np.isin(root, parts)] = root[i]
+    held = np.flatnonzero(n)
+    return node[held], n[held], links
+
+
+def near_duplicates(df: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label", threshold: float = 0.93) -> DataFrame:
     """vec_id, n_links (other vectors linked directly), component_id (smallest vec_id
     reachable), kept (vec_id = component_id) of every vector.
 
@@ -253,33 +135,8 @@ def near_duplicates(df: DataFrame, vec_id: str = "vec_id", embedding: str = "emb
     not compared; equal vectors and repeated rows are all linked with each other; an empty
     table gives no rows."""
     rows = base.stage(vectors(df, vec_id, embedding, label), "nn-rows")
-    points = base.stage(points_of(rows), "nn-points")
-    n = points.count()
-    lists = base.stage(nearest(beside(points, 0), None), "nn-lists")
-    sizes = base.stage(points.select("node", F.lit(K).alias("k")), "nn-sizes")
-    seed, links = 0, None
-    for turn in range(ROUNDS):
-        met = base.stage(descend(lists, points, sizes), "nn-met")
-        fresh = met.join(lists.select("u", "v"), ["u", "v"], "left_anti").count()
-        lists = base.stage(nearest(lists.select("u", "v", "sim").union(met), sizes), "nn-lists")
-        full = lists.where(F.col("sim") >= threshold).groupBy(F.col("u").alias("node")).agg(F.count(F.lit(1)).alias("n"))
-        grown = sizes.join(full, "node", "left").select("node", F.when((F.col("n") >= F.col("k")) & (F.col("k") < K_MOST), F.col("k") * 2).otherwise(F.col("k")).alias("k"))
-        sizes = base.stage(grown, "nn-sizes")
-        if turn and (fresh < 0.01 * n * K or turn == ROUNDS - 1 or turn >= 2):
-            links = base.stage(exact_links(lists, points, threshold), "nn-links")
-            if audit(links, points, lists, threshold) >= recall:
-                break
-            seed += 1  # too few found: other projections, and another round
-            more = beside(points, seed)
-            lists = base.stage(nearest(lists.select("u", "v", "sim").union(more), sizes), "nn-lists")
-    links = links if links is not None else base.stage(exact_links(lists, points, threshold), "nn-links")
+    counts, links = block_links(base.stage(points_of(rows), "nn-points"), threshold)
     roots = components(links)
-    full = lists.where(F.col("sim") >= threshold).groupBy(F.col("u").alias("node")).agg(F.count(F.lit(1)).alias("n")).join(sizes, "node").where(F.col("n") >= F.col("k"))
-    whole = roots.join(full, "node").select("root").distinct()
-    members = base.stage(roots.join(whole, "root").join(points.select("node", "weight", "x"), "node"), "nn-groups")
-    both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v"))).join(members.select(F.col("node").alias("u")), "u", "left_anti")
-    listed = both.join(points.select(F.col("node").alias("v"), "weight"), "v").groupBy(F.col("u").alias("node")).agg(F.sum("weight").alias("linked"))
-    counts = listed.union(block_counts(members, threshold))
     own = rows.where("node is not null").groupBy("node").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("weight"))
     own = own.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")).join(counts, "node", "left")
     own = base.stage(own, "nn-own")

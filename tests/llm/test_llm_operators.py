@@ -175,6 +175,16 @@ def test_neighbours_link_dense_groups_with_each_other(spark):
     assert len({r[2] for r in exp}) == 1 and min(r[1] for r in exp) > 100
 
 
+def test_neighbours_of_a_middling_group(spark):
+    rng = np.random.default_rng(12)
+    # most vectors have a label of their own
+    vectors, labels = around(rng, unit(rng, 16), 0.97, 35), [0] * 35
+    vectors += [unit(rng, 16) for _ in range(12000)]
+    labels += range(1, 12001)
+    exp = assert_neighbours(spark, vectors, labels)
+    assert Counter(r[1] for r in exp) == {34: 35, 0: 12000}
+
+
 def test_neighbours_of_an_empty_table(spark):
     assert neighbours.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 

@@ -185,6 +185,14 @@ def test_neighbours_of_a_middling_group(spark):
     assert Counter(r[1] for r in exp) == {34: 35, 0: 12000}
 
 
+def test_neighbours_finds_rare_pairs(spark):
+    rng = np.random.default_rng(13)
+    vectors = [unit(rng) for _ in range(6000)]
+    vectors += [turned(rng, x, 0.931) for x in vectors[:12]]
+    exp = assert_neighbours(spark, vectors)
+    assert sum(r[1] for r in exp) == 24
+
+
 def test_neighbours_of_an_empty_table(spark):
     assert neighbours.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 

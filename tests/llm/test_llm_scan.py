@@ -192,6 +192,34 @@ def test_alignment_reports_edits_and_spans():
     assert len(licenses.matches(ix, pa.array([twice]), 0.8)) == 2
 
 
+def test_a_notice_with_many_inserted_words_is_one_occurrence():
+    words = licenses.TEMPLATES["Apache-2.0-header"].split()
+    ix = licenses.index({"x": " ".join(words)})
+    for n in (9, 30, 80):
+        for cut in (0.25, 0.5, 0.75):
+            k = int(cut * len(words))
+            text = " ".join(["before", *words[:k], *(f"extra{i}" for i in range(n)), *words[k:], "after"])
+            ((_, _, _, coverage, spans),) = licenses.matches(ix, pa.array([text]), 0.8)
+            assert coverage == 1.0 and len(spans) == 2
+    halves = " ".join([*words[: len(words) // 2], *(f"extra{i}" for i in range(1000)), *words[len(words) // 2 :]])
+    assert licenses.matches(ix, pa.array([halves]), 0.8) == []
+
+
+def test_close_repeats_are_occurrences_of_their_own():
+    for name in ("MIT", "Apache-2.0", "CC-BY-NC-4.0", "CC-BY-SA-4.0", "MIT-text"):
+        line = licenses.TEMPLATES[name]
+        ix = licenses.index({name: line})
+        for between in ("\n", "\n# ", "\nand once more:\n"):
+            text = between.join([line] * 50)
+            found = licenses.matches(ix, pa.array([text]), 0.8)
+            assert [x[3] for x in found] == [1.0] * 50
+            step = len(line) + len(between)
+            assert [x[4][0][0] // step for x in found] == list(range(50))
+            assert all(x[4][-1][1] - x[4][0][0] <= len(line) for x in found)
+        part = re.sub(r"\W*\w+\W*$", "", line)  # the last word is missing
+        assert len(licenses.matches(ix, pa.array([f"{part}\n{line}\n{part}"]), 0.8)) == 3
+
+
 def test_models_without_training_rows():
     m = langid.fit_texts([], [])
     assert [list(x) for x in langid.predict_column(m, pa.array(["abc", None], pa.string()))] == [["und", "und"], [0.0, 0.0], [True, True]]

@@ -3,12 +3,14 @@
 Templates are cut into word k-grams and winnowed: of every window of neighbouring k-grams the
 smallest hash is a fingerprint, so any shared run of WINDOW + GRAM - 1 words shares one. The
 fingerprints of all templates form an inverted index; a text's fingerprints in it name
-candidates (template and diagonal), and a banded alignment of the template with the words
-there gives the matched words, the coverage of the template and the matched spans.
+candidates (template and place), and an alignment of the template with the words around
+gives the matched words, the coverage of the template and the matched spans. The words
+around leave room for as many inserted words as twice the length of the template.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -19,7 +21,9 @@ from pyspark.sql import functions as F
 
 from textmill.llm import base, scan
 
-GRAM, WINDOW, BAND = 3, 3, 8
+GRAM, WINDOW = 3, 3
+ROOM = 16  # inserted words that even a short template may have on either side of a fingerprint
+MATCH, SKIP = 20, 1  # what a matched word gains and a word inserted between matched ones costs
 
 # The usual notices of these licences.
 TEMPLATES = {
@@ -117,38 +121,61 @@ def index(templates: dict[str, str]) -> Index:
     return Index(names, words, grams[order], doc[order], at[order] - begin[doc[order]])
 
 
-def align(template: list[int], words: list[int], shift: int, band: int) -> list[tuple[int, int]]:
-    """Most equal words in order, (place in template, place in words), where a pair lies at
-    most ``band`` from the diagonal words = template + ``shift``."""
-    width = 2 * band + 1
-    rows = [[0] * (width + 1)]  # row i: best of the first i template words and the words up to i + shift + j - band
-    for i, t in enumerate(template):
-        last, row = rows[-1], [0] * (width + 1)
-        for j in range(width):
-            w = i + shift + j - band
-            best = last[j + 1]
-            if 0 <= w < len(words) and words[w] == t:
-                best = max(best, last[j] + 1)
-            row[j] = max(best, row[j - 1] if j else 0)
-        rows.append(row)
-    out, i, j = [], len(template), width - 1
-    while i and j >= 0:
-        row, last = rows[i], rows[i - 1]
-        w = i - 1 + shift + j - band
-        if j and row[j] == row[j - 1]:
-            j -= 1
-        elif row[j] == last[j + 1]:
-            i, j = i - 1, j + 1
-            if j >= width:
-                j = width - 1
-        elif 0 <= w < len(words):
-            out.append((i - 1, w))
+def align(template: list[int], words: np.ndarray) -> list[tuple[int, int]]:
+    """(place in template, place in words) of equal words in order, so that matches less
+    inserted words score most; the earliest such alignment."""
+    at = np.arange(len(words) + 1) * SKIP
+    rows = [np.zeros(len(words) + 1, np.int64)]  # row i, place j: best of the first i template words that ends at or before word j
+    for t in template:
+        row = rows[-1].copy()
+        hit = np.flatnonzero(words == np.uint64(t))
+        row[hit + 1] = np.maximum(row[hit + 1], rows[-1][hit] + MATCH)
+        rows.append(np.maximum(np.maximum.accumulate(row + at) - at, 0))
+    out, i, j = [], len(template), int(rows[-1].argmax())
+    while i and rows[i][j] > 0:
+        if rows[i][j] == rows[i - 1][j]:
             i -= 1
+        elif j and words[j - 1] == template[i - 1] and rows[i][j] == rows[i - 1][j - 1] + MATCH:
+            i, j = i - 1, j - 1
+            out.append((i, j))
         else:
-            break
+            j -= 1
     return out[::-1]
 
 
+def occurrences(template: list[int], words: np.ndarray, hits: list[tuple[int, int]], least: float) -> list[list[tuple[int, int]]]:
+    """The alignments (see ``align``) with the part ``least`` of the template, one after the
+    other and none over another. hits: (place in words, place in template) of fingerprints."""
+    room, need = max(ROOM, 2 * len(template)), least * len(template)
+
+    def within(lo: int, hi: int) -> list[tuple[int, int]]:
+        pairs = [(i, w + lo) for i, w in align(template, words[lo:hi])] if hi - lo >= need else []
+        return pairs if len(pairs) >= need else []
+
+    out, taken, tried = [], 0, None
+    at = [w for w, _ in hits]
+    for k, (w, i) in enumerate(hits):
+        span = max(taken, w - i - room), w - i + len(template) + room
+        if w < taken or span == tried:
+            continue
+        tried = span
+        if not (pairs := within(*span)):
+            continue
+        own, end = [], pairs[0][1]
+        while rest := within(span[0], end):  # what lies before it
+            own.append(rest)
+            end = rest[0][1]
+        out += own[::-1]
+        begin, last = pairs[0][1], pairs[-1][1]
+        later = k + 1 < len(at) and begin > w and at[bisect_left(at, begin, k + 1) :][:1]
+        if later and later[0] <= last:
+            taken = begin  # found again from its own fingerprint, with all of its room
+        else:
+            out.append(pairs)
+            taken = last + 1
+    return out
+
+
 def matches(ix: Index, col: pa.Array, least: float) -> list[tuple]:
     """(text, template, matched, coverage, [first and end byte of each matched span]) of a column."""
     runs, h, off = runs_of(col)
@@ -161,22 +188,11 @@ def matches(ix: Index, col: pa.Array, least: float) -> list[tuple]:
         first = at[pick[k]]
         doc = int(runs.doc[first])
         for m in range(lo[k], hi[k]):
-            found.setdefault((doc, int(ix.template[m])), []).append(int(first - begin[doc] - ix.place[m]))
+            found.setdefault((doc, int(ix.template[m])), []).append((int(first - begin[doc]), int(ix.place[m])))
     out = []
-    for (doc, t), shifts in sorted(found.items()):
-        words, a = h[begin[doc] : begin[doc + 1]], begin[doc]
-        template, taken = ix.words[t], -1
-        shifts.sort()
-        groups = np.split(np.array(shifts), np.flatnonzero(np.diff(shifts) > BAND) + 1)
-        for group in groups:  # one occurrence: diagonals that lie close together
-            shift, reach = int(group[len(group) // 2]), BAND + int(group[-1] - group[0])
-            from_word = max(0, shift - reach)
-            part = words[from_word : shift + len(template) + reach].tolist()
-            pairs = [(i, w + from_word) for i, w in align(template, part, shift - from_word, reach)]
-            pairs = [(i, w) for i, w in pairs if w > taken]
-            if len(pairs) < least * len(template):
-                continue
-            taken = pairs[-1][1]
+    for (doc, t), hits in sorted(found.items()):
+        words, a, template = h[begin[doc] : begin[doc + 1]], begin[doc], ix.words[t]
+        for pairs in occurrences(template, words, sorted(hits), least):
             spans = []
             for _, w in pairs:
                 s, e = int(runs.start[a + w] - off[doc]), int(runs.start[a + w] + runs.length[a + w] - off[doc])

@@ -294,6 +294,20 @@ def test_grades_of_a_table(spark):
     assert grades.grade(d.limit(0), model).count() == 0
 
 
+def test_grades_of_a_longer_scale_are_all_learned(spark):
+    r = random.Random(8)
+    rows = [(i, " ".join(r.choice([f"word{i % 5}", "the", "of"]) for _ in range(60)), "en", "s", 0) for i in range(400)]
+    rated = spark.createDataFrame([(i, i % 5 + 1) for i in range(400)] + [(1000, None)], "doc_id long, grade int")
+    model = grades.fit(docs(spark, rows), rated)
+    assert len(model.thresholds) == 5
+    got = {x["doc_id"]: x["expected_grade"] for x in grades.grade(docs(spark, rows), model).collect()}
+    mean = [np.mean([got[i] for i in range(400) if i % 5 + 1 == k]) for k in (3, 4, 5)]
+    assert mean == sorted(mean) and mean[-1] > 4
+    for wrong in (-1, grades.MOST + 1):
+        with pytest.raises(ValueError):
+            grades.fit(docs(spark, rows), rated.withColumn("grade", F.lit(wrong)))
+
+
 def test_licenses_of_a_table(spark):
     rows = ODD + [(50, "é\nReleased under the MIT License.\nmore", "en", "s", 0)]
     got = licenses.scan_licenses(extra(docs(spark, rows))).collect()

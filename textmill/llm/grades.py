@@ -22,6 +22,7 @@ from textmill.llm import base, scan
 ORDERS = (2, 3)
 BITS = 17
 SCALE = 30.0
+MOST = 10  # the largest grade
 
 
 @dataclass
@@ -101,10 +102,14 @@ def ratings(labels: DataFrame) -> DataFrame:
 
 def fit(docs: DataFrame, rated: DataFrame, max_docs: int = 1500, max_bytes: int = 6 << 20) -> GradeModel:
     """Learn from the rated documents that are not held out: at most ``max_docs`` and
-    ``max_bytes`` of text of each of the grades 0 to 2, in the order of a hash of the id."""
-    rated = base.stage(rated.where(~base.held_out("doc_id")), "grades-rated")
+    ``max_bytes`` of text of each grade, in the order of a hash of the id. Grades are whole
+    numbers from 0 to ``MOST``; others are refused. A null grade is no rating."""
+    rated = base.stage(rated.where(F.col("grade").isNotNull() & ~base.held_out("doc_id")), "grades-rated")
+    held = sorted(r["grade"] for r in rated.select("grade").distinct().limit(MOST + 2).collect())
+    if wrong := [k for k in held if k not in range(MOST + 1)]:
+        raise ValueError(f"grades are whole numbers from 0 to {MOST}, not {wrong[:3]}")
     texts, grades = [], []
-    for k in (0, 1, 2):
+    for k in map(int, held):
         sample = base.sampled_texts(base.chosen(docs, rated.where(F.col("grade") == k), max_docs), max_docs, max_bytes)
         texts += [r["text"] for r in sample]
         grades += [k] * len(sample)

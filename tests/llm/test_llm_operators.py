@@ -272,6 +272,18 @@ def test_language_of_a_table(spark):
     assert sum(r["rejected"] for r in rows) <= 0.02 * len(rows)
 
 
+def test_rare_languages_are_learned(spark):
+    r = random.Random(6)
+    word = {"aa": "abcd", "bb": "mnop", "cc": "wxyz"}
+    text = lambda lang: " ".join("".join(r.choice(word[lang]) for _ in range(4)) for _ in range(30))
+    langs = ["aa"] * 900 + ["bb"] * 90 + ["cc"] * 4
+    df = docs(spark, [(i, text(k), k, "s", 0) for i, k in enumerate(langs)])
+    model = langid.fit(df, max_docs=30)
+    assert model.languages == ["aa", "bb", "cc"]
+    assert "cc" in langid.fit(df, max_docs=30, max_bytes=300).languages
+    assert langid.shares({"a": 100, "b": 2, "c": 50}, 60) == {"b": 2, "c": 29, "a": 29}
+
+
 def test_toxicity_of_a_table(spark):
     d, labels = base.documents(spark, "/root/testdata/sf0.01"), base.documents(spark, "/root/testdata/sf0.01", "labels")
     model = toxicity.fit(d, labels)

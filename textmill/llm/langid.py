@@ -10,12 +10,13 @@ look-up per subword.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textmill.llm import base, scan
@@ -23,6 +24,7 @@ from textmill.llm import base, scan
 ORDERS = (2, 3, 4)
 BITS = 16
 UNKNOWN = "und"
+MAX_TEXT_BYTES = 1 << 20  # longer texts are not trained on
 
 
 @dataclass
@@ -75,7 +77,7 @@ def _bags(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
 
 
 def fit_texts(texts: list[str], langs: list[str], dims: int = 8, epochs: int = 3, rate: float = 1.0, seed: int = 1, reject: float = 0.001) -> LanguageModel:
-    """Train on whole texts and their lines; every tenth text only calibrates.
+    """Train on whole texts and their lines; every tenth text of a language only calibrates.
 
     ``reject`` is the share of rightly labelled calibration texts that the threshold may turn
     away. Without any text the model knows no language and rejects everything."""
@@ -84,8 +86,10 @@ def fit_texts(texts: list[str], langs: list[str], dims: int = 8, epochs: int = 3
         return LanguageModel([], np.zeros(((1 << BITS) + 1, 0)), np.zeros(0), 1.0, 1.0)
     y_of = {x: i for i, x in enumerate(names)}
     fit_x, fit_y, cal_x, cal_y = [], [], [], []
-    for i, (text, lang) in enumerate(zip(texts, langs)):
-        if i % 10 == 9:
+    seen: Counter = Counter()
+    for text, lang in zip(texts, langs):
+        seen[lang] += 1
+        if seen[lang] % 10 == 0:
             cal_x.append(text)
             cal_y.append(y_of[lang])
             continue
@@ -139,11 +143,42 @@ def fit_texts(texts: list[str], langs: list[str], dims: int = 8, epochs: int = 3
 
 
 def fit(docs: DataFrame, max_docs: int = 3000, max_bytes: int = 8 << 20) -> LanguageModel:
-    """Learn from text and non-null lang of the documents that are not held out: at most
-    ``max_docs`` of them and ``max_bytes`` of text, in the order of a hash of the id."""
+    """Learn from text and non-null lang of the documents that are not held out, in each
+    language in the order of a hash of the id. ``max_docs`` documents and ``max_bytes`` of
+    text are shared out evenly over the languages; what a rare one leaves goes to the others,
+    and every language has a document at least."""
     rows = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & ~base.held_out("doc_id") & (F.col("lang") != UNKNOWN))
-    sample = base.sampled_texts(rows, max_docs, max_bytes)
-    return fit_texts([r["text"] for r in sample], [r["lang"] for r in sample])
+    rows = rows.where(F.col("text").isNotNull() & (F.octet_length("text") <= MAX_TEXT_BYTES))
+    key = F.xxhash64(F.col("doc_id").cast("string"), F.lit(7))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("key", "doc_id"))
+    sizes = rows.select("lang", "doc_id", key.alias("key"), F.octet_length("text").alias("n")).withColumn("r", rank).where(F.col("r") <= max_docs)
+    by_lang: dict[str, list] = {}
+    for x in sizes.orderBy("lang", "r").collect():
+        by_lang.setdefault(x["lang"], []).append(x)
+    n_docs = shares({k: len(v) for k, v in by_lang.items()}, max_docs)
+    n_bytes = shares({k: sum(x["n"] for x in v[: n_docs[k]]) for k, v in by_lang.items()}, max_bytes)
+    ids = []
+    for k, held in by_lang.items():
+        total = 0
+        for x in held[: max(1, n_docs[k])]:
+            total += x["n"]
+            if total > n_bytes[k] and total > x["n"]:  # the first is taken anyway
+                break
+            ids.append((x["doc_id"], k))
+    if not ids:
+        return fit_texts([], [])
+    wanted = docs.sparkSession.createDataFrame(ids, rows.select("doc_id", "lang").schema).distinct()
+    sample = rows.join(F.broadcast(wanted), ["doc_id", "lang"], "left_semi").groupBy("doc_id", "lang").agg(F.min("text").alias("text")).orderBy(key, "doc_id", "lang").collect()
+    return fit_texts([x["text"] for x in sample], [x["lang"] for x in sample])
+
+
+def shares(held: dict[str, int], total: int) -> dict[str, int]:
+    """``total`` shared out evenly, to none more than it holds."""
+    out, left = {}, total
+    for i, k in enumerate(sorted(held, key=lambda k: (held[k], k))):
+        out[k] = min(held[k], left // (len(held) - i))
+        left -= out[k]
+    return out
 
 
 def predict_column(model: LanguageModel, col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm import grades, jaccard, langid, licenses, lines, mix, neighbours, pack, tokens, toxicity
-from textmill.llm.base import documents, held_out
+from textmill.llm import grades, jaccard, langid, licenses, lines, mix, neighbours, pack, runs, shards, tokens, toxicity, whiten
+from textmill.llm.base import WORD, documents, held_out
 from textmill.session import ensure_checkpoint_dir
 
 
@@ -69,10 +69,50 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, langid.fit(docs)).select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_checkpoint_dir(spark)
+    rows = documents(spark, sf_dir, "embeddings")
+    return whiten.transform(rows, whiten.fit(rows)).withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_checkpoint_dir(spark)
+    out = shards.assign(documents(spark, sf_dir), 8)
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): in one document of ten, told by a hash of its id, the words from some
+    place on repeat the first of them over and over."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10).cast("long")
+    words = F.regexp_extract_all("text", F.lit(f"({WORD})"), 1)
+    n = F.size("w").cast("long")
+    a = g % n
+    p = 1 + F.floor((n - a) / (3 + g % 8)).cast("long")
+    moved = F.transform("w", lambda x, i: F.when(i < F.col("a"), x).otherwise(F.get("w", (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int"))))
+    out = docs.select("doc_id", "text", F.when(h % 10 == 0, words).alias("w"), g.alias("g"))
+    out = out.withColumn("w", F.when(F.size("w") > 0, F.col("w"))).select("doc_id", "text", "w", a.alias("a"), p.alias("p"))
+    return out.select("doc_id", F.coalesce(F.array_join(moved, " "), F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = runs.detect(with_planted_runs(documents(spark, sf_dir)))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return out.withColumn("longest", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("longest.start")).alias("start"), F.col("longest.length").alias("length"), (-F.col("longest.period")).alias("period"),
+        F.floor(1000 * F.col("longest.length") / -F.col("longest.period")).cast("long").alias("exponent_milli"),
+        digest(listed).alias("runs_sha256"), digest(F.col("collapsed")).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_mix_sources, op2_token_counts, op3_embedding_neighbours, op4_pack_sequences, op5_toxicity,
         op6_license_scan, op7_ngram_jaccard, op8_line_frequency, op9_quality_grades, op10_language_id,
+        op11_embedding_whitening, op12_sharding, op13_periodic_runs,
     )
 }

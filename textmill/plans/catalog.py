@@ -798,3 +798,16 @@ def q_explode_actors(spark, sf_dir):
 def q_rouge_stemmed(spark, sf_dir):
     """Corpus ROUGE with the Porter stemmer on (the reference's scoring setting)."""
     return V.rouge_corpus(V.rouge_scores(rouge_pairs(spark, sf_dir), stem=True))
+
+
+# --- X2 semantic search ---------------------------------------------------------
+
+from textmill.operators import vectors as VEC  # noqa: E402
+
+
+@query("semantic_search")
+def q_semantic_search(spark, sf_dir):
+    """Every vector whose id is divisible by 50 against all vectors."""
+    rows = table(spark, sf_dir, "embeddings")
+    out = VEC.search(VEC.build_index(rows), rows.where("vec_id % 50 = 0"), top_k=10)
+    return out.select(F.col("query").alias("query_id"), "rank", F.col("id").alias("vec_id"), "score")

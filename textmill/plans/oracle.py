@@ -790,3 +790,12 @@ a AS (SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY idx) -
              'mentioned' AS role FROM u)
 SELECT * FROM a
 UNION ALL SELECT doc_id, NULL, NULL, NULL FROM good WHERE len(actor_names) = 0"""
+
+ORACLE["semantic_search"] = """
+WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+pairs AS (
+  SELECT q.vec_id AS query_id, x.vec_id, round(list_dot_product(q.e, x.e) / (sqrt(list_dot_product(q.e, q.e)) * sqrt(list_dot_product(x.e, x.e))), 9) AS score
+  FROM v q JOIN v x ON q.vec_id <> x.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM pairs QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 10
+"""

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from textmill.functions import lang as L
 from textmill.functions import text as T
-from textmill.session import barrier
+from textmill.functions.joins import BROADCAST_MAX_ROWS
+from textmill.session import barrier, stage_table
 
 TOKEN_MIN = 100
 TOKEN_MAX = 5_000
@@ -62,6 +63,58 @@ def dedupe_exact(df: DataFrame, key: str = "text_hash", order: tuple[str, ...] =
     return winners.select(*[F.col(f"w.{c}").alias(c) for c in df.columns if c != key], F.col(key))
 
 
+#: Bits of a filter of hashes for each hash in it, and of the largest filter that is broadcast (32 MB).
+FILTER_BITS, FILTER_MOST = 16, 1 << 28
+
+
+def hash_filter(keys: DataFrame, key: str, n: int) -> tuple[DataFrame, int]:
+    """(slot, bits) bitmaps that say of every key of ``keys`` that it may be there, and the bits
+    in all: sized by the ``n`` keys up to a bound, beyond which only more others may be there too."""
+    size = 1 << min(max((FILTER_BITS * n - 1).bit_length(), 15), FILTER_MOST.bit_length() - 1)
+    at = F.pmod(F.xxhash64(key), F.lit(size))
+    return keys.groupBy(F.bitmap_bucket_number(at).alias("slot")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits")), size
+
+
+def may_hold(df: DataFrame, key: str, bitmaps: DataFrame, size: int) -> DataFrame:
+    """``df`` with ``_may``: whether its key may be in the filter. The bitmaps are broadcast
+    (``FILTER_MOST`` bits at most)."""
+    at = F.pmod(F.xxhash64(key), F.lit(size))
+    joined = df.withColumn("slot", F.bitmap_bucket_number(at)).join(F.broadcast(bitmaps), "slot", "left")
+    place = F.bitmap_bit_position(at)
+    byte = F.conv(F.hex(F.substring("bits", (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    bit = F.call_function("getbit", byte, (place % 8).cast("int"))
+    return joined.withColumn("_may", F.coalesce(bit == 1, F.lit(False))).drop("slot", "bits")
+
+
+def dedupe_texts(df: DataFrame, key: str = "text_hash", order: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """P9 for wide rows: as ``dedupe_exact``, and no text of an unrepeated hash is shuffled.
+
+    ``df`` is written once. A narrow aggregate on (hash, order) finds the repeated hashes and
+    their winners, combined in the map tasks first. Rows whose hash is not among them pass
+    straight through; where the repeated hashes are too many to be broadcast, a filter of them, whose size is
+    bounded, tells which rows pass, and only the others are joined."""
+    rows = stage_table(df.withColumn("_row", F.monotonically_increasing_id()), "dedupe-rows")
+    winner = F.min(F.struct(*order, "_row")).alias("_first")
+    repeated = rows.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"), winner).where("_n > 1")
+    repeated = repeated.select("_key", F.col("_first._row").alias("_kept"))
+    repeated = stage_table(repeated, "dedupe-repeated")
+    n = repeated.count()
+    if n <= BROADCAST_MAX_ROWS // 4:  # a hash and a number each
+        out = rows.join(F.broadcast(repeated), F.col(key).eqNullSafe(F.col("_key")), "left").where("_kept IS NULL OR _kept = _row")
+        return out.select(*df.columns)
+    marked = may_hold(rows, key, *hash_filter(repeated, "_key", n))
+    others = marked.where("_may").join(repeated, F.col(key).eqNullSafe(F.col("_key")), "left").where("_kept IS NULL OR _kept = _row")
+    return marked.where("NOT _may").select(*df.columns).unionByName(others.select(*df.columns))
+
+
+def store_clean_documents(df: DataFrame, target_lang: str = TARGET_LANG, token_min: int = TOKEN_MIN,
+                          token_max: int = TOKEN_MAX, lang_col: Column | None = None,
+                          order: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """P10 as a stored table: the rows of ``clean_documents``, deduplicated by ``dedupe_texts``."""
+    kept = with_clean_columns(df, lang_col).filter(keep_filter(target_lang, token_min, token_max))
+    return stage_table(dedupe_texts(kept, order=order), "documents_clean")
+
+
 def clean_documents(df: DataFrame, target_lang: str = TARGET_LANG, token_min: int = TOKEN_MIN,
                     token_max: int = TOKEN_MAX, lang_col: Column | None = None,
                     order: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -13,12 +13,15 @@ models).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textmill.functions import text as T
 from textmill.functions.joins import bounded_broadcast
-from textmill.session import barrier
+from textmill.session import barrier, stage_table
+from textmill.sources.committed import CommittedTables
 
 NER_CHARS = 10_000          # E2: baseline extractor truncation (characters)
 API_BYTES = 99_000          # E1: service extractor truncation (UTF-8 bytes)
@@ -310,6 +313,48 @@ def entities_lookup_or_compute(ids: DataFrame, cache: DataFrame, docs: DataFrame
     return entities_union(hits, computed, absent)
 
 
+def entity_store(spark, root: str, entities, key: str = "doc_id", kind: str = "bigint"):
+    """The tables ``entities`` (of schema ``entities``) and ``done`` (which documents an
+    extractor version has worked on, also those in which it found nothing) under ``root``."""
+    from pyspark.sql.types import StructField, StructType, _parse_datatype_string
+
+    version = StructField("version", _parse_datatype_string("string"))
+    done = StructType([StructField(key, _parse_datatype_string(kind), False), version])
+    return CommittedTables.open(spark, root, {"entities": StructType([*entities.fields, version]), "done": done})
+
+
+def stored_entities(store: CommittedTables, version: str, key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+    """(entities, document keys) that were stored by an extractor version. Where two runs have
+    stored the same document at the same time, the rows of one of them count."""
+    mine = store.read("done").where(F.col("version") == version)
+    done = mine.groupBy(key).agg(F.min("batch").alias("batch"))
+    ents = store.read("entities").where(F.col("version") == version).join(done, [key, "batch"], "left_semi")
+    return ents.drop("version", "batch"), done.select(key)
+
+
+def entities_write_back(ids: DataFrame, store: CommittedTables, docs: DataFrame, compute, version: str, key: str = "doc_id") -> DataFrame:
+    """E12 with a store: entities of the requested documents, with ``source`` cache, computed or
+    not_found (a row of its own without an entity).
+
+    What is missing in the store is computed, written back and committed under the extractor
+    version, documents without entities included, and then read from there: a second call
+    computes nothing, and a call that failed before its commit has left nothing behind."""
+    req = ids.select(key).where(F.col(key).isNotNull()).distinct()
+    cached, done = stored_entities(store, version, key)
+    misses = stage_table(docs.join(req.join(done, key, "left_anti"), key, "left_semi"), "entity-misses")
+    batch = None
+    if not misses.isEmpty():
+        batch = uuid.uuid4().hex
+        tag = F.lit(version).alias("version")
+        store.write(batch, entities=compute(misses).withColumn("version", tag), done=misses.select(key, tag))
+    stored, known = stored_entities(store, version, key)
+    new = store.read("done").where(F.col("batch") == (batch or "")).select(key).distinct().withColumn("_new", F.lit(True))
+    found = stored.join(req, key, "left_semi").join(new, key, "left")
+    found = found.withColumn("source", F.when(F.col("_new"), F.lit("computed")).otherwise(F.lit("cache"))).drop("_new")
+    absent = req.join(known, key, "left_anti").withColumn("source", F.lit("not_found"))
+    return entities_union(found, absent)
+
+
 def extraction_report(ents: DataFrame, docs: DataFrame | None = None, key: str = "doc_id") -> DataFrame:
     """Per extractor: documents processed (all of ``docs``), documents with
     entities, entity rows."""

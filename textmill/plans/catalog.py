@@ -74,7 +74,7 @@ def clean_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cleaned corpus (``documents_clean``), written once per session and
     data directory under the shared checkpoint folder and read by every later
     stage, as the reference's pipeline does with its clean table."""
-    return _shared("clean", spark, sf_dir, lambda: stage_table(C.clean_documents(docs(spark, sf_dir)), "documents_clean"))
+    return _shared("clean", spark, sf_dir, lambda: C.store_clean_documents(docs(spark, sf_dir)))
 
 
 # --- 2.2 cleaning -----------------------------------------------------------
@@ -169,6 +169,39 @@ def q_stream_ingest(spark, sf_dir):
     return read_appended(spark, f"{base}/table", schema).select("text_hash", "token_count")
 
 
+def _json_landing(spark, sf_dir, wave: int) -> DataFrame:
+    """Lines of JSON as they arrive in one of three waves: every document once, in the wave of
+    its id; one in four again in the next, later than any watermark; some without their text,
+    some cut off in the middle."""
+    raw = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    own = raw.where(F.col("doc_id") % 3 == wave)
+    again = raw.where((F.col("doc_id") % 3 == (wave + 2) % 3) & (F.col("doc_id") % 4 == 0))
+    rows = own.unionAll(again)
+    line = F.to_json(F.struct("doc_id", F.when(F.col("doc_id") % 10 != 7, F.col("text")).alias("text"), "source"))
+    return rows.select(F.when(F.col("doc_id") % 10 == 3, F.substring(line, 1, 12)).otherwise(line).alias("value"))
+
+
+@query("stream_ingest_committed")
+def q_stream_ingest_committed(spark, sf_dir):
+    """Three waves of JSON lines, the stream stopped and started again between them; bad
+    lines are counted by reason, documents that came again, however late, are there once."""
+    from pyspark.sql.types import _parse_datatype_string
+
+    from textmill.streaming import ingest as IN
+
+    base = S.scratch_path(spark, "stream-committed")
+    record = _parse_datatype_string("doc_id BIGINT, text STRING, source STRING")
+    schema = _parse_datatype_string("doc_id BIGINT, text STRING, text_hash STRING, token_count BIGINT, ingested_at TIMESTAMP")
+    for wave in range(3):
+        _json_landing(spark, sf_dir, wave).write.mode("append").text(f"{base}/landing")
+        stream = IN.json_records(spark.readStream.text(f"{base}/landing"), record)
+        IN.ingest_committed(stream, f"{base}/tables", schema, f"{base}/checkpoint", IN.required("doc_id", "text"), _ts(), available_now=True).awaitTermination()
+    tables = IN.open_ingested(spark, f"{base}/tables", schema)
+    kept = tables.read("documents").select(F.lit("documents").alias("sink"), F.col("text_hash").alias("ref"), F.col("token_count").alias("n"))
+    dead = tables.read("dead").groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    return kept.unionByName(dead.select(F.lit("dead").alias("sink"), F.col("reason").alias("ref"), "n"))
+
+
 SQL_PATTERN = "schaft|ung"
 
 
@@ -477,6 +510,17 @@ def q_entities_lookup_or_compute(spark, sf_dir):
     return out.select("doc_id", "entity_name", "entity_type", "n_mentions", "salience", "source")
 
 
+@query("entities_write_back")
+def q_entities_write_back(spark, sf_dir):
+    """E12 with a store: asked twice, the second time everything comes from the store."""
+    d = clean_docs(spark, sf_dir)
+    ids = table(spark, sf_dir, "labels").select("doc_id")
+    extract = lambda x: EN.extract_entities(x, extracted_at=_ts())
+    store = EN.entity_store(spark, S.scratch_path(spark, "entity-store"), extract(d.limit(0)).schema)
+    runs = [EN.entities_write_back(ids, store, d, extract, "pattern-1").withColumn("run", F.lit(k)) for k in (1, 2)]
+    return runs[0].unionByName(runs[1]).select("run", "doc_id", "entity_name", "entity_type", "n_mentions", "salience", "source")
+
+
 @query("extraction_report")
 def q_extraction_report(spark, sf_dir):
     return EN.extraction_report(all_entities(spark, sf_dir), clean_docs(spark, sf_dir))

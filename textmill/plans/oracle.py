@@ -359,6 +359,15 @@ SELECT source, 2 * count(*) AS n_rows, CAST(2 * sum(n_chars) AS BIGINT) AS n_cha
 
 ORACLE["stream_ingest"] = f"WITH {CLEAN} SELECT text_hash, token_count FROM clean"
 
+ORACLE["stream_ingest_committed"] = f"""WITH {STAGED},
+arrived AS (SELECT CASE WHEN doc_id % 10 = 3 THEN 'malformed' WHEN doc_id % 10 = 7 OR text IS NULL THEN 'null text' END AS reason,
+                   CASE WHEN doc_id % 4 = 0 THEN 2 ELSE 1 END AS times FROM documents)
+SELECT DISTINCT 'documents' AS sink, text_hash AS ref, token_count AS n FROM staged
+WHERE lang = 'en' AND token_count BETWEEN 100 AND 5000 AND doc_id % 10 NOT IN (3, 7)
+UNION ALL
+SELECT 'dead', reason, CAST(sum(times) AS BIGINT) FROM arrived WHERE reason IS NOT NULL GROUP BY reason
+"""
+
 ORACLE["table_truncate_write"] = f"""WITH {MENTIONS}
 SELECT extractor, entity_type, count(*) AS n_rows, count(DISTINCT doc_id) AS n_docs FROM pents GROUP BY extractor, entity_type"""
 
@@ -414,6 +423,14 @@ WHERE doc_id IN (SELECT doc_id FROM miss)
 UNION ALL
 SELECT doc_id, NULL, NULL, NULL, NULL, 'not_found' FROM miss WHERE doc_id NOT IN (SELECT doc_id FROM clean)"""
 
+ORACLE["entities_write_back"] = f"""WITH {MENTIONS},
+req AS (SELECT DISTINCT doc_id FROM labels),
+runs AS (SELECT * FROM (VALUES (1, 'computed'), (2, 'cache')) t(run, source))
+SELECT run, doc_id, entity_name, entity_type, n_mentions, salience, source
+FROM pents, runs WHERE doc_id IN (SELECT doc_id FROM req)
+UNION ALL
+SELECT run, doc_id, NULL, NULL, NULL, NULL, 'not_found' FROM req, runs WHERE doc_id NOT IN (SELECT doc_id FROM clean)"""
+
 CATS_SQL = [
     ("/Computers & Electronics/Software", "['software','code','source','version','apache','gnu','license','licensed','distributed']"),
     ("/Finance", "['bank','money','market','price','percent','fund','investment','tax']"),

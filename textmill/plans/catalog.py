@@ -8,6 +8,7 @@ the library defaults stay those of the reference.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -302,6 +303,32 @@ def q_search_batch(spark, sf_dir):
     return Q.search_batch(docs(spark, sf_dir), BATCH_PATTERNS, top_k=5)
 
 
+from textmill.operators import trigrams as TRI  # noqa: E402
+
+
+def trigram_index(spark, sf_dir):
+    """The stored trigram index of the documents, built once for a state of the input."""
+    return _shared("trigrams", spark, sf_dir, lambda: TRI.build_index(docs(spark, sf_dir)))
+
+
+INDEXED_PATTERNS = BATCH_PATTERNS | {"q_rare": "general public licen[cs]e|apache license"}
+
+
+@query("search_indexed")
+def q_search_indexed(spark, sf_dir):
+    """Q1-Q3 by the index, all matches of each pattern; q_num has no trigram and scans."""
+    index = trigram_index(spark, sf_dir)
+    found = [TRI.match_score(index, p).select(F.lit(qid).alias("qid"), "doc_id", "score") for qid, p in sorted(INDEXED_PATTERNS.items())]
+    return functools.reduce(DataFrame.unionAll, found)
+
+
+@query("search_index_report")
+def q_search_index_report(spark, sf_dir):
+    """How many texts each pattern is run on."""
+    plain = {q: p for q, p in INDEXED_PATTERNS.items() if q != "q_es"}
+    return TRI.search_report(trigram_index(spark, sf_dir), plain)
+
+
 # --- 2.9 corpus statistics --------------------------------------------------
 
 from textmill.operators import stats as D  # noqa: E402

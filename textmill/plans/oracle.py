@@ -816,3 +816,25 @@ pairs AS (
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
 FROM pairs QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 10
 """
+
+INDEXED = {"q_de": "schaft|ung", "q_en": "th[a-z]*tion", "q_es": "ción", "q_fr": "ment", "q_num": "[0-9]+",
+           "q_rare": "general public licen[cs]e|apache license"}
+
+ORACLE["search_indexed"] = " UNION ALL ".join(
+    f"SELECT '{q}' AS qid, doc_id, CAST(len(regexp_extract_all(lower(text), '{p}')) AS BIGINT) AS score "
+    f"FROM documents WHERE regexp_matches(lower(text), '{p}')" for q, p in INDEXED.items())
+
+# what a match must hold, three letters at a time
+TRIGRAMS = {"q_de": [["sch", "cha", "haf", "aft"], ["ung"]], "q_en": [["tio", "ion"]], "q_fr": [["men", "ent"]], "q_num": [[""]],
+            "q_rare": [["gen", "ene", "ner", "era", "ral", "al ", "l p", " pu", "pub", "ubl", "bli", "lic", "ic ", "c l", " li", "ice", "cen"],
+                       ["apa", "pac", "ach", "che", "he ", "e l", " li", "lic", "ice", "cen", "ens", "nse"]]}
+
+
+def _looked_up(grams: list[str]) -> str:
+    """The condition on a text; of more than 16 the first by their bytes are looked up."""
+    return " AND ".join(f"contains(lower(text), '{g}')" for g in sorted(set(grams))[:16])
+
+
+ORACLE["search_index_report"] = " UNION ALL ".join(
+    f"SELECT '{q}' AS qid, count(text) AS n_texts, count_if({' OR '.join(f'({_looked_up(g)})' for g in sets)}) AS n_read, "
+    f"count_if(regexp_matches(lower(text), '{INDEXED[q]}')) AS n_matched FROM documents" for q, sets in TRIGRAMS.items())

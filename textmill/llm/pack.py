@@ -14,23 +14,44 @@ import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import cache
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textmill.llm import base
+from textmill.llm import base, scan
 from textmill.llm.tokens import load
 
 CAPACITY = 2048
-#: Distinct words that a Python worker remembers at a time. When they are too many, those it
-#: learned first stay: common words come early.
-MEMO, STAY = 400_000, 200_000
+#: Distinct words that a Python worker remembers, in two halves: a word that is not met while
+#: one half fills up is forgotten.
+MEMO = 500_000
 
 Run = tuple[tuple[int, ...], int]  # the lengths in a sequence, and how many sequences are so
 
+LETTER_DIGIT = np.zeros(256, bool)
+LETTER_DIGIT[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+#: ASCII marks, without the apostrophe, which may begin a pre-token together with letters.
+MARK = np.zeros(256, bool)
+MARK[[c for c in range(0x21, 0x7F) if not LETTER_DIGIT[c] and c != 0x27]] = True
+
+
+class Words(scan.Runs):
+    """Words between ASCII white space; with ``split``, marks at the end of a word, behind an
+    ASCII letter or digit, are a word of their own: the tokenizer never joins the two."""
+
+    def __init__(self, data: np.ndarray, off: np.ndarray, split: bool):
+        super().__init__(data, off, ~scan.SPACE[data])
+        if split and len(self.start):
+            stop = self.start + self.length
+            other = np.maximum.accumulate(np.where(MARK[data], -1, np.arange(len(data))))[stop - 1]  # the last byte that is no mark
+            cut = (other + 1)[(other >= self.start) & (other < stop - 1) & LETTER_DIGIT[data[other]]]
+            self.start = np.sort(np.concatenate([self.start, cut]))
+            self.length = np.sort(np.concatenate([stop, cut])) - self.start
+            self.doc = np.searchsorted(off, self.start, "right") - 1
+            self.counts = np.bincount(self.doc, minlength=self.n)
+
 
 @cache
 def worker(path: str) -> "WordIds":
@@ -42,33 +63,83 @@ base.KEPT["word ids"] = worker.cache_clear
 
 
 class WordIds:
-    """Ids of whole texts by a tokenizer that drops white space: the library encodes each
-    distinct word (between ASCII white space) once while it is remembered, many in one text."""
+    """Ids of whole texts by a tokenizer that drops white space and lower-cases: the library
+    encodes each distinct word once while it is remembered, many in one text. Equal words of a
+    pass are told by 64-bit hashes."""
 
     def __init__(self, path: str):
-        self.tok, self.memo = load(path), {}
-
-    def learn(self, new: list[bytes]) -> None:
-        for lo in range(0, len(new), 4096):
-            part = new[lo : lo + 4096]
-            own = [x.decode() for x in part]
-            e = self.tok.encode(" ".join(own), add_special_tokens=False)
-            ids = np.array(e.ids, "<u4")
-            ends = np.maximum.accumulate(np.array([b for _, b in e.offsets], np.int64)) if len(ids) else np.zeros(0, np.int64)
-            cut = np.searchsorted(ends, np.cumsum([len(x) + 1 for x in own]) - 1, "right")
-            raw, at = ids.tobytes(), (4 * cut).tolist()
-            self.memo.update((x, raw[a:b]) for x, a, b in zip(part, [0, *at], at))
+        self.tok, self.young, self.old = load(path), {}, {}
+        uncached = getattr(self.tok.model, "_resize_cache", None)
+        if uncached is not None:
+            uncached(0)  # no word is asked for twice, so the library's own memo only costs time
+        vocabulary = self.tok.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that end a pre-token
+        self.ends[[i for x, i in vocabulary.items() if x.endswith("</w>")]] = True
+
+    def remember(self, words: list[bytes], ids: np.ndarray, cut: np.ndarray) -> dict[bytes, bytes]:
+        raw, at = ids.astype("<u4").tobytes(), (4 * cut).tolist()
+        return {x: raw[a:b] for x, a, b in zip(words, [0, *at], at)}
+
+    def learn(self, new: list[bytes]) -> dict[bytes, bytes]:
+        """The library's ids of words, each on its own."""
+        out, texts = {}, [x.decode() for x in new]
+        plain = [x.isalpha() for x in texts]  # letters only: one pre-token
+        for wanted in (True, False):
+            own = [k for k, p in enumerate(plain) if p == wanted]
+            for lo in range(0, len(own), 4096):
+                part = own[lo : lo + 4096]
+                words, joined = [new[k] for k in part], " ".join([texts[k] for k in part])
+                if wanted:
+                    ids = np.array(self.tok.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.int64)
+                    cut = np.flatnonzero(self.ends[ids]) + 1
+                    if len(cut) == len(part):
+                        out |= self.remember(words, ids, cut)
+                        continue
+                e = self.tok.encode(joined, add_special_tokens=False)  # or by their places in the text
+                ends = np.maximum.accumulate(np.array([b for _, b in e.offsets], np.int64)) if len(e) else np.zeros(0, np.int64)
+                cut = np.searchsorted(ends, np.cumsum([len(texts[k]) + 1 for k in part]) - 1, "right")
+                out |= self.remember(words, np.array(e.ids, np.int64), cut)
+        return out
+
+    def look_up(self, words: list[bytes]) -> list[bytes]:
+        if len(self.young) + len(words) > MEMO // 2:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        new = []
+        for x in words:
+            if x not in young:
+                if x in old:
+                    young[x] = old[x]
+                else:
+                    new.append(x)
+        young |= self.learn(new)
+        return [young[x] for x in words]
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        split = [(t or "").encode().split() for t in texts]
-        new = list(set().union(*split).difference(self.memo))
-        if len(self.memo) + len(new) > MEMO:
-            self.memo = dict(islice(self.memo.items(), STAY))
-            new = list(set().union(*split).difference(self.memo))
-        self.learn(new)
-        for words in split:
-            yield b"".join(map(self.memo.__getitem__, words))
+        ids, begin = self.ids_of(pa.array(texts, pa.large_string()))
+        for lo, hi in zip(begin.tolist(), begin[1:].tolist()):
+            yield ids[lo:hi].tobytes()
+
+    def ids_of(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Little-endian unsigned 32-bit ids of all texts, and where each text's begin."""
+        data, off = scan.flat(col)
+        raw = data.tobytes()
+        special = b"<|" in raw  # may be a special string, which is taken as it is
+        if not special:
+            data = scan.LOWER[data]
+            raw = data.tobytes()
+        w = Words(data, off, split=not special)
+        if not len(w.start):
+            return np.zeros(0, "<u4"), np.zeros(w.n + 1, np.int64)
+        _, first, which = np.unique(w.hashes(), return_index=True, return_inverse=True)
+        own = self.look_up([raw[a : a + n] for a, n in zip(w.start[first].tolist(), w.length[first].tolist())])
+        size = np.array([len(x) for x in own], np.int64) // 4
+        ids, begin = np.frombuffer(b"".join(own), "<u4"), np.cumsum(size) - size
+        many = size[which]
+        upto = np.concatenate([[0], np.cumsum(many)])
+        out = ids[np.repeat(begin[which] - upto[:-1], many) + np.arange(upto[-1])]
+        return out, upto[np.concatenate([[0], np.cumsum(w.counts)])]
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0) -> DataFrame:
@@ -89,8 +160,10 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0
         for b in batches:
             for lo, col in base.passes(b.column(1)):
                 doc, out = [], []
-                for i, ids in enumerate(tok.encode(col.to_pylist())):
-                    ids += last
+                found, begin = tok.ids_of(col)
+                raw, begin = found.tobytes(), (4 * begin).tolist()
+                for i in range(len(col)):
+                    ids = raw[begin[i] : begin[i + 1]] + last
                     for k, at in enumerate(range(0, len(ids), size)):
                         own = ids[at : at + size]
                         n = len(own) // 4
@@ -259,7 +332,8 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0)
     sent = spark.sparkContext.broadcast((table["length"] << RANK_BITS | table["lo"], table))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     by_part = by_part.select("part", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    ranked = own.join(by_part, ["part", "length"]).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("before") + F.col("place")).alias("rank"))
+    # a row for each task and length: as many as the input has tasks, so never broadcast
+    ranked = own.join(by_part.hint("shuffle_merge"), ["part", "length"]).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("before") + F.col("place")).alias("rank"))
     schema = ranked.drop("rank").schema.add("sequence_id", "long").add("offset", "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -229,3 +229,53 @@ def test_models_without_training_rows():
     assert [list(x) for x in grades.grade_column(g, pa.array(["abc"]), 1)] == [[0.0], [0.0]]
     one = langid.fit_texts(["abc def"], ["en"])
     assert list(langid.predict_column(one, pa.array(["abc"]))[0]) == ["en"]
+
+
+class Encoded:
+    """A tokenizer that counts the characters it is given."""
+
+    def __init__(self, tok):
+        self.tok, self.n = tok, 0
+
+    def encode_batch(self, texts, **k):
+        self.n += sum(map(len, texts))
+        return self.tok.encode_batch(texts, **k)
+
+    def encode_batch_fast(self, texts, **k):
+        self.n += sum(map(len, texts))
+        return self.tok.encode_batch_fast(texts, **k)
+
+
+def huge(kind):
+    r = random.Random(8)
+    if kind == "line ends":
+        return "\n".join(r.choice(["word", "other", "a", "d'or", "it's", "3.5"]) for _ in range(60_000))
+    if kind == "chinese":
+        return "".join(r.choice("的一是不了人我在有他这为之大来以个中上们") + ("。" if r.random() < 0.05 else "，" if r.random() < 0.05 else "") for _ in range(120_000))
+    if kind == "one run":
+        return "ab" * 100_000
+    if kind == "one run, then words":
+        return "x" * 90_000 + " and then some words" * 5_000 + "y" * 70_000 + "\nend"
+    if kind == "encoded":
+        return "".join(r.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(200_000))
+    if kind == "blanks":
+        return "a" + " " * 150_000 + "b\t\n" * 20_000
+    return "<|endoftext|>" * 12_000 + "'s 't" * 10_000
+
+
+@pytest.mark.parametrize("kind", ["line ends", "chinese", "one run", "one run, then words", "encoded", "blanks", "special"])
+def test_huge_texts_are_encoded_in_linear_work(byte_bpe, kind):
+    c, text = tokens.Counter(byte_bpe, 32_768, 256), huge(kind)
+    tok = Encoded(c.tok)
+    assert tokens.splice(tok, text, 32_768, 256)[0] == len(c.tok.encode(text, add_special_tokens=False))
+    assert tok.n <= 3 * len(text)
+
+
+def test_proven_boundaries_hold_in_any_text(byte_bpe):
+    c, r = tokens.Counter(byte_bpe, 100, 10), random.Random(12)
+    parts = ["a", "B", "é", "7", "42", " ", "  ", "\n", "\t", "'", "'s", "'t", ".", ",", "!", "<", "|", ">", "<|endoftext|>", "的", "。", "かな", "한", "\u00a0", "\x85", "\x1c", "ß", "－", "\u0301", "😀", "-", "_", "re"]
+    for _ in range(600):
+        text = "".join(r.choice(parts) for _ in range(r.randint(2, 40)))
+        whole = c.tok.encode(text, add_special_tokens=False).ids
+        for b in tokens.stable(text, 0, len(text)):
+            assert c.tok.encode(text[:b], add_special_tokens=False).ids + c.tok.encode(text[b:], add_special_tokens=False).ids == whole, (text, b)

@@ -38,17 +38,22 @@ def load(path: str):
     return Tokenizer.from_file(path)
 
 
-#: A blank between two characters that are not white space. The byte-level pattern lets white
-#: space only begin a pre-token, and a single blank goes with what follows it, so a pre-token
-#: ends before such a blank whatever else the text holds; merges never cross pre-tokens, and a
-#: special string has no blank. From that place on the encoding depends on what follows only,
-#: and up to it on what precedes only. ``\x1c`` to ``\x1f`` are no white space for the tokenizer.
-STABLE = re.compile(r"(?<=[^\s]) (?=[^\s])")
+#: Places where a pre-token ends whatever else the text holds. The byte-level pattern has
+#: runs of letters, of numbers and of other signs, each with at most one blank before it, and
+#: runs of white space; only the apostrophe of a contraction stands at the head of letters. So a
+#: pre-token ends before white space that follows something else, and where letters, digits and other signs
+#: meet. Merges never cross pre-tokens: from such a place on the encoding depends on what
+#: follows only, and up to it on what precedes only. Only characters whose kind is the same in
+#: all versions of Unicode count, and no ``<``, ``|`` and ``>``, so no place is inside a special
+#: string. ``\x1c`` to ``\x1f`` are no white space for the tokenizer, and count as neither.
+LETTERS = "A-Za-zÀ-ÖØ-öø-ɏΑ-ΡЀ-џぁ-ゖァ-ヺ一-龥가-힣"
+SIGNS = r"!-&(-/:;=?@\[-`{}~、。「」，！？；：（）"
+STABLE = re.compile(rf"(?<=\S)(?=[ \t-\r])|(?<=[{LETTERS}])(?=[0-9'{SIGNS}])|(?<=[0-9])(?=['{LETTERS}{SIGNS}])|(?<=[{SIGNS}])(?=[0-9{LETTERS}])")
 
 
-def stable(text: str, lo: int, hi: int) -> list[int]:
-    """Proven boundaries b with lo < b < hi - 1, seeing only text[lo:hi]."""
-    return [m.start() for m in STABLE.finditer(text, lo, hi)]
+def stable(text: str, lo: int, hi: int) -> Iterator[int]:
+    """Proven boundaries b with lo < b < hi, in order, seeing only text[lo:hi]."""
+    return (m.start() for m in STABLE.finditer(text, lo, hi) if lo < m.start())
 
 
 class Chunk:
@@ -68,25 +73,35 @@ class Chunk:
 
 
 def splice(tok, text: str, chunk: int, overlap: int) -> tuple[int, int]:
-    """(tokens of the whole text, how often an overlap had to be widened)."""
+    """(tokens of the whole text, how often an overlap had to be widened).
+
+    Where an overlap holds no boundary that both chunks have, it is widened to the next one in the
+    text, however far that is, and the stretch from the last boundary before it is encoded
+    once more, as a whole. So every character is encoded in its chunk, or in two where these
+    overlap, and in one such stretch at most."""
     n = len(text)
     spans = [(lo, min(lo + chunk + overlap, n)) for lo in range(0, n, chunk)]
     encode = lambda some: [Chunk(a, b, e) for (a, b), e in zip(some, tok.encode_batch([text[a:b] for a, b in some], add_special_tokens=False))]
     chunks = (c for lo in range(0, len(spans), 4) for c in encode(spans[lo : lo + 4]))
-    left, total, begin, widened = next(chunks), 0, None, 0
+    left, begin, total, widened = next(chunks), 0, 0, 0
+    after = None  # the end of a widened overlap, from which on the next chunk counts
     for right in chunks:
-        wider = overlap
-        while True:
-            at = next((b for b in stable(text, right.lo, min(left.hi, right.hi)) if b > (begin or 0) and left.ends_at(b) and right.ends_at(b)), None)
-            if at is not None or left.hi >= right.hi:
-                break
-            wider, widened = 2 * wider, widened + 1
-            left = encode([(left.lo, min(right.hi, right.lo + wider))])[0]
-        if at is None:  # the left chunk has come to hold the right one
+        if after is not None:
+            if after < right.hi:
+                left, begin, after = right, after, None
             continue
-        total += left.before(at) - (left.before(begin) if begin is not None else 0)
-        left, begin = right, at
-    return total + len(left.ends) - (left.before(begin) if begin is not None else 0), widened
+        at = next((b for b in stable(text, max(right.lo, begin), min(left.hi, right.hi)) if left.ends_at(b) and right.ends_at(b)), None)
+        if at is None and left.hi < n:
+            widened += 1
+            last = max((b for b in stable(text, begin, left.hi) if left.ends_at(b)), default=begin)
+            after = next((m.start() for m in STABLE.finditer(text, left.hi) if m.start() > left.hi), n)
+            total += left.before(last) - left.before(begin) + len(tok.encode_batch_fast([text[last:after]], add_special_tokens=False)[0])
+            if after < right.hi:
+                left, begin, after = right, after, None
+        elif at is not None:
+            total += left.before(at) - left.before(begin)
+            left, begin = right, at
+    return total + (len(left.ends) - left.before(begin) if after is None else 0), widened
 
 
 @cache

@@ -341,7 +341,8 @@ def entities_write_back(ids: DataFrame, store: CommittedTables, docs: DataFrame,
     computes nothing, and a call that failed before its commit has left nothing behind."""
     req = ids.select(key).where(F.col(key).isNotNull()).distinct()
     cached, done = stored_entities(store, version, key)
-    misses = stage_table(docs.join(req.join(done, key, "left_anti"), key, "left_semi"), "entity-misses")
+    wanted = bounded_broadcast(stage_table(req.join(done, key, "left_anti"), "entity-wanted"))  # texts stay where they are
+    misses = stage_table(docs.join(wanted, key, "left_semi"), "entity-misses")
     batch = None
     if not misses.isEmpty():
         batch = uuid.uuid4().hex

@@ -86,18 +86,25 @@ def profile(docs: DataFrame, host: str) -> DataFrame:
     return rows.mapInArrow(base.tidy(run), schema)
 
 
-def frequent_lines(profiles: DataFrame, least: int = 20, share: float = 0.05) -> DataFrame:
+#: Distinct documents of a host beyond which a line is frequent: LEAST, if they are more than the
+#: part SHARE of the host as well, and MOST in a host of any size.
+LEAST, SHARE, MOST = 20, 0.05, 1000
+
+
+def frequent_lines(profiles: DataFrame, least: int = LEAST, share: float = SHARE, most: int = MOST) -> DataFrame:
     """(host, line, n_docs) of the lines in more than ``least`` and more than ``share`` of the
-    distinct documents of their host. Exact copies of a text count as one document, so that
-    copying a page does not turn its lines into boilerplate."""
+    distinct documents of their host, or in more than ``most`` of them however large the host
+    is. Exact copies of a text count as one document, so that copying a page does not turn its
+    lines into boilerplate."""
     texts = profiles.groupBy("host").agg(F.countDistinct("fingerprint").alias("host_docs"))
     # a line key of its own carries few bytes, and equal (host, line, text) meet map-side first
     lines = profiles.select("host", "fingerprint", F.explode("lines.line").alias("line")).distinct()
     counts = lines.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n_docs")).where(F.col("n_docs") > least)
-    return counts.join(texts, "host").where(F.col("n_docs") > F.col("host_docs") * share).select("host", "line", "n_docs")
+    beyond = (F.col("n_docs") > F.col("host_docs") * share) | (F.col("n_docs") > most)
+    return counts.join(texts, "host").where(beyond).select("host", "line", "n_docs")
 
 
-def judge(docs: DataFrame, host: str = "source", least: int = 20, share: float = 0.05, depleted: float = 0.5, min_words: int = 50, max_repeat: int = 50) -> DataFrame:
+def judge(docs: DataFrame, host: str = "source", least: int = LEAST, share: float = SHARE, most: int = MOST, depleted: float = 0.5, min_words: int = 50, max_repeat: int = 50) -> DataFrame:
     """doc_id, the counts, base_failed, kept_words (outside removed lines) and kept of every
     document.
 
@@ -106,7 +113,7 @@ def judge(docs: DataFrame, host: str = "source", least: int = 20, share: float =
     stays. Null and empty texts have no words and fail; a null host is a host of its own
     together with the empty one; repeated rows are judged each; an empty table gives none."""
     rows = base.stage(profile(docs, host), "lines")
-    frequent = base.stage(frequent_lines(rows, least, share), "lines-frequent")
+    frequent = base.stage(frequent_lines(rows, least, share, most), "lines-frequent")
     lines = rows.select("row", "host", F.explode("lines").alias("l")).select("row", "host", F.col("l.line").alias("line"), F.col("l.words").alias("words"))
     lost = lines.join(frequent.select("host", "line"), ["host", "line"]).groupBy("row").agg(F.sum("words").alias("lost"))
     out = rows.drop("lines", "fingerprint").join(lost, "row", "left")
@@ -116,25 +123,36 @@ def judge(docs: DataFrame, host: str = "source", least: int = 20, share: float =
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept_words", kept.alias("kept"))
 
 
-def strip(docs: DataFrame, host: str = "source", least: int = 20, share: float = 0.05) -> DataFrame:
-    """``docs`` with the frequent lines of their host taken out of the texts (null texts stay
-    null). A host has at most 1 / ``share`` times the lines of a document as frequent ones."""
-    frequent = frequent_lines(base.stage(profile(docs, host), "lines"), least, share)
-    by_host = frequent.groupBy(F.col("host").alias("__host")).agg(F.collect_list("line").alias("__lines"))
-    joined = docs.join(by_host, F.coalesce(docs[host].cast("string"), F.lit("")) == F.col("__host"), "left").drop("__host")
-    at, names = docs.columns.index("text"), docs.columns
+def strip(docs: DataFrame, host: str = "source", least: int = LEAST, share: float = SHARE, most: int = MOST) -> DataFrame:
+    """``docs`` with the frequent lines of their host taken out of the texts; null texts stay
+    null, other columns stay as they are.
+
+    A document carries only the numbers of its own frequent lines: its lines meet the frequent
+    ones of its host as (host, line) rows, and what is found is gathered by document."""
+    rows = base.stage(docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*docs.columns).alias("doc")), "strip-rows")
+    texts = rows.select("row", F.col("doc").getField(host).alias("host"), F.col("doc.text").alias("text")).withColumn("doc_id", F.col("row"))
+    found = base.stage(profile(texts, "host"), "strip-lines")  # doc_id is the row's number
+    frequent = frequent_lines(found, least, share, most).select("host", "line")
+    lines = found.select("doc_id", "host", F.posexplode("lines.line").alias("at", "line"))
+    # at most as many as the document has lines
+    gone = lines.join(frequent, ["host", "line"]).groupBy(F.col("doc_id").alias("row")).agg(F.collect_set("at").alias("gone"))
+    joined = rows.join(gone, "row", "left").select("gone", "doc")
+    place, names = docs.columns.index("text"), docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts, gone = b.column(at).to_pylist(), b.column(len(names)).to_pylist()
-            for i, text in enumerate(texts):
-                if text and gone[i]:
-                    parts = text.split("\n")
-                    with_word = [k for k, x in enumerate(parts) if x.strip(" \t\n\v\f\r")]
-                    line = lines_of(pa.array([text], pa.string()))["line"].view(np.int64)
-                    drop = {k for k, h in zip(with_word, line.tolist()) if h in set(gone[i])}
-                    texts[i] = "\n".join(x for k, x in enumerate(parts) if k not in drop)
-            columns = [pa.array(texts, pa.string()) if k == at else b.column(k) for k in range(len(names))]
+            columns, lost = b.column(1).flatten(), b.column(0).to_pylist()
+            texts = columns[place].to_pylist()
+            for i, own in enumerate(lost):
+                if own:
+                    drop, k, kept = set(own), 0, []
+                    for x in texts[i].split("\n"):
+                        worded = bool(x.strip(" \t\n\v\f\r"))
+                        if not (worded and k in drop):
+                            kept.append(x)
+                        k += worded
+                    texts[i] = "\n".join(kept)
+            columns[place] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names)
 
     return joined.mapInArrow(base.tidy(run), docs.schema)

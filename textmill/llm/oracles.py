@@ -80,7 +80,7 @@ WITH worded AS (
   SELECT host, count(DISTINCT md5(text)) AS n FROM worded GROUP BY host
 ), frequent AS (
   SELECT h.host, h.line FROM held h JOIN hosts USING (host) GROUP BY h.host, h.line, hosts.n
-  HAVING count(DISTINCT fp) > 20 AND count(DISTINCT fp) > hosts.n * 0.05::DOUBLE
+  HAVING count(DISTINCT fp) > 20 AND (count(DISTINCT fp) > hosts.n * 0.05::DOUBLE OR count(DISTINCT fp) > 1000)
 ), lost AS (
   SELECT r, sum(n) AS n FROM held JOIN frequent USING (host, line) GROUP BY r
 ), counted AS (

@@ -350,11 +350,26 @@ def test_frequent_lines_are_removed_and_depleted_documents_rejected(spark):
     assert kept == set(range(1000, 1040)) | {200 + i for i in range(5)} | {300 + i for i in range(60)}
     assert not got[100][0]["base_failed"] and got[100][0]["kept_words"] == 12
     assert got[1][-1]["doc_id"] == 1 and len(got[3]) == 2 and got[4][0]["base_failed"]
-    text = {x["doc_id"]: x["text"] for x in lines.strip(df).where("doc_id in (100, 200)").collect()}
-    assert foot.upper() not in text[100] and foot in text[200]
+    stripped = lines.strip(df)
+    assert stripped.columns == df.columns and stripped.count() == df.count()
+    text = {x["doc_id"]: x["text"] for x in stripped.where("doc_id in (100, 200, 1, 2)").collect()}
+    assert foot.upper() not in text[100] and foot in text[200] and text[1] is None and text[2] == ""
     assert lines.judge(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("n", [100, 3000])
+def test_a_footer_goes_in_a_host_of_any_size(spark, n):
+    """The footer is on 60 documents; others of the host hold lines of their own."""
+    foot = "all rights reserved " + " ".join(f"f{i}" for i in range(60))
+    rows = [(i, f"{' '.join(f'u{i}x{k}' for k in range(40))}" + (f"\n\n{foot}\nlast line of {i}" if i < 60 else ""), "en", "h", 0) for i in range(n)]
+    got = {x["doc_id"]: x for x in lines.judge(docs(spark, rows), most=50, min_words=10).collect()}
+    assert all(not got[i]["kept"] and got[i]["kept_words"] == 44 for i in range(60)) and all(got[i]["kept"] for i in range(60, n))
+    text = {x["doc_id"]: x["text"] for x in lines.strip(docs(spark, rows), most=50).collect()}
+    assert all(text[i] == rows[i][1].replace(f"\n{foot}", "") for i in range(n))
+    # without the bound on documents the share of a large host would keep it
+    assert lines.judge(docs(spark, rows), most=10**6, min_words=10).where("not kept").count() == (60 if n == 100 else 0)
+
+
 def test_pipeline_stages_take_effect_and_keep_columns(spark):
     sf = "/root/testdata/sf0.01"
     d, columns = base.documents(spark, sf), base.documents(spark, sf).columns
@@ -376,6 +391,32 @@ def test_pipeline_stages_take_effect_and_keep_columns(spark):
     assert Counter(r["doc_id"] for r in packed if r["piece"] == 0) == Counter(rows)
 
 
+CLASHING = (
+    "row", "score", "rejected", "lang_pred", "predicted", "point", "maybe", "kept", "id", "times", "n", "key", "x", "k", "part", "place", "piece", "length", "start", "offset", "rank",
+    "sequence_id", "size", "target", "node", "root", "region", "rep", "__text", "__point", "__maybe", "__kept", "__id", "__times", "__key", "__n", "__copies", "__whole", "__seed",
+    "__fraction", "__target", "__source_size", "a.b", "with blank",
+)
+
+
+def test_pipeline_leaves_columns_of_any_name_alone(spark):
+    rows = [(i, f"the cat and the dog number {i} went over the hill and it was good for them " * 3, "en", f"s{i % 3}", 1) for i in range(40)]
+    rows += [(100 + i, f"der Hund und die Katze mit der Nummer {i} sind nicht auf dem Berg und das ist gut " * 3, "de", "s1", 1) for i in range(40)]
+    rows += [(3, rows[3][1], "en", "s0", 1), (200, rows[5][1], "en", None, 1), (201, None, None, None, None), (None, "the end of the story is that the cat was on the mat", "en", "s1", 1)]
+    d = docs(spark, rows)
+    plain = d
+    for c in CLASHING:
+        d = d.withColumn(c, F.concat(F.lit(f"{c}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out, want = base.stage(stage(spark, d, SF), f"test-{name}"), stage(spark, plain, SF)
+        assert out.columns == d.columns
+        for r in out.collect():
+            assert all(r[c] == f"{c}:{'null' if r['doc_id'] is None else r['doc_id']}" for c in CLASHING)
+        if name != "language":  # its model is trained on the table, which is the same
+            assert Counter((r["doc_id"], r["text"]) for r in out.collect()) == Counter((r["doc_id"], r["text"]) for r in want.collect())
+        d, plain = out, out.select(plain.columns)
+    assert corpus_pipeline.packing(spark, d, SF).count() == corpus_pipeline.packing(spark, plain, SF).count() > 0
+
+
 def test_pipeline_of_an_empty_table(spark):
     d = base.documents(spark, SF).limit(0)
     for name, stage in corpus_pipeline.STAGES:

@@ -30,6 +30,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return stage_table(df, f"llm-{name}")
 
 
+def packed(docs: DataFrame, *names: str) -> DataFrame:
+    """Every row of ``docs`` as one struct ``row``, and beside it only the columns ``names`` that an
+    operator reads: whatever other columns are called, they meet none of the operator's own."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *names)
+
+
+def unpacked(rows: DataFrame, columns: list[str]) -> DataFrame:
+    return rows.select(*[F.col("row").getField(c).alias(c) for c in columns])
+
+
 def held_out(doc_id: Column | str) -> Column:
     """True for the documents that no model here learns from."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary") if isinstance(doc_id, str) else doc_id.cast("string").cast("binary")) % 4 == 2
@@ -57,10 +67,11 @@ def sampled_texts(rows: DataFrame, max_rows: int, max_bytes: int, max_text_bytes
 
 
 def chosen(docs: DataFrame, known: DataFrame, max_rows: int) -> DataFrame:
-    """(doc_id, text) of at most ``max_rows`` ids of ``known``, in the order of a hash of the
-    id. The ids are chosen in their own narrow table and sent to the documents, whose texts
-    stay where they are."""
-    ids = known.select("doc_id").distinct().orderBy(F.xxhash64(F.col("doc_id").cast("string"), F.lit(7)), "doc_id").limit(max_rows).collect()
+    """(doc_id, text) of at most ``max_rows`` ids of ``known`` that ``docs`` holds, in the order of
+    a hash of the id. The ids meet in narrow tables, then the chosen ones are sent to the
+    documents, whose texts stay where they are."""
+    here = docs.select("doc_id").join(known.select("doc_id").distinct(), "doc_id", "left_semi")
+    ids = here.distinct().orderBy(F.xxhash64(F.col("doc_id").cast("string"), F.lit(7)), "doc_id").limit(max_rows).collect()
     rows = docs.select("doc_id", "text")
     wanted = docs.sparkSession.createDataFrame([(r["doc_id"],) for r in ids], rows.select("doc_id").schema)
     return rows.join(F.broadcast(wanted), "doc_id", "left_semi")

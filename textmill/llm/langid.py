@@ -142,6 +142,10 @@ def fit_texts(texts: list[str], langs: list[str], dims: int = 8, epochs: int = 3
     return model
 
 
+#: Rows of a language and hash bucket that are ranked; Spark limits groups early up to 1000.
+BUCKET = 500
+
+
 def fit(docs: DataFrame, max_docs: int = 3000, max_bytes: int = 8 << 20) -> LanguageModel:
     """Learn from text and non-null lang of the documents that are not held out, in each
     language in the order of a hash of the id. ``max_docs`` documents and ``max_bytes`` of
@@ -150,8 +154,14 @@ def fit(docs: DataFrame, max_docs: int = 3000, max_bytes: int = 8 << 20) -> Lang
     rows = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & ~base.held_out("doc_id") & (F.col("lang") != UNKNOWN))
     rows = rows.where(F.col("text").isNotNull() & (F.octet_length("text") <= MAX_TEXT_BYTES))
     key = F.xxhash64(F.col("doc_id").cast("string"), F.lit(7))
+    # the smallest hashes of each language: first of each of its buckets, by a limit that Spark
+    # applies within the map tasks, then of what is left, a bounded number
+    sizes = rows.select("lang", "doc_id", key.alias("key"), F.octet_length("text").alias("n"))
+    sizes = sizes.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(-(-2 * max_docs // BUCKET))))
+    in_bucket = F.row_number().over(Window.partitionBy("lang", "bucket").orderBy("key", "doc_id"))
+    sizes = sizes.withColumn("r", in_bucket).where(F.col("r") <= BUCKET)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("key", "doc_id"))
-    sizes = rows.select("lang", "doc_id", key.alias("key"), F.octet_length("text").alias("n")).withColumn("r", rank).where(F.col("r") <= max_docs)
+    sizes = sizes.withColumn("r", rank).where(F.col("r") <= max_docs)
     by_lang: dict[str, list] = {}
     for x in sizes.orderBy("lang", "r").collect():
         by_lang.setdefault(x["lang"], []).append(x)

@@ -92,6 +92,8 @@ def plan(docs: DataFrame, weights: tuple = WEIGHTS, limit: int = 3, share: float
 
 
 def mix(docs: DataFrame, weights: tuple = WEIGHTS, limit: int = 3, share: float = 1.0, seeds: int = 8) -> DataFrame:
-    """``docs`` with each row as often as the mix takes it (all columns, no others)."""
-    out = with_copies(docs, rates(sizes_of(docs), weights, limit, share, seeds), seeds)
-    return out.withColumn("__n", F.explode(F.expr("array_repeat(0, __copies)"))).select(docs.columns)
+    """``docs`` with each row as often as the mix takes it (all columns, no others). Rows travel
+    as one struct, so other columns may have any names."""
+    rows = base.packed(docs, "doc_id", "source")
+    out = with_copies(rows, rates(sizes_of(docs), weights, limit, share, seeds), seeds)
+    return base.unpacked(out.withColumn("__n", F.explode(F.expr("array_repeat(0, __copies)"))), docs.columns)

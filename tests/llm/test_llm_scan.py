@@ -220,6 +220,75 @@ def test_close_repeats_are_occurrences_of_their_own():
         assert len(licenses.matches(ix, pa.array([f"{part}\n{line}\n{part}"]), 0.8)) == 3
 
 
+def plain_scan(templates, text, least):
+    """The templates that the rules find in a text, by a full alignment at every word."""
+    ix = licenses.index(templates)
+    _, h, _ = licenses.runs_of(pa.array([text]))
+    found = []
+    for t, template in enumerate(ix.words):
+        best = None
+        for lo in range(len(h)):
+            pairs = [(i, w + lo) for i, w in licenses.align(template, h[lo : lo + 3 * len(template) + 16])]
+            if len(pairs) >= least * len(template) and licenses.decided(ix, t, h, pairs) and (best is None or len(pairs) > len(best)):
+                best = pairs
+        if best:
+            found.append((t, best, len(best) / len(template)))
+    return sorted(ix.names[t] for t, _, _ in licenses.best_of(found))
+
+
+def test_names_equal_those_of_a_plain_scan():
+    r = random.Random(15)
+    noise = lambda n: " ".join("".join(r.choice("abcdef") for _ in range(r.randint(2, 7))) for _ in range(n))
+    names = ["Apache-2.0", "MIT", "ISC", "GPL-3.0", "GPL-2.0", "GPL-3.0-notice", "AGPL-3.0-notice", "CC-BY-SA-4.0", "CC-BY-SA-3.0", "Unlicense"]
+    templates = {k: licenses.TEMPLATES[k] for k in names}
+    ix = licenses.index(templates)
+    for _ in range(40):
+        name = r.choice(names)
+        words = templates[name].split()
+        for _ in range(r.randint(0, 3)):  # words left out, changed or put in between
+            k = r.randrange(len(words))
+            words[k : k + r.randint(0, 1)] = [noise(1)] * r.randint(0, 2)
+        text = f"{noise(r.randint(0, 20))} {' '.join(words)} {noise(r.randint(0, 20))}"
+        found = licenses.matches(ix, pa.array([text]), 0.8)
+        want = plain_scan(templates, text, 0.8)
+        # a template without three whole words in a row that are a fingerprint is no candidate
+        assert sorted(ix.names[t] for _, t, *_ in found) in (want, []) and (found or not want or len(words) < 16), text
+
+
+@pytest.mark.parametrize("text,want", [
+    (licenses.TEMPLATES["BSD-3-Clause"], ["BSD-3-Clause"]),
+    (licenses.TEMPLATES["BSD-2-Clause"], ["BSD-2-Clause"]),
+    (licenses.TEMPLATES["AGPL-3.0-notice"], ["AGPL-3.0-notice"]),
+    (licenses.TEMPLATES["LGPL-2.1-notice"], ["LGPL-2.1-notice"]),
+    (licenses.TEMPLATES["LGPL-3.0-notice"], ["LGPL-3.0-notice"]),
+    (licenses.TEMPLATES["GPL-2.0-notice"], ["GPL-2.0-notice"]),
+    (licenses.TEMPLATES["GPL-3.0-notice"], ["GPL-3.0-notice"]),
+    ("Licensed under CC BY-SA 3.0", ["CC-BY-SA-3.0"]),
+    ("Licensed under CC BY-SA 2.5", []),
+    ("Licensed under CC BY-NC-SA 4.0", []),
+    ("Licensed under the Apache License, Version 1.1", []),
+    ("This work is licensed under the GNU General Public License, version 1", []),
+    ("This work is licensed under the GNU Affero General Public License, version 3", []),
+    (licenses.TEMPLATES["BSD-3-Clause"].replace("source and", "source , 1. 2. and"), ["BSD-3-Clause"]),
+])
+def test_neighbouring_licences_are_told_apart(text, want):
+    ix = licenses.index(licenses.TEMPLATES)
+    for around in ("{}", "some words before\n{}\nand after it"):
+        assert [ix.names[t] for _, t, *_ in licenses.matches(ix, pa.array([around.format(text)]), 0.8)] == want
+
+
+def test_the_band_gives_what_the_whole_rectangle_gives():
+    r = random.Random(16)
+    for _ in range(200):
+        template = [r.randrange(9) for _ in range(r.randint(1, 14))]
+        words = np.array([r.randrange(9) for _ in range(r.randint(0, 30))], np.uint64)
+        whole = licenses.align(template, words)
+        if whole:
+            d = [w - i for i, w in whole]
+            band = licenses.align(template, words, min(d) - 3, max(d) + 3)
+            assert len(band) == len(whole) and all(words[w] == template[i] for i, w in band)
+
+
 def test_models_without_training_rows():
     m = langid.fit_texts([], [])
     assert [list(x) for x in langid.predict_column(m, pa.array(["abc", None], pa.string()))] == [["und", "und"], [0.0, 0.0], [True, True]]

@@ -521,6 +521,29 @@ def q_redact_pii(spark, sf_dir):
         "doc_id", "n_email", "n_phone", F.sha2("text", 256).alias("redacted_hash"))
 
 
+@query("find_secrets")
+def q_find_secrets(spark, sf_dir):
+    """Every find of every document with its place, overlapping ones as one."""
+    from textmill.operators import secrets as SEC
+
+    out = SEC.with_finds(docs(spark, sf_dir).select("doc_id", "text"))
+    return out.select("doc_id", F.explode("finds").alias("x")).select("doc_id", F.col("x.start").alias("start"), F.col("x.stop").alias("stop"), "x.kind")
+
+
+@query("redact_secrets")
+def q_redact_secrets(spark, sf_dir):
+    from textmill.operators import secrets as SEC
+
+    return SEC.redact_secrets(docs(spark, sf_dir).select("doc_id", "text")).select("doc_id", F.size("finds").alias("n_finds"), F.sha2("text", 256).alias("redacted_hash"))
+
+
+@query("secrets_report")
+def q_secrets_report(spark, sf_dir):
+    from textmill.operators import secrets as SEC
+
+    return SEC.secrets_report(docs(spark, sf_dir).select("doc_id", "text"))
+
+
 @query("top_entities_per_doc")
 def q_top_entities_per_doc(spark, sf_dir):
     return EN.top_entities_per_doc(all_entities(spark, sf_dir)).select(

@@ -838,3 +838,47 @@ def _looked_up(grams: list[str]) -> str:
 ORACLE["search_index_report"] = " UNION ALL ".join(
     f"SELECT '{q}' AS qid, count(text) AS n_texts, count_if({' OR '.join(f'({_looked_up(g)})' for g in sets)}) AS n_read, "
     f"count_if(regexp_matches(lower(text), '{INDEXED[q]}')) AS n_matched FROM documents" for q, sets in TRIGRAMS.items())
+
+SECRET_KINDS = {
+    "EMAIL": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}",
+    "PHONE": r"\+?[0-9]{1,3} ?\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}|[0-9]{3}-[0-9]{3}-[0-9]{4}",
+    "CARD": r"[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{1,7}|[0-9]{12,}",
+    "IBAN": r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,}",
+    "IP": r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}",
+    "KEY": r"[A-Za-z0-9+_=-]{20,}",
+}
+# every candidate with its place: behind k + 1 pieces and k matches
+SECRETS = "\n, ".join(["WITH named AS (" + " UNION ALL ".join(
+    f"SELECT doc_id, '{k}' AS kind, text, regexp_extract_all(text, '{p}') AS ms, regexp_split_to_array(text, '{p}') AS ps FROM documents" for k, p in SECRET_KINDS.items()) + ")",
+    """cand AS (
+  SELECT doc_id, kind, i, ms[i] AS f,
+    CAST(list_sum(list_transform(ps[1:i], lambda p: length(p))) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda m: length(m))), 0) AS INTEGER) AS start
+  FROM (SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM named))""",
+    """digits AS (SELECT *, list_reverse(list_transform(string_split(regexp_replace(f, '[ -]', '', 'g'), ''), lambda c: TRY_CAST(c AS INTEGER))) AS ds FROM cand)""",
+    """conf AS (
+  SELECT doc_id, kind, f, start, CAST(start + length(f) AS INTEGER) AS stop FROM digits WHERE CASE kind
+    WHEN 'CARD' THEN len(ds) BETWEEN 13 AND 19 AND list_sum(list_transform(ds, lambda d, i: CASE WHEN i % 2 = 1 THEN d WHEN d > 4 THEN 2 * d - 9 ELSE 2 * d END)) % 10 = 0
+    WHEN 'IBAN' THEN length(f) BETWEEN 15 AND 34 AND list_reduce(list_prepend(0, list_transform(string_split(substr(f, 5) || substr(f, 1, 4), ''),
+      lambda c: CASE WHEN regexp_matches(c, '[0-9]') THEN ascii(c) - 48 ELSE ascii(c) - 55 END)), lambda a, v: (a * CASE WHEN v > 9 THEN 100 ELSE 10 END + v) % 97) = 1
+    WHEN 'IP' THEN list_bool_and(list_transform(string_split(f, '.'), lambda n: CAST(n AS INTEGER) <= 255))
+    WHEN 'KEY' THEN len(regexp_extract_all(f, '[0-9][A-Za-z]')) + len(regexp_extract_all(f, '[A-Za-z][0-9]')) >= 3
+      AND list_sum(list_transform(list_distinct(string_split(f, '')), lambda c: -((length(f) - length(replace(f, c, ''))) / length(f)) * log2((length(f) - length(replace(f, c, ''))) / length(f)))) >= 3.0
+    ELSE TRUE END)""",
+    """islands AS (
+  SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY start, kind, stop ROWS UNBOUNDED PRECEDING) AS island FROM (
+    SELECT *, CASE WHEN start < max(stop) OVER (PARTITION BY doc_id ORDER BY start, kind, stop ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS fresh FROM conf))""",
+    """finds AS (
+  SELECT doc_id, island, min(start) AS start, max(stop) AS stop, arg_max(kind, (stop - start, -start, -n)) AS kind FROM (
+    SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY kind) AS n FROM islands) GROUP BY doc_id, island)"""])
+
+ORACLE["find_secrets"] = f"{SECRETS} SELECT doc_id, start, stop, kind FROM finds"
+ORACLE["secrets_report"] = f"""{SECRETS}
+SELECT k.kind, CAST(count(c.doc_id) AS BIGINT) AS n_candidates, CAST(count(f.doc_id) AS BIGINT) AS n_confirmed, count(DISTINCT f.doc_id) AS n_docs
+FROM (SELECT unnest({list(SECRET_KINDS)}) AS kind) k LEFT JOIN cand c USING (kind)
+LEFT JOIN conf f ON f.doc_id = c.doc_id AND f.kind = c.kind AND f.start = c.start GROUP BY k.kind"""
+ORACLE["redact_secrets"] = f"""{SECRETS}
+, cuts AS (SELECT doc_id, list(struct_pack(start := start, stop := stop, kind := kind) ORDER BY start) AS x FROM finds GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(len(x), 0) AS INTEGER) AS n_finds, sha256(CASE WHEN x IS NULL THEN text ELSE
+  array_to_string(list_transform(x, lambda s, i: substr(text, CASE WHEN i = 1 THEN 0 ELSE x[i - 1].stop END + 1, s.start - CASE WHEN i = 1 THEN 0 ELSE x[i - 1].stop END) || '[' || s.kind || ']'), '')
+  || substr(text, x[len(x)].stop + 1) END) AS redacted_hash
+FROM documents LEFT JOIN cuts USING (doc_id)"""

@@ -829,6 +829,18 @@ def q_model_call(spark, sf_dir):
     return out.select("doc_id", F.get_json_object("response", "$.core_issue").alias("answer"), "error")
 
 
+@query("inference_resumed")
+def q_inference_resumed(spark, sf_dir):
+    """L2 with a log: half of the requests, then all of them; none is sent twice."""
+    from textmill.operators import resumable as RES
+
+    r = L.build_requests(clean_docs(spark, sf_dir))
+    log = RES.open_answers(spark, S.scratch_path(spark, "answers"))
+    RES.answer(r.where("doc_id % 2 = 0"), log, L.echo_model, "echo-1")
+    out = RES.answer(r, log, L.echo_model, "echo-1")
+    return out.select("doc_id", F.get_json_object("response", "$.core_issue").alias("answer"), "error", "n_sent")
+
+
 def responses(spark, sf_dir):
     """Model responses for the clean corpus from the native stand-in model.
     Documents labelled toxic get an out-of-enum tone ('toxic'); those also

@@ -784,6 +784,9 @@ SELECT doc_id, CAST(length(request) AS INTEGER) AS request_chars, sha256(request
 ORACLE["model_call"] = f"""WITH {REQUESTS}
 SELECT doc_id, length(request) || ' characters, ' || sha256(request) AS answer, CAST(NULL AS VARCHAR) AS error FROM r"""
 
+ORACLE["inference_resumed"] = f"""WITH {REQUESTS}
+SELECT doc_id, length(request) || ' characters, ' || sha256(request) AS answer, CAST(NULL AS VARCHAR) AS error, CAST(1 AS BIGINT) AS n_sent FROM r"""
+
 ORACLE["parse_extractions"] = f"""WITH {INFER}
 SELECT doc_id, parse_ok, CAST(core_issue_chars AS INTEGER) AS core_issue_chars, CAST(n_actors AS INTEGER) AS n_actors,
        CAST(n_metrics AS INTEGER) AS n_metrics, CAST(n_dates AS INTEGER) AS n_dates, sentiment_label FROM pe"""

@@ -41,9 +41,11 @@ FREQUENT = 50_000
 LOCAL, BUFFER = 8, 2_000_000
 #: The first shingles are those in this part of the hash range, a quarter of the set at least.
 FIRST = 0.36
-#: Bits of the filter that keeps texts out of the shuffle that no region asks for. It has this
-#: size for any input; what it lets through in vain goes in the join.
-FILTER_BITS = 1 << 26
+#: Bits of a filter for each thing in it, and bits at least and at most: what a filter lets
+#: through in vain goes in the join behind it.
+FILTER_BITS, FILTER_LEAST, FILTER_MOST = 16, 1 << 20, 1 << 28
+#: First shingles that a task holds before it sends them on, and that a slot has about in all.
+HELD, SLOT = 4_000_000, 16_000_000
 
 
 def signatures(sets: np.ndarray, begin: np.ndarray) -> np.ndarray:
@@ -154,21 +156,85 @@ def profile(docs: DataFrame, order: list[np.ndarray]) -> DataFrame:
     return rows.mapInArrow(base.tidy(run), schema)
 
 
-def postings(docs: DataFrame, order: list[np.ndarray]) -> DataFrame:
-    """(s, point): the first shingles of every set; copies within a pass once."""
+def fresh_first(col: pa.Array, order: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The first shingles of every set of a pass, copies once, and the points they are of."""
+    sets, begin = scan.shingle_sets(col, SIZE)
+    point = signatures(sets, begin)
+    chosen, _ = first_shingles(sets, begin, *order)
+    doc = np.repeat(np.arange(len(point)), np.diff(begin))
+    fresh = np.zeros(len(point), bool)
+    fresh[np.unique(point, return_index=True)[1]] = True
+    chosen = chosen[fresh[doc[chosen]]]
+    return sets[chosen], point[doc[chosen]]
+
+
+def twice(s: np.ndarray) -> np.ndarray:
+    """A sorted array with the third and later of equal entries left out."""
+    keep = np.ones(len(s), bool)
+    keep[2:] = s[2:] != s[:-2]
+    return s[keep]
+
+
+def repeated_shingles(docs: DataFrame, order: list[np.ndarray], n_first: int) -> tuple[DataFrame, int]:
+    """(s), and the bits of a slot: numbers of first shingles that two points have (and a few that one point has twice,
+    as a copy in another task).
+
+    A shingle's slot are the upper bits of its hash; of the others 32 are sent, packed into one
+    row for each slot and stretch of a task, a shingle twice at most. So a shingle that only
+    one point has, as most are, costs four bytes here and is never a row."""
+    bits = max(6, (n_first // SLOT).bit_length())
     sent = docs.sparkSession.sparkContext.broadcast(order)
+    high, low = scan.U(64 - bits), scan.U(32 - bits)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, held = [], 0
+
+        def rows() -> pa.RecordBatch:
+            s = np.concatenate(parts) if parts else np.zeros(0, scan.U)
+            s.sort()
+            s = twice(s)
+            slot = (s >> high).astype(np.int64)
+            begin = np.flatnonzero(np.diff(slot, prepend=-1))
+            data = (s >> low).astype("<u4").tobytes()
+            cut = [*(4 * begin).tolist(), len(data)]
+            return pa.RecordBatch.from_arrays([pa.array(slot[begin]), pa.array([data[x:y] for x, y in zip(cut, cut[1:])], pa.binary())], ["slot", "packed"])
+
+        for b in batches:
+            for _, col in base.passes(b.column(0)):
+                parts.append(fresh_first(col, sent.value)[0])
+                held += len(parts[-1])
+                if held >= HELD:
+                    yield rows()
+                    parts, held = [], 0
+        yield rows()
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (slot,), own in by_key(batches, 1):
+            s = np.concatenate([np.frombuffer(x, "<u4") for (x,) in own])
+            s.sort()
+            again = np.unique(s[1:][s[1:] == s[:-1]])
+            yield pa.RecordBatch.from_arrays([pa.array((slot << 32 | again.astype(np.int64)))], ["s"])
+
+    packed = docs.select("text").mapInArrow(base.tidy(pack), "slot long, packed binary")
+    return packed.repartition("slot").sortWithinPartitions("slot").mapInArrow(base.tidy(meet), "s long"), bits
+
+
+def postings(docs: DataFrame, order: list[np.ndarray], n_first: int) -> DataFrame:
+    """(s, point): the first shingles of every set that are another point's as well, and few
+    others; copies within a pass once."""
+    again, bits = repeated_shingles(docs, order, n_first)
+    again = base.stage(again, "jaccard-repeated")
+    sent = docs.sparkSession.sparkContext.broadcast((order, filter_bits(again, F.col("s"), again.count())))
+    low = scan.U(32 - bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        order, known = sent.value
         for b in batches:
             for _, col in base.passes(b.column(0)):
-                sets, begin = scan.shingle_sets(col, SIZE)
-                point = signatures(sets, begin)
-                chosen, _ = first_shingles(sets, begin, *sent.value)
-                doc = np.repeat(np.arange(len(point)), np.diff(begin))
-                fresh = np.zeros(len(point), bool)
-                fresh[np.unique(point, return_index=True)[1]] = True
-                chosen = chosen[fresh[doc[chosen]]]
-                yield pa.RecordBatch.from_arrays([pa.array(sets[chosen].view(np.int64)), pa.array(point[doc[chosen]].view(np.int64))], ["s", "point"])
+                s, point = fresh_first(col, order)
+                keep = in_filter(known, (s >> low).view(np.int64))
+                s, point = s[keep], point[keep]
+                yield pa.RecordBatch.from_arrays([pa.array(s.view(np.int64)), pa.array(point.view(np.int64))], ["s", "point"])
 
     return docs.select("text").mapInArrow(base.tidy(run), "s long, point long")
 
@@ -180,9 +246,11 @@ def regions_of(docs: DataFrame, profiles: DataFrame, points: DataFrame, order: l
     its regions a document leaves the smallest, by shingles, as long as they sum up to less
     than half of its need: two partners then still have a shingle whose region neither left.
     """
-    least, most = F.expr("min(point) over (partition by s)"), F.expr("max(point) over (partition by s)")
-    shared = postings(docs, order).select("point", least.alias("region"), most.alias("other")).where("region <> other")
-    shared = base.stage(shared.groupBy("region", "point").agg(F.count(F.lit(1)).alias("k")), "jaccard-shared")
+    n_first = profiles.agg(F.sum(F.col("need") + F.floor(F.col("n_shingles") / 4))).first()[0] or 0
+    own = base.stage(postings(docs, order, n_first), "jaccard-postings")
+    region = own.groupBy("s").agg(F.min("point").alias("region"), F.max("point").alias("other")).where("region <> other").drop("other")
+    shared = own.join(region, "s").groupBy("region", "point").agg(F.count(F.lit(1)).alias("k"))
+    shared = base.stage(shared, "jaccard-shared")
     held = shared.join(points, "point").withColumn("total", F.expr("sum(k) over (partition by point)"))
     held = held.withColumn("upto", F.expr("sum(k) over (partition by point order by k, region)"))
     held = held.where("total >= need and 2 * upto >= need").select("region", "point", "rep")
@@ -191,12 +259,13 @@ def regions_of(docs: DataFrame, profiles: DataFrame, points: DataFrame, order: l
     return base.stage(held.join(sizes, "region"), "jaccard-members")
 
 
-def filter_bits(rows: DataFrame, value: Column) -> np.ndarray:
-    """A filter of FILTER_BITS bits with the bit ``value`` modulo its size set for every row.
-    Executors make the bits; at most FILTER_BITS / 8 bytes come to the driver."""
-    place = rows.select((F.pmod(value, F.lit(FILTER_BITS)) + 1).alias("b"))
+def filter_bits(rows: DataFrame, value: Column, n: int) -> np.ndarray:
+    """A filter with the bit ``value`` modulo its size set for each of ``n`` rows. Executors make
+    the bits; at most FILTER_MOST / 8 bytes come to the driver."""
+    size = min(max(1 << (FILTER_BITS * n).bit_length(), FILTER_LEAST), FILTER_MOST)
+    place = rows.select((F.pmod(value, F.lit(size)) + 1).alias("b"))
     made = place.groupBy(F.bitmap_bucket_number("b").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("bits")).collect()
-    out = np.zeros(FILTER_BITS // 8, np.uint8)
+    out = np.zeros(size // 8, np.uint8)
     for r in made:  # buckets count from 1
         own = np.frombuffer(r["bits"], np.uint8)
         at = (r["bucket"] - 1) * len(own)
@@ -205,14 +274,15 @@ def filter_bits(rows: DataFrame, value: Column) -> np.ndarray:
 
 
 def in_filter(bits: np.ndarray, value: np.ndarray) -> np.ndarray:
-    at = value & (FILTER_BITS - 1)
+    at = value & (8 * len(bits) - 1)
     return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
 
 def wanted_texts(docs: DataFrame, members: DataFrame) -> DataFrame:
     """(__id, __text) of the documents that represent a member, and few others: the filter
     keeps most others out of the shuffle to the join."""
-    sent = docs.sparkSession.sparkContext.broadcast(filter_bits(members, F.xxhash64("rep")))
+    wanted = members.select("rep").distinct()
+    sent = docs.sparkSession.sparkContext.broadcast(filter_bits(wanted, F.xxhash64("rep"), wanted.count()))
     texts = docs.select(F.col("doc_id").alias("__id"), F.col("text").alias("__text")).where(F.col("__text").isNotNull())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -447,34 +517,36 @@ def join(docs: DataFrame) -> DataFrame:
     return classified(docs).select("doc_id", "n_shingles", "component_id")
 
 
-def with_point(docs: DataFrame, bits: np.ndarray) -> DataFrame:
-    """``docs`` with the number of each text's set and whether it is in a filter."""
-    at, sent = docs.columns.index("text"), docs.sparkSession.sparkContext.broadcast(bits)
+def with_point(rows: DataFrame, bits: np.ndarray) -> DataFrame:
+    """(row, doc_id, text) with the number of each text's set and whether it is in a filter."""
+    sent = rows.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for lo, col in base.passes(b.column(at)):
+            for lo, col in base.passes(b.column(2)):
                 point = signatures(*scan.shingle_sets(col, SIZE)).view(np.int64)
-                yield base.frame_of(b.slice(lo, len(col)), __point=point, __maybe=in_filter(sent.value, point) & (point != 0))
+                yield base.frame_of(b.slice(lo, len(col)).select([0, 1]), point=point, maybe=in_filter(sent.value, point) & (point != 0))
 
-    return docs.mapInArrow(base.tidy(run), StructType([*docs.schema.fields, StructField("__point", LongType()), StructField("__maybe", BooleanType())]))
+    schema = StructType([*rows.drop("text").schema.fields, StructField("point", LongType()), StructField("maybe", BooleanType())])
+    return rows.mapInArrow(base.tidy(run), schema)
 
 
 def representatives(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group of linked documents: that with the smallest doc_id
     (null last), then set number, then row. Documents with an empty set all stay.
 
-    Only texts whose set has rows to drop (and few others, by a filter of fixed size) are
-    shuffled to the join with what stays; all others pass."""
+    Only texts whose set has rows to drop (and few others, by a filter of bounded size) are
+    shuffled to the join with what stays; all others pass. Rows travel as one struct, so other
+    columns may have any names."""
     found = base.stage(classified(docs).where("n_shingles > 0").groupBy("root", "point", "doc_id").agg(F.count(F.lit(1)).alias("times")), "jaccard-found")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "point", "times")).alias("x")
     groups = found.groupBy("root").agg(first, F.count(F.lit(1)).alias("n"))
-    chosen = base.stage(groups.select("root", F.col("x.doc_id").alias("__id"), F.col("x.point").alias("__kept"), F.col("x.times").alias("__times"), "n"), "jaccard-chosen")
-    mixed = chosen.where((F.col("n") > 1) | (F.col("__times") > 1))
-    dropping = found.join(mixed.select("root"), "root", "left_semi")
-    rows = with_point(docs, filter_bits(dropping, F.col("point")))
-    stay = chosen.select("__id", "__kept", "__times")
-    held = rows.where("__maybe").join(stay, (F.col("__point") == F.col("__kept")) & F.col("doc_id").eqNullSafe(F.col("__id")))
-    once = held.where("__times = 1").select(docs.columns)
-    again = held.where("__times > 1").groupBy("__point", "__id").agg(F.min(F.struct(*docs.columns)).alias("x")).select("x.*")
-    return rows.where("not __maybe").select(docs.columns).unionByName(once).unionByName(again)
+    chosen = base.stage(groups.select("root", F.col("x.doc_id").alias("id"), F.col("x.point").alias("kept"), F.col("x.times").alias("times"), "n"), "jaccard-chosen")
+    mixed = chosen.where((F.col("n") > 1) | (F.col("times") > 1))
+    dropping = found.join(mixed.select("root"), "root", "left_semi").select("point").distinct()
+    rows = with_point(base.packed(docs, "doc_id", "text"), filter_bits(dropping, F.col("point"), dropping.count()))
+    stay = chosen.select("id", "kept", "times")
+    held = rows.where("maybe").join(stay, (F.col("point") == F.col("kept")) & F.col("doc_id").eqNullSafe(F.col("id")))
+    once = held.where("times = 1").select("row")
+    again = held.where("times > 1").groupBy("point", "id").agg(F.min("row").alias("row")).select("row")
+    return base.unpacked(rows.where("not maybe").select("row").unionByName(once).unionByName(again), docs.columns)

@@ -140,3 +140,23 @@ def test_redaction(spark):
     df = spark.createDataFrame([(1, "mail a@b.org or c@d.net, call 555-123-4567"), (2, None), (3, "none")], "doc_id bigint, text string")
     got = {r.doc_id: (r.text, r.n_email, r.n_phone) for r in redact(df).collect()}
     assert got == {1: ("mail [EMAIL] or [EMAIL], call [PHONE]", 2, 1), 2: (None, None, None), 3: ("none", 0, 0)}
+
+
+def test_sentiment_comes_from_sentences_that_mention_the_name(spark):
+    text = ("Ann Lee had a good day. The Lee family saw Joann Leeson fail. ANN LEE was bad at it! "
+            "Ann Lee met Ann Lee again, a great success. Nothing bad here.")
+    df = spark.createDataFrame([(1, text), (2, "no names here"), (3, None), (4, "")], "doc_id long, text string")
+    got = {(r["doc_id"], r["entity_name"]): r for r in EN.extract_entities(df).collect()}
+    assert set(got) == {(1, "Ann Lee"), (1, "Joann Leeson"), (1, "The Lee")}
+    ann, joann = got[1, "Ann Lee"], got[1, "Joann Leeson"]
+    # twice in one sentence is one sentence; inside Joann Leeson, or in capitals, it is not mentioned
+    assert (ann["n_mentions"], ann["pos"], ann["sentiment_score"], ann["sentiment_magnitude"]) == (3, 1, 1.0, 2.0)
+    assert (joann["n_mentions"], joann["sentiment_score"]) == (1, -1.0)
+
+
+def test_entities_of_a_text_with_many_mentions(spark):
+    names = [f"{a}{b} Smith" for a in ("Ba", "Ce", "Do", "Fu") for b in ("na", "ra", "la", "mi")]
+    text = " ".join(f"{names[i % 16]} did a good thing on day {100000 + i}." for i in range(4000))
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    rows = EN.extract_entities(df).where("raw_label = 'PROPN'").collect()
+    assert len(rows) == 16 and sum(r["n_mentions"] for r in rows) == 4000 and {r["sentiment_score"] for r in rows} == {1.0}

@@ -202,15 +202,16 @@ def entity_salience(ents: DataFrame, key: str = "doc_id") -> DataFrame:
     return ents.withColumn("salience", F.round(F.col("n_mentions") / F.sum("n_mentions").over(w), 4))
 
 
-def sentence_scores(text) -> Column:
-    """Per sentence (in lower case) its lexicon polarity: (pos - neg) / max(pos + neg, 1)."""
+def sentence_scores(text, patterns: dict[str, str] | None = None) -> Column:
+    """Per sentence its mentions (name, raw_label) and its lexicon polarity: (pos - neg) / max(pos + neg, 1)."""
+    found = lambda s: [F.transform(F.regexp_extract_all(s, F.lit(p), 0), _mention_struct(lab)) for lab, p in (patterns or PATTERNS).items()]
     pos_arr, neg_arr = _lit_array(POSITIVE_WORDS), _lit_array(NEGATIVE_WORDS)
 
     def score(s):
         w = T.words(s)
         p = F.size(F.filter(w, lambda x: F.array_contains(pos_arr, x)))
         n = F.size(F.filter(w, lambda x: F.array_contains(neg_arr, x)))
-        return F.struct(F.lower(s).alias("s"), ((p - n) / F.greatest(p + n, F.lit(1))).cast("double").alias("v"))
+        return F.struct(F.concat(*found(s)).alias("m"), ((p - n) / F.greatest(p + n, F.lit(1))).cast("double").alias("v"))
 
     return F.transform(T.sentences(text), score)
 
@@ -220,35 +221,39 @@ def extract_entities(df: DataFrame, text_col: str = "text", key: str = "doc_id",
                      extracted_at: Column | None = None, max_bytes: int | None = None) -> DataFrame:
     """E3-E8 fused: the ``entities`` table from pattern extractors, map-only.
 
-    Per document row: mentions (sorted by position) -> distinct keys in
-    first-occurrence order -> first surface form, count, salience =
-    count / all mentions, sentiment = mean sentence polarity over the
-    sentences containing the name, magnitude = sum of |polarity|; then one
-    explode.
+    Mentions are taken sentence by sentence (no pattern matches across the end of one), so
+    each knows its sentence. Sorted by (name in lower case, label, sentence), the mentions of
+    an entity lie together, and one pass over them gives the entity's first surface form, count, salience =
+    count / all mentions, sentiment = mean polarity of the sentences that mention it and
+    magnitude = sum of their |polarity|: work in proportion to the mentions, but for the sort.
+    A name inside another word is no mention. One explode at the end.
     """
     t = extractor_text(text_col, max_chars, max_bytes)
-    base = df.select(key, t.alias("_t")).select(
-        key, mention_array("_t", patterns).alias("_m"), sentence_scores("_t").alias("_s"))
-    keys = F.array_distinct(F.transform("_m", lambda m: F.struct(
-        F.lower(F.trim(m["name"])).alias("k"), m["raw_label"].alias("l"))))
-    total = F.size("_m")
-
-    def per_key(k):
-        same = F.filter("_m", lambda m: (F.lower(F.trim(m["name"])) == k["k"]) & (m["raw_label"] == k["l"]))
-        first = F.element_at(same, 1)
-        hit = F.filter("_s", lambda s: F.instr(s["s"], k["k"]) > 0)
-        n_hit = F.size(hit)
-        ssum = F.aggregate(hit, F.lit(0.0), lambda acc, s: acc + s["v"])
-        sabs = F.aggregate(hit, F.lit(0.0), lambda acc, s: acc + F.abs(s["v"]))
+    base = barrier(df.select(key, t.alias("_t")).select(key, "_t", sentence_scores("_t", patterns).alias("_s")))
+    own = F.transform("_s", lambda s, i: F.transform(s["m"], lambda m: F.struct(
+        F.lower(F.trim(m["name"])).alias("k"), m["raw_label"].alias("l"), i.alias("i"), m["name"].alias("name"), s["v"].alias("v"))))
+    base = barrier(base.select(key, "_t", F.array_sort(F.flatten(own)).alias("_a")).where(F.size("_a") > 0))
+    at = lambda i: F.get("_a", i)
+    head = lambda i: (i == 0) | (at(i - 1)["k"] != at(i)["k"]) | (at(i - 1)["l"] != at(i)["l"])
+    base = barrier(base.withColumn("_h", F.filter(F.sequence(F.lit(0), F.size("_a") - 1), head)))
+    total = F.size("_a")
+
+    def entity(begin, place):
+        same = F.slice("_a", begin + 1, F.coalesce(F.get("_h", place + 1), total) - begin)
+        forms = F.array_distinct(F.transform(same, lambda x: x["name"]))
+        first = F.array_min(F.transform(forms, lambda n: F.struct(F.instr(F.col("_t"), n).alias("pos"), n.alias("name"))))
+        hit = F.array_distinct(F.transform(same, lambda x: F.struct(x["i"].alias("i"), x["v"].alias("v"))))
+        ssum = F.aggregate(hit, F.lit(0.0), lambda acc, x: acc + x["v"])
+        sabs = F.aggregate(hit, F.lit(0.0), lambda acc, x: acc + F.abs(x["v"]))
         return F.struct(
-            first["name"].alias("name"), k["l"].alias("raw_label"), first["pos"].alias("pos"),
+            first["name"].alias("name"), at(begin)["l"].alias("raw_label"), first["pos"].alias("pos"),
             F.size(same).cast("bigint").alias("n_mentions"),
             F.round(F.size(same) / total, 4).alias("salience"),
-            F.round(F.when(n_hit > 0, ssum / n_hit).otherwise(F.lit(0.0)), 4).alias("sentiment_score"),
+            F.round(ssum / F.size(hit), 4).alias("sentiment_score"),
             F.round(sabs, 4).alias("sentiment_magnitude"),
         )
 
-    ents = base.select(key, F.explode(F.transform(keys, per_key)).alias("e")).select(key, "e.*")
+    ents = base.select(key, F.explode(F.transform("_h", entity)).alias("e")).select(key, "e.*")
     return ents.select(
         key,
         F.col("name").alias("entity_name"),

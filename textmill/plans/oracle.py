@@ -308,18 +308,21 @@ dm AS (
   FROM mentions
   QUALIFY row_number() OVER (PARTITION BY doc_id, lower(trim(name)), raw_label ORDER BY pos, name) = 1),
 sent AS (
-  SELECT doc_id, s, (len(list_filter(w, lambda x: list_contains(""" + POS_SQL + """, x)))
+  SELECT doc_id, i, s, (len(list_filter(w, lambda x: list_contains(""" + POS_SQL + """, x)))
                     - len(list_filter(w, lambda x: list_contains(""" + NEG_SQL + """, x))))
                    / greatest(len(list_filter(w, lambda x: list_contains(""" + POS_SQL + """, x)))
                     + len(list_filter(w, lambda x: list_contains(""" + NEG_SQL + """, x))), 1) AS v
-  FROM (SELECT doc_id, s, regexp_extract_all(lower(s), '[a-z0-9]+') AS w
-        FROM (SELECT doc_id, unnest(""" + sentences_sql('t') + """) AS s FROM ct))),
+  FROM (SELECT doc_id, i, s, regexp_extract_all(lower(s), '[a-z0-9]+') AS w
+        FROM (SELECT doc_id, unnest(ss) AS s, unnest(range(len(ss))) AS i FROM (SELECT doc_id, """ + sentences_sql('t') + """ AS ss FROM ct)))),
+sent_m AS (""" + " UNION ALL ".join(
+    f"SELECT DISTINCT doc_id, i, lower(trim(name)) AS k, '{lab}' AS raw_label, v FROM (SELECT doc_id, i, v, unnest(regexp_extract_all(s, '{p}')) AS name FROM sent)"
+    for lab, p in PATTERNS_SQL) + """),
 pents AS (
   SELECT dm.doc_id, dm.name AS entity_name, """ + label_type_sql("dm.raw_label") + """ AS entity_type,
          dm.raw_label, dm.pos, dm.n_mentions, round(dm.n_mentions / dm.total_mentions, 4) AS salience,
-         round(coalesce(avg(sent.v), 0.0), 4) AS sentiment_score, round(coalesce(sum(abs(sent.v)), 0.0), 4) AS sentiment_magnitude,
+         round(coalesce(avg(sent_m.v), 0.0), 4) AS sentiment_score, round(coalesce(sum(abs(sent_m.v)), 0.0), 4) AS sentiment_magnitude,
          'pattern' AS extractor
-  FROM dm LEFT JOIN sent ON sent.doc_id = dm.doc_id AND strpos(lower(sent.s), lower(trim(dm.name))) > 0
+  FROM dm LEFT JOIN sent_m ON sent_m.doc_id = dm.doc_id AND sent_m.k = lower(trim(dm.name)) AND sent_m.raw_label = dm.raw_label
   GROUP BY ALL)"""
 
 ORACLE["extract_entities_pattern"] = f"WITH {MENTIONS} SELECT doc_id, name, raw_label, pos FROM mentions"

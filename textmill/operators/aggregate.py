@@ -77,5 +77,5 @@ def aggregate_entities_summary(entities: DataFrame, ids: DataFrame, extractor: s
 def require_ids(ids: list) -> list:
     """An empty id list is an argument error (raised before any job)."""
     if not ids:
-        raise ValueError("doc_ids list is empty")
+        raise ValueError("there are no documents to aggregate: no id was given")
     return ids

@@ -125,7 +125,7 @@ def map_reduce_summary(df: DataFrame, text_col: str = "text", key: str = "doc_id
 
 def validate_style(style: str) -> str:
     if style not in STYLES:
-        raise ValueError("style must be one of: tldr, bullets, abstract")
+        raise ValueError(f"no summary of style {style!r} is made, only {sorted(STYLES)}")
     return style
 
 

@@ -2,7 +2,8 @@
 
 Features are the distinct character n-grams of a text (hashed). Each is scaled by its naive
 Bayes log-count ratio between toxic and other labelled texts, and a logistic regression with
-an L2 penalty is trained on the scaled features. The score is its calibrated probability.
+an L2 penalty is trained on the scaled features. The score is its probability on a
+sample with as many documents of either kind as there are up to a bound; it is not calibrated to their share in the corpus.
 """
 
 from __future__ import annotations

@@ -183,3 +183,25 @@ def test_filter_of_hashes_misses_none(spark):
     marked = C.may_hold(spark.range(40000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("h")), "h", maps, size)
     held, wrong = marked.select(F.expr("count_if(id < 5000 AND _may)"), F.expr("count_if(id >= 5000 AND _may)")).first()
     assert held == 5000 and wrong < 0.1 * 35000
+
+
+def test_a_cache_in_parts_equals_the_whole_log(spark):
+    from textmill.operators import sessions as SS
+
+    rows = [(i % 7, f"k{i % 3}", f"v{i}" if i % 5 else None, (i * 37) % 211, i) for i in range(200)]
+    log = spark.createDataFrame(rows, "doc_id long, key string, value string, ts long, event_id long")
+    order = ("ts", "event_id")
+    cache = SS.open_cache(spark, tempfile.mkdtemp(prefix="tm-cache-"), log, order=order)
+    assert SS.cache_now(cache).count() == 0
+    for k in (3, 0, 2, 1):  # what is written last is not what counts
+        assert SS.add_to_cache(cache, log.where(f"event_id % 4 = {k}"), f"p{k}", compact_every=3)
+        assert not SS.add_to_cache(cache, log.where(f"event_id % 4 = {k}"), f"p{k}", compact_every=3)
+    want = sorted(map(tuple, SS.cache_latest(log, order=order).collect()), key=str)
+    assert sorted(map(tuple, SS.cache_now(cache).collect()), key=str) == want
+    assert cache.live("state").count() == 2  # three parts became one
+    assert cache.read("state").count() <= 2 * 21
+    late = spark.createDataFrame([(0, "k0", "late", 5, 999)], log.schema)  # older than what is there
+    SS.add_to_cache(cache, late, "late")
+    got = {(r["doc_id"], r["key"]): r for r in SS.cache_now(cache).collect()}
+    old = {(r[0], r[1]): r for r in want}
+    assert got[0, "k0"]["value"] == old[0, "k0"][2] and got[0, "k0"]["n_writes"] == old[0, "k0"][3] + 1

@@ -9,10 +9,12 @@ session across tasks), never collected into one array per session.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from textmill import schemas
+from textmill.sources.committed import CommittedTables
 from textmill.sources.tables import write_table
 
 ROLE_MODEL_ALIASES = ("model", "assistant")
@@ -92,3 +94,37 @@ def cache_lookup(requests: DataFrame, latest: DataFrame, doc: str = "doc_id", ke
     right = latest.select(doc, key, value).withColumn("_hit", F.lit(True))
     out = requests.select(doc, key).join(right, [doc, key], "left")
     return out.select(doc, key, value, F.coalesce(F.col("_hit"), F.lit(False)).alias("hit"))
+
+
+def open_cache(spark: SparkSession, root: str, log: DataFrame, doc: str = "doc_id", key: str = "key", value: str = "value",
+               order: tuple[str, ...] = ("ts",)) -> CommittedTables:
+    """C5 kept up to date: the state of a cache log of the columns of ``log``, under ``root``."""
+    fields = log.select(F.col(doc), F.col(key), F.col(value), F.struct(*order).alias("at")).schema.fields
+    return CommittedTables.open(spark, root, {"state": StructType([*fields, StructField("n_writes", LongType())])})
+
+
+def merged_state(state: DataFrame) -> DataFrame:
+    doc, key, value = state.columns[:3]
+    latest = F.max_by(F.struct(value, "at"), "at")
+    out = state.groupBy(doc, key).agg(latest.alias("x"), F.sum("n_writes").alias("n_writes"))
+    return out.select(doc, key, F.col("x").getField(value).alias(value), F.col("x.at").alias("at"), "n_writes")
+
+
+def add_to_cache(cache: CommittedTables, part: DataFrame, name: str, compact_every: int = 16) -> bool:
+    """A new part of the log, by its name, once: only the part itself is read and reduced to a row for
+    each (doc, key), in the map tasks first. When many parts have come together, their rows become
+    one for each (doc, key). False if the part was added before."""
+    doc, key, value, at, _ = cache.tables["state"].names
+    order = [f.name for f in cache.tables["state"][at].dataType.fields]
+    rows = part.select(doc, key, value, F.struct(*order).alias("at"), F.lit(1).cast("long").alias("n_writes"))
+    added = cache.write(name, state=merged_state(rows))
+    if added and cache.live("state").count() >= compact_every:
+        cache.compact("state", merged_state)
+    return added
+
+
+def cache_now(cache: CommittedTables) -> DataFrame:
+    """``cache_latest`` of all parts added so far, from their rows and not from the log. A
+    part that comes late counts by its own order, not by when it was added."""
+    doc, key, value = cache.tables["state"].names[:3]
+    return merged_state(cache.read("state").drop("batch")).select(doc, key, value, "n_writes")

@@ -803,6 +803,16 @@ def q_cache_latest(spark, sf_dir):
     return SS.cache_latest(cache_log(spark, sf_dir), order=("ts", "event_id"))
 
 
+@query("cache_incremental")
+def q_cache_incremental(spark, sf_dir):
+    """C5 in three parts, the oldest entries last, and one part handed over twice."""
+    log = cache_log(spark, sf_dir)
+    cache = SS.open_cache(spark, S.scratch_path(spark, "cache"), log, order=("ts", "event_id"))
+    for k in (2, 1, 1, 0):
+        SS.add_to_cache(cache, log.where(F.col("event_id") % 3 == k), f"part-{k}", compact_every=2)
+    return SS.cache_now(cache)
+
+
 @query("cache_lookup")
 def q_cache_lookup(spark, sf_dir):
     lab = table(spark, sf_dir, "labels").select("doc_id")

@@ -737,6 +737,8 @@ latest AS (SELECT doc_id, key, arg_max(value, (ts, event_id)) AS value, count(*)
 
 ORACLE["cache_latest"] = f"WITH {CACHE} SELECT * FROM latest"
 
+ORACLE["cache_incremental"] = ORACLE["cache_latest"]
+
 ORACLE["cache_lookup"] = f"""WITH {CACHE},
 req AS (SELECT doc_id, 'click' AS key FROM labels UNION ALL SELECT doc_id, 'purchase' FROM labels)
 SELECT req.doc_id, req.key, latest.value, latest.doc_id IS NOT NULL AS hit

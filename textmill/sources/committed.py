@@ -11,6 +11,7 @@ in any of the tables.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -81,12 +82,13 @@ class CommittedTables:
         self.commit(batch)
         return True
 
-    def compact(self, table: str) -> str | None:
-        """The rows of many small batches of a table in one; readers go over to it at its commit."""
+    def compact(self, table: str, merge: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> str | None:
+        """The rows of many small batches of a table in one, put together by ``merge``; readers go
+        over to it at its commit."""
         names = [r["batch"] for r in self.live(table).collect()]
         if len(names) < 2:
             return None
         batch = f"compact-{uuid.uuid4().hex}"
-        self.put(batch, table, self.read(table).drop("batch"))
+        self.put(batch, table, merge(self.read(table).drop("batch")))
         self.commit(batch, only=table, replaced=names)
         return batch

@@ -451,6 +451,20 @@ def q_extract_entities_gazetteer(spark, sf_dir):
     return EN.extract_gazetteer(clean_docs(spark, sf_dir), gazetteer(spark, sf_dir))
 
 
+@query("extract_gazetteer_trie")
+def q_extract_gazetteer_trie(spark, sf_dir):
+    """E3 with a dictionary of every 2 to 4 neighbouring words of the benchmark, by a trie."""
+    from textmill.operators import gazetteer as GZ
+
+    words = F.regexp_extract_all(F.lower("text"), F.lit("[a-z0-9]+"), 0)
+    items = table(spark, sf_dir, "benchmark").select(words.alias("w"))
+    from_each = lambda n: lambda i: F.array_join(F.slice("w", i, n), " ")
+    grams = [F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - n + 1, F.lit(1))), from_each(n)) for n in (2, 3, 4)]
+    names = items.select(F.explode(F.concat(*grams)).alias("name")).where(F.col("name").contains(" ")).distinct()
+    label = F.concat(F.lit("WORDS_"), F.size(F.split("name", " ")).cast("string"))
+    return GZ.extract_gazetteer(clean_docs(spark, sf_dir), names.select("name", label.alias("raw_label")))
+
+
 @query("label_map")
 def q_label_map(spark, sf_dir):
     m = EN.extract_mentions(clean_docs(spark, sf_dir)).unionByName(

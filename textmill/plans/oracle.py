@@ -890,3 +890,12 @@ SELECT doc_id, CAST(coalesce(len(x), 0) AS INTEGER) AS n_finds, sha256(CASE WHEN
   array_to_string(list_transform(x, lambda s, i: substr(text, CASE WHEN i = 1 THEN 0 ELSE x[i - 1].stop END + 1, s.start - CASE WHEN i = 1 THEN 0 ELSE x[i - 1].stop END) || '[' || s.kind || ']'), '')
   || substr(text, x[len(x)].stop + 1) END) AS redacted_hash
 FROM documents LEFT JOIN cuts USING (doc_id)"""
+
+ORACLE["extract_gazetteer_trie"] = f"""WITH {CLEAN},
+bw AS (SELECT regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM benchmark),
+names AS (SELECT DISTINCT array_to_string(w[i:i + n - 1], ' ') AS k, 'WORDS_' || len(w[i:i + n - 1]) AS raw_label
+          FROM (SELECT w, n, unnest(range(1, greatest(len(w) - n + 1, 1) + 1)) AS i FROM bw, (VALUES (2), (3), (4)) t(n)) WHERE len(w[i:i + n - 1]) > 1),
+tok AS (SELECT doc_id, regexp_extract_all(text, '[A-Za-z0-9]+') AS tk FROM clean),
+g AS (SELECT doc_id, array_to_string(tk[i:i + n - 1], ' ') AS name, CAST(i AS INTEGER) AS pos
+      FROM (SELECT doc_id, tk, n, unnest(range(1, len(tk) - n + 2)) AS i FROM tok, (VALUES (2), (3), (4)) t(n)))
+SELECT doc_id, name, raw_label, pos FROM g JOIN names ON lower(g.name) = names.k"""

@@ -45,7 +45,7 @@ FIRST = 0.36
 #: through in vain goes in the join behind it.
 FILTER_BITS, FILTER_LEAST, FILTER_MOST = 16, 1 << 20, 1 << 28
 #: First shingles that a task holds before it sends them on, and that a slot has about in all.
-HELD, SLOT = 4_000_000, 16_000_000
+HELD, SLOT = 4_000_000, 2_000_000
 
 
 def signatures(sets: np.ndarray, begin: np.ndarray) -> np.ndarray:

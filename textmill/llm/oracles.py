@@ -95,4 +95,26 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (n_w
 FROM counted
 """
 
-ORACLE = {"op1_mix_sources": MIX, "op7_ngram_jaccard": JACCARD, "op8_line_frequency": LINES}
+NEIGHBOURS = """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), sound AS (
+  SELECT *, sqrt(list_dot_product(e, e)) AS n FROM v
+  WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda c: c IS NULL OR NOT isfinite(c))) = 0 AND len(list_filter(e, lambda c: c <> 0)) > 0
+), links AS (
+  SELECT a.r AS u, b.r AS w FROM sound a JOIN sound b ON a.label = b.label AND len(a.e) = len(b.e) AND a.r <> b.r
+  WHERE list_dot_product(a.e, b.e) / (a.n * b.n) >= 0.93::DOUBLE
+), reach(r, least) AS (
+  SELECT r, vec_id FROM v
+  UNION
+  SELECT l.w, x.least FROM reach x JOIN links l ON l.u = x.r
+), named AS (
+  SELECT r, min(least) AS component_id FROM reach GROUP BY r
+), counted AS (
+  SELECT u AS r, count(*) AS n_links FROM links GROUP BY u
+)
+SELECT v.vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, component_id, coalesce(v.vec_id = component_id, FALSE) AS kept
+FROM v JOIN named USING (r) LEFT JOIN counted USING (r)
+"""
+
+ORACLE = {"op1_mix_sources": MIX, "op3_embedding_neighbours": NEIGHBOURS, "op7_ngram_jaccard": JACCARD, "op8_line_frequency": LINES}

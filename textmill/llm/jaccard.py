@@ -46,6 +46,8 @@ FIRST = 0.36
 FILTER_BITS, FILTER_LEAST, FILTER_MOST = 16, 1 << 20, 1 << 28
 #: First shingles that a task holds before it sends them on, and that a slot has about in all.
 HELD, SLOT = 4_000_000, 2_000_000
+#: Sets with the most copies whose copies are passed over in all tasks; others only cost more.
+COPIED = 1_000_000
 
 
 def signatures(sets: np.ndarray, begin: np.ndarray) -> np.ndarray:
@@ -156,14 +158,30 @@ def profile(docs: DataFrame, order: list[np.ndarray]) -> DataFrame:
     return rows.mapInArrow(base.tidy(run), schema)
 
 
-def fresh_first(col: pa.Array, order: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """The first shingles of every set of a pass, copies once, and the points they are of."""
+def copied(profiles: DataFrame) -> list[np.ndarray]:
+    """Points that several documents have, sorted, and the hash of the document that stands
+    for each: COPIED points at most, those with the most copies."""
+    held = profiles.where("n_shingles > 0").groupBy("point").agg(F.min(F.xxhash64("doc_id")).alias("h"), F.count(F.lit(1)).alias("n"))
+    top = held.where("n > 1").orderBy(F.desc("n"), "point").limit(COPIED).select("point", "h").toArrow()
+    point, h = (top.column(c).to_numpy() for c in ("point", "h"))
+    order = np.argsort(point)
+    return [point[order], h[order]]
+
+
+def fresh_first(col: pa.Array, ids: np.ndarray, order: list[np.ndarray], known: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The first shingles of every set of a pass, of copies once, and the points they are of.
+    ids: hashes of the documents; known: see ``copied``."""
     sets, begin = scan.shingle_sets(col, SIZE)
     point = signatures(sets, begin)
     chosen, _ = first_shingles(sets, begin, *order)
     doc = np.repeat(np.arange(len(point)), np.diff(begin))
+    many, stands = known
+    own = np.ones(len(point), bool)
+    if len(many):
+        at = np.minimum(np.searchsorted(many, point.view(np.int64)), len(many) - 1)
+        own = (many[at] != point.view(np.int64)) | (stands[at] == ids)
     fresh = np.zeros(len(point), bool)
-    fresh[np.unique(point, return_index=True)[1]] = True
+    fresh[np.flatnonzero(own)[np.unique(point[own], return_index=True)[1]]] = True
     chosen = chosen[fresh[doc[chosen]]]
     return sets[chosen], point[doc[chosen]]
 
@@ -175,7 +193,7 @@ def twice(s: np.ndarray) -> np.ndarray:
     return s[keep]
 
 
-def repeated_shingles(docs: DataFrame, order: list[np.ndarray], n_first: int) -> tuple[DataFrame, int]:
+def repeated_shingles(docs: DataFrame, order: list[np.ndarray], known: list[np.ndarray], n_first: int) -> tuple[DataFrame, int]:
     """(s), and the bits of a slot: numbers of first shingles that two points have (and a few that one point has twice,
     as a copy in another task).
 
@@ -183,7 +201,7 @@ def repeated_shingles(docs: DataFrame, order: list[np.ndarray], n_first: int) ->
     row for each slot and stretch of a task, a shingle twice at most. So a shingle that only
     one point has, as most are, costs four bytes here and is never a row."""
     bits = max(6, (n_first // SLOT).bit_length())
-    sent = docs.sparkSession.sparkContext.broadcast(order)
+    sent = docs.sparkSession.sparkContext.broadcast((order, known))
     high, low = scan.U(64 - bits), scan.U(32 - bits)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,8 +218,8 @@ def repeated_shingles(docs: DataFrame, order: list[np.ndarray], n_first: int) ->
             return pa.RecordBatch.from_arrays([pa.array(slot[begin]), pa.array([data[x:y] for x, y in zip(cut, cut[1:])], pa.binary())], ["slot", "packed"])
 
         for b in batches:
-            for _, col in base.passes(b.column(0)):
-                parts.append(fresh_first(col, sent.value)[0])
+            for lo, col in base.passes(b.column(0)):
+                parts.append(fresh_first(col, b.column(1).slice(lo, len(col)).to_numpy(), *sent.value)[0])
                 held += len(parts[-1])
                 if held >= HELD:
                     yield rows()
@@ -215,28 +233,28 @@ def repeated_shingles(docs: DataFrame, order: list[np.ndarray], n_first: int) ->
             again = np.unique(s[1:][s[1:] == s[:-1]])
             yield pa.RecordBatch.from_arrays([pa.array((slot << 32 | again.astype(np.int64)))], ["s"])
 
-    packed = docs.select("text").mapInArrow(base.tidy(pack), "slot long, packed binary")
+    packed = docs.select("text", F.xxhash64("doc_id")).mapInArrow(base.tidy(pack), "slot long, packed binary")
     return packed.repartition("slot").sortWithinPartitions("slot").mapInArrow(base.tidy(meet), "s long"), bits
 
 
-def postings(docs: DataFrame, order: list[np.ndarray], n_first: int) -> DataFrame:
+def postings(docs: DataFrame, order: list[np.ndarray], known: list[np.ndarray], n_first: int) -> DataFrame:
     """(s, point): the first shingles of every set that are another point's as well, and few
-    others; copies within a pass once."""
-    again, bits = repeated_shingles(docs, order, n_first)
+    others; of copies once."""
+    again, bits = repeated_shingles(docs, order, known, n_first)
     again = base.stage(again, "jaccard-repeated")
-    sent = docs.sparkSession.sparkContext.broadcast((order, filter_bits(again, F.col("s"), again.count())))
+    sent = docs.sparkSession.sparkContext.broadcast((order, known, filter_bits(again, F.col("s"), again.count())))
     low = scan.U(32 - bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order, known = sent.value
+        order, known, shared = sent.value
         for b in batches:
-            for _, col in base.passes(b.column(0)):
-                s, point = fresh_first(col, order)
-                keep = in_filter(known, (s >> low).view(np.int64))
+            for lo, col in base.passes(b.column(0)):
+                s, point = fresh_first(col, b.column(1).slice(lo, len(col)).to_numpy(), order, known)
+                keep = in_filter(shared, (s >> low).view(np.int64))
                 s, point = s[keep], point[keep]
                 yield pa.RecordBatch.from_arrays([pa.array(s.view(np.int64)), pa.array(point.view(np.int64))], ["s", "point"])
 
-    return docs.select("text").mapInArrow(base.tidy(run), "s long, point long")
+    return docs.select("text", F.xxhash64("doc_id")).mapInArrow(base.tidy(run), "s long, point long")
 
 
 def regions_of(docs: DataFrame, profiles: DataFrame, points: DataFrame, order: list[np.ndarray]) -> DataFrame:
@@ -247,7 +265,7 @@ def regions_of(docs: DataFrame, profiles: DataFrame, points: DataFrame, order: l
     than half of its need: two partners then still have a shingle whose region neither left.
     """
     n_first = profiles.agg(F.sum(F.col("need") + F.floor(F.col("n_shingles") / 4))).first()[0] or 0
-    own = base.stage(postings(docs, order, n_first), "jaccard-postings")
+    own = base.stage(postings(docs, order, copied(profiles), n_first), "jaccard-postings")
     region = own.groupBy("s").agg(F.min("point").alias("region"), F.max("point").alias("other")).where("region <> other").drop("other")
     shared = own.join(region, "s").groupBy("region", "point").agg(F.count(F.lit(1)).alias("k"))
     shared = base.stage(shared, "jaccard-shared")

@@ -15,7 +15,7 @@ pair row where that is linear, and relationally where it is not:
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +23,8 @@ from textmill.functions import text as T
 from textmill.session import barrier
 
 DIGITS = 4
+#: Pairs of token lists that are Python objects at once.
+ROWS = 256
 
 
 def _c(x) -> Column:
@@ -110,11 +112,14 @@ def lcs_bits(a, b) -> int:
 
 
 def _lcs_udf():
-    from pyspark.sql.functions import pandas_udf
-
-    @pandas_udf("int")
-    def lcs_len(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([lcs_bits(x, y) for x, y in zip(a, b)], dtype="int32")
+    from pyspark.sql.functions import arrow_udf
+
+    @arrow_udf("int")
+    def lcs_len(a: pa.Array, b: pa.Array) -> pa.Array:
+        out = []
+        for lo in range(0, len(a), ROWS):
+            out += [lcs_bits(x, y) for x, y in zip(a.slice(lo, ROWS).to_pylist(), b.slice(lo, ROWS).to_pylist())]
+        return pa.array(out, pa.int32())
 
     return lcs_len
 

@@ -31,8 +31,7 @@ def doc_lengths(df: DataFrame, text_col: str = "text", summary_col: str | None =
     out = df.withColumn("char_count", F.length(text_col).cast("bigint")).withColumn(
         "sent_count", F.regexp_count(F.col(text_col), F.lit("[.!?]+")).cast("bigint"))
     if summary_col:
-        out = out.withColumn("summary_token_count",
-                             F.when(F.col(summary_col).isNotNull(), T.token_count(summary_col)))
+        out = out.withColumn("summary_token_count", T.token_count(summary_col))
     return out
 
 
@@ -66,13 +65,15 @@ def describe(df: DataFrame, columns: list[str], approx: bool = False, digits: in
 def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
     """D3: equal-width bins over [min, max], last bin right-closed, empty bins kept.
 
-    min/max come from one scalar subquery (a one-row partial aggregate),
-    bound once per side as a column. When min == max the range is widened
-    to +-0.5 as numpy does.
+    Rows are counted by value in one pass, in which ``col`` is evaluated once a row. min/max
+    come from the counts by one scalar subquery, bound once per side as a column; it takes the
+    sum of the counts as well, so that it needs the same columns and reads the same exchange.
+    When min == max the range is widened to +-0.5 as numpy does.
     """
     spark: SparkSession = df.sparkSession
-    vals = df.select(F.col(col).cast("double").alias("x")).filter(F.col("x").isNotNull())
-    mm = vals.select(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi")).alias("mm")).scalar()
+    vals = barrier(df.select(F.col(col).cast("double").alias("x"))).filter(F.col("x").isNotNull())
+    values = vals.groupBy("x").agg(F.count(F.lit(1)).alias("n"))
+    mm = values.select(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"), F.sum("n").alias("n")).alias("mm")).scalar()
 
     def bounds(frame: DataFrame) -> DataFrame:
         b = frame.withColumn("_mm", mm)
@@ -81,9 +82,9 @@ def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
              .withColumn("_hi", F.when(same, F.col("_mm.hi") + 0.5).otherwise(F.col("_mm.hi")))
         return b.withColumn("_w", (F.col("_hi") - F.col("_lo")) / F.lit(bins))
 
-    binned = barrier(bounds(vals)).select(
-        F.least(F.floor((F.col("x") - F.col("_lo")) / F.col("_w")), F.lit(bins - 1)).cast("int").alias("bin"))
-    counts = binned.groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
+    binned = barrier(bounds(values)).select(
+        F.least(F.floor((F.col("x") - F.col("_lo")) / F.col("_w")), F.lit(bins - 1)).cast("int").alias("bin"), "n")
+    counts = binned.groupBy("bin").agg(F.sum("n").alias("n"))
     domain = barrier(bounds(spark.range(bins).select(F.col("id").cast("int").alias("bin"))))
     return (
         domain.join(counts, "bin", "left")

@@ -48,3 +48,21 @@ def test_summary_is_evaluated_once_for_its_tokens(spark):
     d = spark.createDataFrame([("a b. c",)], "text string").withColumn("reference_summary", F.regexp_replace("text", "marker_once", "x"))
     plan = D.doc_lengths(d).select("summary_token_count")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("marker_once") == 1
+
+
+def test_content_words_equal_the_plain_way(spark):
+    texts = [None, "", "The THE the cat\u212aat -- it's caf\u00e9 abc_def Abc12 abc", "was will WILL you not who WHICH which ones", "\u0130stanbul ist\u0131l abc\u0301def"]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    plain = F.transform(F.regexp_extract_all("text", F.lit(D.WORD3_PATTERN), 0), lambda w: F.lower(w))
+    stop = F.array(*[F.lit(w) for w in D.EDA_STOPWORDS])
+    want = d.select("doc_id", F.filter(plain, lambda w: ~F.array_contains(stop, w)).alias("toks"))
+    assert D.content_tokens(d).collect() == want.collect()
+    counts = want.select(F.explode("toks").alias("word")).groupBy("word").count()
+    assert sorted(D.word_counts(d).collect()) == sorted(counts.collect()) != []
+
+
+def test_stopwords_are_no_array_that_is_searched_for_every_word(spark):
+    d = spark.createDataFrame([(1, "The cat")], "doc_id long, text string")
+    for out in (D.content_tokens(d), D.word_counts(d)):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "array_contains" not in plan and " INSET " in plan

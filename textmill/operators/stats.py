@@ -108,14 +108,18 @@ def sample_documents(df: DataFrame, n: int, seed: int, key: str = "doc_id") -> D
 
 def words3(text: Column | str) -> Column:
     """Lower-cased ``\\b[a-zA-Z]{3,}\\b`` tokens (Unicode word boundaries)."""
+    return F.transform(raw_words3(text), lambda w: F.lower(w))
+
+
+def raw_words3(text: Column | str) -> Column:
     c = F.col(text) if isinstance(text, str) else text
-    return F.transform(F.regexp_extract_all(c, F.lit(WORD3_PATTERN), 0), lambda w: F.lower(w))
+    return F.regexp_extract_all(c, F.lit(WORD3_PATTERN), 0)
 
 
 def drop_stopwords(tokens: Column, stopwords=EDA_STOPWORDS) -> Column:
-    """Remove a small literal stopword set inside the array (no join)."""
-    arr = F.array(*[F.lit(w) for w in stopwords])
-    return F.filter(tokens, lambda w: ~F.array_contains(arr, w))
+    """Remove a small literal stopword set inside the array (no join). The set is a list of
+    literals, which Spark looks up by hash; an array would be searched for every token."""
+    return F.filter(tokens, lambda w: ~w.isin(*stopwords))
 
 
 def content_tokens(df: DataFrame, text_col: str = "text", key: str = "doc_id") -> DataFrame:
@@ -123,8 +127,10 @@ def content_tokens(df: DataFrame, text_col: str = "text", key: str = "doc_id") -
 
 
 def word_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
-    toks = content_tokens(df, text_col)
-    return toks.select(F.explode("toks").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("freq"))
+    """Content words with their counts. The words of a text become rows as they stand; lower case and
+    stopwords are matters of the rows, in generated code."""
+    words = df.select(F.explode(raw_words3(text_col)).alias("word")).select(F.lower("word").alias("word"))
+    return words.where(~F.col("word").isin(*EDA_STOPWORDS)).groupBy("word").agg(F.count(F.lit(1)).alias("freq"))
 
 
 def top_unigrams(df: DataFrame, n: int = 20, text_col: str = "text") -> DataFrame:

@@ -64,7 +64,9 @@ class CommittedTables:
         """Write one table of a batch (again, if it was written before) and read it back."""
         rows = enforce_required(df, self.tables[table])
         path, by = f"{self.root}/{table}/batch={batch}", self.split.get(table)
-        writer = rows.repartition(by).write.partitionBy(by) if by else rows.write
+        # a number of its own, as tasks joined by size would leave all the folders to a few of them
+        parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        writer = rows.repartition(parts, by).write.partitionBy(by) if by else rows.write
         writer.mode("overwrite").parquet(path)
         return self.spark.read.schema(self.tables[table]).parquet(path)
 

@@ -73,19 +73,21 @@ def take_batch(tables: CommittedTables, batch: DataFrame, name: str, rules: dict
 
     Rows that a rule finds bad become dead letters with the first such rule's name. The others
     are cleaned (``clean`` gives them a ``text_hash`` and filters); of equal texts one is taken, if none
-    was ever before. Only the buckets of the index that the batch needs are read."""
+    was ever before. Only the buckets of the index that the batch needs are read, and hashes,
+    not texts, are shuffled to find what was taken before."""
     if tables.has(name):
         return False
     reason = F.coalesce(*[F.when(bad, F.lit(why)) for why, bad in rules.items()], F.lit(None).cast("string"))
     marked = stage_table(batch.withColumn("_reason", reason), "ingest-batch")  # read twice, and the same both times
     payload = F.to_json(F.struct(*[F.col(c) for c in batch.columns]))
     tables.put(name, "dead", marked.where("_reason IS NOT NULL").select(F.col("_reason").alias("reason"), payload.alias("payload")))
-    good = stage_table(clean(marked.where("_reason IS NULL").drop("_reason", CORRUPT)), "ingest-clean")
+    good = C.number_rows(clean(marked.where("_reason IS NULL").drop("_reason", CORRUPT)))
     bucket = F.lpad(F.conv(F.substring("text_hash", 1, 2), 16, 10), 3, "0")  # BUCKETS of them
-    first = C.dedupe_exact(good, order=("ingested_at", "doc_id")).withColumn("bucket", bucket)
     touched = [r["bucket"] for r in good.select(bucket.alias("bucket")).distinct().collect()]  # at most BUCKETS
-    seen = tables.read("seen").where(F.col("bucket").isin(touched)).select("bucket", "text_hash")
-    taken = tables.put(name, "documents", first.join(seen, ["bucket", "text_hash"], "left_anti"))
+    seen = tables.read("seen").where(F.col("bucket").isin(touched)).select("text_hash")
+    order = ("ingested_at", "doc_id")  # and all else that the table holds, as equal hashes have equal texts
+    order += tuple(c for c in good.columns if c in tables.tables["documents"].names and c not in (*order, "text", "text_hash"))
+    taken = tables.put(name, "documents", C.dedupe_numbered(good, order=order, known=seen))
     tables.put(name, "seen", taken.select("text_hash", bucket.alias("bucket")))
     tables.commit(name)
     return True

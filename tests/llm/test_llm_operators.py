@@ -193,6 +193,16 @@ def test_neighbours_finds_rare_pairs(spark):
     assert sum(r[1] for r in exp) == 24
 
 
+def test_neighbours_in_blocks_without_a_near_pair(spark, monkeypatch):
+    # blocks of 8 vectors, most pairs of which hold no two that are near each other
+    monkeypatch.setattr(neighbours, "BLOCK_BYTES", 8 * 64 * 8)
+    rng = np.random.default_rng(14)
+    vectors = [unit(rng) for _ in range(120)]
+    vectors += [turned(rng, x, 0.95) for x in vectors[:10]] + around(rng, unit(rng), 0.97, 30)
+    exp = assert_neighbours(spark, vectors)
+    assert sum(r[1] for r in exp) == 20 + 30 * 29
+
+
 def test_neighbours_of_an_empty_table(spark):
     assert neighbours.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 

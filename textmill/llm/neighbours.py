@@ -336,7 +336,8 @@ def near_groups(threshold: float) -> Callable:
         ra, rb = np.array([r[1] for r in a]), np.array([r[1] for r in b])
         x4, y4 = x.astype(np.float32), y.astype(np.float32)
         slack = (x.shape[1] + 8) * 1.2e-7
-        us, vs, sure = [], [], []
+        # two blocks may have no near pair at all
+        us, vs, sure = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, bool)]
         step = max(1, STRIP // len(b))
         for lo in range(0, len(a), step):
             s, wide = x4[lo : lo + step] @ y4.T, ra[lo : lo + step].max() + rb.max()
